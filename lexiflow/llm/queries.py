@@ -7,23 +7,62 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.llm import bpe, token_prefix
+from lexiflow.llm import ann, bpe, langid, order_minhash, packing, token_prefix
 from lexiflow.llm.common import table, tokenizer_path
 
-TOKEN_LIMIT = 512
+TOKEN_LIMIT, SEQUENCE_TOKENS = 512, 2048
+
+
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), SEQUENCE_TOKENS)
+    return packing_digest(pieces)
+
+
+def packing_digest(pieces: DataFrame) -> DataFrame:
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edit_report(table(spark, sf_dir, "documents"))
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = langid.fit(documents.where(~langid.is_held_out()))
+    found = langid.predict(documents, model)
+    return found.select("doc_id", langid.is_held_out().alias("held_out"), "lang_pred", "score", F.map_keys("languages").alias("languages"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_prefix.budget_report(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_bpe": op6_bpe, "op10_token_counts": op10_token_counts}
+    return {f.__name__: f for f in (op1_nearest, op3_packing, op6_bpe, op8_order_minhash, op9_langid, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_nearest": OP1_SQL}
