@@ -65,7 +65,7 @@ def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int
     """Ranges (from, to) of consecutive texts holding about `most` characters each."""
     start = held = 0
     for i, t in enumerate(texts):
-        held += len(t)
+        held += len(t or "")
         if held >= most:
             yield start, i + 1
             start, held = i + 1, 0
@@ -73,14 +73,15 @@ def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int
         yield start, len(texts)
 
 
-def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Callable[[], Callable[[list[str]], Iterable[tuple]]]) -> DataFrame:
+def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Callable[[], Callable[[list[str]], Iterable[tuple]]], keep_null: bool = False) -> DataFrame:
     """Applies a per-worker function to slices of texts.
 
     `make()` runs once per task and returns a function from a list of texts to
-    one tuple per text; the result has the id column followed by `schema`.
+    one tuple per text; the result has the id column followed by `schema`. A null
+    text is given as the empty text, or as None with `keep_null`.
     """
     id_type = df.schema[id_col].dataType.simpleString()
-    source = df.select(F.col(id_col), text_of(text_col).alias("__text"))
+    source = df.select(F.col(id_col), (F.col(text_col) if keep_null else text_of(text_col)).alias("__text"))
     out_schema = f"`{id_col}` {id_type}, {schema}"
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.llm import ann, bpe, langid, order_minhash, packing, token_prefix
+from lexiflow.llm import ann, bpe, chat, langid, order_minhash, packing, pii, token_prefix, toxicity
 from lexiflow.llm.common import table, tokenizer_path
 
 TOKEN_LIMIT, SEQUENCE_TOKENS = 512, 2048
+TOXIC_FROM = 0.3
 
 
 def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +33,13 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 """
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scorer = toxicity.fit(documents.where(~langid.is_held_out()), table(spark, sf_dir, "labels"))
+    found = toxicity.score(documents, scorer)
+    return found.select("doc_id", langid.is_held_out().alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "evidence")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), SEQUENCE_TOKENS)
     return packing_digest(pieces)
@@ -41,10 +49,22 @@ def packing_digest(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = "\\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id bigint, turn bigint, role string, text string")
+    return chat.read_back(chat.format_conversations(rows.unionByName(own)))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", F.size("values").alias("n_values"), F.array_join(F.array_sort(F.transform("values", lambda v: v["kind"])), ",").alias("kinds"))
+
+
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edit_report(table(spark, sf_dir, "documents"))
 
@@ -61,7 +81,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_nearest, op3_packing, op6_bpe, op8_order_minhash, op9_langid, op10_token_counts)}
+    return {f.__name__: f for f in (op1_nearest, op2_toxicity, op3_packing, op4_chat, op6_bpe, op7_pii, op8_order_minhash, op9_langid, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
