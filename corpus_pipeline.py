@@ -1,15 +1,82 @@
-"""The corpus pipeline: stages that each apply one training-data operator."""
+"""The corpus pipeline: stages that each apply one training-data operator to all
+documents the stage before kept. Each takes (spark, docs, sf_dir) and returns a
+DataFrame; all but the last return the columns of `documents`.
+
+Defined cases: rows with a null text score as empty texts and are rejected by the
+language stage; rows with a null id are never linked; extra columns are carried
+along up to the last stage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexiflow.llm import langid, minhash, packing, pii, toxicity
+from lexiflow.llm.common import materialise, table, tokenizer_path
+from lexiflow.llm.queries import SEQUENCE_TOKENS, TOXIC_FROM, packing_digest
+
+#: Least share of its main language that a document must have.
+LEAST_SHARE = 0.5
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """(row, text): operators carry the row along as they would an id."""
+    return docs.select(F.struct("*").alias("row"), F.col("text"))
+
+
+def columns(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of `docs` out of the carried row, some of them changed."""
+    return [changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns]
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scorer = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(whole_rows(docs), scorer, "row", "text")
+    return scored.where(F.col("score") < TOXIC_FROM).select(columns(docs))
+
+
+def reject_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters or without a main language go; an unknown `lang` is filled in."""
+    found = langid.predict(whole_rows(docs), langid.fit(docs), "row", "text")
+    known = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    return known.select(columns(docs, lang=F.coalesce(F.col("row.lang"), F.col("lang_pred"))))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: the one with the least id."""
+    found = minhash.near_duplicates(docs)
+    marks = found.where("doc_id is not null").groupBy("doc_id").agg(F.min("kept").alias("__kept"), F.count("*").alias("__copies"))
+    marked = docs.join(marks, "doc_id", "left").where(F.coalesce("__kept", F.lit(True)))
+    repeated = F.coalesce(F.col("__copies") > 1, F.lit(False))
+    return marked.where(~repeated).unionByName(marked.where(repeated).dropDuplicates(["doc_id"])).select(docs.columns)
+
+
+def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(whole_rows(docs), id_col="row")
+    return found.select(columns(docs, text=F.col("text"), n_chars=F.length("text").cast("bigint")))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing_digest(packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), SEQUENCE_TOKENS))
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("language", reject_unknown_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("pii", pseudonymise),
+    ("packing", pack),
+]
+#: Fitted models and hashes of shingles have no counterpart in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """All stages over the table `documents`, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = materialise(docs)
     return docs

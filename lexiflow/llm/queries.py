@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.llm import ann, bpe, chat, langid, order_minhash, packing, pii, token_prefix, toxicity
+from lexiflow.llm import ann, bpe, chat, langid, minhash, order_minhash, packing, pii, token_prefix, toxicity
 from lexiflow.llm.common import table, tokenizer_path
 
 TOKEN_LIMIT, SEQUENCE_TOKENS = 512, 2048
@@ -56,6 +56,10 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(own)))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -81,7 +85,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_nearest, op2_toxicity, op3_packing, op4_chat, op6_bpe, op7_pii, op8_order_minhash, op9_langid, op10_token_counts)}
+    return {f.__name__: f for f in (op1_nearest, op2_toxicity, op3_packing, op4_chat, op5_minhash, op6_bpe, op7_pii, op8_order_minhash, op9_langid, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
