@@ -1,12 +1,17 @@
-"""Registry of the engine's queries over the driver's tables, with SQL twins."""
+"""Registry of the engine's queries over the driver's tables, with their SQL twins."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexiflow.functions import text as T
+from lexiflow.operators import matching as M
+from lexiflow.operators import ordering as O
+from lexiflow.operators import rules as R
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -24,18 +29,435 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df.select(*columns) if columns else df
+
+
+def cents(column: str) -> Column:
+    """A sum of money as a whole number, so that sums do not depend on their order."""
+    return F.round(F.col(column) * 100).cast("bigint")
+
+
+def whole(column: Column) -> Column:
+    return column.cast("bigint")
+
+
+# --- scans, projections, predicates -------------------------------------------------
 
 
-@query("""SELECT l.quality, l.toxic, d.lang, count(*) AS n_documents, sum(d.n_chars) AS n_chars
+@query("""SELECT l.quality, l.toxic, d.lang, count(*) AS n_documents, CAST(sum(d.n_chars) AS BIGINT) AS n_chars
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY l.quality, l.toxic, d.lang""")
-def counts_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and sizes by class of the joined label."""
-    labels = read(spark, sf_dir, "labels")
-    documents = read(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    return (
-        documents.join(labels, "doc_id")
-        .groupBy("quality", "toxic", "lang")
-        .agg(F.count("*").alias("n_documents"), F.sum("n_chars").cast("decimal(38,0)").alias("n_chars"))
-    )
+def counts_by_class(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and sizes by class of the joined label."""
+    documents = read(spark, d, "documents", "doc_id", "lang", "n_chars")
+    return documents.join(read(spark, d, "labels"), "doc_id").groupBy("quality", "toxic", "lang").agg(F.count("*").alias("n_documents"), F.sum("n_chars").alias("n_chars"))
+
+
+@query("SELECT doc_id, source, n_chars, lang = 'de' AS is_de FROM documents WHERE lang IN ('de', 'fr') AND n_chars >= 1000")
+def scan_filter_project(spark: SparkSession, d: str) -> DataFrame:
+    """Filter and column choice that reach the scan."""
+    df = read(spark, d, "documents").where(F.col("lang").isin("de", "fr") & (F.col("n_chars") >= 1000))
+    return df.select("doc_id", "source", "n_chars", (F.col("lang") == "de").alias("is_de"))
+
+
+@query("""SELECT item_id, len(t) AS n_tokens, len(list_distinct(t)) AS n_distinct, t[1] AS first_token FROM (
+SELECT item_id, regexp_extract_all(text, '[A-Za-zªµºÀ-ÖØ-öø-ɏ]+') AS t FROM benchmark)""")
+def latin_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Latin tokens of a text."""
+    t = read(spark, d, "benchmark").select("item_id", T.latin_tokens(F.col("text")).alias("t"))
+    return t.select("item_id", whole(F.size("t")).alias("n_tokens"), whole(F.size(F.array_distinct("t"))).alias("n_distinct"), F.get("t", F.lit(0)).alias("first_token"))
+
+
+@query("""SELECT lang, count(*) AS n, count(*) FILTER (regexp_matches(text, '[A-Za-zªµºÀ-ÖØ-öø-ɏ]')) AS latin,
+count(*) FILTER (regexp_matches(text, '[\\x{0400}-\\x{04FF}]')) AS cyrillic, count(*) FILTER (regexp_matches(text, '[\\x{4E00}-\\x{9FFF}]')) AS han,
+count(*) FILTER (regexp_matches(text, '[äöüß]')) AS umlaut FROM documents GROUP BY lang""")
+def script_flags(spark: SparkSession, d: str) -> DataFrame:
+    """Texts with characters of each script."""
+    flags = {"latin": T.LATIN, "cyrillic": T.CYRILLIC, "han": "\\x{4E00}-\\x{9FFF}", "umlaut": "äöüß"}
+    return read(spark, d, "documents", "lang", "text").groupBy("lang").agg(F.count("*").alias("n"), *(F.count_if(T.has("text", c)).alias(n) for n, c in flags.items()))
+
+
+@query("""SELECT failure, count(*) AS n FROM (SELECT CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty' WHEN regexp_matches(text, '^\\s|\\s$') THEN 'edge-space'
+WHEN length(text) > 2000 THEN 'too-long' WHEN regexp_matches(text, '[\\x{0400}-\\x{04FF}]') THEN 'cyrillic'
+WHEN regexp_matches(text, '[āáǎàēéěèīíǐìōóǒòūúǔùǖǘǚǜ]') THEN 'tone-marks' WHEN contains(text, 'the') THEN 'latin' ELSE 'no-japanese' END AS failure FROM documents) GROUP BY failure""")
+def text_first_failure(spark: SparkSession, d: str) -> DataFrame:
+    """The first rule a text breaks."""
+    foreign = F.when(F.contains("text", F.lit("the")), F.array(F.lit("the"))).otherwise(F.array().cast("array<string>"))
+    failure = T.first_failure(F.col("text"), 2000, foreign)
+    return read(spark, d, "documents", "text").select(failure.alias("failure")).groupBy("failure").agg(F.count("*").alias("n"))
+
+
+@query("""WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(url), '[a-zªµºÀ-ÖØ-öø-ɏ]+')) AS token FROM pages), a AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-zªµºÀ-ÖØ-öø-ɏ]+')) AS token FROM benchmark)
+SELECT token, length(token) AS n_chars FROM w WHERE token NOT IN (SELECT token FROM a)""")
+def allowlist_anti(spark: SparkSession, d: str) -> DataFrame:
+    """Tokens that an allowlist does not have."""
+    tokens = lambda df, c: df.select(F.explode(T.latin_tokens(F.lower(c))).alias("token")).distinct()
+    found = tokens(read(spark, d, "pages", "url"), "url").join(tokens(read(spark, d, "benchmark"), "text"), "token", "left_anti")
+    return found.select("token", whole(F.length("token")).alias("n_chars"))
+
+
+@query("SELECT doc_id, lang FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)")
+def semi_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Rows with a match."""
+    return read(spark, d, "documents", "doc_id", "lang").join(read(spark, d, "labels").where("quality = 1"), "doc_id", "left_semi")
+
+
+@query("SELECT doc_id, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def anti_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Rows without a match."""
+    return read(spark, d, "documents", "doc_id", "lang").join(read(spark, d, "labels"), "doc_id", "left_anti")
+
+
+# --- joins -----------------------------------------------------------------------------
+
+
+@query("""WITH s AS (SELECT n_nationkey, unnest(list_distinct([n_name, lower(n_name), substr(n_name, 1, 3)])) AS spelling FROM nation),
+w AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN n_name WHEN 1 THEN lower(n_name) ELSE substr(n_name, 1, 3) END AS spelling FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT spelling, count(*) AS n_rows, count(DISTINCT n_nationkey) AS n_targets FROM w JOIN s USING (spelling) GROUP BY spelling""")
+def fanout_join(spark: SparkSession, d: str) -> DataFrame:
+    """Every row that any spelling reaches."""
+    nation = read(spark, d, "nation", "n_nationkey", "n_name")
+    short = F.substring("n_name", 1, 3)
+    index = M.spelling_index(nation, [F.col("n_name"), F.lower("n_name"), short]).select("n_nationkey", "spelling")
+    words = read(spark, d, "customer", "c_custkey", "c_nationkey").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    words = words.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("n_name")).when(F.col("c_custkey") % 3 == 1, F.lower("n_name")).otherwise(short).alias("spelling"))
+    return words.join(index, "spelling").groupBy("spelling").agg(F.count("*").alias("n_rows"), F.count_distinct("n_nationkey").alias("n_targets"))
+
+
+@query("""SELECT o_custkey, arg_max(o_orderpriority, o_orderkey) FILTER (o_orderkey % 3 <> 0) AS priority, arg_max(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY o_custkey""")
+def last_nonnull_wins(spark: SparkSession, d: str) -> DataFrame:
+    """Each column's last known value of a key."""
+    known = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority"))
+    rows = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus").select("o_custkey", "o_orderkey", known.alias("priority"), F.col("o_orderstatus").alias("status"))
+    return O.last_value_per_key(rows, ["o_custkey"], ["priority", "status"], "o_orderkey")
+
+
+@query("""WITH p AS (SELECT p_partkey, p_brand, p_size FROM part), ref AS (SELECT DISTINCT p_brand AS brand, p_size AS size FROM part WHERE p_partkey % 7 = 0),
+t1 AS (SELECT p_partkey, count(*) AS n FROM p JOIN ref ON p_brand = brand AND p_size = size GROUP BY 1),
+t2 AS (SELECT p_partkey, count(*) AS n FROM p JOIN ref ON regexp_replace(p_brand, '[0-9]$', '') = regexp_replace(brand, '[0-9]$', '') AND p_size = size WHERE p_partkey NOT IN (SELECT p_partkey FROM t1) GROUP BY 1)
+SELECT tier, count(*) AS n_parts, CAST(sum(n) AS BIGINT) AS n_targets FROM (SELECT p_partkey, 1 AS tier, n FROM t1 UNION ALL SELECT p_partkey, 2, n FROM t2
+UNION ALL SELECT p_partkey, 0, 0 FROM p WHERE p_partkey NOT IN (SELECT p_partkey FROM t1) AND p_partkey NOT IN (SELECT p_partkey FROM t2)) GROUP BY tier""")
+def priority_fallback_match(spark: SparkSession, d: str) -> DataFrame:
+    """Exact matches, else looser ones, else the supplement."""
+    part = read(spark, d, "part", "p_partkey", "p_brand", "p_size")
+    ref = part.where("p_partkey % 7 = 0").select(F.col("p_brand").alias("brand"), F.col("p_size").alias("size")).distinct()
+    loose = lambda c: F.regexp_replace(c, "[0-9]$", "")
+    exact = ([F.col("p_brand"), F.col("p_size")], [F.col("brand"), F.col("size")])
+    looser = ([loose("p_brand"), F.col("p_size")], [loose("brand"), F.col("size")])
+    found = M.tiered_match(part, ref, "p_partkey", [exact, looser])
+    per_part = found.groupBy("p_partkey", "tier").agg(F.count("*").alias("n"))
+    rest = M.unmatched(part, found, "p_partkey").select("p_partkey", F.lit(0).alias("tier"), F.lit(0).cast("bigint").alias("n"))
+    return per_part.unionByName(rest).groupBy("tier").agg(F.count("*").alias("n_parts"), F.sum("n").alias("n_targets"))
+
+
+@query("""WITH f AS (SELECT o_custkey, o_orderpriority, min(o_orderkey) AS k FROM orders GROUP BY 1, 2)
+SELECT o_custkey, string_agg(o_orderpriority, '、' ORDER BY k) AS priorities FROM f GROUP BY o_custkey""")
+def seed_union_ordered(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct values in the order they first appear."""
+    rows = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderpriority").withColumn("p", F.array("o_orderpriority"))
+    return M.ordered_union(rows, ["o_custkey"], "p", "o_orderkey", "all").select("o_custkey", F.array_join("all", "、").alias("priorities"))
+
+
+@query("""SELECT c_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_order, arg_min(o_orderstatus, (o_orderdate, o_orderkey)) AS first_status
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""")
+def first_match_norm(spark: SparkSession, d: str) -> DataFrame:
+    """The first matching row's values."""
+    orders = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate").withColumnRenamed("o_custkey", "c_custkey").withColumn("at", F.struct("o_orderdate", "o_orderkey"))
+    found = M.first_match(read(spark, d, "customer", "c_custkey"), orders, "c_custkey", "at", ["o_orderkey", "o_orderstatus"])
+    return found.select("c_custkey", F.col("o_orderkey").alias("first_order"), F.col("o_orderstatus").alias("first_status"))
+
+
+OVERRIDES = [(0, "Overridden zero"), (7, "Overridden seven"), (99, "Stale ninety-nine"), (120, "Stale one-twenty")]
+OVERRIDES_SQL = ", ".join(f"({k}, '{v}')" for k, v in OVERRIDES)
+
+
+def overrides(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(OVERRIDES, "n_nationkey int, n_name string")
+
+
+@query(f"SELECT n_nationkey, coalesce(o.name, n_name) AS n_name, n_regionkey FROM nation LEFT JOIN (VALUES {OVERRIDES_SQL}) o(k, name) ON k = n_nationkey")
+def coalesce_override(spark: SparkSession, d: str) -> DataFrame:
+    """Values replaced where an override has one."""
+    return M.overridden(read(spark, d, "nation"), overrides(spark), ["n_nationkey"], ["n_name"])
+
+
+@query(f"SELECT CAST(k AS INTEGER) AS n_nationkey, name AS n_name FROM (VALUES {OVERRIDES_SQL}) o(k, name) WHERE k NOT IN (SELECT n_nationkey FROM nation)")
+def stale_override_anti(spark: SparkSession, d: str) -> DataFrame:
+    """Overrides that no row has."""
+    return M.stale(overrides(spark), read(spark, d, "nation", "n_nationkey"), ["n_nationkey"])
+
+
+@query("""WITH t AS (SELECT l_suppkey, count(*) FILTER (l_quantity >= 40) AS n FROM lineitem WHERE l_suppkey % 5 <> 0 GROUP BY 1)
+SELECT CASE WHEN n IS NULL THEN 'none' WHEN n > 240 THEN 'full' ELSE 'headword' END AS verdict, count(*) AS n_suppliers FROM supplier LEFT JOIN t ON l_suppkey = s_suppkey GROUP BY 1""")
+def crosscheck_verdict(spark: SparkSession, d: str) -> DataFrame:
+    """How far an external count confirms a row."""
+    counts = read(spark, d, "lineitem", "l_suppkey", "l_quantity").where("l_suppkey % 5 <> 0").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.count_if(F.col("l_quantity") >= 40).alias("n"))
+    joined = read(spark, d, "supplier", "s_suppkey").join(counts, "s_suppkey", "left")
+    return joined.select(M.verdict(F.greatest(F.col("n") - 240, F.when(F.col("n").isNotNull(), 0))).alias("verdict")).groupBy("verdict").agg(F.count("*").alias("n_suppliers"))
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS n FROM lineitem),
+r AS (SELECT o_orderkey, CAST(o_orderkey % 5 + 1 AS BIGINT) AS pick, CAST(o_orderkey % 50 + 1 AS DOUBLE) AS expected FROM orders WHERE o_orderkey % 4 = 0)
+SELECT CASE WHEN c.n_lines IS NULL THEN 'no row' WHEN pick > c.n_lines THEN 'no such sense' WHEN l_quantity <> expected THEN 'another text' ELSE 'applied' END AS outcome, count(*) AS n
+FROM r LEFT JOIN (SELECT l_orderkey, max(n) AS n_lines FROM l GROUP BY 1) c ON c.l_orderkey = o_orderkey LEFT JOIN l ON l.l_orderkey = o_orderkey AND l.n = pick GROUP BY 1""")
+def patch_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """Patches that must hit an element by index and agree with it."""
+    lines = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    rows = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))), lambda x: x["l_quantity"]).alias("senses"))
+    records = read(spark, d, "orders", "o_orderkey").where("o_orderkey % 4 = 0").select("o_orderkey", (F.col("o_orderkey") % 5 + 1).cast("int").alias("pick"), (F.col("o_orderkey") % 50 + 1).cast("double").alias("expected"))
+    found = F.get("senses", F.col("pick") - 1)
+    outcome = F.when(F.col("senses").isNull(), "no row").when(F.col("pick") > F.size("senses"), "no such sense").when(found != F.col("expected"), "another text").otherwise("applied")
+    return records.join(rows, "o_orderkey", "left").groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH h AS (SELECT user_id, event_type, min(event_id) AS k FROM events WHERE event_id % 2 = 0 GROUP BY 1, 2), a AS (SELECT user_id, event_type, min(event_id) AS k FROM events WHERE event_id % 2 = 1 GROUP BY 1, 2),
+u AS (SELECT user_id, event_type, 0 AS s, k FROM h UNION ALL SELECT a.user_id, a.event_type, 1, a.k FROM a LEFT JOIN h ON h.user_id = a.user_id AND h.event_type = a.event_type WHERE h.user_id IS NULL)
+SELECT user_id, string_agg(event_type, ',' ORDER BY s, k) AS pos, count(*) FILTER (s = 1) AS n_added FROM u GROUP BY user_id""")
+def pos_additive(spark: SparkSession, d: str) -> DataFrame:
+    """Elements appended where they are missing; a second time changes nothing."""
+    events = read(spark, d, "events", "event_id", "user_id", "event_type").withColumn("t", F.array("event_type"))
+    have = M.ordered_union(events.where("event_id % 2 = 0"), ["user_id"], "t", "event_id", "have")
+    add = M.ordered_union(events.where("event_id % 2 = 1"), ["user_id"], "t", "event_id", "add")
+    none = F.array().cast("array<string>")
+    joined = have.join(add, "user_id", "full_outer").select("user_id", F.coalesce("have", none).alias("have"), F.coalesce("add", none).alias("add"))
+    once = joined.withColumn("pos", M.append_missing(M.append_missing(F.col("have"), F.col("add")), F.col("add")))
+    return once.select("user_id", F.array_join("pos", ",").alias("pos"), whole(F.size("pos") - F.size("have")).alias("n_added"))
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def coverage_missing(spark: SparkSession, d: str) -> DataFrame:
+    """Keys that another source does not cover."""
+    return M.stale(read(spark, d, "customer", "c_custkey", "c_mktsegment"), read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+
+
+@query("""SELECT c_custkey AS key, CASE WHEN c_custkey % 10 = 0 THEN 'BUILDING' END AS expected, c_mktsegment AS actual FROM customer WHERE c_custkey % 10 = 0 AND c_mktsegment <> 'BUILDING'""")
+def value_mismatch(spark: SparkSession, d: str) -> DataFrame:
+    """Values that are not what is expected; null expects nothing."""
+    rows = read(spark, d, "customer", "c_custkey", "c_mktsegment").select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("segment"))
+    wanted = rows.select("key", F.when(F.col("key") % 10 == 0, "BUILDING").alias("segment"))
+    return M.value_mismatch(wanted, rows, "key", "segment")
+
+
+@query("""WITH a AS (SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS ordinal, o_orderkey AS k FROM orders), b AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS ordinal, o_orderkey AS k FROM orders WHERE o_orderkey % 50 <> 0)
+SELECT coalesce(a.ordinal, b.ordinal) AS ordinal, a.k AS left_key, b.k AS right_key FROM a FULL JOIN b ON a.ordinal = b.ordinal WHERE a.k IS DISTINCT FROM b.k""")
+def positional_full_outer(spark: SparkSession, d: str) -> DataFrame:
+    """Where two ordered streams differ, or one has ended."""
+    orders = read(spark, d, "orders", "o_orderkey", "o_orderdate")
+    a, b = O.global_ordinal(orders, "o_orderdate", "o_orderkey"), O.global_ordinal(orders.where("o_orderkey % 50 <> 0"), "o_orderkey")
+    return M.positional_difference(a, b, "ordinal", ["o_orderkey"]).select("ordinal", F.col("l.o_orderkey").alias("left_key"), F.col("r.o_orderkey").alias("right_key"))
+
+
+@query("""WITH s(id, kind, value) AS (VALUES (0, 'a', 'zero'), (1, 'a', 'one'), (2, 'b', 'two'), (3, 'a', 'three'))
+SELECT coalesce(CASE WHEN s.kind = 'a' THEN s.value WHEN s.kind IS NOT NULL THEN 'wrong kind' END, 'missing') AS value, count(*) AS n FROM events LEFT JOIN s ON s.id = events.event_id % 6 GROUP BY 1""")
+def shared_deref(spark: SparkSession, d: str) -> DataFrame:
+    """Values replaced by what their ids stand for, kinds checked."""
+    shared = spark.createDataFrame([(0, "a", "zero"), (1, "a", "one"), (2, "b", "two"), (3, "a", "three")], "id bigint, kind string, value string")
+    found = read(spark, d, "events", "event_id").select((F.col("event_id") % 6).alias("id")).join(F.broadcast(shared), "id", "left")
+    value = F.when(F.col("kind") == "a", F.col("value")).when(F.col("kind").isNotNull(), "wrong kind").otherwise("missing")
+    return found.groupBy(value.alias("value")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate) AS r FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')) WHERE r = 1 AND l_linenumber <= 2""")
+def accept_requested(spark: SparkSession, d: str) -> DataFrame:
+    """Requested answers, of repeated ones the first."""
+    wanted = read(spark, d, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("l_orderkey"), F.explode(F.array(F.lit(1), F.lit(2))).alias("l_linenumber"))
+    lines = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    return M.accepted(lines, wanted, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_shipdate"]).drop("l_shipdate")
+
+
+@query("SELECT user_id FROM events GROUP BY user_id HAVING count(DISTINCT event_type) = (SELECT count(DISTINCT event_type) FROM events)")
+def relational_division(spark: SparkSession, d: str) -> DataFrame:
+    """Keys that have every item."""
+    events = read(spark, d, "events", "user_id", "event_type")
+    return M.divided(events, "user_id", "event_type", events.select("event_type").distinct())
+
+
+# --- order, windows, chunks ---------------------------------------------------------------
+
+
+@query("""WITH r AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) AS rank FROM supplier WHERE s_nationkey % 2 = 0)
+SELECT s_suppkey, row_number() OVER (ORDER BY r.rank IS NULL, r.rank, s_suppkey) AS position FROM supplier LEFT JOIN r USING (s_suppkey)""")
+def ranked_first_order(spark: SparkSession, d: str) -> DataFrame:
+    """Ranked rows first, then the others."""
+    supplier = read(spark, d, "supplier", "s_suppkey", "s_acctbal", "s_nationkey")
+    ranks = O.global_ordinal(supplier.where("s_nationkey % 2 = 0"), F.desc("s_acctbal"), "s_suppkey", name="rank").select("s_suppkey", "rank")
+    return O.ranked_first(supplier.select("s_suppkey"), ranks, "s_suppkey", "s_suppkey").select("s_suppkey", "position")
+
+
+@query("""WITH n AS (SELECT l_orderkey, l_returnflag, l_linestatus, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS p FROM lineitem),
+f AS (SELECT l_orderkey, l_returnflag, l_linestatus, l_suppkey, min(p) AS p FROM n GROUP BY ALL), g AS (SELECT l_orderkey, l_returnflag, l_linestatus, string_agg(CAST(l_suppkey AS VARCHAR), ',' ORDER BY p) AS supps FROM f GROUP BY ALL)
+SELECT g.l_orderkey, g.l_returnflag, g.l_linestatus, min(n.p) AS place, count(*) AS merged, any_value(supps) AS supps FROM g JOIN n ON n.l_orderkey = g.l_orderkey AND n.l_returnflag = g.l_returnflag AND n.l_linestatus = g.l_linestatus GROUP BY ALL""")
+def collapse_equal(spark: SparkSession, d: str) -> DataFrame:
+    """Equal rows become one, with what the later ones add."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    rows = read(spark, d, "lineitem", "l_orderkey", "l_returnflag", "l_linestatus", "l_linenumber", "l_partkey", "l_suppkey")
+    rows = rows.select("l_orderkey", "l_returnflag", "l_linestatus", whole(F.row_number().over(w)).alias("p"), F.array(F.col("l_suppkey").cast("string")).alias("s"))
+    done = M.collapse_equal(rows, ["l_orderkey"], ["l_returnflag", "l_linestatus"], "p", "s", "supps")
+    return done.withColumn("supps", F.array_join("supps", ","))
+
+
+@query("""WITH c AS (SELECT o_orderkey, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1)
+SELECT CASE WHEN n = 0 THEN 'none' WHEN n = 1 THEN 'one' WHEN n <= 4 THEN 'few' ELSE 'many' END AS class, n AS n_lines, count(*) AS n_orders FROM c GROUP BY ALL""")
+def counts_partition(spark: SparkSession, d: str) -> DataFrame:
+    """Exclusive classes and a histogram."""
+    lines = read(spark, d, "lineitem", "l_orderkey").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
+    n = F.coalesce("n", F.lit(0).cast("bigint"))
+    kind = F.when(n == 0, "none").when(n == 1, "one").when(n <= 4, "few").otherwise("many")
+    return read(spark, d, "orders", "o_orderkey").join(lines, "o_orderkey", "left").groupBy(kind.alias("class"), n.alias("n_lines")).agg(F.count("*").alias("n_orders"))
+
+
+@query("""WITH t AS (SELECT event_id, user_id, event_type, min(event_id) OVER (PARTITION BY user_id, event_type) AS first_line FROM events)
+SELECT event_id, user_id, event_type, first_line FROM t WHERE event_id <> first_line""")
+def group_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Repeated keys with the place of the first."""
+    return O.repeats_with_first(read(spark, d, "events", "event_id", "user_id", "event_type"), ["user_id", "event_type"], "event_id")
+
+
+@query("""WITH r AS (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS k FROM events)
+SELECT event_type AS label, count(*) AS n, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY k) FILTER (k <= 3) AS examples FROM r GROUP BY event_type""")
+def rollup_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Kinds with counts and three examples each."""
+    return M.examples(read(spark, d, "events", "event_type", "event_id").withColumnRenamed("event_type", "label"), "label", "event_id")
+
+
+@query("""SELECT l_partkey, max(q) AS most FROM (SELECT l_partkey, l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS q FROM lineitem GROUP BY ALL) GROUP BY l_partkey""")
+def max_sum_by_title(spark: SparkSession, d: str) -> DataFrame:
+    """The greatest sum of a group's groups."""
+    sums = read(spark, d, "lineitem", "l_partkey", "l_orderkey", "l_quantity").groupBy("l_partkey", "l_orderkey").agg(F.sum(whole(F.col("l_quantity"))).alias("q"))
+    return sums.groupBy("l_partkey").agg(F.max("q").alias("most"))
+
+
+@query("""WITH RECURSIVE l AS (SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS q, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS p FROM lineitem),
+c AS (SELECT l_orderkey, p, q AS held, 1 AS rows, 0 AS chunk, q FROM l WHERE p = 1
+UNION ALL SELECT l.l_orderkey, l.p, CASE WHEN c.held + l.q > 60 OR c.rows >= 3 THEN l.q ELSE c.held + l.q END, CASE WHEN c.held + l.q > 60 OR c.rows >= 3 THEN 1 ELSE c.rows + 1 END,
+c.chunk + CASE WHEN c.held + l.q > 60 OR c.rows >= 3 THEN 1 ELSE 0 END, l.q FROM c JOIN l ON l.l_orderkey = c.l_orderkey AND l.p = c.p + 1)
+SELECT l_orderkey, CAST(chunk AS INTEGER) AS chunk, count(*) AS n, CAST(sum(q) AS BIGINT) AS total FROM c GROUP BY l_orderkey, chunk""")
+def budget_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks within a budget and a row limit."""
+    lines = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    done = O.budget_chunks(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"], "l_quantity", 60, 3)
+    return done.groupBy("l_orderkey", "chunk").agg(F.count("*").alias("n"), F.sum(whole(F.col("l_quantity"))).alias("total"))
+
+
+@query("""SELECT CAST((n - 1) // 500 AS BIGINT) AS batch, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) GROUP BY 1""")
+def fixed_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Batches of a fixed size."""
+    done = O.fixed_batches(read(spark, d, "orders", "o_orderkey"), 500, "o_orderkey")
+    return done.groupBy("batch").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+
+
+@query("""SELECT (n - 1) % 8 AS shard, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders) GROUP BY 1""")
+def modulo_shard(spark: SparkSession, d: str) -> DataFrame:
+    """Rows dealt to shards in turn."""
+    done = O.modulo_shard(read(spark, d, "orders", "o_orderkey", "o_orderdate"), 8, "o_orderdate", "o_orderkey")
+    return done.groupBy("shard").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@query("""WITH n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS ordinal FROM orders), s AS (SELECT DISTINCT CAST(round_even(i * ((SELECT count(*) - 1 FROM n) / 96.0), 0) AS BIGINT) + 1 AS ordinal FROM range(97) t(i))
+SELECT o_orderkey, ordinal FROM n JOIN s USING (ordinal)""")
+def even_sample(spark: SparkSession, d: str) -> DataFrame:
+    """An even sample with both ends."""
+    return O.even_sample(read(spark, d, "orders", "o_orderkey"), 97, "o_orderkey").select("o_orderkey", "ordinal")
+
+
+@query("""WITH n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS ordinal FROM orders), s AS (SELECT DISTINCT CAST(round_even(i * ((SELECT count(*) - 41 FROM n) / 59.0), 0) AS BIGINT) + 41 AS ordinal FROM range(60) t(i))
+SELECT o_orderkey, ordinal, 'head' AS part FROM n WHERE ordinal <= 40 UNION ALL SELECT o_orderkey, ordinal, 'sample' FROM n JOIN s USING (ordinal)""")
+def pilot_plan(spark: SparkSession, d: str) -> DataFrame:
+    """The head and an even sample of the rest."""
+    return O.pilot_plan(read(spark, d, "orders", "o_orderkey", "o_orderdate"), 100, 40, "o_orderdate", "o_orderkey").select("o_orderkey", "ordinal", "part")
+
+
+@query("""WITH e AS (SELECT event_id, user_id, epoch(ts)::BIGINT AS s, CAST(round(value * 100) AS BIGINT) AS v FROM events),
+m AS (SELECT *, max(s) OVER (PARTITION BY user_id, s) AS x FROM e), o AS (SELECT a.event_id, a.user_id, a.v, (SELECT arg_max(b.v, (b.s, b.v, b.event_id)) FROM e b WHERE b.user_id = a.user_id AND b.s <= a.s - 3600) AS old FROM e a)
+SELECT event_id, user_id, coalesce(v <= old, false) AS stalled FROM o""")
+def stall_detect(spark: SparkSession, d: str) -> DataFrame:
+    """No growth against the newest sample of an hour ago or more."""
+    events = read(spark, d, "events", "event_id", "user_id", "ts", "value").withColumn("v", cents("value"))
+    seconds = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
+    newest = Window.partitionBy("user_id").orderBy("s").rangeBetween(Window.unboundedPreceding, -3600)
+    rows = events.withColumn("s", seconds).withColumn("old", F.max(F.struct("s", "v", "event_id")).over(newest)["v"])
+    return rows.select("event_id", "user_id", F.coalesce(F.col("v") <= F.col("old"), F.lit(False)).alias("stalled"))
+
+
+@query("""WITH c AS (SELECT event_id, user_id, CAST(coalesce(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS spent_before FROM events)
+SELECT event_id, user_id, spent_before FROM c WHERE spent_before < 20000""")
+def token_budget(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that start within a budget."""
+    events = read(spark, d, "events", "event_id", "user_id", "value").withColumn("cost", cents("value"))
+    return O.token_budget(events, ["user_id"], ["event_id"], "cost", 20000).select("event_id", "user_id", "spent_before")
+
+
+@query("""WITH f AS (SELECT l_partkey, count(*) AS freq FROM lineitem GROUP BY 1), p AS (SELECT (CASE WHEN p_size % 2 = 0 THEN 'c' ELSE 'x' END) || p_partkey AS id, p_size % 5 = 0 AS has_level, coalesce(freq, 0) AS freq FROM part LEFT JOIN f ON l_partkey = p_partkey)
+SELECT id, row_number() OVER (ORDER BY has_level DESC, freq DESC, id) AS position FROM p""")
+def gen_order(spark: SparkSession, d: str) -> DataFrame:
+    """Levels first, then by frequency, then by id as text."""
+    parts = part_ids(spark, d)
+    freq = read(spark, d, "lineitem", "l_partkey").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("freq"))
+    joined = parts.join(freq, "p_partkey", "left")
+    return O.global_ordinal(joined, *O.generation_order(F.col("p_size") % 5 == 0, F.col("freq"), "id"), name="position").select("id", "position")
+
+
+def part_ids(spark: SparkSession, d: str) -> DataFrame:
+    letter = F.when(F.col("p_size") % 2 == 0, "c").otherwise("x")
+    return read(spark, d, "part", "p_partkey", "p_size").withColumn("id", F.concat(letter, F.col("p_partkey")))
+
+
+@query("""WITH p AS (SELECT (CASE WHEN p_size % 2 = 0 THEN 'c' ELSE 'x' END) || p_partkey AS id FROM part)
+SELECT id, row_number() OVER (ORDER BY substr(id, 1, 1), CAST(substr(id, 2) AS BIGINT), id) AS position FROM p""")
+def natural_id_order(spark: SparkSession, d: str) -> DataFrame:
+    """Ids by letter and number."""
+    return O.global_ordinal(part_ids(spark, d), *O.natural_id_order("id"), name="position").select("id", "position")
+
+
+@query("SELECT o_orderkey, ordinal FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS ordinal FROM orders) WHERE ordinal <= 250")
+def limit_by_ordinal(spark: SparkSession, d: str) -> DataFrame:
+    """A limit by place, the same each time."""
+    return O.global_ordinal(read(spark, d, "orders", "o_orderkey", "o_totalprice"), F.desc("o_totalprice"), "o_orderkey").where("ordinal <= 250").select("o_orderkey", "ordinal")
+
+
+# --- sets and aggregates --------------------------------------------------------------------
+
+
+@query("""SELECT src, key, nation FROM (SELECT 'skeleton' AS src, c_custkey AS key, c_nationkey AS nation FROM customer UNION ALL SELECT 'supplement', s_suppkey, s_nationkey FROM supplier) WHERE nation < 12""")
+def union_supplement(spark: SparkSession, d: str) -> DataFrame:
+    """One source after another."""
+    a = read(spark, d, "customer").select(F.lit("skeleton").alias("src"), F.col("c_custkey").alias("key"), F.col("c_nationkey").alias("nation"))
+    b = read(spark, d, "supplier").select(F.lit("supplement").alias("src"), F.col("s_suppkey").alias("key"), F.col("s_nationkey").alias("nation"))
+    return a.unionByName(b).where("nation < 12")
+
+
+@query("""SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_quantity > 45 AND l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 30)""")
+def set_diff(spark: SparkSession, d: str) -> DataFrame:
+    """A difference of sets."""
+    lines = read(spark, d, "lineitem", "l_partkey", "l_quantity", "l_returnflag").withColumnRenamed("l_partkey", "key")
+    return M.stale(lines.where("l_quantity > 45").select("key").distinct(), lines.where("l_returnflag = 'R' AND l_quantity > 30"), ["key"])
+
+
+@query("""SELECT coalesce(a.k, b.k) AS nation, a.k IS NOT NULL AS of_customers, b.k IS NOT NULL AS of_suppliers FROM (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal > 9900) a
+FULL JOIN (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_acctbal > 5000) b ON a.k = b.k""")
+def intersect_keys(spark: SparkSession, d: str) -> DataFrame:
+    """What is in both sets, or in one only."""
+    a = read(spark, d, "customer").where("c_acctbal > 9900").select(F.col("c_nationkey").alias("nation"), F.lit(True).alias("a")).distinct()
+    b = read(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("nation"), F.lit(True).alias("b")).distinct()
+    return a.join(b, "nation", "full_outer").select("nation", F.col("a").isNotNull().alias("of_customers"), F.col("b").isNotNull().alias("of_suppliers"))
+
+
+@query("""SELECT event_type, count(*) AS n_calls, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS spent, CAST(floor(avg(CAST(round(value * 100) AS BIGINT))) AS BIGINT) AS per_call,
+CAST(sum(coalesce(CAST(json_extract_string(props, '$.k') AS BIGINT), 0)) AS BIGINT) AS k_sum FROM events GROUP BY event_type""")
+def usage_sum(spark: SparkSession, d: str) -> DataFrame:
+    """Sums of counters and averages for each call."""
+    events = read(spark, d, "events", "event_type", "value", "props").withColumn("c", cents("value"))
+    k = F.coalesce(F.get_json_object("props", "$.k").try_cast("bigint"), F.lit(0))
+    return events.groupBy("event_type").agg(F.count("*").alias("n_calls"), F.sum("c").alias("spent"), F.floor(F.avg("c")).alias("per_call"), F.sum(k).alias("k_sum"))
+
+
+@query("""WITH t AS (SELECT user_id, count(*) AS done, CAST(max(epoch(ts)::BIGINT) - min(epoch(ts)::BIGINT) AS BIGINT) AS seconds FROM events GROUP BY 1)
+SELECT user_id, done, CAST(floor(100.0 * done / 500) AS BIGINT) AS percent, CASE WHEN seconds > 0 THEN CAST(floor(done * 3600000.0 / seconds) AS BIGINT) ELSE 0 END AS per_thousand_hours FROM t""")
+def progress_rate(spark: SparkSession, d: str) -> DataFrame:
+    """Percent done and rate."""
+    s = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
+    t = read(spark, d, "events", "user_id", "ts").groupBy("user_id").agg(F.count("*").alias("done"), (F.max(s) - F.min(s)).alias("seconds"))
+    p = O.progress(F.col("done"), F.lit(500), F.col("seconds"))
+    return t.select("user_id", "done", F.floor(p["percent"]).alias("percent"), F.when(F.col("seconds") > 0, F.floor(F.col("done") * F.lit(3600000.0) / F.col("seconds"))).otherwise(0).alias("per_thousand_hours"))
