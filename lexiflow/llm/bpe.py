@@ -202,9 +202,9 @@ class PieceCache:
 
     def prepare(self, pieces: set[str], learn: Callable[[list[str]], Iterable]) -> Callable[[str], object]:
         """A lookup that knows all of `pieces`; `learn` gives the values of new ones."""
+        if len(self.young) > self.size // 2:
+            self.old, self.young = self.young, {}
         young = self.young
-        if len(young) > self.size // 2:
-            self.old, young = young, {}
         new = pieces.difference(young)
         for p in new & self.old.keys() if self.old else ():
             young[p] = self.old[p]

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import os
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -30,12 +31,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiflow.llm.bpe import NOT_LATIN, PieceCache
 from lexiflow.llm.common import slices, text_of
 
 #: A block ends once it holds so many tokens.
 BLOCK_TOKENS = 4_000_000
 UNITS_IN_WINDOW = 64
-CACHE_WORDS = 400_000
+CACHE_WORDS, LONGEST_CACHED = 600_000, 64
+#: Marks that are a word of their own after a letter.
+MARKS = ".,;:!?"
 #: Ids of a partition's sequences start at its number times this.
 SEQUENCES_OF_A_PARTITION = 1 << 36
 
@@ -153,7 +157,8 @@ def pack_block(lengths: np.ndarray, window: int) -> list[list[tuple[int, int, in
 
 class WordIds:
     """Token ids of texts, as little-endian bytes, by the tokenizers library. A text's
-    ids are those of its parts between spaces, so each part is encoded once."""
+    ids are those of its parts between spaces, so each part is encoded once; parts
+    that differ in case or in a mark at their end share the ids of their letters."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -162,17 +167,29 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
+        self.known = PieceCache(CACHE_WORDS, LONGEST_CACHED)
+        self.marks = dict(zip(MARKS, self._encode(list(MARKS))))
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        stems = []
+        for w in words:
+            marked = w[-1:] in self.marks and w[-2:-1].isalpha()
+            stem = w[:-1] if marked else w
+            plain = stem.isalpha() and not NOT_LATIN.search(stem) and "İ" not in stem
+            stems.append((stem.lower() if plain else stem, w[-1] if marked else ""))
+        seen = self.known.young
+        new = list({stem for stem, _ in stems}.difference(seen))
+        ids = dict(zip(new, self._encode(new)))
+        found = [(ids[stem] if stem in ids else seen[stem]) + self.marks.get(mark, b"") for stem, mark in stems]
+        seen.update(ids)
+        return found
 
     def encode(self, texts: list[str]) -> Iterable[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set(chain.from_iterable(split))
-        if len(self.known) > CACHE_WORDS:
-            self.known = {w: self.known[w] for w in words & self.known.keys()}
-        new = list(words.difference(self.known))
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
-        ids = self.known.__getitem__
+        ids = self.known.prepare(set(chain.from_iterable(split)), self._learn)
         for parts in split:
             yield b"".join(map(ids, parts))
 
