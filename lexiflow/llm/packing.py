@@ -176,7 +176,7 @@ class WordIds:
     def _learn(self, words: list[str]) -> list[bytes]:
         stems = []
         for w in words:
-            marked = w[-1:] in self.marks and w[-2:-1].isalpha()
+            marked = w[-1:] in self.marks and w[-2:-1].isalpha() and w[-2] < "\u0250" and w[-2] != "İ"
             stem = w[:-1] if marked else w
             plain = stem.isalpha() and not NOT_LATIN.search(stem) and "İ" not in stem
             stems.append((stem.lower() if plain else stem, w[-1] if marked else ""))
