@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
 # The combining marks of tones 1 to 4 (tone 5 has none).
 TONE_MARKS = "̄́̌̀"
@@ -112,12 +113,12 @@ def starts_with_sandhi(numbered: str) -> bool:
     return bool(parts) and re.sub(r"[1-5]", "", key(parts[0])) in ("yi", "bu")
 
 
-def column(rule: Callable[[str], object], returns: str = "string") -> Callable:
+def column(rule: Callable[[str], object], returns: DataType = StringType()) -> Callable:
     """A rule as a function of columns; each distinct value of a batch is computed once."""
 
     @F.pandas_udf(returns)
     def apply(values: pd.Series) -> pd.Series:
-        known = {v: rule(v) for v in values.dropna().unique()}
-        return values.map(known)
+        known = {v: None if v is None else rule(v) for v in set(values.astype(object).where(values.notna(), None))}
+        return pd.Series([known.get(v) for v in values], index=values.index, dtype=object)
 
     return apply

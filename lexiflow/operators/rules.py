@@ -1 +1,201 @@
-"""Validation rules that give violations as rows."""
+"""Validation rules: violations as rows (path, line, word, kind, detail).
+
+Row rules are columns over typed rows, group rules are windows; all of them give
+the same five columns, so they are unioned, counted and reported together.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from lexiflow.functions import text as T
+from lexiflow.schemas import DICTIONARY_NAME
+
+# The closed sets of the native format.
+QA = ("machine_backed", "llm_ok", "llm_fixed", "human_reviewed", "unchecked", "derived", "hand_fixed")
+SEED = QA[:5]
+MOE = ("full", "headword", "none")
+MISC = tuple("coll written fig dial tw hk cantonese loan slang net idiom proverb old arch onom bound derog honor polite humble vulgar euph joc neo formal".split())
+POS = tuple("Mg Rg a ad an b c cc d e f g h k l m mq n nr ns nt nz o p q qt qv r s t tg u v vn y z".split())
+VARIANT_KINDS, XREF_KINDS = ("variant", "old", "erhua"), ("see", "see_also", "abbr", "used_in")
+ENTRY_REQUIRED, SENSE_REQUIRED = ("word", "pinyin", "senses"), ("ja", "qa")
+ENTRY_OPTIONAL = ("trad", "tw_pr", "also_pr", "cl", "hsk2", "hsk3", "pos", "src", "seed", "moe", "primary", "default")
+SENSE_OPTIONAL = ("en", "unsure", "misc", "variant_of", "see_also", "lsource", "s_inf")
+RETIRED = ("hsk", "gloss", "reading_pos", "alt_pinyin")
+LIMITS = {"short": 24, "reused": 80, "derived": 200}
+LEVELS = {"hsk2": (1, 6), "hsk3": (1, 7)}
+# What a reading may hold.
+READING_LETTERS = "a-zA-ZāáǎàēéěèīíǐìōóǒòūúǔùǖǘǚǜüêḿńňǹĀÁǍÀĒÉĚÈĪÍǏÌŌÓǑÒŪÚǓÙǕǗǙǛÜÊŃŇǸ\\x{0300}\\x{0301}\\x{0304}\\x{030C}"
+READING_SIGNS = " '.,()（）／，…·βθ0-9\\-"
+READING_NUMBERS = ("F1",)
+
+
+def violation(path: str, line: Column, word: Column, kind: Column, detail: Column) -> list[Column]:
+    return [F.lit(path).alias("path"), line.cast("bigint").alias("line"), word.cast("string").alias("word"), kind.alias("kind"), detail.cast("string").alias("detail")]
+
+
+def when(condition: Column, kind: str, detail: Column | str) -> Column:
+    """One rule: a (kind, detail) where the condition holds, else null."""
+    return F.when(condition, F.struct(F.lit(kind).alias("kind"), (F.lit(detail) if isinstance(detail, str) else detail).cast("string").alias("detail")))
+
+
+def explode_rules(df: DataFrame, path: str, line: str, word: str, rules: list[Column], lists: list[Column] = ()) -> DataFrame:
+    """A row for each rule a row breaks; `lists` are arrays of (kind, detail)."""
+    found = F.array_compact(F.array(*rules)) if rules else F.array().cast("array<struct<kind: string, detail: string>>")
+    for more in lists:
+        found = F.concat(found, F.coalesce(more, F.array().cast("array<struct<kind: string, detail: string>>")))
+    return df.select(F.col(line).alias("__l"), F.col(word).alias("__w"), F.explode(found).alias("v")).select(*violation(path, F.col("__l"), F.col("__w"), F.col("v.kind"), F.col("v.detail")))
+
+
+def text_rules(field: str, value: Column) -> list[Column]:
+    return [when(value == "", "empty-string", field), when((value != "") & T.has_edge_space(value), "whitespace", field), when(T.has(value, T.CYRILLIC), "cyrillic", field)]
+
+
+def reading_rules(field: str) -> list[Column]:
+    """What a reading may not be: empty, with space at its ends, with other characters,
+    with digits inside letters (but for known ones), or with a colon that follows no u."""
+    value = F.col(field)
+    runs = F.regexp_extract_all(value, F.lit("([A-Za-z0-9]+)"), F.lit(1))
+    odd = F.exists(runs, lambda r: r.rlike("[0-9]") & ~r.rlike("^[0-9]+$") & ~r.isin(*READING_NUMBERS))
+    other = value.rlike(f"[^{READING_LETTERS}{READING_SIGNS}:]") | value.rlike("(^|[^uU]):")
+    return [when(value == "", "empty-pinyin", field), when((value != "") & T.has_edge_space(value), "whitespace", field), when(odd | other, "bad-pinyin", field)]
+
+
+def array_rules(field: str, value: Column, allowed: tuple[str, ...] | None = None) -> list[Column]:
+    rules = [
+        when(F.size(value) == 0, "empty-array", field),
+        when(F.exists(value, lambda x: x.isNull() | (x == "")), "bad-type", field),
+        when(F.exists(value, lambda x: (x != "") & T.has_edge_space(x)), "whitespace", field),
+        when(F.size(F.array_distinct(value)) < F.size(value), "duplicate-item", field),
+    ]
+    if allowed:
+        rules.append(when(F.exists(value, lambda x: ~x.isin(*allowed)), "unknown-value", field))
+    return rules
+
+
+def reference_rules(field: str, value: Column, kinds: tuple[str, ...] | None) -> list[Column]:
+    rules = [
+        when(F.size(value) == 0, "bad-type", field),
+        when(F.exists(value, lambda r: r["w"].isNull() | (r["w"] == "") | (r["t"] == "") | (r["py"] == "")), "bad-type", field),
+        when(F.exists(value, lambda r: F.coalesce(r["w"].contains(" "), F.lit(False)) | F.coalesce(r["t"].contains(" "), F.lit(False))), "text-in-ref", field),
+        when(F.exists(value, lambda r: r["t"] == r["w"]), "redundant-trad", field),
+    ]
+    if kinds:
+        rules.append(when(F.exists(value, lambda r: r["kind"].isNull() | ~r["kind"].isin(*kinds)), "bad-kind", field))
+    return rules
+
+
+def sense_rules(sense: Column, allowed_latin: Column) -> Column:
+    """The (kind, detail) a sense breaks. A translation's limit follows its origin; only
+    derived ones may hold readings, and Latin words only if they are allowed."""
+    ja, qa = sense["ja"], sense["qa"]
+    limit = F.when(qa.isin("llm_ok", "llm_fixed", "hand_fixed"), LIMITS["short"]).when(qa == "derived", LIMITS["derived"]).otherwise(LIMITS["reused"])
+    latin = F.array_except(T.latin_tokens(ja), allowed_latin)
+    no_script = ~T.has(ja, T.HAN + T.KANA) & (F.size(T.latin_tokens(ja)) == 0) & ~ja.rlike(r"\p{Nd}")
+    marks = T.has(ja, "āáǎàēéěèīíǐìōóǒòūúǔùǖǘǚǜ\\x{0300}\\x{0301}\\x{0304}\\x{030C}")
+    bad = F.when(ja == "", "empty").when(T.has_edge_space(ja), "edge-space").when(F.length(ja) > limit, "too-long").when(T.has(ja, T.CYRILLIC), "cyrillic")
+    bad = bad.when((qa != "derived") & marks, "tone-marks").when((qa != "derived") & (F.size(latin) > 0), "latin").when(no_script, "no-japanese")
+    rules = [
+        when(ja.isNull(), "missing-key", "ja"),
+        when(qa.isNull(), "missing-key", "qa"),
+        when(~qa.isin(*QA), "bad-qa", qa),
+        when(bad.isNotNull(), "bad-ja", bad),
+        when(~sense["unsure"], "explicit-false", "unsure"),
+        *array_rules("en", sense["en"]),
+        *array_rules("misc", sense["misc"], MISC),
+        *array_rules("lsource", sense["lsource"]),
+        *array_rules("s_inf", sense["s_inf"]),
+        *reference_rules("variant_of", sense["variant_of"], VARIANT_KINDS),
+        *reference_rules("see_also", sense["see_also"], XREF_KINDS),
+    ]
+    return F.array_compact(F.array(*rules))
+
+
+def native_violations(df: DataFrame, path: str = "entries", allowed_latin: list[str] = (), line: str = "ord") -> DataFrame:
+    """All violations of native rows: by row, by sense and by group."""
+    allowed = F.array(*(F.lit(t) for t in allowed_latin)).cast("array<string>")
+    senses, primary = F.col("senses"), F.col("primary")
+    rules = [
+        *(when(F.col(k).isNull(), "missing-key", k) for k in ENTRY_REQUIRED),
+        when(F.col("word") == "", "bad-word", "word"),
+        when(T.has_edge_space(F.col("word")), "whitespace", "word"),
+        *(when(~F.col(k).between(*v), "bad-hsk", k) for k, v in LEVELS.items()),
+        *(r for f in ("pinyin", "tw_pr", "also_pr") for r in reading_rules(f)),
+        when(F.col("trad") == "", "bad-type", "trad"),
+        when(F.col("trad") == F.col("word"), "redundant-trad", "trad"),
+        *array_rules("pos", F.col("pos"), POS),
+        *reference_rules("cl", F.col("cl"), None),
+        when(~F.col("src").isin(DICTIONARY_NAME), "unknown-value", "src"),
+        when(~F.col("seed").isin(*SEED), "unknown-value", "seed"),
+        when(~F.col("moe").isin(*MOE), "unknown-value", "moe"),
+        when(F.size(senses) == 0, "bad-type", "senses"),
+        when((F.size(senses) >= 2) & primary.isNull(), "missing-primary", "primary"),
+        when(primary.isNotNull() & ~(primary.between(1, F.size(senses)) & (F.size(senses) >= 2)), "bad-primary", primary),
+        when(~F.col("default"), "bad-default", "default"),
+    ]
+    by_row = explode_rules(df, path, line, "word", rules, [F.flatten(F.transform(senses, lambda s: sense_rules(s, allowed)))])
+    key = [F.col("word"), F.col("trad"), F.regexp_replace("pinyin", "[ ']", "")]
+    keyed = df.where("word <> '' and pinyin <> ''").select(F.col(line).alias("l"), F.col("word").alias("w"), F.struct(*key).alias("k"))
+    first = F.min("l").over(Window.partitionBy("k"))
+    repeated = keyed.withColumn("first", first).where("l > first").select(*violation(path, F.col("l"), F.col("w"), F.lit("duplicate-entry"), F.col("first")))
+    words = df.where(F.col("word").isNotNull()).groupBy("word").agg(F.count("*").alias("n"), F.count_if("default").alias("d"), F.min(line).alias("l"))
+    kind = F.when((F.col("n") >= 2) & (F.col("d") == 0), "missing-default").when(F.col("d") > 1, "duplicate-default")
+    defaults = words.withColumn("kind", kind).where("kind is not null").select(*violation(path, F.col("l"), F.col("word"), F.col("kind"), F.col("d")))
+    return by_row.unionByName(repeated).unionByName(defaults)
+
+
+def reverse_violations(df: DataFrame, path: str = "glosses", line: str = "ord") -> DataFrame:
+    """Violations of rows of the other direction (word, zh array of (s, pinyin), unsure)."""
+    zh = F.col("zh")
+    text = F.transform(zh, lambda z: F.array_compact(F.array(
+        when(z["s"].isNull(), "missing-key", "s"), *text_rules("s", z["s"]), when(T.has(z["s"], T.KANA), "kana-in-chinese", z["s"]),
+        when(~T.has(z["s"], T.HAN) & (F.size(T.latin_tokens(z["s"])) == 0) & ~z["s"].rlike(r"\p{Nd}"), "no-han", z["s"]),
+    )))
+    rules = [
+        when(F.col("word").isNull() | (F.col("word") == ""), "bad-word", "word"),
+        when(zh.isNull(), "missing-key", "zh"),
+        when((F.size(zh) == 0) & ~F.coalesce("unsure", F.lit(False)), "empty-without-unsure", "zh"),
+        when(F.size(F.array_distinct(F.transform(zh, lambda z: z["s"]))) < F.size(zh), "duplicate-candidate", "zh"),
+        when(~F.col("unsure"), "explicit-false", "unsure"),
+    ]
+    by_row = explode_rules(df, path, line, "word", rules, [F.flatten(text)])
+    first = F.min(line).over(Window.partitionBy("word"))
+    repeated = df.where("word <> ''").withColumn("first", first).where(F.col(line) > F.col("first")).select(*violation(path, F.col(line), F.col("word"), F.lit("duplicate-word"), F.col("first")))
+    return by_row.unionByName(repeated)
+
+
+def key_violations(raw: DataFrame, path: str = "entries", line: str = "line", value: str = "value") -> DataFrame:
+    """Keys that a raw JSON line may not have or must have; retired ones are named as such."""
+    keys = F.map_keys(F.from_json(value, "map<string, string>"))
+    known = F.array(*(F.lit(k) for k in (*ENTRY_REQUIRED, *ENTRY_OPTIONAL, *RETIRED)))
+    named = lambda names, kind: F.transform(names, lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("detail")))
+    lists = [
+        named(F.array_except(F.array(*(F.lit(k) for k in ENTRY_REQUIRED)), keys), "missing-key"),
+        named(F.array_except(keys, known), "unknown-key"),
+        named(F.array_intersect(keys, F.array(*(F.lit(k) for k in RETIRED))), "retired-key"),
+    ]
+    rows = raw.withColumn("__word", F.get_json_object(value, "$.word"))
+    typed = F.schema_of_variant(F.try_variant_get(F.try_parse_json(F.col(value)), "$.primary", "variant"))
+    levels = [when(F.schema_of_variant(F.try_variant_get(F.try_parse_json(F.col(value)), f"$.{k}", "variant")) != "BIGINT", "bad-hsk", k) for k in LEVELS]
+    return explode_rules(rows, path, line, "__word", [when(typed != "BIGINT", "bad-primary", "primary"), *levels], lists)
+
+
+def summary(violations: DataFrame, most: int = 3) -> DataFrame:
+    """(kind, n, examples): kinds with their counts and the lines of the first ones."""
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy("line", "detail"))
+    few = violations.withColumn("r", rank).where(F.col("r") <= most).groupBy("kind").agg(F.array_sort(F.collect_list("line")).alias("examples"))
+    return violations.groupBy("kind").agg(F.count("*").alias("n")).join(few, "kind", "left").orderBy(F.desc("n"), "kind")
+
+
+def native_counts(df: DataFrame) -> dict[str, int]:
+    """Rows, skeleton and supplement, senses, and rows with each attribute, in one pass."""
+    names = [c for c in df.columns if c not in ("word", "pinyin", "senses", "ord")]
+    row = df.agg(
+        F.count("*").alias("entries"),
+        F.count_if(F.col("src").isNull()).alias("skeleton"),
+        F.count_if(F.col("src").isNotNull()).alias("supplement"),
+        F.coalesce(F.sum(F.size("senses")), F.lit(0)).alias("senses"),
+        *(F.count_if(F.col(c).isNotNull()).alias(f"with_{c}") for c in names),
+    ).first()
+    return row.asDict()
