@@ -5,8 +5,9 @@ hash, so half as many hashes are evaluated. Bands of values deal sets into
 buckets. Texts with equal sets are one node from the start, so copies never meet
 in pairs. In each bucket the sets are compared with one centre first, and links
 confirmed on the full sets are contracted to components. Buckets that still hold
-several components get other centres, and at last all pairs of sets of different
-components, so no candidate goes unchecked. Only counts reach the driver.
+several components get other centres, and at last the sets of different components
+are compared block by block as matrices, so no candidate goes unchecked and no
+group is written out as pairs. Only counts reach the driver.
 
 Defined cases: texts that are null, empty or have no words have an empty set, are
 linked with nothing and kept; texts of fewer words than a shingle have one
@@ -21,6 +22,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -31,6 +33,8 @@ from lexiflow.llm.common import discard, map_texts, materialise
 #: Permutations (two values each), and values in a band: a pair of similarity 0.8
 #: shares none of the 28 bands with a chance of 1.5 in 100,000.
 PERMUTATIONS, BAND_ROWS = 70, 5
+#: Shingles in a block of sets that is compared as a matrix, about; columns of a matrix.
+BLOCK_SHINGLES, COLUMNS = 400_000, 4096
 #: Shingles hashed at a time.
 CHUNK = 8192
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -164,6 +168,84 @@ class Components:
         self.roots = renewed
 
 
+def counts_in_common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of `x` with all of `y`, as products of
+    incidence matrices over the shingles that both sides have."""
+    shared = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    total = np.zeros((len(x), len(y)), np.float32)
+
+    def incidence(sets: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
+        flat = np.concatenate(sets)
+        row = np.repeat(np.arange(len(sets)), [s.size for s in sets])
+        place = np.searchsorted(columns, flat)
+        there = columns[np.minimum(place, columns.size - 1)] == flat
+        out = np.zeros((len(sets), columns.size), np.float32)
+        out[row[there], place[there]] = 1
+        return out
+
+    for k in range(0, shared.size, COLUMNS):
+        columns = shared[k : k + COLUMNS]
+        total += incidence(x, columns) @ incidence(y, columns).T
+    return total
+
+
+def spanning_links(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
+    """Of the linked pairs as many as connect the parts they lie in."""
+    roots: dict[int, int] = {}
+
+    def root(p: int) -> int:
+        while (q := roots.get(p, p)) != p:
+            roots[p] = roots.get(q, q)
+            p = q
+        return p
+
+    out = []
+    for i, j in zip(*np.nonzero(linked & (of_a[:, None] != of_b[None, :]))):
+        p, q = root(int(of_a[i])), root(int(of_b[j]))
+        if p != q:
+            roots[max(p, q)] = min(p, q)
+            out.append((int(a[i]), int(b[j])))
+    return out
+
+
+def links_between_parts(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect all parts of each bucket in `members` (bucket, rep, n,
+    part) that any link does. Buckets with the same least part, their hub, are one
+    group; a group is cut into blocks of about as many shingles, and each two blocks,
+    but for two of the hub itself, are compared in a task of their own as matrices,
+    so no pair becomes a row unless it links two parts."""
+    hubs = members.groupBy("bucket").agg(F.min("part").alias("hub"))
+    rows = members.join(hubs, "bucket").select("hub", "rep", "n", "part").distinct()
+    own = F.col("part") == F.col("hub")
+    blocks = lambda size: F.greatest(F.lit(1), F.ceil(F.coalesce(size, F.lit(0)) / BLOCK_SHINGLES))
+    sizes = rows.groupBy("hub").agg(blocks(F.sum(F.when(own, F.col("n")))).alias("hub_blocks"), blocks(F.sum(F.when(~own, F.col("n")))).alias("blocks"))
+    dealt = rows.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("rep"), F.when(own, F.col("hub_blocks")).otherwise(F.col("blocks"))))
+    upto = lambda first, last: F.sequence(first.cast("bigint"), last.cast("bigint"))
+    zero = F.lit(0)
+    # a tile is (hub, block of others, whether the other side is the hub's, its block)
+    with_hub = F.transform(upto(zero, F.col("hub_blocks") - 1), lambda j: F.struct(F.lit(True).alias("h"), j.alias("j")))
+    with_others = F.transform(upto(F.col("block"), F.col("blocks") - 1), lambda j: F.struct(F.lit(False).alias("h"), j.alias("j")))
+    left = dealt.where(~own).select("hub", F.col("block").alias("i"), "rep", "part", F.explode(F.concat(with_hub, with_others)).alias("t")).select("hub", "i", "t.*", "rep", "part")
+    over = F.when(own, upto(zero, F.col("blocks") - 1)).otherwise(upto(zero, F.col("block")))
+    right = dealt.select("hub", own.alias("h"), F.col("block").alias("j"), "rep", "part", F.explode(over).alias("i"))
+    left = left.join(sets.withColumnRenamed("id", "rep"), "rep")
+    right = right.join(sets.withColumnRenamed("id", "rep"), "rep")
+    right = right.select(*(F.col(c).alias(f"r_{c}") for c in ("hub", "i", "h", "j", "rep", "part", "shingles")))
+
+    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        links: list[tuple[int, int]] = []
+        if len(x) and len(y):
+            of_x, of_y = ([np.frombuffer(s, np.uint64) for s in side] for side in (x["shingles"], y["r_shingles"]))
+            common = counts_in_common(of_x, of_y).astype(np.int64)
+            union = np.array([s.size for s in of_x])[:, None] + np.array([s.size for s in of_y])[None, :] - common
+            linked = (100 * common >= percent * union) & (common > 0)
+            links = spanning_links(x["rep"].to_numpy(), y["r_rep"].to_numpy(), x["part"].to_numpy(), y["r_part"].to_numpy(), linked)
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    tiles = left.groupBy("hub", "i", "h", "j").cogroup(right.groupBy("r_hub", "r_i", "r_h", "r_j"))
+    return tiles.applyInPandas(compare, "a bigint, b bigint")
+
+
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept): the size of each text's set, the least id that
     links of similarity percent / 100 or more reach from it, and whether that is its own."""
@@ -196,11 +278,8 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     parts.link(confirmed(second.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct(), sets, percent))
     discard(left)
 
-    # what is left: every pair of a bucket's sets in different components
     left = mixed_buckets()
-    other = left.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("part").alias("q"))
-    pairs = left.join(other, "bucket").where((F.col("rep") < F.col("b")) & (F.col("part") != F.col("q")) & close("n", "m"))
-    parts.link(confirmed(pairs.select(F.col("rep").alias("a"), "b").distinct(), sets, percent))
+    parts.link(links_between_parts(left, sets, percent))
     discard(left)
 
     # an id with several sets joins their components
