@@ -41,6 +41,7 @@ PASSAGE, LEAST_TEXTS = 2, 2
 #: Longer words are scored by so many of their characters at a time.
 LONGEST_WORD = 40
 ALPHABET = 256
+FACTORS = [np.uint64(pow(0x9E3779B97F4A7C15, n + 1, 1 << 64)) for n in range(ORDER)]
 CACHE_WORDS = 400_000
 #: Parts of the sample; the curve is fitted to each under a model of the others.
 FOLDS = 4
@@ -54,20 +55,25 @@ def words_of(text: str) -> list[str]:
     return words
 
 
-def grams(words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Hashes of the n-grams that end at each character, n from 0 to ORDER, and the
-    word of each character. Words are padded, so every n-gram is whole."""
-    pad = "\x02" * (ORDER - 1)
-    points = np.frombuffer("".join(f"{pad}{w}\x03" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    sizes = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
-    owner = np.repeat(np.arange(len(words)), sizes)
-    ends = np.arange(owner.size) + (ORDER - 1) * (owner + 1)
-    hashes, grown = [np.zeros(owner.size, np.uint64)], np.zeros(owner.size, np.uint64)
-    with np.errstate(over="ignore"):
-        for n in range(ORDER):
-            grown = grown + (points[ends - n] + np.uint64(1)) * np.uint64(pow(0x9E3779B97F4A7C15, n + 1, 1 << 64))
-            hashes.append(grown)
-    return hashes, owner
+class Grams:
+    """Hashes of the n-grams that end at each character of each word. Words are padded,
+    so every n-gram is whole; one length at a time is held."""
+
+    def __init__(self, words: list[str]):
+        pad = "\x02" * (ORDER - 1)
+        self.points = np.frombuffer("".join(f"{pad}{w}\x03" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        sizes = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+        self.owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        self.ends = np.arange(self.owner.size) + (ORDER - 1) * (self.owner.astype(np.int64) + 1)
+
+    def hashes(self, n: int, keep: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes of the n-grams, hashes of them without their last character)."""
+        ends = self.ends[keep]
+        context = np.zeros(ends.size, np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(1, n):
+                context += (self.points[ends - k].astype(np.uint64) + np.uint64(1)) * FACTORS[k]
+            return context + (self.points[ends].astype(np.uint64) + np.uint64(1)) * FACTORS[0], context
 
 
 class Table:
@@ -92,47 +98,39 @@ class KneserNey:
 
     def __init__(self, words: list[str], counts: np.ndarray):
         """counts: for each word the texts of each class it occurs in."""
-        own = np.where(counts >= LEAST_TEXTS, counts, 0)
-        hashes, owner = grams(words)
-        contexts = self._contexts(hashes)
+        own = np.where(counts >= LEAST_TEXTS, counts, 0).astype(np.float32)
+        text = Grams(words)
+        # words of a single text are in the shared counts only
+        often = np.flatnonzero((own.sum(1) > 0)[text.owner])
         self.joint: list[Table] = [None] * (ORDER + 1)  # type: ignore[list-item]
         self.given: list[Table] = [None] * (ORDER + 1)  # type: ignore[list-item]
-        seen = own[owner].astype(np.float32)
-        pooled = counts.sum(1)[owner].astype(np.float32)[:, None]
         for n in range(ORDER, 0, -1):
-            weights = seen if n > SHARED else pooled
-            if n < ORDER:  # how many different characters come before the n-gram
-                longer, first = np.unique(hashes[n + 1], return_index=True)
-                marks = self.joint[n + 1](longer) > 0 if n >= SHARED + 1 else np.ones((longer.size, 1))
-                keys, weights, given = hashes[n][first], marks.astype(np.float32), contexts[n][first]
-            else:
-                keys, given = hashes[n], contexts[n]
+            keep = often if n > SHARED else slice(None)
+            keys, given = text.hashes(n, keep)
+            if n == ORDER:
+                weights = own[text.owner[keep]]
+            else:  # how many different characters come before the n-gram
+                longer, first = np.unique(text.hashes(n + 1, keep)[0], return_index=True)
+                weights = (self.joint[n + 1](longer) > 0 if n > SHARED else np.ones((longer.size, 1))).astype(np.float32)
+                keys, given = keys[first], given[first]
             self.joint[n] = Table(keys, weights)
             own_keys, first = np.unique(keys, return_index=True)
             sums = self.joint[n](own_keys)
-            self.given[n] = Table(given[first], np.hstack([sums, sums > 0]))
-
-    @staticmethod
-    def _contexts(hashes: list[np.ndarray]) -> list[np.ndarray]:
-        """For each n the hash of the n-gram without its last character."""
-        with np.errstate(over="ignore"):
-            return [np.zeros_like(hashes[0])] + [hashes[n] - hashes[1] for n in range(1, ORDER + 1)]
+            self.given[n] = Table(given[first], np.hstack([sums, sums > 0]).astype(np.float32))
 
     def evidence(self, words: list[str]) -> np.ndarray:
         """Log-likelihood of each word as toxic less that as ordinary."""
         if not words:
             return np.zeros(0, np.float32)
-        hashes, owner = grams(words)
-        contexts = self._contexts(hashes)
-        likely = np.full((owner.size, 1), 1 / ALPHABET, np.float32)
+        text = Grams(words)
+        likely = np.full((text.owner.size, 1), 1 / ALPHABET, np.float32)
         for n in range(1, ORDER + 1):
-            joint, given = self.joint[n](hashes[n]), self.given[n](contexts[n])
-            total, kinds = np.split(given, 2, axis=1)
+            keys, contexts = text.hashes(n)
+            joint, (total, kinds) = self.joint[n](keys), np.split(self.given[n](contexts), 2, axis=1)
             known = total > 0
             total = np.maximum(total, 1e-9)
             likely = np.where(known, (np.maximum(joint - DISCOUNT, 0) + np.minimum(DISCOUNT * kinds, total) * likely) / total, likely)
-        ratio = np.log(likely[:, 1]) - np.log(likely[:, 0])
-        return np.bincount(owner, ratio, len(words)).astype(np.float32)
+        return np.bincount(text.owner, np.log(likely[:, 1]) - np.log(likely[:, 0]), len(words)).astype(np.float32)
 
 
 class Scorer:
@@ -203,7 +201,7 @@ def train(words: list[str], counts: np.ndarray, held: Callable[[int, Scorer], li
     return Scorer(KneserNey(words, total), *logistic(x, y, weight))
 
 
-def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 2500) -> Scorer:
+def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 2000) -> Scorer:
     """Learns from the rows of `df` that `labels` (id, 0 or 1) marks. What reaches the
     driver are words of at most about `sample` texts of each class."""
     marks = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("kind")).where("i is not null and kind in (0, 1)").groupBy("i").agg(F.max("kind").alias("kind"))
@@ -213,8 +211,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
         return Scorer(None, 0.0, 0.0)
     draw = F.pmod(F.xxhash64("i"), F.lit(1 << 20)) / (1 << 20)
     share = F.when(F.col("kind") == 1, F.lit(min(1.0, sample / totals[1]))).otherwise(F.lit(min(1.0, sample / totals[0])))
-    chosen = marks.where(draw < share)
-    drawn = rows.join(chosen, "i").withColumn("fold", F.pmod(F.xxhash64("i", F.lit(7)), F.lit(FOLDS)).cast("int"))
+    chosen = marks.where(draw < share)  # about twice `sample` ids
+    drawn = rows.join(F.broadcast(chosen), "i").withColumn("fold", F.pmod(F.xxhash64("i", F.lit(7)), F.lit(FOLDS)).cast("int"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,13 +225,15 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     cells = [(fold, kind) for fold in range(FOLDS) for kind in (0, 1)]
     sums = (F.count_if((F.col("fold") == f) & (F.col("kind") == k)).alias(f"n{f}_{k}") for f, k in cells)
     grouped = parsed.select("fold", "kind", F.explode("words").alias("w")).groupBy("w").agg(*sums).orderBy("w").toPandas()
-    counts = grouped[[f"n{f}_{k}" for f, k in cells]].to_numpy(float).reshape(-1, FOLDS, 2)
+    words = grouped.pop("w").tolist()
+    counts = grouped.to_numpy(np.float32).reshape(-1, FOLDS, 2)
+    del grouped
 
     def held(fold: int, scorer: Scorer) -> list[tuple[int, float]]:
         scored = map_texts(parsed.where(F.col("fold") == fold).select("kind", "t"), "kind", "t", "x double", lambda: lambda texts: ((x,) for x in scorer.raw(texts)))
         return [(r["kind"], r["x"]) for r in scored.collect()]
 
-    scorer = train(grouped["w"].tolist(), counts, held, totals[1] / (totals[0] + totals[1]))
+    scorer = train(words, counts, held, totals[1] / (totals[0] + totals[1]))
     discard(parsed)
     return scorer
 
