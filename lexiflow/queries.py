@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexiflow import schemas as S
 from lexiflow.functions import text as T
+from lexiflow.operators import common_format as C
 from lexiflow.operators import matching as M
 from lexiflow.operators import ordering as O
 from lexiflow.operators import rules as R
+from lexiflow.operators.source_lines import parse_lines
+from lexiflow.plans import build as B
+from lexiflow.session import shared_dir
+from lexiflow.sources.raw_deflate import lines_of
+from lexiflow.streaming.resume import append_once, follow_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -461,3 +471,281 @@ def progress_rate(spark: SparkSession, d: str) -> DataFrame:
     t = read(spark, d, "events", "user_id", "ts").groupBy("user_id").agg(F.count("*").alias("done"), (F.max(s) - F.min(s)).alias("seconds"))
     p = O.progress(F.col("done"), F.lit(500), F.col("seconds"))
     return t.select("user_id", "done", F.floor(p["percent"]).alias("percent"), F.when(F.col("seconds") > 0, F.floor(F.col("done") * F.lit(3600000.0) / F.col("seconds"))).otherwise(0).alias("per_thousand_hours"))
+
+
+# --- readings, grammar, texts ---------------------------------------------------------------
+
+# Sample syllables, with their tone-marked forms and keys.
+SYLLABLES = ["shang4", "ji2", "nu:3", "liu2", "gui4", "xue2", "gou3", "yi1", "bu4", "ge5", "lu:e4", "ang2", "ou3", "hm5"]
+MARKED = ["shàng", "jí", "nǚ", "liú", "guì", "xué", "gǒu", "yī", "bù", "ge", "lüè", "áng", "ǒu", "hm"]
+KEYS = ["sha4ng", "ji2", "nv3", "liu2", "gui4", "xue2", "go3u", "yi1", "bu4", "ge", "lve4", "a2ng", "o3u", "hm"]
+VALUES = ", ".join(f"({n}, '{s}', '{m}', '{k}')" for n, (s, m, k) in enumerate(zip(SYLLABLES, MARKED, KEYS)))
+SYLLABLES_SQL = f"WITH s(n, syllable, marked, key) AS (VALUES {VALUES}), p AS (SELECT p_partkey, p_size % {len(SYLLABLES)} AS a, p_partkey % {len(SYLLABLES)} AS b FROM part)"
+
+
+def two_syllables(spark: SparkSession, d: str) -> DataFrame:
+    """(p_partkey, reading): a numbered reading of two sample syllables."""
+    at = lambda c: F.element_at(F.array(*(F.lit(s) for s in SYLLABLES)), (F.col(c) % len(SYLLABLES) + 1).cast("int"))
+    return read(spark, d, "part", "p_partkey", "p_size").select("p_partkey", F.concat_ws(" ", at("p_size"), at("p_partkey")).alias("reading"))
+
+
+@query(f"{SYLLABLES_SQL} SELECT p_partkey, x.marked || ' ' || y.marked AS marked FROM p JOIN s x ON x.n = a JOIN s y ON y.n = b")
+def reading_marks(spark: SparkSession, d: str) -> DataFrame:
+    """Tone-marked readings."""
+    return two_syllables(spark, d).select("p_partkey", B.to_marks("reading").alias("marked"))
+
+
+@query(f"{SYLLABLES_SQL} SELECT p_partkey, x.key || y.key AS key FROM p JOIN s x ON x.n = a JOIN s y ON y.n = b")
+def reading_key(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of readings, the same from numbers and from marks."""
+    both = two_syllables(spark, d).withColumn("key", B.reading_key("reading")).withColumn("other", B.reading_key(B.to_marks("reading")))
+    return both.where("key = other").select("p_partkey", "key")
+
+
+@query(f"{SYLLABLES_SQL} SELECT regexp_replace(x.key || y.key, '[1-4]', '', 'g') AS key, count(*) AS n FROM p JOIN s x ON x.n = a JOIN s y ON y.n = b GROUP BY 1")
+def toneless_key(spark: SparkSession, d: str) -> DataFrame:
+    """Keys without tones."""
+    return two_syllables(spark, d).groupBy(B.toneless_key("reading").alias("key")).agg(F.count("*").alias("n"))
+
+
+@query(f"""{SYLLABLES_SQL}, r AS (SELECT p_partkey, x.syllable AS first, x.key || y.key AS key FROM p JOIN s x ON x.n = a JOIN s y ON y.n = b),
+l AS (SELECT DISTINCT regexp_replace(key, '^(yi|bu)[1-4]', '\\1' || '2') AS heard FROM r), k AS (SELECT heard, regexp_replace(heard, '^(yi|bu)[1-4]', '\\1') AS loose FROM l),
+e AS (SELECT heard, count(*) AS n FROM k JOIN r ON key = heard GROUP BY 1), f AS (SELECT heard, count(*) AS n FROM k JOIN r ON regexp_replace(key, '^(yi|bu)[1-4]', '\\1') = loose AND first IN ('yi1', 'bu4') WHERE heard NOT IN (SELECT heard FROM e) GROUP BY 1)
+SELECT heard, 1 AS tier, n FROM e UNION ALL SELECT heard, 2, n FROM f""")
+def sandhi_match(spark: SparkSession, d: str) -> DataFrame:
+    """Readings that agree, else agree but for the tone of a first yi or bu."""
+    rows = two_syllables(spark, d)
+    index = rows.select("p_partkey", B.reading_key("reading").alias("key"), F.when(B.sandhi_first("reading"), B.sandhi_key("reading")).alias("sandhi"))
+    heard = index.select(F.regexp_replace("key", "^(yi|bu)[1-4]", "$1" + "2").alias("heard")).distinct().withColumn("loose", F.regexp_replace("heard", "^(yi|bu)[1-4]", "$1"))
+    found = M.tiered_match(heard, index, "heard", [([F.col("heard")], [F.col("key")]), ([F.col("loose")], [F.col("sandhi")])])
+    return found.groupBy("heard", "tier").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT p_partkey, list_aggregate(list_filter(list_transform(string_split(regexp_replace(t, '\\[[^\\]]*\\]', '', 'g'), ','), lambda x: trim(x)), lambda x: x <> ''), 'string_agg', '|') AS parts FROM
+(SELECT p_partkey, p_brand || '[a, b], ' || p_type || ',, ' || p_name || '[x]' AS t FROM part)""")
+def split_outside_brackets(spark: SparkSession, d: str) -> DataFrame:
+    """Parts between commas outside brackets."""
+    text = F.concat("p_brand", F.lit("[a, b], "), "p_type", F.lit(",, "), "p_name", F.lit("[x]"))
+    parts = F.transform(T.outside_brackets(text, ","), lambda p: F.trim(F.regexp_replace(p, r"\[[^\]]*\]", "")))
+    return read(spark, d, "part", "p_partkey", "p_brand", "p_type", "p_name").select("p_partkey", F.array_join(parts, "|").alias("parts"))
+
+
+def sample_lines(spark: SparkSession, d: str) -> DataFrame:
+    """(ord, value): source lines made of parts, one form for each remainder of 6."""
+    bodies = ["/(coll.) {n}; other (a; b)/CL:個|个[ge4]/", "/old variant of 汝[ru3]/{n}/", "/(bound form)/{n}/see 上海[Shang4 hai3] and 深圳[Shen1 zhen4]/", "/{n} (Tw, HK)/Taiwan pr. [ji2]/", "/(loanword from Japanese 一番, ichiban) {n}/", "/abbr. for Israel 以色列[Yi3 se4 lie4]/(Tw, biology) {n}/"]
+    text = F.element_at(F.array(*(F.lit(b) for b in bodies)), (F.col("p_partkey") % len(bodies) + 1).cast("int"))
+    body = F.replace(text, F.lit("{n}"), F.col("p_name"))
+    return read(spark, d, "part", "p_partkey", "p_name").select(F.col("p_partkey").alias("ord"), F.concat(F.lit("詞 词 [ci2] "), body).alias("value"))
+
+
+@query("""SELECT p_partkey AS ord, '词' AS simp, CASE p_partkey % 6 WHEN 1 THEN 2 WHEN 2 THEN 2 WHEN 5 THEN 2 ELSE 1 END AS n_senses, CASE p_partkey % 6 WHEN 0 THEN '个' END AS measure, CASE p_partkey % 6 WHEN 3 THEN 'ji2' END AS tw_pr FROM part""")
+def line_parse(spark: SparkSession, d: str) -> DataFrame:
+    """Lines as entries."""
+    return parse_lines(sample_lines(spark, d)).select("ord", "simp", F.size("senses").alias("n_senses"), F.get("cl", F.lit(0))["w"].alias("measure"), "tw_pr")
+
+
+@query("""SELECT ord, no, misc, en FROM (SELECT p_partkey AS ord, unnest(CASE p_partkey % 6
+WHEN 0 THEN [{'no': 1, 'misc': 'coll', 'en': p_name || '|other (a; b)'}] WHEN 1 THEN [{'no': 1, 'misc': '', 'en': ''}, {'no': 2, 'misc': '', 'en': p_name}]
+WHEN 2 THEN [{'no': 1, 'misc': 'bound', 'en': p_name}, {'no': 2, 'misc': '', 'en': ''}] WHEN 3 THEN [{'no': 1, 'misc': 'tw,hk', 'en': p_name}]
+WHEN 4 THEN [{'no': 1, 'misc': 'loan', 'en': p_name}] ELSE [{'no': 1, 'misc': '', 'en': 'abbr. for Israel 以色列[Yi3 se4 lie4]'}, {'no': 2, 'misc': '', 'en': '(Tw, biology) ' || p_name}] END, recursive := true) FROM part)""")
+def sense_grammar(spark: SparkSession, d: str) -> DataFrame:
+    """Typed senses of lines."""
+    senses = parse_lines(sample_lines(spark, d)).select("ord", F.posexplode("senses").alias("p", "s"))
+    return senses.select("ord", (F.col("p") + 1).alias("no"), F.array_join("s.misc", ",").alias("misc"), F.array_join("s.en", "|").alias("en"))
+
+
+@query("""SELECT text, count(*) AS n FROM (SELECT unnest(CASE p_partkey % 6 WHEN 1 THEN ['汝（rǔ）の旧字体'] WHEN 2 THEN ['上海（Shàng hǎi）・深圳（Shēn zhèn）に同じ'] ELSE [] END) AS text FROM part) GROUP BY text""")
+def derived_text(spark: SparkSession, d: str) -> DataFrame:
+    """Texts made from references."""
+    parsed = parse_lines(sample_lines(spark, d))
+    refs = F.flatten(F.transform("senses", lambda s: F.concat(s["variant_of"], s["see_also"])))
+    marked = B.marked_map(parsed, F.concat(F.transform(refs, lambda r: r["py"]), F.array(F.col("pinyin"))))
+    texts = marked.select(F.explode(F.transform("senses", lambda s: B.derived_text(s, F.col("__marks")))).alias("text"))
+    return texts.where("text is not null").groupBy("text").agg(F.count("*").alias("n"))
+
+
+@query("""WITH t AS (SELECT user_id, event_id, event_type FROM events WHERE user_id % 10 = 0), g AS (SELECT user_id, '{' || string_agg('"' || event_id || '":"' || event_type || '"', ',' ORDER BY event_id) || '}' AS s FROM t GROUP BY 1)
+SELECT user_id, '{"id":"u' || user_id || '","s":' || s || '}' AS payload FROM g""")
+def json_payload(spark: SparkSession, d: str) -> DataFrame:
+    """Compact payloads with short keys."""
+    events = read(spark, d, "events", "user_id", "event_id", "event_type").where("user_id % 10 = 0")
+    pairs = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))), lambda x: F.struct(x["event_id"].cast("string"), x["event_type"]))
+    return events.groupBy("user_id").agg(F.to_json(F.struct(F.concat(F.lit("u"), F.col("user_id")).alias("id"), F.map_from_entries(pairs).alias("s"))).alias("payload"))
+
+
+@query("""SELECT event_id, CASE event_id % 4 WHEN 3 THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events""")
+def json_extract_reply(spark: SparkSession, d: str) -> DataFrame:
+    """JSON out of fenced, wrapped and broken replies."""
+    r = F.col("event_id") % 4
+    reply = F.when(r == 0, F.concat(F.lit("text\n```json\n"), "props", F.lit("\n``` more"))).when(r == 1, F.concat(F.lit("so: "), "props", F.lit(" ."))).when(r == 2, F.col("props")).otherwise("{no json")
+    value = F.try_variant_get(T.json_from_reply(reply), "$.k", "bigint")
+    return read(spark, d, "events", "event_id", "props").select("event_id", value.alias("k"))
+
+
+@query("""SELECT event_id, unnest(string_split(event_type, '_')) AS part, length(event_type) AS n FROM events WHERE event_id < 500""")
+def explode_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as rows."""
+    return read(spark, d, "events", "event_id", "event_type").where("event_id < 500").select("event_id", F.explode(F.split("event_type", "_")).alias("part"), whole(F.length("event_type")).alias("n"))
+
+
+# --- the common format and rules ----------------------------------------------------------------
+
+
+def native_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as native rows, with one sense for each of their first two orders."""
+    orders = read(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    n = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    qa = F.when(F.col("o_orderstatus") == "O", "llm_ok").when(F.col("o_orderstatus") == "F", "llm_fixed").otherwise("hand_fixed")
+    fields = {"en": F.array("o_orderpriority"), "ja": F.concat(F.lit("訳"), F.col("n")), "qa": qa, "unsure": F.when(F.col("o_orderkey") % 2 == 0, True)}
+    senses = orders.withColumn("n", n).where("n <= 2").select("o_custkey", "n", F.from_json(F.to_json(F.struct(*(v.alias(k) for k, v in fields.items()))), S.SENSE).alias("s"))
+    whole_rows = senses.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.transform(F.array_sort(F.collect_list(F.struct("n", F.to_json("s").alias("s")))), lambda x: x["s"]).alias("j"))
+    typed = F.transform("j", lambda j: F.from_json(j, S.SENSE))
+    rows = read(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey").join(whole_rows, "c_custkey")
+    given = {"word": F.col("c_name"), "trad": F.when(F.col("c_nationkey") % 2 == 0, F.col("c_mktsegment")), "pinyin": F.lower("c_mktsegment"), "hsk2": F.when(F.col("c_nationkey") % 3 == 0, F.col("c_nationkey") % 6 + 1).cast("int"), "senses": typed, "ord": F.col("c_custkey")}
+    empty = spark.createDataFrame([], S.NATIVE)
+    return rows.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in empty.schema))
+
+
+@query("""SELECT c_custkey AS ord, '["' || c_name || '",' || CASE WHEN c_nationkey % 2 = 0 THEN '"' || c_mktsegment || '"' ELSE 'null' END || ',"' || lower(c_mktsegment) || '"]' AS id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""")
+def common_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Ids of the common format."""
+    return C.to_common(native_rows(spark, d)).select("ord", F.col("id.value").alias("id"))
+
+
+@query("""WITH o AS (SELECT o_custkey, count(*) AS k FROM orders GROUP BY 1) SELECT c_custkey AS ord, CASE WHEN c_nationkey % 2 = 0 THEN c_name || '|' || c_mktsegment ELSE c_name END AS headwords, lower(c_mktsegment) AS readings,
+CASE WHEN c_nationkey % 3 = 0 THEN 'HSK 2.0 ' || (c_nationkey % 6 + 1) ELSE '' END AS levels, least(k, 2) AS n_senses FROM customer JOIN o ON o_custkey = c_custkey""")
+def common_map(spark: SparkSession, d: str) -> DataFrame:
+    """Headwords, readings, levels and senses of the common format."""
+    c = C.to_common(native_rows(spark, d))
+    join = lambda a, f: F.array_join(F.transform(a, f), "|")
+    return c.select(
+        "ord",
+        join("headwords", lambda h: h["text"]).alias("headwords"),
+        join("readings", lambda r: r["text"]).alias("readings"),
+        join("levels", lambda v: F.concat_ws(" ", v["system"], v["version"], v["value"])).alias("levels"),
+        whole(F.size("senses")).alias("n_senses"),
+    )
+
+
+@query("""WITH n AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders)
+SELECT CASE o_orderstatus WHEN 'O' THEN 'llm' WHEN 'F' THEN 'llm' ELSE 'manual_override' END AS method, CASE o_orderstatus WHEN 'O' THEN 'llm_ok' WHEN 'F' THEN 'llm_fixed' ELSE 'hand_fixed' END AS qa,
+'script_and_length' AS evidence, o_orderkey % 2 = 0 AS uncertain, count(*) AS n FROM n WHERE n <= 2 GROUP BY ALL""")
+def provenance_dim(spark: SparkSession, d: str) -> DataFrame:
+    """Origins and evidence of translations."""
+    t = C.to_common(native_rows(spark, d)).select(F.explode("senses").alias("s")).select(F.explode("s.translations").alias("t"))
+    return t.groupBy(F.col("t.provenance.method").alias("method"), F.col("t.provenance.source_value").alias("qa"), F.get("t.verification", F.lit(0))["method"].alias("evidence"), F.col("t.uncertain").alias("uncertain")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey AS ord, 'different' AS error FROM customer WHERE c_custkey % 97 = 0 AND c_custkey IN (SELECT o_custkey FROM orders)")
+def preservation_proof(spark: SparkSession, d: str) -> DataFrame:
+    """Common rows that are not what the native ones map to."""
+    native = native_rows(spark, d)
+    damaged = C.to_common(native).withColumn("levels", F.when(F.col("ord") % 97 == 0, F.array(F.struct(F.lit("X").alias("system"), F.lit("1").alias("version"), F.lit("1").alias("value")))).otherwise(F.col("levels")))
+    return C.preservation_errors(native, damaged)
+
+
+@query("""WITH v AS (SELECT 'long-text' AS kind, doc_id AS line FROM documents WHERE n_chars > 5000 UNION ALL SELECT 'repeated-text', doc_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY md5(text)) AS f FROM documents) WHERE doc_id > f
+UNION ALL SELECT 'card-number', doc_id FROM documents WHERE regexp_matches(text, '[0-9]{16}') UNION ALL SELECT 'unknown-value', doc_id FROM documents WHERE lang NOT IN ('en', 'de', 'fr'))
+SELECT kind, count(*) AS n, min(line) AS first_line FROM v GROUP BY kind""")
+def violations_report(spark: SparkSession, d: str) -> DataFrame:
+    """A registry of rules over rows and groups, as violations (section 2.13, A07)."""
+    documents = read(spark, d, "documents", "doc_id", "lang", "text", "n_chars").withColumn("h", F.md5("text"))
+    rules = [R.when(F.col("n_chars") > 5000, "long-text", F.col("n_chars")), R.when(F.rlike("text", F.lit("[0-9]{16}")), "card-number", "text"), R.when(~F.col("lang").isin("en", "de", "fr"), "unknown-value", F.col("lang"))]
+    rows = R.explode_rules(documents, "documents", "doc_id", "lang", rules)
+    repeated = O.repeats_with_first(documents.select("doc_id", "lang", "h"), ["h"], "doc_id").select(*R.violation("documents", F.col("doc_id"), F.col("lang"), F.lit("repeated-text"), F.col("first_line")))
+    return rows.unionByName(repeated).groupBy("kind").agg(F.count("*").alias("n"), F.min("line").alias("first_line"))
+
+
+@query("""WITH t AS (SELECT event_id, CASE event_id % 7 WHEN 0 THEN 'shàng jí' WHEN 1 THEN '' WHEN 2 THEN ' hǎo' WHEN 3 THEN 'yījǐnr645guī' WHEN 4 THEN 'rт' WHEN 5 THEN 'Shuāng 11' ELSE 'a:b' END AS r FROM events)
+SELECT kind, count(*) AS n FROM (SELECT CASE WHEN r = '' THEN 'empty-pinyin' WHEN r LIKE ' %' THEN 'whitespace' WHEN r IN ('yījǐnr645guī', 'rт', 'a:b') THEN 'bad-pinyin' END AS kind FROM t) WHERE kind IS NOT NULL GROUP BY kind""")
+def reading_whitelist(spark: SparkSession, d: str) -> DataFrame:
+    """What readings may hold."""
+    samples = ["shàng jí", "", " hǎo", "yījǐnr645guī", "rт", "Shuāng 11", "a:b"]
+    reading = F.element_at(F.array(*(F.lit(s) for s in samples)), (F.col("event_id") % 7 + 1).cast("int"))
+    rows = read(spark, d, "events", "event_id").withColumn("pinyin", reading)
+    return R.explode_rules(rows, "events", "event_id", "pinyin", R.reading_rules("pinyin")).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("""WITH w AS (SELECT c_mktsegment AS word, c_nationkey AS trad, count(*) AS n, min(c_custkey) AS first_line, count(*) FILTER (c_custkey % 50 = 0) AS defaults FROM customer GROUP BY ALL)
+SELECT word, trad, n, first_line, CASE WHEN n > 1 AND defaults = 0 THEN 'missing-default' WHEN defaults > 1 THEN 'duplicate-default' ELSE 'ok' END AS kind FROM w""")
+def default_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Groups without a default, or with several."""
+    c = read(spark, d, "customer", "c_custkey", "c_mktsegment", "c_nationkey")
+    w = c.groupBy(F.col("c_mktsegment").alias("word"), F.col("c_nationkey").alias("trad")).agg(F.count("*").alias("n"), F.min("c_custkey").alias("first_line"), F.count_if(F.col("c_custkey") % 50 == 0).alias("k"))
+    kind = F.when((F.col("n") > 1) & (F.col("k") == 0), "missing-default").when(F.col("k") > 1, "duplicate-default").otherwise("ok")
+    return w.withColumn("kind", kind).drop("k")
+
+
+# --- logs, streams, containers --------------------------------------------------------------
+
+
+@query("""WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS r FROM lineitem)
+SELECT count(*) FILTER (r = 1) AS merged, count(*) FILTER (r > 1) AS repeated, CAST(sum(l_partkey) FILTER (r = 1) AS BIGINT) AS parts FROM a""")
+def merge_logs(spark: SparkSession, d: str) -> DataFrame:
+    """Logs merged, the first of repeated rows wins."""
+    lines = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    kept = O.keep_first(lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    merged = kept.agg(F.count("*").alias("merged"), F.sum("l_partkey").alias("parts"))
+    return merged.join(lines.agg(F.count("*").alias("total")), F.lit(True)).select("merged", (F.col("total") - F.col("merged")).alias("repeated"), "parts")
+
+
+@query("""WITH c AS (SELECT e.event_id, e.user_id, e.event_id % 3 + 1 AS choice, count(*) OVER (PARTITION BY e.user_id) AS n FROM events e), r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM c WHERE choice <= n AND choice < 3)
+SELECT user_id, event_id, choice FROM r WHERE k = 1""")
+def model_choice(spark: SparkSession, d: str) -> DataFrame:
+    """Choices within range, the first for each key."""
+    size = F.count("*").over(Window.partitionBy("user_id"))
+    c = read(spark, d, "events", "event_id", "user_id").withColumn("choice", F.col("event_id") % 3 + 1).withColumn("n", size)
+    return O.keep_first(c.where("choice <= n and choice < 3").drop("n"), ["user_id"], ["event_id"])
+
+
+@query("SELECT user_id, min(event_id) AS first_event, count(DISTINCT event_type) AS n FROM events GROUP BY user_id")
+def stream_resume(spark: SparkSession, d: str) -> DataFrame:
+    """An appended log followed by a stream that ends and goes on; first rows win."""
+    place = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    events = read(spark, d, "events", "event_id", "user_id", "event_type")
+    for part in (0, 1):
+        events.where(F.col("event_id") % 2 == part).repartition(2, "event_id").write.mode("append").json(f"{place}/log")
+        stream = follow_log(spark, f"{place}/log", "event_id bigint, user_id bigint, event_type string")
+        append_once(stream, ["user_id", "event_type", "event_id"], ["source"], f"{place}/held", f"{place}/checkpoint").awaitTermination()
+    held = spark.read.parquet(f"{place}/held")
+    return held.groupBy("user_id").agg(F.min("event_id").alias("first_event"), F.count_distinct("event_type").alias("n"))
+
+
+@query("SELECT event_id, user_id, event_type FROM events WHERE event_id % 5 = 0")
+def raw_deflate_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Rows through raw-DEFLATE blobs of JSON lines and back (S06-S08, K01): blobs are
+    packed and expanded in the tasks that hold them."""
+    events = read(spark, d, "events", "event_id", "user_id", "event_type").where("event_id % 5 = 0")
+    lines = events.select(F.to_json(F.struct("event_id", "user_id", "event_type")).alias("value"))
+
+    def there_and_back(batches):
+        for pdf in batches:
+            stream = zlib.compressobj(9, zlib.DEFLATED, -zlib.MAX_WBITS)
+            blob = stream.compress("".join(f"{v}\n" for v in pdf["value"]).encode()) + stream.flush()
+            chunks = (blob[a : a + 100] for a in range(0, len(blob), 100))
+            yield pd.DataFrame({"value": list(lines_of(chunks))})
+
+    packed = lines.mapInPandas(there_and_back, "value string")
+    return packed.select(F.from_json("value", "event_id bigint, user_id bigint, event_type string").alias("r")).select("r.*")
+
+
+@query("SELECT sha256(text) AS digest, count(*) AS n, min(doc_id) AS first_doc FROM documents GROUP BY 1")
+def content_digests(spark: SparkSession, d: str) -> DataFrame:
+    """Digests of contents."""
+    return read(spark, d, "documents", "doc_id", "text").groupBy(F.sha2(F.col("text"), 256).alias("digest")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
+
+
+@query("SELECT CAST(split_part(s, '/', 1) AS INTEGER) - 1 AS index, CAST(split_part(s, '/', 2) AS INTEGER) AS total, count(*) AS n FROM (SELECT (o_orderkey % 4 + 1) || '/4' AS s FROM orders) GROUP BY ALL")
+def shard_specs(spark: SparkSession, d: str) -> DataFrame:
+    """Shard specifications."""
+    index, total = O.parse_shard(F.concat(F.col("o_orderkey") % 4 + 1, F.lit("/4")))
+    return read(spark, d, "orders", "o_orderkey").groupBy(index.alias("index"), total.alias("total")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a、b' WHEN 1 THEN 'c、d' ELSE 'e' END AS text, event_id % 3 = 2 AS limited FROM events")
+def normalised_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Commas unified, ends trimmed, limit messages recognised."""
+    r = F.col("event_id") % 3
+    raw = F.when(r == 0, " a,b ").when(r == 1, "c，d　").otherwise("e")
+    message = F.when(r == 2, "Error: Rate limit reached").otherwise("fine")
+    return read(spark, d, "events", "event_id").select("event_id", T.normalised(raw).alias("text"), T.looks_rate_limited(message).alias("limited"))
