@@ -122,7 +122,8 @@ def pack_block(lengths: np.ndarray, window: int) -> list[list[tuple[int, int, in
             for n in sets[k]:
                 size, d, start = queues[n].pop()
                 take = min(size, window - at)
-                pieces.append((d, start, take))
+                if take:  # else the others fill the window by themselves
+                    pieces.append((d, start, take))
                 at += take
                 if take < size:
                     loose.append((size - take, d, start + take))
