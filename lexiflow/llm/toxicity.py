@@ -3,13 +3,12 @@
 Two models of words as sequences of characters, one of toxic and one of ordinary
 texts, differ in their higher orders only: the lower orders, and what the higher
 ones back off to, are shared counts of both classes, so expressions that are rare
-in a class count for little. A passage's evidence is the difference of the two
-log-likelihoods divided by its number of words; a text is as toxic as its most
-toxic passage, mapped to a probability by a logistic curve.
+in a class count for little. Evidence is the difference of the two log-likelihoods
+divided by the number of words, of the whole text, of its most toxic passages and
+of its most toxic words; a logistic curve maps it to a probability.
 
 The models are fitted on at most about `sample` labelled texts of each class,
-chosen by a hash of the id. Texts of equal least shingle hash count once, words
-once a text.
+chosen by a hash of the id; copies count once, and words once a text.
 
 Defined cases: null and empty texts, and texts without letters, get the score of
 no evidence; unlabelled rows teach nothing; if a class has no texts, every score is
@@ -20,12 +19,14 @@ table; rows with a null id are scored and teach nothing.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,11 @@ WORDS = re.compile(r"[^\W\d_]+")
 #: Characters in the longest n-gram; up to SHARED the counts of both classes are shared.
 ORDER, SHARED = 6, 3
 DISCOUNT = 0.8
-#: Words of a passage; texts a word must occur in to count for a class.
-PASSAGE, LEAST_TEXTS = 2, 2
+#: Words of the passages and numbers of the most toxic distinct words that are looked at.
+PASSAGES, MOST_TOXIC = (2, 8, 32), (1, 3, 6)
+FEATURES = 1 + len(PASSAGES) + len(MOST_TOXIC)
+#: Texts a word must occur in to count for a class; hashes by which copies are found.
+LEAST_TEXTS, COPY_KEYS = 2, 3
 #: Longer words are scored by so many of their characters at a time.
 LONGEST_WORD = 40
 ALPHABET = 256
@@ -136,69 +140,89 @@ class KneserNey:
 class Scorer:
     """Scores texts with a fitted model; remembers the evidence of words."""
 
-    def __init__(self, model: KneserNey | None, slope: float, offset: float):
-        self.model, self.slope, self.offset = model, slope, offset
+    def __init__(self, model: KneserNey | None, curve: Curve | None = None):
+        self.model, self.curve = model, curve
         self.known: PieceCache | None = None
 
-    def raw(self, texts: list[str]) -> Iterable[float]:
-        """The length-normalised evidence of each text's most toxic passage."""
+    def evidence(self, texts: list[str]) -> Iterable[list[float]]:
+        """The length-normalised evidence of each text: of all its words, of its most
+        toxic passages, and of its most toxic distinct words."""
         if self.known is None:
             self.known = PieceCache(CACHE_WORDS)
         split = [words_of(t) for t in texts]
         look = self.known.prepare(set(chain.from_iterable(split)), lambda new: self.model.evidence(new).tolist())
         for words in split:
-            sums = np.cumsum([0.0, *map(look, words)])
-            width = min(PASSAGE, len(words))
-            yield float((sums[width:] - sums[:-width]).max() / PASSAGE) if width else 0.0
+            if not words:
+                yield [0.0] * FEATURES
+                continue
+            values = list(map(look, words))
+            sums = np.concatenate([[0.0], np.cumsum(values)])
+            out = [float(sums[-1]) / len(words)]
+            for width in PASSAGES:
+                k = min(width, len(words))
+                out.append(float((sums[k:] - sums[:-k]).max()) / width)
+            top = heapq.nlargest(max(MOST_TOXIC), dict(zip(words, values)).values())
+            out += [sum(top[:k]) / k for k in MOST_TOXIC]
+            yield out
 
     def score(self, texts: list[str]) -> Iterable[tuple[float, float]]:
-        """(score from 0 to 1, evidence) of each text."""
+        """(score from 0 to 1, evidence of all words) of each text."""
         if self.model is None:
             return [(0.0, 0.0)] * len(texts)
-        return [(1 / (1 + float(np.exp(-np.clip(self.slope * x + self.offset, -30, 30)))), x) for x in self.raw(texts)]
+        found = np.array(list(self.evidence(texts))).reshape(-1, FEATURES)
+        return zip(self.curve(found).tolist(), found[:, 0].tolist())
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a weighted logistic regression with a light ridge."""
-    design, beta = np.c_[x, np.ones(x.size)], np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        curve = design.T @ (design * (weight * p * (1 - p))[:, None]) + np.diag([1e-2, 1e-3])
-        step = np.linalg.solve(curve, design.T @ (weight * (y - p)) - np.array([1e-2, 1e-3]) * beta)
-        beta += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
-            break
-    return float(beta[0]), float(beta[1])
+class Curve:
+    """A weighted logistic regression with a ridge, over standardised columns."""
 
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.3):
+        self.centre, self.spread = x.mean(0), x.std(0) + 1e-6
+        design = self._design(x)
+        penalty = np.r_[np.full(x.shape[1], ridge), 1e-3]
+        self.beta = np.zeros(design.shape[1])
+        for _ in range(60):
+            p = self._probability(design)
+            curve = design.T @ (design * (weight * p * (1 - p))[:, None]) + np.diag(penalty)
+            step = np.linalg.solve(curve, design.T @ (weight * (y - p)) - penalty * self.beta)
+            self.beta += np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-6:
+                break
 
-def shingle_key(words: list[str]) -> int:
-    """A least hash over five-word shingles: equal for most near copies."""
-    return min((hash_text(" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))), default=0)
+    def _design(self, x: np.ndarray) -> np.ndarray:
+        return np.c_[(x - self.centre) / self.spread, np.ones(len(x))]
 
+    def _probability(self, design: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(design @ self.beta, -30, 30)))
 
-def hash_text(text: str) -> int:
-    import xxhash
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return self._probability(self._design(x))
 
-    return xxhash.xxh64_intdigest(text) >> 1
 
+def copy_keys(words: list[str]) -> list[int]:
+    """Least hashes over five-word shingles: near copies agree in most of them."""
+    hashes = np.fromiter((xxhash.xxh64_intdigest(" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))), np.uint64)
+    with np.errstate(over="ignore"):
+        return [int((hashes * f >> np.uint64(1)).min()) for f in FACTORS[:COPY_KEYS]]
 
-def train(words: list[str], counts: np.ndarray, held: Callable[[int, Scorer], list[tuple[int, float]]], prior: float) -> Scorer:
+
+def train(words: list[str], counts: np.ndarray, held: Callable[[int, Scorer], list[tuple[int, list[float]]]], prior: float) -> Scorer:
     """A scorer from counts[word, fold, class], the texts that hold a word. `held` gives
     (class, evidence) of a fold's texts under a scorer that has not seen them; the
     curve is fitted to these, for a share `prior` of toxic texts."""
     total = counts.sum(1)
     if not len(words) or not (total.sum(0) > 0).all():
-        return Scorer(None, 0.0, 0.0)
-    found: list[tuple[int, float]] = []
+        return Scorer(None)
+    found: list[tuple[int, list[float]]] = []
     for fold in range(FOLDS):
         rest = total - counts[:, fold]
         if (rest.sum(0) > 0).all():
-            found += held(fold, Scorer(KneserNey(words, rest), 0.0, 0.0))
+            found += held(fold, Scorer(KneserNey(words, rest)))
     y, x = np.array([k for k, _ in found], float), np.array([v for _, v in found], float)
     if not y.size or not 0 < y.sum() < y.size:
-        return Scorer(None, 0.0, 0.0)
+        return Scorer(None)
     weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
-    return Scorer(KneserNey(words, total), *logistic(x, y, weight))
+    return Scorer(KneserNey(words, total), Curve(x, y, weight))
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 2000) -> Scorer:
@@ -208,7 +232,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     rows = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
     totals = {r["kind"]: r["n"] for r in marks.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
-        return Scorer(None, 0.0, 0.0)
+        return Scorer(None)
     draw = F.pmod(F.xxhash64("i"), F.lit(1 << 20)) / (1 << 20)
     share = F.when(F.col("kind") == 1, F.lit(min(1.0, sample / totals[1]))).otherwise(F.lit(min(1.0, sample / totals[0])))
     chosen = marks.where(draw < share)  # about twice `sample` ids
@@ -217,10 +241,13 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             split = [words_of(t) for t in batch.column(2).to_pylist()]
-            columns = [batch.column(0), batch.column(1), pa.array([shingle_key(w) for w in split], pa.int64()), pa.array([list(dict.fromkeys(w)) for w in split]), batch.column(2)]
-            yield pa.RecordBatch.from_arrays(columns, names=["fold", "kind", "key", "words", "t"])
+            keys = pa.array([copy_keys(w) for w in split], pa.list_(pa.int64()))
+            columns = [batch.column(0), batch.column(1), keys, pa.array([list(dict.fromkeys(w)) for w in split], pa.list_(pa.string())), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, names=["fold", "kind", "keys", "words", "t"])
 
-    parsed = drawn.select("fold", "kind", "t").mapInArrow(read, "fold int, kind int, key bigint, words array<string>, t string").dropDuplicates(["key"])
+    parsed = drawn.select("fold", "kind", "t").mapInArrow(read, "fold int, kind int, keys array<bigint>, words array<string>, t string")
+    for k in range(COPY_KEYS):
+        parsed = parsed.withColumn("key", F.get("keys", F.lit(k))).dropDuplicates(["key"])
     parsed = materialise(parsed)
     cells = [(fold, kind) for fold in range(FOLDS) for kind in (0, 1)]
     sums = (F.count_if((F.col("fold") == f) & (F.col("kind") == k)).alias(f"n{f}_{k}") for f, k in cells)
@@ -229,8 +256,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     counts = grouped.to_numpy(np.float32).reshape(-1, FOLDS, 2)
     del grouped
 
-    def held(fold: int, scorer: Scorer) -> list[tuple[int, float]]:
-        scored = map_texts(parsed.where(F.col("fold") == fold).select("kind", "t"), "kind", "t", "x double", lambda: lambda texts: ((x,) for x in scorer.raw(texts)))
+    def held(fold: int, scorer: Scorer) -> list[tuple[int, list[float]]]:
+        scored = map_texts(parsed.where(F.col("fold") == fold).select("kind", "t"), "kind", "t", "x array<double>", lambda: lambda texts: ((x,) for x in scorer.evidence(texts)))
         return [(r["kind"], r["x"]) for r in scored.collect()]
 
     scorer = train(words, counts, held, totals[1] / (totals[0] + totals[1]))
@@ -240,6 +267,6 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
 def score(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, evidence): how toxic each whole text is, from 0 to 1, and the
-    length-normalised evidence it rests on."""
+    length-normalised evidence of all its words."""
     shared = df.sparkSession.sparkContext.broadcast(scorer)  # as large as the bounded sample at most
     return map_texts(df, id_col, text_col, "score double, evidence double", lambda: shared.value.score)
