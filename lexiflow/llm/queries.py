@@ -56,10 +56,37 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(own)))
 
 
+OP4_SQL = r"""
+WITH own AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM own)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(14 + length(regexp_replace(role, '(\\|###|</turn>|:)', '\\\1', 'g')) + length(regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(t) > 1 THEN list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]) ELSE t END) AS shingle FROM w
+), n AS (SELECT w.doc_id, count(shingle) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+SELECT n.doc_id, n.n AS n_shingles, m.y AS component_id, n.doc_id = m.y AS kept FROM n JOIN (SELECT x, min(y) AS y FROM r GROUP BY x) m ON m.x = n.doc_id
+"""
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -89,4 +116,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_nearest": OP1_SQL}
+    """SQL for the queries that SQL can express."""
+    return {"op1_nearest": OP1_SQL, "op4_chat": OP4_SQL, "op5_minhash": OP5_SQL}
