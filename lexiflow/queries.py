@@ -684,9 +684,8 @@ SELECT count(*) FILTER (r = 1) AS merged, count(*) FILTER (r > 1) AS repeated, C
 def merge_logs(spark: SparkSession, d: str) -> DataFrame:
     """Logs merged, the first of repeated rows wins."""
     lines = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    kept = O.keep_first(lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
-    merged = kept.agg(F.count("*").alias("merged"), F.sum("l_partkey").alias("parts"))
-    return merged.join(lines.agg(F.count("*").alias("total")), F.lit(True)).select("merged", (F.col("total") - F.col("merged")).alias("repeated"), "parts")
+    merged = lines.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey"))["l_partkey"].alias("part"), F.count("*").alias("n"))
+    return merged.agg(F.count("*").alias("merged"), (F.sum("n") - F.count("*")).alias("repeated"), F.sum("part").alias("parts"))
 
 
 @query("""WITH c AS (SELECT e.event_id, e.user_id, e.event_id % 3 + 1 AS choice, count(*) OVER (PARTITION BY e.user_id) AS n FROM events e), r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM c WHERE choice <= n AND choice < 3)
