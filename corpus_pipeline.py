@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiflow.llm import langid, minhash, packing, pii, toxicity
-from lexiflow.llm.common import materialise, table, tokenizer_path
+from lexiflow.llm.common import discard, materialise, table, tokenizer_path
 from lexiflow.llm.queries import SEQUENCE_TOKENS, TOXIC_FROM, packing_digest
 
 #: Least share of its main language that a document must have.
@@ -74,9 +74,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table `documents`, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialise(docs)
-    return docs
+    docs, written = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir))
+        if written is not None:
+            discard(written)
+        written = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
