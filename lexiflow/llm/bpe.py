@@ -198,10 +198,13 @@ class PieceCache:
     def __init__(self, size: int = CACHE_PIECES, longest: int = CACHE_CHARS):
         self.young: dict = {}
         self.old: dict = {}
+        self.passing: list[str] = []  # long ones, kept until the next call
         self.size, self.longest = size, longest
 
     def prepare(self, pieces: set[str], learn: Callable[[list[str]], Iterable]) -> Callable[[str], object]:
         """A lookup that knows all of `pieces`; `learn` gives the values of new ones."""
+        for p in self.passing:
+            self.young.pop(p, None)
         if len(self.young) > self.size // 2:
             self.old, self.young = self.young, {}
         young = self.young
@@ -210,7 +213,7 @@ class PieceCache:
             young[p] = self.old[p]
         new = list(new.difference(young))
         young.update(zip(new, learn(new)))
-        self.young = {p: v for p, v in young.items() if len(p) <= self.longest} if max(map(len, new), default=0) > self.longest else young
+        self.passing = [p for p in new if len(p) > self.longest]
         return young.__getitem__
 
 

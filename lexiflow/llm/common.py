@@ -7,11 +7,12 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Texts are handed to vectorised code in slices of about so many characters.
-SLICE_CHARS = 4_000_000
+#: Texts are handed to vectorised code in slices of about so many bytes.
+SLICE_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,16 +62,16 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges (from, to) of consecutive texts holding about `most` characters each."""
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[str | None]]]:
+    """(from, to, texts) of consecutive texts of about `most` bytes; only these are turned
+    into Python strings at a time."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start = held = 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
-        if held >= most:
-            yield start, i + 1
+    for i, n in enumerate(sizes.tolist()):
+        held += n
+        if held >= most or i + 1 == len(sizes):
+            yield start, i + 1, texts.slice(start, i + 1 - start).to_pylist()
             start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
 
 
 def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Callable[[], Callable[[list[str]], Iterable[tuple]]], keep_null: bool = False) -> DataFrame:
@@ -91,9 +92,8 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Call
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                rows = list(work(texts[a:b]))
+            for a, b, texts in slices(batch.column(1)):
+                rows = list(work(texts))
                 columns = list(zip(*rows)) if rows else [[] for _ in range(len(arrow) - 1)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), *(pa.array(c, arrow.field(k + 1).type) for k, c in enumerate(columns))],

@@ -126,12 +126,12 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
         for batch in batches:
-            languages, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for language in set(languages):
-                own = [t for l, t in zip(languages, texts) if l == language]
-                total = found.setdefault(language, np.zeros(PLACES, np.int64))
-                for a, b in slices(own):
-                    total += np.bincount(trigrams(own[a:b])[0], minlength=PLACES)
+            languages = batch.column(0).to_pylist()
+            for a, b, texts in slices(batch.column(1)):
+                for language in set(languages[a:b]):
+                    own = [t for l, t in zip(languages[a:b], texts) if l == language]
+                    found.setdefault(language, np.zeros(PLACES, np.int64))
+                    found[language] += np.bincount(trigrams(own)[0], minlength=PLACES)
         for language, total in found.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([language] * at.size), pa.array(at), pa.array(total[at])], names=["l", "p", "n"])

@@ -37,7 +37,7 @@ from lexiflow.llm.common import slices, text_of
 #: A block ends once it holds so many tokens.
 BLOCK_TOKENS = 4_000_000
 UNITS_IN_WINDOW = 64
-CACHE_WORDS, LONGEST_CACHED = 600_000, 64
+CACHE_WORDS, LONGEST_CACHED = 400_000, 64
 #: Marks that are a word of their own after a letter.
 MARKS = ".,;:!?"
 #: Ids of a partition's sequences start at its number times this.
@@ -185,7 +185,7 @@ class WordIds:
         new = list({stem for stem, _ in stems}.difference(seen))
         ids = dict(zip(new, self._encode(new)))
         found = [(ids[stem] if stem in ids else seen[stem]) + self.marks.get(mark, b"") for stem, mark in stems]
-        seen.update(ids)
+        seen.update((stem, b) for stem, b in ids.items() if len(stem) <= LONGEST_CACHED)
         return found
 
     def encode(self, texts: list[str]) -> Iterable[bytes]:
@@ -231,9 +231,8 @@ def pack_documents(df: DataFrame, path: str, window: int = 2048, end_id: int = 1
             keys, held, tokens = [], [], 0
 
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                for ids in encoder.encode(texts[a:b]):
+            for a, b, texts in slices(batch.column(1)):
+                for ids in encoder.encode(texts):
                     held.append(ids + end)
                     tokens += len(held[-1]) // 4
                 keys.append(batch.column(0).slice(a, b - a))

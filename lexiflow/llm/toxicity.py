@@ -46,7 +46,7 @@ LEAST_TEXTS, COPY_KEYS = 2, 3
 LONGEST_WORD = 40
 ALPHABET = 256
 FACTORS = [np.uint64(pow(0x9E3779B97F4A7C15, n + 1, 1 << 64)) for n in range(ORDER)]
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Parts of the sample; the curve is fitted to each under a model of the others.
 FOLDS = 4
 
