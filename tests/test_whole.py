@@ -3,8 +3,9 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from lexiflow.queries import QUERIES
+from lexiflow.queries import QUERIES, native_rows
 
 DATA = os.environ.get("TEST_DATA", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -16,3 +17,10 @@ def test_all_events_take_part(spark):
     assert sorted(back.collect()) == sorted(events.select("event_id", "user_id", "event_type").collect())
     assert QUERIES["json_payload_all"](spark, DATA).count() == events.select("user_id").distinct().count()
     assert QUERIES["explode_parts_all"](spark, DATA).select("event_id").distinct().count() == events.count()
+
+
+def test_every_order_is_a_sense(spark):
+    orders = spark.read.parquet(f"{DATA}/orders.parquet").count()
+    assert native_rows(spark, DATA).agg(F.sum(F.size("senses"))).first()[0] == orders
+    assert QUERIES["common_map_all"](spark, DATA).agg(F.sum("n_senses")).first()[0] == orders
+    assert QUERIES["provenance_dim_all"](spark, DATA).agg(F.sum("n")).first()[0] == orders
