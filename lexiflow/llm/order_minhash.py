@@ -1,10 +1,11 @@
 """Order-sensitive fingerprints of texts, with DataFrame functions only.
 
 A text's k-mers of words are numbered by occurrence, hashed once and dealt to
-bins by the hash. From each bin the least hashes are selected, put back into the
-order of the text and hashed as a tuple, so that a bin agrees only where both the
-selected k-mers and their order do. The likeness of two fingerprints is the share
-of the bins, of those filled in either, that agree.
+bins by the hash. Each bin has an order of its own over all k-mers: first those
+dealt to it by their hash, then the others by a hash of that and the bin. The
+least in that order are selected, put back into the order of the text and hashed
+as a tuple, so that a bin agrees only where both the selected k-mers and their
+order do. The likeness of two fingerprints is the share of the bins that agree.
 
 Defined cases: a null text is the empty text; texts without words (no
 character but white space) have one k-mer, the text itself, so equal texts have
@@ -37,10 +38,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def signature(text: Column, k: int = 2, picked: int = 2) -> Column:
-    """array<bigint>, sorted: for each filled bin its number in the top bits and below
-    them the hash of the bin's `picked` least k-mers in the order of the text."""
+    """array<bigint>, sorted: for each bin its number in the top bits and below them the
+    hash of the bin's `picked` least k-mers in the order of the text."""
     place = F.lit((1 << PLACE_BITS) - 1).cast("bigint")
     hash_mask = F.lit((1 << (63 - PLACE_BITS)) - 1).cast("bigint")
+    low = F.lit((1 << (63 - BIN_BITS)) - 1).cast("bigint")
 
     def packed(value: Column, at: Column) -> Column:
         return F.shiftleft(value.bitwiseAND(hash_mask), PLACE_BITS).bitwiseOR(at)
@@ -68,24 +70,30 @@ def signature(text: Column, k: int = 2, picked: int = 2) -> Column:
         """The first `picked` of each bin."""
         return F.filter(s, lambda v, i: (i < picked) | (bin_of(F.get(s, i - picked)) != bin_of(v)))
 
-    def tuples(s: Column) -> Column:
-        """The bins in order: each bin's k-mers in the order of their places, as one hash."""
-        starts = F.filter(F.transform(s, lambda v, i: F.when((i == 0) | (bin_of(F.get(s, i - 1)) != bin_of(v)), i)), lambda i: i.isNotNull())
+    def tuple_of(own: Column, number: Column) -> Column:
+        """A bin's k-mers in the order of their places, as one hash."""
+        ordered = F.array_sort(F.transform(own, lambda v: F.struct(v.bitwiseAND(place).alias("at"), hashed(v).alias("hash"))))
+        return F.shiftleft(number, 63 - BIN_BITS).bitwiseOR(F.xxhash64(F.transform(ordered, lambda x: x["hash"])).bitwiseAND(low))
 
-        def joined(i: Column) -> Column:
-            first = F.get(s, i)
-            own = F.filter(F.slice(s, i + 1, picked), lambda v: bin_of(v) == bin_of(first))
-            ordered = F.array_sort(F.transform(own, lambda v: F.struct(v.bitwiseAND(place).alias("at"), hashed(v).alias("hash"))))
-            return F.shiftleft(bin_of(first), 63 - BIN_BITS).bitwiseOR(F.xxhash64(F.transform(ordered, lambda x: x["hash"])).bitwiseAND(F.lit((1 << (63 - BIN_BITS)) - 1).cast("bigint")))
+    def ranked(s: Column, number: Column) -> Column:
+        """The `picked` least of all k-mers in the order of a bin that holds fewer."""
+        other = lambda v: F.lit(1 << 62).bitwiseOR(packed(F.xxhash64(hashed(v), number).bitwiseAND(F.lit((1 << (62 - PLACE_BITS)) - 1)), v.bitwiseAND(place)))
+        return F.slice(F.sort_array(F.transform(s, lambda v: F.when(bin_of(v) == number, v.bitwiseAND(low)).otherwise(other(v)))), 1, picked)
 
-        return F.transform(starts, joined)
+    def tuples(every: Column, s: Column) -> Column:
+        """The bins in order: those with `picked` of their own, and those that need others."""
+        full = F.filter(F.transform(s, lambda v, i: F.when((i >= picked - 1) & (bin_of(F.get(s, i - picked + 1)) == bin_of(v)), i)), lambda i: i.isNotNull())
+        own = F.transform(full, lambda i: tuple_of(F.slice(s, i - picked + 2, picked), bin_of(F.get(s, i))))
+        bins = F.sequence(F.lit(0).cast("bigint"), F.lit((1 << BIN_BITS) - 1).cast("bigint"))
+        needy = F.array_except(bins, F.transform(full, lambda i: bin_of(F.get(s, i))))
+        return F.sort_array(F.concat(own, F.transform(needy, lambda n: tuple_of(ranked(every, n), n))))
 
     def words_of(t: Column) -> Column:
         words = F.filter(F.when(F.length(t) <= SHORT, F.split(t, "")).otherwise(F.split(t, "[ \t\n\r]")), lambda w: w != "")
         return let(words, lambda w: F.when(F.size(w) == 0, F.array(t)).when(F.size(w) < k, F.array(F.array_join(w, " "))).otherwise(F.slice(w, 1, F.size(w))))
 
     pairs = let(words_of(text), lambda w: F.sort_array(kmers(w)))
-    return let(let(let(pairs, lambda s: F.sort_array(occurrences(s))), least), tuples)
+    return let(let(pairs, lambda s: F.sort_array(occurrences(s))), lambda every: let(least(every), lambda s: tuples(every, s)))
 
 
 def likeness(a: Column, b: Column) -> Column:
