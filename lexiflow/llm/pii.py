@@ -42,7 +42,7 @@ FORMATS = re.compile(
     |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
     |(?P<address>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))
     |(?P<phone>(?<![\w+])(?:\+1[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\w))
-    |(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))""",
+    |(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?!\w|-(?!\d)))""",
     re.X,
 )
 
@@ -188,12 +188,14 @@ def phone(value: str, feistel: Feistel) -> str:
 def card(value: str, feistel: Feistel) -> str | None:
     """The first digit stays, the last is the check digit of the others."""
     digits = digits_of(value)
-    if not luhn(digits):
+    if len(digits) < 13 or not luhn(digits):
         return None
     body = digits[:1] + feistel.permute(digits[1:-1], [10] * (len(digits) - 2), f"card {digits[0]}")
     return with_digits(value, body + next([c] for c in range(10) if luhn([*body, c])))
 
 
+#: Where a value may end before its longest match does: before a separator.
+ENDS = {"card": re.compile(r"[ -]"), "iban": re.compile(" ")}
 KINDS: dict[str, Callable[[str, Feistel], str | None]] = {"email": email, "iban": iban, "secret": secret, "date": day, "ssn": ssn, "address": address, "phone": phone, "card": card}
 
 
@@ -210,17 +212,27 @@ class Pseudonymiser:
             return text, []
         out, spans, at, look = [], [], 0, 0
         while m := FORMATS.search(text, look):
-            fresh = self.of(m.lastgroup, m.group())
+            fresh, end = self.longest(m)
             if fresh is None:  # not valid: what begins within it may be
                 look = m.start() + 1
                 while look < len(text) and text[look].isalnum():
                     look += 1
                 continue
-            spans.append((m.lastgroup, m.start(), m.end()))
+            spans.append((m.lastgroup, m.start(), end))
             out += [text[at : m.start()], fresh]
-            at = look = m.end()
+            at = look = end
         return "".join([*out, text[at:]]), spans
 
+    def longest(self, m: re.Match) -> tuple[str | None, int]:
+        """The pseudonym of the longest valid value at a match's start, and its end."""
+        value, kind = m.group(), m.lastgroup
+        ends = [x.start() for x in ENDS[kind].finditer(value)] if kind in ENDS else []
+        for end in (len(value), *reversed(ends)):
+            fresh = self.of(kind, value[:end])
+            if fresh is not None:
+                return fresh, m.start() + end
+        return None, m.end()
+
 
 @functools.lru_cache(maxsize=4)
 def pseudonymiser(key: str) -> Pseudonymiser:
