@@ -27,8 +27,8 @@ from lexiflow.llm.common import map_texts, slices
 
 PLACES = 1 << 16
 UNKNOWN = "und"
-#: Added to each count; steps of expectation maximisation; the largest set.
-SMOOTHING, STEPS, MOST_LANGUAGES = 0.1, 12, 3
+#: Added to each count; steps of expectation maximisation.
+SMOOTHING, STEPS = 0.1, 12
 #: Log-likelihood that a further language must gain, in multiples of log(words) / 2.
 PENALTY = 8.0
 
@@ -85,7 +85,7 @@ class Mixture:
         rank = np.argsort(np.argsort(-shares, axis=1, kind="stable"), axis=1)
         best, chosen = np.full(seen.size, -np.inf), rank < 1
         cost = PENALTY * np.log(np.maximum(sizes, 2)) / 2
-        for m in range(1, min(MOST_LANGUAGES, len(self.languages)) + 1):
+        for m in range(1, len(self.languages) + 1):
             part = np.where(rank < m, shares, 0)
             part /= part.sum(1, keepdims=True)
             gain = np.add.reduceat(np.log(np.einsum("wk,wk->w", likely, part[row])), start) - m * cost
