@@ -62,18 +62,24 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[str | None]]]:
-    """(from, to, texts) of consecutive texts of about `most` bytes; only these are turned
-    into Python strings at a time."""
+def bounds_of(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(from, to) of consecutive texts of about `most` bytes."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start = held = 0
     for i, n in enumerate(sizes.tolist()):
         held += n
         if held >= most or i + 1 == len(sizes):
-            yield start, i + 1, texts.slice(start, i + 1 - start).to_pylist()
+            yield start, i + 1
             start, held = i + 1, 0
 
 
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[str | None]]]:
+    """(from, to, texts) of consecutive texts of about `most` bytes; only these are turned
+    into Python strings at a time."""
+    for a, b in bounds_of(texts, most):
+        yield a, b, texts.slice(a, b - a).to_pylist()
+
+
 def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Callable[[], Callable[[list[str]], Iterable[tuple]]], keep_null: bool = False) -> DataFrame:
     """Applies a per-worker function to slices of texts.
 

@@ -5,7 +5,7 @@ packing needs no shuffle and a lost task repeats only its own work. In a block,
 whole windows are cut off first; the remainders' lengths, in units of a 64th of
 the window, form a histogram. All combinations of two or three lengths that fill
 a window are enumerated, their repeat counts are solved against the histogram by
-non-negative least squares and rounded down to what is there; the last document
+non-negative least squares and rounded, as far as documents last; the last document
 of a combination is cut where the window ends. What remains is packed greedily:
 the longest piece that fits, else the shortest is cut. Only the last sequence of
 a block can be short; it is cut into sequences of powers of two, so that no
@@ -13,33 +13,42 @@ sequence needs padding.
 
 Defined cases: a null or empty text is a document of one token, the end id;
 repeated rows and documents of any length are packed as they come; an empty
-table gives an empty table; rows with a null id are kept.
+table gives an empty table; rows with a null id are kept; of pieces of equal length
+the one that came last is taken first, so a partition's result is always the same.
 """
 
 from __future__ import annotations
 
 import functools
 import os
+import re
 from array import array
 from bisect import bisect_right
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.llm.bpe import NOT_LATIN, PieceCache
-from lexiflow.llm.common import slices, text_of
+from lexiflow.llm.bpe import PieceCache
+from lexiflow.llm.common import bounds_of, text_of
 
 #: A block ends once it holds so many tokens.
 BLOCK_TOKENS = 4_000_000
 UNITS_IN_WINDOW = 64
-CACHE_WORDS, LONGEST_CACHED = 400_000, 64
-#: Marks that are a word of their own after a letter.
-MARKS = ".,;:!?"
+CACHE_WORDS, LONGEST_CACHED, RUNS_AT_ONCE = 800_000, 64, 20_000
+#: Bytes of text that are cut into words at a time.
+SLICE = 8_000_000
+# Letters that have one lower-case letter each, and signs that never
+# join what follows them.
+LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-įı-ɏ", r"!-&(-/:-@\[-`{-~"
+PLAIN = f"^[{LETTERS}0-9{SIGNS}]+$"
+RUNS = re.compile(f"[{LETTERS}]+|[0-9]|[{SIGNS}]+|\n")
+PROBE = "Straße,2024:(naïve)%%ÉTÉ--x7"
 #: Ids of a partition's sequences start at its number times this.
 SEQUENCES_OF_A_PARTITION = 1 << 36
 
@@ -57,14 +66,16 @@ def combinations(total: int) -> tuple[np.ndarray, list[tuple[int, ...]]]:
     return matrix, sets
 
 
-def nnls(matrix: np.ndarray, target: np.ndarray, rounds: int = 200) -> np.ndarray:
+def nnls(matrix: np.ndarray, target: np.ndarray) -> np.ndarray:
     """The x >= 0 that minimises |matrix x - target|, by an active-set method: the
-    column of steepest descent joins, and columns that would turn negative leave."""
+    column of steepest descent joins, and columns that would turn negative leave. It
+    ends at the optimum, or, where rounding keeps it from that, after three rounds a
+    column; any x is a plan, as what it leaves over is packed greedily."""
     normal, moment = matrix.T @ matrix, matrix.T @ target
     n = moment.size
     x, active = np.zeros(n), np.zeros(n, bool)
     tolerance = 1e-9 * max(1.0, np.abs(moment).max(initial=0))
-    for _ in range(rounds):
+    for _ in range(3 * n):
         gradient = np.where(active, -np.inf, moment - normal @ x)
         joins = int(gradient.argmax())
         if gradient[joins] <= tolerance:
@@ -157,9 +168,10 @@ def pack_block(lengths: np.ndarray, window: int) -> list[list[tuple[int, int, in
 
 
 class WordIds:
-    """Token ids of texts, as little-endian bytes, by the tokenizers library. A text's
-    ids are those of its parts between spaces, so each part is encoded once; parts
-    that differ in case or in a mark at their end share the ids of their letters."""
+    """Token ids of texts by the tokenizers library. A text's ids are those of its parts
+    between spaces, and each distinct part of a slice is looked at once. Parts of Latin
+    letters, digits and ASCII signs are runs of one of these each, whose ids are kept, so
+    the library sees every run once; any other part goes to it as it is."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -168,31 +180,64 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max([*vocab.values(), *self.tokenizer.get_added_tokens_decoder()]) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known = PieceCache(CACHE_WORDS, LONGEST_CACHED)
-        self.marks = dict(zip(MARKS, self._encode(list(MARKS))))
+        alike = self._whole([PROBE])[0] == b"".join(self._runs(RUNS.findall(PROBE.lower())))
+        self.plain = PLAIN if alike else "a^"  # a vocabulary that cuts words otherwise gets them whole
 
-    def _encode(self, words: list[str]) -> list[bytes]:
+    def _whole(self, words: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> list[bytes]:
-        stems = []
-        for w in words:
-            marked = w[-1:] in self.marks and w[-2:-1].isalpha() and w[-2] < "\u0250" and w[-2] != "İ"
-            stem = w[:-1] if marked else w
-            plain = stem.isalpha() and not NOT_LATIN.search(stem) and "İ" not in stem
-            stems.append((stem.lower() if plain else stem, w[-1] if marked else ""))
-        seen = self.known.young
-        new = list({stem for stem, _ in stems}.difference(seen))
-        ids = dict(zip(new, self._encode(new)))
-        found = [(ids[stem] if stem in ids else seen[stem]) + self.marks.get(mark, b"") for stem, mark in stems]
-        seen.update((stem, b) for stem, b in ids.items() if len(stem) <= LONGEST_CACHED)
-        return found
-
-    def encode(self, texts: list[str]) -> Iterable[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        ids = self.known.prepare(set(chain.from_iterable(split)), self._learn)
-        for parts in split:
-            yield b"".join(map(ids, parts))
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """Ids of runs: many in one text, cut behind each id that ends a word."""
+        out: list[bytes] = []
+        for a in range(0, len(runs), RUNS_AT_ONCE):
+            part = runs[a : a + RUNS_AT_ONCE]
+            ids = self._whole([" ".join(part)])[0]
+            ends = (np.flatnonzero(self.last[np.frombuffer(ids, "<u4")]) + 1) * 4
+            out += [ids[x:y] for x, y in zip([0, *ends.tolist()], ends.tolist())] if ends.size == len(part) else self._whole(part)
+        return out
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words, as bytes."""
+        plain = pc.match_substring_regex(words, self.plain)
+        for s in self.special:
+            plain = pc.and_(plain, pc.invert(pc.match_substring(words, s)))
+        runs = RUNS.findall("\n".join([*words.filter(plain).to_pylist(), ""]).lower())
+        odd = words.filter(pc.invert(plain)).to_pylist()
+        look = self.known.prepare({*runs, *odd}, self._learn)
+        known = list(map(look, runs))
+        sizes = np.cumsum(np.fromiter(map(len, known), np.int64, len(known)))
+        breaks = np.fromiter(map("\n".__eq__, runs), bool, len(runs))
+        ends = np.r_[0, sizes[breaks]]
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), ends.size - 1, [None, pa.py_buffer(ends), pa.py_buffer(b"".join(known))])
+        every = pa.concat_arrays([found, pa.array(list(map(look, odd)), pa.large_binary())])
+        mask = plain.to_numpy(zero_copy_only=False)
+        place = np.where(mask, np.cumsum(mask) - 1, mask.sum() + np.cumsum(~mask) - 1)
+        return every.take(pa.array(place))
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """Ids of runs and of other parts; a line feed, which parts them, has none."""
+        run = [RUNS.fullmatch(w) is not None and w != "\n" for w in new]
+        of_runs = iter(self._runs([w for w, r in zip(new, run) if r]))
+        of_others = iter(self._whole([w for w, r in zip(new, run) if not r]))
+        return [next(of_runs if r else of_others) for r in run]
+
+    def encode(self, texts: pa.Array, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, one after another, each closed by `end`; where each begins,
+        and the last ends)."""
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        first = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        coded = parts.flatten().dictionary_encode()
+        table = pa.concat_arrays([self._words(coded.dictionary), pa.array([end], pa.large_binary())])
+        places = np.insert(coded.indices.to_numpy(), first[1:], len(table) - 1)
+        flat = table.take(pa.array(places))
+        bounds = np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1)
+        ids = np.frombuffer(flat.buffers()[2], "<u4", bounds[-1] // 4)
+        return ids, bounds[first + np.arange(first.size)] // 4
 
 
 @functools.lru_cache(maxsize=2)
@@ -213,31 +258,39 @@ def pack_documents(df: DataFrame, path: str, window: int = 2048, end_id: int = 1
         encoder = word_ids(path)
         first = TaskContext.get().partitionId() * SEQUENCES_OF_A_PARTITION
         keys: list[pa.Array] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
+        starts: list[np.ndarray] = []
         tokens = used = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal keys, held, tokens, used
-            lengths = np.array([len(b) // 4 for b in held], np.int64)
+            nonlocal used
+            ids, tokens_of, begin = pa.concat_arrays(keys), np.concatenate(held), np.concatenate([*starts, [tokens]])
+            lengths = np.diff(begin)
             sequences = pack_block(lengths, window)
-            ids = pa.concat_arrays(keys)
-            rows = [(d, s, n, used + k, o) for k, pieces in enumerate(sequences) for (d, s, n), o in zip(pieces, np.cumsum([0] + [p[2] for p in pieces]).tolist())]
-            used += len(sequences)
-            for a in range(0, len(rows), 4000):
-                d, s, n, q, o = (np.array(c, np.int64) for c in zip(*rows[a : a + 4000]))
-                part = [held[x][4 * y : 4 * (y + z)] for x, y, z, *_ in rows[a : a + 4000]]
-                columns = [ids.take(pa.array(d)), pa.array(s), pa.array(n), pa.array(lengths[d]), pa.array(first + q), pa.array(o), pa.array(part, pa.binary())]
+            d, s, n = np.array(list(chain.from_iterable(sequences)), np.int64).T
+            q = np.repeat(np.arange(len(sequences)), [len(pieces) for pieces in sequences])
+            before = np.cumsum(n) - n
+            o = before - before[np.searchsorted(q, q)]
+            for a in range(0, len(d), 4000):
+                part = slice(a, a + 4000)
+                size = n[part]
+                ends = np.r_[0, np.cumsum(size)]
+                at = np.repeat(begin[d[part]] + s[part] - ends[:-1], size) + np.arange(ends[-1])
+                pieces = pa.BinaryArray.from_buffers(pa.binary(), size.size, [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(tokens_of[at])])
+                columns = [ids.take(pa.array(d[part])), *map(pa.array, (s[part], size, lengths[d[part]], first + used + q[part], o[part])), pieces]
                 yield pa.RecordBatch.from_arrays(columns, names=[id_col, "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
-            keys, held, tokens = [], [], 0
+            used += len(sequences)
 
         for batch in batches:
-            for a, b, texts in slices(batch.column(1)):
-                for ids in encoder.encode(texts):
-                    held.append(ids + end)
-                    tokens += len(held[-1]) // 4
+            for a, b in bounds_of(batch.column(1), SLICE):
+                found, begin = encoder.encode(batch.column(1).slice(a, b - a), end)
                 keys.append(batch.column(0).slice(a, b - a))
+                held.append(found)
+                starts.append(begin[:-1] + tokens)
+                tokens += found.size
                 if tokens >= BLOCK_TOKENS:
                     yield from flush()
+                    keys, held, starts, tokens = [], [], [], 0
         if held:
             yield from flush()
 

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,8 +95,9 @@ def test_word_ids_equal_the_library():
     library, words, rng = tokenizers.Tokenizer.from_file(WORDS), packing.WordIds(WORDS), random.Random(3)
     parts = ["a", "The", " ", "  ", "\n", "\t", ".", ",", "!!", "?", "it's", "I'LL", "É", "ß", "İ", "Σ", "ΣΑΣ", "1", "23.", "́", "<|endoftext|>", "<|ENDOFTEXT|>", "日本。", "\x1c", "ﬁ", "Ǆ.", "..."]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
-    for text, ids in zip(texts, words.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    ids, begin = words.encode(pa.array(texts), np.array([7], "<u4").tobytes())
+    for text, a, b in zip(texts, begin, begin[1:]):
+        assert ids[a:b].tolist() == [*library.encode(text, add_special_tokens=False).ids, 7]
 
 
 @pytest.mark.parametrize("lengths", [[], [1], [2048], [5000, 1, 1, 700], [1] * 50, list(range(1, 3000, 7)), [1024] * 9, [64] * 100])
