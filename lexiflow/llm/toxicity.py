@@ -12,8 +12,10 @@ chosen by a hash of the id; copies count once, and words once a text.
 
 Defined cases: null and empty texts, and texts without letters, get the score of
 no evidence; unlabelled rows teach nothing; if a class has no texts, every score is
-0; a label that is given twice counts as toxic if either says so. Very long texts
-are read whole; repeated rows are scored alike; an empty table gives an empty
+0; a label that is given twice counts as toxic if either says so, and a label whose
+id is not among the rows counts for nothing. Very long texts are read whole;
+repeated rows are scored alike, and of copies the one of the least id teaches, so
+the same rows in any order give the same model; an empty table gives an empty
 table; rows with a null id are scored and teach nothing.
 """
 
@@ -40,8 +42,12 @@ DISCOUNT = 0.8
 #: Words of the passages and numbers of the most toxic distinct words that are looked at.
 PASSAGES, MOST_TOXIC = (2, 8, 32), (1, 3, 6)
 FEATURES = 1 + len(PASSAGES) + len(MOST_TOXIC)
-#: Texts a word must occur in to count for a class; hashes by which copies are found.
-LEAST_TEXTS, COPY_KEYS = 2, 3
+#: Texts a word must occur in to count for a class.
+LEAST_TEXTS = 2
+#: Copies share a band of so many least hashes: of two texts of similarity 0.9 with a
+#: chance of 0.99, of 0.2 with one of 0.006.
+COPY_BANDS, BAND_HASHES = 4, 4
+COPY_FACTORS = [np.uint64(pow(0xD1342543DE82EF95, n + 1, 1 << 64)) for n in range(COPY_BANDS * BAND_HASHES)]
 #: Longer words are scored by so many of their characters at a time.
 LONGEST_WORD = 40
 ALPHABET = 256
@@ -200,10 +206,11 @@ class Curve:
 
 
 def copy_keys(words: list[str]) -> list[int]:
-    """Least hashes over five-word shingles: near copies agree in most of them."""
+    """Bands of least hashes over five-word shingles."""
     hashes = np.fromiter((xxhash.xxh64_intdigest(" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))), np.uint64)
     with np.errstate(over="ignore"):
-        return [int((hashes * f >> np.uint64(1)).min()) for f in FACTORS[:COPY_KEYS]]
+        least = [int((hashes * f >> np.uint64(1)).min()) for f in COPY_FACTORS]
+    return [xxhash.xxh64_intdigest(repr(least[k::COPY_BANDS])) >> 1 for k in range(COPY_BANDS)]
 
 
 def train(words: list[str], counts: np.ndarray, held: Callable[[int, Scorer], list[tuple[int, list[float]]]], prior: float) -> Scorer:
@@ -225,13 +232,26 @@ def train(words: list[str], counts: np.ndarray, held: Callable[[int, Scorer], li
     return Scorer(KneserNey(words, total), Curve(x, y, weight))
 
 
+def without_copies(parsed: DataFrame) -> DataFrame:
+    """Of rows (i, digest, keys) that share a band the one of the least id, and of the
+    least digest among rows of one id."""
+    kept = parsed.select("i", "digest", "keys").distinct()
+    for k in range(COPY_BANDS):
+        kept = kept.groupBy(F.get("keys", F.lit(k)).alias("k")).agg(F.min(F.struct("i", "digest", "keys")).alias("r")).select("r.*")
+    return kept.select("i", "digest")
+
+
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 2000) -> Scorer:
-    """Learns from the rows of `df` that `labels` (id, 0 or 1) marks. What reaches the
-    driver are words of at most about `sample` texts of each class."""
-    marks = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("kind")).where("i is not null and kind in (0, 1)").groupBy("i").agg(F.max("kind").alias("kind"))
+    """Learns from the rows of `df` that `labels` (id, 0 or 1) marks; labels of other ids
+    count for nothing. What reaches the driver are words of at most about `sample` texts
+    of each class."""
+    given = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("kind")).where("i is not null and kind in (0, 1)")
+    there = df.select(F.col(id_col).alias("i"))
+    marks = materialise(given.groupBy("i").agg(F.max("kind").alias("kind")).join(there, "i", "left_semi"))
     rows = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
     totals = {r["kind"]: r["n"] for r in marks.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
+        discard(marks)
         return Scorer(None)
     draw = F.pmod(F.xxhash64("i"), F.lit(1 << 20)) / (1 << 20)
     share = F.when(F.col("kind") == 1, F.lit(min(1.0, sample / totals[1]))).otherwise(F.lit(min(1.0, sample / totals[0])))
@@ -240,15 +260,16 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            split = [words_of(t) for t in batch.column(2).to_pylist()]
+            split = [words_of(t) for t in batch.column(4).to_pylist()]
             keys = pa.array([copy_keys(w) for w in split], pa.list_(pa.int64()))
-            columns = [batch.column(0), batch.column(1), keys, pa.array([list(dict.fromkeys(w)) for w in split], pa.list_(pa.string())), batch.column(2)]
-            yield pa.RecordBatch.from_arrays(columns, names=["fold", "kind", "keys", "words", "t"])
-
-    parsed = drawn.select("fold", "kind", "t").mapInArrow(read, "fold int, kind int, keys array<bigint>, words array<string>, t string")
-    for k in range(COPY_KEYS):
-        parsed = parsed.withColumn("key", F.get("keys", F.lit(k))).dropDuplicates(["key"])
-    parsed = materialise(parsed)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], keys, pa.array([list(dict.fromkeys(w)) for w in split], pa.list_(pa.string())), batch.column(4)], names=names)
+
+    id_type = df.schema[id_col].dataType.simpleString()
+    names = ["i", "fold", "kind", "digest", "keys", "words", "t"]
+    parsed = drawn.select("i", "fold", "kind", F.xxhash64("t").alias("digest"), "t").mapInArrow(read, f"i {id_type}, fold int, kind int, digest bigint, keys array<bigint>, words array<string>, t string")
+    every = materialise(parsed.dropDuplicates(["i", "digest"]))
+    parsed = materialise(every.join(without_copies(every), ["i", "digest"], "left_semi"))
+    discard(every, marks)
     cells = [(fold, kind) for fold in range(FOLDS) for kind in (0, 1)]
     sums = (F.count_if((F.col("fold") == f) & (F.col("kind") == k)).alias(f"n{f}_{k}") for f, k in cells)
     grouped = parsed.select("fold", "kind", F.explode("words").alias("w")).groupBy("w").agg(*sums).orderBy("w").toPandas()
@@ -258,7 +279,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
     def held(fold: int, scorer: Scorer) -> list[tuple[int, list[float]]]:
         scored = map_texts(parsed.where(F.col("fold") == fold).select("kind", "t"), "kind", "t", "x array<double>", lambda: lambda texts: ((x,) for x in scorer.evidence(texts)))
-        return [(r["kind"], r["x"]) for r in scored.collect()]
+        return sorted((r["kind"], r["x"]) for r in scored.collect())
 
     scorer = train(words, counts, held, totals[1] / (totals[0] + totals[1]))
     discard(parsed)
