@@ -7,7 +7,8 @@ the highest likelihood less a penalty for each language. Models are fitted on at
 most about `sample` texts of each language (chosen by a hash of the id).
 
 Defined cases: a null text, or one without letters, is `und` with score 0; so is
-every text if nothing could be learned. Rows without a language teach nothing.
+every text if nothing could be learned. Marks count as parts of words that have a
+letter, not by themselves. Languages of equal share are taken in alphabetical order. Rows without a language teach nothing.
 Very long texts are read whole; repeated rows are treated alike; an empty table
 gives an empty table; rows with a null id are kept and teach nothing.
 """
@@ -27,32 +28,42 @@ from lexiflow.llm.common import map_texts, slices
 
 PLACES = 1 << 16
 UNKNOWN = "und"
-#: Added to each count; steps of expectation maximisation.
-SMOOTHING, STEPS = 0.1, 12
+#: Added to each count.
+SMOOTHING = 0.1
+#: Expectation maximisation of a text ends when no share moves by more than this, or
+#: after so many steps.
+SETTLED, MOST_STEPS = 1e-4, 200
 #: Log-likelihood that a further language must gain, in multiples of log(words) / 2.
 PENALTY = 8.0
 
 
 @functools.lru_cache(maxsize=1)
-def letter_codes() -> np.ndarray:
-    """For each code point its lower-case letter, or 0 if it is no letter or mark."""
-    codes = np.zeros(0x110000, np.uint32)
+def letter_codes() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point its lower-case letter, or 0 if it is no letter or mark; and
+    whether it is a letter."""
+    codes, is_letter = np.zeros(0x110000, np.uint32), np.zeros(0x110000, bool)
     every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-    for m in regex.finditer(r"[\p{L}\p{M}]", every):
+    for m in regex.finditer(r"(\p{L})|\p{M}", every):
         lower = m.group().lower()
         codes[ord(m.group())] = ord(lower) if len(lower) == 1 else ord(m.group())
-    return codes
+        is_letter[ord(m.group())] = m.group(1) is not None
+    return codes, is_letter
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place of the trigram around each letter, first letter of each word, text of each word)."""
     points = np.frombuffer("\x00".join(["", *texts, ""]).encode("utf-32-le", "replace"), np.uint32)
     sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-    codes = letter_codes()[points]
+    lower, is_letter = letter_codes()
+    codes = lower[points]
     text_at = np.concatenate([[0], np.repeat(np.arange(len(texts)), sizes), [0] * (points.size - 1 - int(sizes.sum()))]).astype(np.int64)
     letter = codes > 0
     letter[0] = letter[-1] = False
     inside = np.flatnonzero(letter)
+    if inside.size:  # runs of marks alone are no words
+        begins = np.flatnonzero(~letter[inside - 1])
+        word = np.logical_or.reduceat(is_letter[points[inside]], begins)
+        inside = inside[np.repeat(word, np.diff(np.r_[begins, inside.size]))]
     if not inside.size:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
@@ -99,12 +110,22 @@ class Mixture:
 
     @staticmethod
     def _fit(likely: np.ndarray, row: np.ndarray, start: np.ndarray, sizes: np.ndarray, allowed: np.ndarray) -> np.ndarray:
-        shares = allowed / allowed.sum(1, keepdims=True)
-        for _ in range(STEPS):
+        """Shares of the allowed languages in each text; texts that have settled are set
+        aside once they are half of those at work."""
+        found = allowed / allowed.sum(1, keepdims=True)
+        at, shares = np.arange(len(found)), found
+        for _ in range(MOST_STEPS):
             part = likely * shares[row].astype(np.float32)
             part /= np.maximum(part.sum(1, keepdims=True), 1e-30)
-            shares = np.add.reduceat(part, start, axis=0) / sizes[:, None]
-        shares = np.where(allowed, np.maximum(shares, 1e-12), 0)
+            fresh = np.add.reduceat(part, start, axis=0) / sizes[:, None]
+            moving = np.abs(fresh - shares).max(1) > SETTLED
+            shares = found[at] = fresh
+            if not moving.any():
+                break
+            if 2 * moving.sum() <= moving.size:
+                at, shares, likely, sizes = at[moving], shares[moving], likely[moving[row]], sizes[moving]
+                start, row = np.cumsum(sizes) - sizes, np.repeat(np.arange(sizes.size), sizes)
+        shares = np.where(allowed, np.maximum(found, 1e-12), 0)
         return shares / shares.sum(1, keepdims=True)
 
 
