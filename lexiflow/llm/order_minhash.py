@@ -1,7 +1,8 @@
 """Order-sensitive fingerprints of texts, with DataFrame functions only.
 
-A text's k-mers of words are numbered by occurrence, hashed once and dealt to
-bins by the hash. Each bin has an order of its own over all k-mers: first those
+A text's tokens are its runs between white space, cut into parts of at most PART
+characters, so texts without spaces have many too. Its k-mers of tokens are numbered
+by occurrence, hashed once and dealt to bins by the hash. Each bin has an order of its own over all k-mers: first those
 dealt to it by their hash, then the others by a hash of that and the bin. The
 least in that order are selected, put back into the order of the text and hashed
 as a tuple, so that a bin agrees only where both the selected k-mers and their
@@ -9,10 +10,11 @@ order do. The likeness of two fingerprints is the share of the bins that agree.
 
 Defined cases: a null text is the empty text; texts without words (no
 character but white space) have one k-mer, the text itself, so equal texts have
-equal fingerprints; texts of fewer than k words have one k-mer. Very long texts
-take time in proportion to n log n of their words. Rows with equal ids follow one
-another in the order of their texts; rows with a null id come first. An empty
-table gives an empty table.
+equal fingerprints; texts of fewer than k tokens have one k-mer. Texts of any length
+are cut in the same way; very long ones take time in proportion to n log n of their
+tokens. Rows with equal ids follow one another in the order of a hash of their texts,
+then of the texts; equal rows in any order; rows with a null id come first. A single
+row's next row is itself. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -24,12 +26,12 @@ from pyspark.sql import functions as F
 
 from lexiflow.llm.common import text_of
 
-#: Bits that hold a k-mer's place in its text, and bits that choose its bin.
-PLACE_BITS, BIN_BITS = 24, 6
-#: Texts of at most so many characters are taken as words of one character each.
-SHORT = 64
-#: Rows whose next one is looked for together: those with equal id >> this.
-GROUP_BITS = 7
+#: Bits that hold a k-mer's place in its text (no array is longer), and that choose its bin.
+PLACE_BITS, BIN_BITS = 31, 6
+#: Most characters of a token.
+PART = 8
+#: Groups of neighbouring rows for each shuffle partition, and sampled rows for each group.
+GROUPS, SAMPLED = 4, 10
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -89,7 +91,7 @@ def signature(text: Column, k: int = 2, picked: int = 2) -> Column:
         return F.sort_array(F.concat(own, F.transform(needy, lambda n: tuple_of(ranked(every, n), n))))
 
     def words_of(t: Column) -> Column:
-        words = F.filter(F.when(F.length(t) <= SHORT, F.split(t, "")).otherwise(F.split(t, "[ \t\n\r]")), lambda w: w != "")
+        words = F.regexp_extract_all(t, F.lit(f"([^ \\t\\n\\r]{{1,{PART}}})"), F.lit(1))
         return let(words, lambda w: F.when(F.size(w) == 0, F.array(t)).when(F.size(w) < k, F.array(F.array_join(w, " "))).otherwise(F.slice(w, 1, F.size(w))))
 
     pairs = let(words_of(text), lambda w: F.sort_array(kmers(w)))
@@ -112,27 +114,41 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return df.select(F.col(id_col), signature(text_of(text_col), k, picked).alias("signature"))
 
 
+def bounds_of_groups(keys: DataFrame, groups: int) -> list:
+    """At most `groups` - 1 values that part the rows of `keys` (key) into about equal
+    groups, from a sample of about SAMPLED rows a group."""
+    n = keys.count()
+    if groups < 2 or not n:
+        return []
+    found = [r["key"] for r in keys.sample(min(1.0, SAMPLED * groups / n), seed=11).sort("key").collect()]
+    return sorted({found[len(found) * k // groups] for k in range(1, groups)}) if found else []
+
+
 def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Adds next_<column>: the value in the row with the next greater (id, text), for
-    the last row the first's. Texts move once: rows meet in groups of nearby ids; only
-    each group's first row is sent on, to the row before it. Needs columns id, text."""
-    group = F.shiftright(F.coalesce(F.col("id"), F.lit(-(1 << 62))), GROUP_BITS)
-    rows = rows.withColumn("g", group)
-    in_group = Window.partitionBy("g").orderBy("id", "text")
+    """Adds next_<column>: the value in the row that follows by id, for the last row the
+    first's. Needs columns id, text and digest. Sampled bounds deal the rows to groups of
+    neighbours, whatever the ids are like; a row's text moves once, with its group, and
+    only the first row of each group is sent on, to the last one of the group before."""
+    key = F.struct(F.col("id").isNotNull().alias("known"), F.coalesce("id", F.lit(0)).cast("bigint").alias("i"), "digest", F.monotonically_increasing_id().alias("m"))
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = bounds_of_groups(rows.select(key.alias("key")), GROUPS * partitions)
+    group = F.lit(0)
+    if bounds:
+        literal = lambda b: F.struct(*(F.lit(v).alias(n) for n, v in b.asDict().items()))
+        every = F.array(*map(literal, bounds))
+        jumps = F.array(*(F.lit(1 << bit) for bit in reversed(range(len(bounds).bit_length()))))
+        # how many bounds are not above the key, by halving
+        group = F.aggregate(jumps, F.lit(0), lambda n, jump: F.when((n + jump <= len(bounds)) & (F.get(every, n + jump - 1) <= F.col("key")), n + jump).otherwise(n))
+    rows = rows.withColumn("key", key).withColumn("g", group)
+    in_group = Window.partitionBy("g").orderBy("key", "text")
     marks = [F.lag(F.lit(True)).over(in_group).alias("after_one"), F.lead(F.lit(True)).over(in_group).alias("before_one")]
     held = rows.select("*", *(F.lead(c).over(in_group).alias(f"next_{c}") for c in columns), *marks)
-    # which group follows which: within spans of groups, then across spans
-    groups = rows.select("g").distinct().withColumn("span", F.shiftright("g", 10))
-    in_span = Window.partitionBy("span").orderBy("g")
-    groups = groups.withColumn("after", F.lead("g").over(in_span))
-    spans = groups.groupBy("span").agg(F.min("g").alias("first"))
-    every = Window.orderBy("span")
-    spans = spans.select("span", F.coalesce(F.lead("first").over(every), F.first("first").over(every)).alias("next_span"))
-    groups = groups.join(spans, "span").select("g", F.coalesce("after", "next_span").alias("after"))
     firsts = held.where("after_one is null").select(F.col("g").alias("after"), F.struct(*columns).alias("row"))
-    follow = groups.join(firsts, "after").select(F.col("g").alias("of"), "row")
+    every_group = Window.orderBy("after")  # over a row a group
+    order = firsts.select("after").select(F.coalesce(F.lag("after").over(every_group), F.max("after").over(every_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("of"), "after")
+    follow = order.join(firsts, "after").select("of", "row")
     ends = held.join(follow, F.col("g") == F.col("of"), "left")
-    return ends.select(*(c for c in rows.columns if c != "g"), *(F.when(F.col("before_one"), F.col(f"next_{c}")).otherwise(F.col("row")[c]).alias(f"next_{c}") for c in columns))
+    return ends.select(*(c for c in rows.columns if c not in ("g", "key")), *(F.when(F.col("before_one"), F.col(f"next_{c}")).otherwise(F.col("row")[c]).alias(f"next_{c}") for c in columns))
 
 
 def edit_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -140,7 +156,7 @@ def edit_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     from the start of the next text): both fingerprints, the digest of the edited
     text, and the likeness to it and to the next text."""
     rows = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    rows = rows.withColumn("signature", signature(F.col("text")))
+    rows = rows.withColumn("digest", F.xxhash64("text")).withColumn("signature", signature(F.col("text")))
     both = with_next(rows, ["text", "signature"])
     half = F.floor(F.length("text") / 2)
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.expr("substring(next_text, 1, cast(floor(length(text) / 2) as int))"))
