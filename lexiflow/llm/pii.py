@@ -8,9 +8,15 @@ valid it is permuted again (cycle walking), so the pseudonym is valid too and th
 mapping stays one-to-one. Separators stay. Equal values get equal pseudonyms in
 all documents, whatever their separators, as long as the key is the same.
 
+What is found: e-mail addresses, IBANs, access keys that begin with AKIA or ASIA,
+what is assigned to names like password, token, secret or api key, dates of four
+written forms, social security numbers, IPv4 addresses, phone and card numbers.
+
 Defined cases: a null text stays null; empty texts and texts without such values
 stay as they are; very long texts are read whole; repeated rows are treated
-alike; an empty table gives an empty table; rows with a null id are kept.
+alike; of values that overlap the one that begins first holds, and of those that
+begin together the kind listed first; an empty table gives an empty table; rows with
+a null id are kept.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ import hashlib
 import re
 import string
 from collections.abc import Callable, Iterator
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame
 
@@ -30,14 +36,27 @@ ROUNDS = 10
 #: Most walks along a cycle; the share of valid outcomes is over a tenth for each kind.
 MOST_WALKS = 10_000
 DEMO_KEY = "public demonstration key"  # pass your own
-FIRST_DAY, DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
-
-CANDIDATE = re.compile(r"[0-9@]")
-# Written formats of the kinds of values.
+#: Dates are permuted within spans of so many years, one of which begins in 1900.
+SPAN_YEARS, DAY_RADIX = 200, 272
+
+# Lengths of account numbers (IBAN) by country.
+IBAN_LENGTHS = dict(
+    AD=24, AE=23, AL=28, AT=20, AZ=28, BA=20, BE=16, BG=22, BH=22, BR=29, BY=28, CH=21, CR=22, CY=28, CZ=24, DE=22, DK=18, DO=28,
+    EE=20, EG=29, ES=24, FI=18, FO=18, FR=27, GB=22, GE=22, GI=23, GL=18, GR=27, GT=28, HR=21, HU=28, IE=22, IL=23, IQ=23, IS=26,
+    IT=27, JO=30, KW=30, KZ=20, LB=28, LC=32, LI=21, LT=20, LU=20, LV=21, LY=25, MC=27, MD=24, ME=22, MK=19, MR=27, MT=31, MU=30,
+    NL=18, NO=15, PK=24, PL=28, PS=29, PT=25, QA=29, RO=24, RS=22, SA=24, SC=31, SD=18, SE=24, SI=19, SK=24, SM=27, ST=25, SV=28,
+    TL=23, TN=24, TR=26, UA=29, VA=22, VG=24, XK=20,
+)
+#: A text without any of these holds no value.
+CANDIDATE = re.compile(r"[0-9@]|AKIA|ASIA|[pP][aA][sS][sS]|[pP][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[kK][eE][yY]")
+# Written formats of the kinds of values. A secret is an access key, or what
+# is assigned to a name of secrets: hexadecimal digits, or signs with a digit among them.
 FORMATS = re.compile(
     r"""(?P<email>(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})
-    |(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w))
-    |(?P<secret>(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)|(?<=password=)[0-9a-f]{12,64}(?!\w)|(?<=token[ ]=[ ]")[0-9a-f]{12,64}(?=")|(?<=token=)[0-9a-f]{12,64}(?!\w))
+    |(?P<iban>(?<!\w)[A-Za-z]{2}\d{2}(?:[ ]?[A-Za-z0-9]{4}){2,7}(?:[ ]?[A-Za-z0-9]{1,3})?(?!\w))
+    |(?P<key>(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w))
+    |(?<![A-Za-z])(?i:password|passwd|passphrase|pwd|secret|token|(?:api|access|auth|private|secret)[_ -]?key)["']?[ ]{0,2}(?:=>|[:=])[ ]{0,2}["']?
+     (?P<secret>(?:[0-9a-f]{12,64}|[0-9A-F]{12,64}|(?=[A-Za-z+/_-]{0,40}\d)[A-Za-z0-9+/_-]{8,200})(?![\w+/-]))
     |(?P<date>(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w-]|\.\d))
     |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
     |(?P<address>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))
@@ -116,39 +135,51 @@ def email(value: str, feistel: Feistel) -> str:
     return f"{fpe_text(name, feistel, 'email ' + domain)}@{domain}"
 
 
+def access_key(value: str, feistel: Feistel) -> str:
+    return value[:4] + fpe_text(value[4:], feistel, "key")
+
+
 def secret(value: str, feistel: Feistel) -> str:
-    prefix = value[:4] if value[:4] in ("AKIA", "ASIA") else ""
-    if prefix:
-        return prefix + fpe_text(value[4:], feistel, "secret")
-    symbols = feistel.permute([int(c, 16) for c in value], [16] * len(value), "secret")
-    return "".join(f"{s:x}" for s in symbols)
+    """Hexadecimal digits of one case stay such; other signs stay in their classes."""
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", value):
+        symbols = feistel.permute([int(c, 16) for c in value], [16] * len(value), "secret")
+        text = "".join(f"{s:x}" for s in symbols)
+        return text.upper() if value.upper() == value else text
+    return fpe_text(value, feistel, "secret")
 
 
 def iban(value: str, feistel: Feistel) -> str | None:
-    plain = value.replace(" ", "")
-    if not 15 <= len(plain) <= 34 or iban_remainder(plain) != 1:
+    """Equal numbers get the same pseudonym in any case and spacing. Numbers of countries
+    that the table lacks are known by their remainder, if they are in capitals."""
+    plain = value.replace(" ", "").upper()
+    known = IBAN_LENGTHS.get(plain[:2])
+    fits = len(plain) == known if known else 15 <= len(plain) <= 34 and value.upper() == value
+    if not fits or iban_remainder(plain) != 1:
         return None
     body = fpe_text(plain[4:], feistel, "iban " + plain[:2])
     fresh = iter(f"{plain[:2]}{98 - iban_remainder(plain[:2] + '00' + body):02d}{body}")
-    return "".join(c if c == " " else next(fresh) for c in value)
+    moved = "".join(c if c == " " else next(fresh) for c in value)
+    return moved if value.upper() == value else moved.lower()
 
 
 def day(value: str, feistel: Feistel) -> str | None:
-    """Dates of the years 1900 to 2099; of two readings of day and month the one
-    with the day first holds, if it is a date."""
+    """Dates of the calendar, moved within their span of years; of two readings of day
+    and month the one with the day first holds, if it is a date."""
     parts = [int(p) for p in re.split(r"[-/.]", value)]
     first = value[4:5] in "-/" and len(value.split(value[4])[0]) == 4
     orders = [(0, 1, 2)] if first else [(2, 1, 0), (2, 0, 1)] if "/" in value else [(2, 1, 0)]
     for order in orders:
         try:
-            number = (date(*(parts[k] for k in order)) - FIRST_DAY).days
+            given = date(*(parts[k] for k in order))
         except ValueError:
             continue
-        if not 0 <= number < DAYS:
-            return None
-        ok = lambda s: s[0] * 272 + s[1] < DAYS
-        high, low = feistel.walk(list(divmod(number, 272)), [272, 272], "date", ok)
-        moved = FIRST_DAY + timedelta(high * 272 + low)
+        span = (given.year - 100) // SPAN_YEARS * SPAN_YEARS + 100
+        start = date(max(1, span), 1, 1).toordinal()
+        days = date(min(9999, span + SPAN_YEARS - 1), 12, 31).toordinal() + 1 - start
+        radices = [-(-days // DAY_RADIX), DAY_RADIX]
+        ok = lambda s: s[0] * DAY_RADIX + s[1] < days
+        high, low = feistel.walk(list(divmod(given.toordinal() - start, DAY_RADIX)), radices, f"date {span}", ok)
+        moved = date.fromordinal(start + high * DAY_RADIX + low)
         numbers = iter(sorted(zip(order, (f"{moved.year:04d}", f"{moved.month:02d}", f"{moved.day:02d}"))))
         return re.sub(r"\d+", lambda m: next(numbers)[1], value)
     return None
@@ -196,7 +227,7 @@ def card(value: str, feistel: Feistel) -> str | None:
 
 #: Where a value may end before its longest match does: before a separator.
 ENDS = {"card": re.compile(r"[ -]"), "iban": re.compile(" ")}
-KINDS: dict[str, Callable[[str, Feistel], str | None]] = {"email": email, "iban": iban, "secret": secret, "date": day, "ssn": ssn, "address": address, "phone": phone, "card": card}
+KINDS: dict[str, Callable[[str, Feistel], str | None]] = {"email": email, "iban": iban, "key": access_key, "secret": secret, "date": day, "ssn": ssn, "address": address, "phone": phone, "card": card}
 
 
 class Pseudonymiser:
@@ -213,24 +244,26 @@ class Pseudonymiser:
         out, spans, at, look = [], [], 0, 0
         while m := FORMATS.search(text, look):
             fresh, end = self.longest(m)
+            start = m.start(m.lastgroup)
             if fresh is None:  # not valid: what begins within it may be
-                look = m.start() + 1
+                look = start + 1
                 while look < len(text) and text[look].isalnum():
                     look += 1
                 continue
-            spans.append((m.lastgroup, m.start(), end))
-            out += [text[at : m.start()], fresh]
+            spans.append((m.lastgroup, start, end))
+            out += [text[at:start], fresh]
             at = look = end
         return "".join([*out, text[at:]]), spans
 
     def longest(self, m: re.Match) -> tuple[str | None, int]:
         """The pseudonym of the longest valid value at a match's start, and its end."""
-        value, kind = m.group(), m.lastgroup
+        kind = m.lastgroup
+        value, start = m.group(kind), m.start(kind)
         ends = [x.start() for x in ENDS[kind].finditer(value)] if kind in ENDS else []
         for end in (len(value), *reversed(ends)):
             fresh = self.of(kind, value[:end])
             if fresh is not None:
-                return fresh, m.start() + end
+                return fresh, start + end
         return None, m.end()
 
 
