@@ -414,6 +414,6 @@ def test_signatures_depend_on_order_and_occurrence(spark):
 
 def test_next_rows_across_groups(spark):
     ids = [-500, -1, 0, 1, 127, 128, 5000, 200_000, 200_001, 10**12]
-    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "id bigint, text string")
+    df = spark.createDataFrame([(i, f"t{i}", 0) for i in ids], "id bigint, text string, digest bigint")
     rows = {r["id"]: r["next_text"] for r in order_minhash.with_next(df, ["text"]).collect()}
     assert rows == {i: f"t{j}" for i, j in zip(ids, ids[1:] + ids[:1])}
