@@ -13,7 +13,7 @@ character but white space) have one k-mer, the text itself, so equal texts have
 equal fingerprints; texts of fewer than k tokens have one k-mer. Texts of any length
 are cut in the same way; very long ones take time in proportion to n log n of their
 tokens. Rows with equal ids follow one another in the order of a hash of their texts,
-then of the texts; equal rows in any order; rows with a null id come first. A single
+equal rows in any order; rows with a null id come first. A single
 row's next row is itself. An empty table gives an empty table.
 """
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from lexiflow.llm.common import text_of
@@ -114,41 +114,49 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return df.select(F.col(id_col), signature(text_of(text_col), k, picked).alias("signature"))
 
 
-def bounds_of_groups(keys: DataFrame, groups: int) -> list:
-    """At most `groups` - 1 values that part the rows of `keys` (key) into about equal
-    groups, from a sample of about SAMPLED rows a group."""
-    n = keys.count()
-    if groups < 2 or not n:
-        return []
-    found = [r["key"] for r in keys.sample(min(1.0, SAMPLED * groups / n), seed=11).sort("key").collect()]
-    return sorted({found[len(found) * k // groups] for k in range(1, groups)}) if found else []
+def next_key() -> Column:
+    """What rows (id, digest) are ordered by; rows without an id come first."""
+    return F.struct(F.col("id").isNotNull().alias("known"), F.coalesce("id", F.lit(0)).cast("bigint").alias("i"), F.col("digest"))
 
 
-def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Adds next_<column>: the value in the row that follows by id, for the last row the
-    first's. Needs columns id, text and digest. Sampled bounds deal the rows to groups of
-    neighbours, whatever the ids are like; a row's text moves once, with its group, and
-    only the first row of each group is sent on, to the last one of the group before."""
-    key = F.struct(F.col("id").isNotNull().alias("known"), F.coalesce("id", F.lit(0)).cast("bigint").alias("i"), "digest", F.monotonically_increasing_id().alias("m"))
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = bounds_of_groups(rows.select(key.alias("key")), GROUPS * partitions)
+def groups_of(keys: DataFrame, most: int) -> tuple[Column, list]:
+    """(the number of the group of `key`, [(number, first key) of each group with rows]):
+    at most `most` groups of neighbours, about equal, by bounds from a sample of about
+    SAMPLED rows a group. What reaches the driver is bounded by `most`."""
+    n = keys.count()
+    found = [r["key"] for r in keys.sample(min(1.0, SAMPLED * most / max(n, 1)), seed=11).sort("key").collect()]
+    bounds = sorted({found[len(found) * k // most] for k in range(1, most)}) if found else []
     group = F.lit(0)
     if bounds:
-        literal = lambda b: F.struct(*(F.lit(v).alias(n) for n, v in b.asDict().items()))
         every = F.array(*map(literal, bounds))
         jumps = F.array(*(F.lit(1 << bit) for bit in reversed(range(len(bounds).bit_length()))))
         # how many bounds are not above the key, by halving
         group = F.aggregate(jumps, F.lit(0), lambda n, jump: F.when((n + jump <= len(bounds)) & (F.get(every, n + jump - 1) <= F.col("key")), n + jump).otherwise(n))
-    rows = rows.withColumn("key", key).withColumn("g", group)
-    in_group = Window.partitionBy("g").orderBy("key", "text")
-    marks = [F.lag(F.lit(True)).over(in_group).alias("after_one"), F.lead(F.lit(True)).over(in_group).alias("before_one")]
-    held = rows.select("*", *(F.lead(c).over(in_group).alias(f"next_{c}") for c in columns), *marks)
-    firsts = held.where("after_one is null").select(F.col("g").alias("after"), F.struct(*columns).alias("row"))
-    every_group = Window.orderBy("after")  # over a row a group
-    order = firsts.select("after").select(F.coalesce(F.lag("after").over(every_group), F.max("after").over(every_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("of"), "after")
-    follow = order.join(firsts, "after").select("of", "row")
-    ends = held.join(follow, F.col("g") == F.col("of"), "left")
-    return ends.select(*(c for c in rows.columns if c not in ("g", "key")), *(F.when(F.col("before_one"), F.col(f"next_{c}")).otherwise(F.col("row")[c]).alias(f"next_{c}") for c in columns))
+    firsts = keys.groupBy(group.alias("g")).agg(F.min("key").alias("key")).sort("g").collect()
+    return group, [(r["g"], r["key"]) for r in firsts]
+
+
+def literal(key: Row) -> Column:
+    return F.struct(*(F.lit(v).alias(n) for n, v in key.asDict().items()))
+
+
+def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Adds next_<column>: the value in the row that follows by id, for the last row the
+    first's. Needs columns id and digest (of the text). Sampled bounds deal the rows to
+    groups of neighbours, whatever the ids are like; each row goes to its group, and the
+    first of a group to the one before too, so all meet in a single exchange."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group, firsts = groups_of(rows.select(next_key().alias("key")), GROUPS * partitions)
+    keyed = rows.withColumn("key", next_key()).withColumn("g", group)
+    own = F.array(F.struct(F.col("g").alias("to"), F.lit(False).alias("sent")))
+    if firsts:
+        before = [g for g, _ in (firsts[-1:] + firsts[:-1])]
+        sent = {g: F.struct(literal(k).alias("key"), F.lit(p).alias("to")) for (g, k), p in zip(firsts, before)}
+        first = F.get(F.array(*(sent.get(g, F.lit(None)) for g in range(firsts[-1][0] + 1))), F.col("g"))
+        own = F.when(first["key"] == F.col("key"), F.concat(own, F.array(F.struct(first["to"].alias("to"), F.lit(True).alias("sent"))))).otherwise(own)
+    dealt = keyed.select(*rows.columns, "key", F.explode(own).alias("d")).select(*rows.columns, "key", "d.*")
+    in_group = Window.partitionBy("to").orderBy("sent", "key")
+    return dealt.select(*rows.columns, "sent", *(F.lead(c).over(in_group).alias(f"next_{c}") for c in columns)).where("not sent").drop("sent")
 
 
 def edit_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
