@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -11,8 +9,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiflow.session import discard, materialise, same_files, shared_dir  # noqa: F401 - operators take them from here
+
 #: Texts are handed to vectorised code in slices of about so many bytes.
 SLICE_BYTES = 4_000_000
+#: A key of more rows is split for joins; at most so many keys and parts.
+HOT_ROWS, MOST_HOT, MOST_PARTS = 1000, 1000, 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,34 +29,25 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a temporary one
-    is set only where the session has none (local tests)."""
-    jsc = spark.sparkContext._jsc.sc()
-    found = jsc.getCheckpointDir()
-    if found.isDefined():
-        return found.get()
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoint-"))
-    return jsc.getCheckpointDir().get()
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Writes `df` to the shared folder and reads it back: the lineage is cut and
-    a lost executor costs no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/t-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def discard(*frames: DataFrame) -> None:
-    """Deletes what materialise() wrote for frames nothing reads any more."""
-    for df in frames:
-        spark = df.sparkSession
-        for name in df.inputFiles()[:1]:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(name).getParent()
-            if folder.getName().startswith("t-"):
-                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def frequent(df: DataFrame, key: str) -> DataFrame | None:
+    """(key, __parts): the most frequent values of a column that have over HOT_ROWS rows,
+    and how many parts their rows are split into."""
+    hot = df.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > HOT_ROWS).orderBy(F.desc("__n")).limit(MOST_HOT).collect()
+    if not hot:
+        return None
+    parts = [(r[key], min(MOST_PARTS, -(-r["__n"] // HOT_ROWS))) for r in hot]
+    return F.broadcast(df.sparkSession.createDataFrame(parts, f"`{key}` bigint, __parts int"))  # MOST_HOT rows
+
+
+def split_join(many: DataFrame, one: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
+    """`many` joined with `one`, which has a row a key. The rows of a frequent key are
+    dealt to parts by the column `spread`, and the other side is repeated for each."""
+    hot = frequent(many, key)
+    if hot is None:
+        return many.join(one, key, how)
+    dealt = many.join(hot, key, "left").withColumn("__part", F.coalesce(F.pmod(F.xxhash64(spread), F.col("__parts")), F.lit(0)).cast("int")).drop("__parts")
+    every = one.join(hot, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
+    return dealt.join(every, [key, "__part"], how).drop("__part")
 
 
 def text_of(column: str) -> Column:
