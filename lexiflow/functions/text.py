@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Ranges of code points of the scripts the rules tell apart.
-HAN = "\\x{3005}\\x{3007}\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{F900}-\\x{FAFF}\\x{20000}-\\x{3FFFF}"
-KANA = "\\x{3041}-\\x{3096}\\x{309D}-\\x{309F}\\x{30A1}-\\x{30FA}\\x{30FC}-\\x{30FF}\\x{31F0}-\\x{31FF}\\x{FF66}-\\x{FF9F}"
-CYRILLIC = "\\x{0400}-\\x{04FF}"
+# Ranges of code points of the scripts the rules tell apart, tone marks,
+# digits that are no decimal ones, and what messages of a reached limit contain.
+HAN = "\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{F900}-\\x{FAFF}\\x{20000}-\\x{2A6DF}\\x{2A700}-\\x{2EBEF}\\x{2F800}-\\x{2FA1F}\\x{30000}-\\x{323AF}"
+KANA = "\\x{3041}-\\x{30FF}\\x{31F0}-\\x{31FF}"
+CYRILLIC = "\\x{0400}-\\x{052F}"
 LATIN = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
-SPACE = "(?U)\\s"
+TONE_MARKS = "\\x{0300}\\x{0301}\\x{0304}\\x{030C}āáǎàēéěèīíǐìōóǒòūúǔùǖǘǚǜĀÁǍÀĒÉĚÈ"
+DIGITS = "\\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿❶-❾➀-➈➊-➒"
+LIMIT_HINTS = ("usage limit", "rate limit", "rate_limit", "429", "overloaded", "quota", "too many requests", "capacity")
+SPACE = "(?U)[\\s\\x{1C}-\\x{1F}]"
 
 
 def has(text: Column | str, characters: str) -> Column:
@@ -44,20 +48,32 @@ def normalised(text: Column) -> Column:
 
 def looks_rate_limited(text: Column) -> Column:
     """Whether a service's message says that its limit is reached."""
-    return F.rlike(F.lower(text), F.lit("rate.?limit|usage limit|too many requests|overloaded|429|quota"))
+    return F.rlike(F.lower(text), F.lit("|".join(LIMIT_HINTS)))
 
 
-def first_failure(text: Column, most: int, foreign: Column) -> Column:
+def without(tokens: Column, allowed: Column) -> Column:
+    """The tokens that are not among the allowed ones, in their order."""
+    return F.filter(tokens, lambda t: ~F.array_contains(allowed, t))
+
+
+def first_failure(text: Column, most: Column | int, allowed: Column, english: Column | None = None, readings: Column | None = None) -> Column:
     """The first rule a translated text breaks, or null: empty, edge-space, too-long,
-    cyrillic, tone-marks, latin, no-japanese. `foreign`: Latin tokens not allowed."""
+    cyrillic, tone-marks, english-left, latin, no-japanese. `allowed`: Latin tokens a text
+    may hold; `english`: lower-case tokens of its source, which tell words left over
+    from others; `readings`: whether it may hold readings and Latin words at all. A text
+    of digits or of Latin words alone is one."""
+    plain = ~readings if readings is not None else F.lit(True)
+    foreign = F.get(without(latin_tokens(text), allowed), F.lit(0))
+    left = F.array_contains(english, F.lower(foreign)) if english is not None else F.lit(False)
     return (
-        F.when(text.isNull() | (trimmed(text) == ""), "empty")
+        F.when(text.isNull() | (text == ""), "empty")
         .when(has_edge_space(text), "edge-space")
         .when(F.length(text) > most, "too-long")
         .when(has(text, CYRILLIC), "cyrillic")
-        .when(has(text, "āáǎàēéěèīíǐìōóǒòūúǔùǖǘǚǜ"), "tone-marks")
-        .when(F.size(foreign) > 0, "latin")
-        .when(~has(text, HAN + KANA), "no-japanese")
+        .when(plain & has(text, TONE_MARKS), "tone-marks")
+        .when(plain & left, "english-left")
+        .when(plain & foreign.isNotNull(), "latin")
+        .when(~has(text, HAN + KANA + LATIN + DIGITS), "no-japanese")
     )
 
 

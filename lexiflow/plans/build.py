@@ -99,6 +99,17 @@ def match_legacy(rows: DataFrame, legacy: DataFrame) -> tuple[DataFrame, DataFra
     return found, M.unmatched(legacy, found, "ord")
 
 
+def uncovered(native: DataFrame, legacy: DataFrame) -> DataFrame:
+    """The legacy rows (ord, word, pinyin) that no native row stands for, in either
+    spelling: with the same reading, or one that differs in the tone of a first yi or bu."""
+    rows = native.withColumn("__k", reading_key("pinyin")).withColumn("__s", F.when(sandhi_first("pinyin"), sandhi_key("pinyin")))
+    index = M.spelling_index(rows.select("word", "trad", "__k", "__s"), [F.col("word"), F.col("trad")]).select("spelling", "__k", "__s").distinct()
+    old = legacy.withColumn("__reading", F.coalesce("pinyin", F.lit(""))).withColumn("__old_key", reading_key("__reading")).withColumn("__old_sandhi", heard_sandhi_key("__reading"))
+    exact = ([F.col("word"), F.col("__old_key")], [F.col("spelling"), F.col("__k")])
+    sandhi = ([F.col("word"), F.col("__old_sandhi")], [F.col("spelling"), F.col("__s")])
+    return M.unmatched(legacy, M.tiered_match(old, index, "ord", [exact, sandhi]), "ord")
+
+
 def seeds(matched: DataFrame) -> DataFrame:
     """(id, seed_gloss, seed): the glosses of all legacy rows of a base row, each once, in
     order; the review state of the last one."""
