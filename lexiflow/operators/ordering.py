@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lexiflow.session import materialise
 
@@ -55,8 +59,8 @@ def modulo_shard(df: DataFrame, total: int, *order: Column | str) -> DataFrame:
 
 
 def parse_shard(spec: Column) -> tuple[Column, Column]:
-    """(index from 0, total) of a specification such as 2/8."""
-    return F.split_part(spec, F.lit("/"), F.lit(1)).try_cast("int") - 1, F.split_part(spec, F.lit("/"), F.lit(2)).try_cast("int")
+    """(index, total) of a specification such as 2/8; indexes count from 0."""
+    return F.split_part(spec, F.lit("/"), F.lit(1)).try_cast("int"), F.split_part(spec, F.lit("/"), F.lit(2)).try_cast("int")
 
 
 def even_sample(df: DataFrame, count: int, *order: Column | str, ordinal: str | None = None) -> DataFrame:
@@ -90,49 +94,32 @@ def ranked_first(df: DataFrame, ranks: DataFrame, key: str, then: str) -> DataFr
 
 def budget_chunks(df: DataFrame, group: list[str], order: list[str], cost: str, budget: float, most_rows: int) -> DataFrame:
     """Adds `chunk`, from 0 in each group: a chunk is closed when another row would exceed
-    the budget or the row limit; a row over the budget stands alone. Each group's
-    rows are read in order and folded in one expression, without Python."""
-    fields = df.columns
-    items = F.array_sort(F.collect_list(F.struct(*order, F.struct(*fields).alias("__row"), F.col(cost).cast("double").alias("__cost"))))
-    start = F.struct(F.lit(0).alias("chunk"), F.lit(0.0).alias("held"), F.lit(0).alias("rows"), F.array().cast("array<int>").alias("chunks"))
-
-    def add(state: Column, item: Column) -> Column:
-        full = (state["rows"] > 0) & ((state["held"] + item["__cost"] > budget) | (state["rows"] >= most_rows))
-        chunk = state["chunk"] + full.cast("int")
-        return F.struct(
-            chunk.alias("chunk"),
-            (F.when(full, 0.0).otherwise(state["held"]) + item["__cost"]).alias("held"),
-            (F.when(full, 0).otherwise(state["rows"]) + 1).alias("rows"),
-            F.concat(state["chunks"], F.array(chunk)).alias("chunks"),
-        )
-
-    folded = df.groupBy(*group).agg(items.alias("__items")).withColumn("__chunks", F.aggregate("__items", start, add, lambda s: s["chunks"]))
-    return folded.select(F.explode(F.arrays_zip("__items", "__chunks")).alias("x")).select("x.__items.__row.*", F.col("x.__chunks").alias("chunk"))
-
-
-def budget_chunks_streamed(df: DataFrame, group: list[str], order: list[str], cost: str, budget: float, most_rows: int) -> DataFrame:
-    """budget_chunks() for groups too large for one row: partitions are sorted and read
-    as streams, so a group never has to fit into memory."""
-    names = df.columns
-    at, keys = names.index(cost), [names.index(g) for g in group]
-    schema = df.schema.add("chunk", "int")
-
-    def run(batches):
+    the budget or the row limit; a row over the budget stands alone. Sorted partitions are
+    read as streams and only (chunk, held, rows) is carried, so a group of any size takes
+    one pass and never stands in memory. A group is one sequence, so it is one task's."""
+    fields, keys = df.columns, [f"__g{n}" for n in range(len(group))]
+    schema = StructType([*df.schema.fields, StructField("chunk", IntegerType())])
+    dealt = df.withColumns(dict(zip(keys, map(F.col, group)))).withColumn("__cost", F.col(cost).cast("double")) if group else df.withColumn("__cost", F.col(cost).cast("double"))
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, chunk, held, rows = None, 0, 0.0, 0
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for row in pdf.itertuples(index=False):
-                own = tuple(row[k] for k in keys)
+            costs = batch.column("__cost").to_pylist()
+            owners = zip(*(batch.column(k).to_pylist() for k in keys)) if keys else ((),) * len(costs)
+            for own, value in zip(owners, costs):
+                value = value or 0.0
                 if own != key:
                     key, chunk, held, rows = own, 0, 0.0, 0
-                value = float(row[at])
                 if rows and (held + value > budget or rows >= most_rows):
                     chunk, held, rows = chunk + 1, 0.0, 0
                 held, rows = held + value, rows + 1
                 out.append(chunk)
-            yield pdf.assign(chunk=pd.Series(out, index=pdf.index, dtype="int32"))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f).cast(arrow.field(f).type) for f in fields), pa.array(out, pa.int32())], schema=arrow)
 
-    return df.repartition(*group).sortWithinPartitions(*group, *order).mapInPandas(run, schema)
+    spread = dealt.repartition(*keys) if keys else dealt.repartition(1)
+    return spread.sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
 
 
 def token_budget(df: DataFrame, group: list[str], order: list[str], cost: str, budget: float) -> DataFrame:

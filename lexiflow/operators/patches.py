@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.operators.matching import append_missing
+from lexiflow.operators.matching import append_missing, examples
 
 
 class PatchError(ValueError):
@@ -43,9 +43,9 @@ def apply_primary(rows: DataFrame, primary: DataFrame, default: DataFrame) -> Da
     """Rows with `primary` and `default` of the records alone, whatever they had before; a
     record for a row of one sense is checked but not written. Stops on any error."""
     errors = primary_errors(rows, primary, default)
-    found = errors.groupBy("label").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set("key.word")), 1, 3).alias("examples")).orderBy("label").collect()
+    found = examples(errors.select("label", F.col("key.word").alias("word")), "label", "word").orderBy("label").collect()
     if found:
-        raise PatchError("; ".join(f"{r['label']}: {r['n']} ({', '.join(r['examples'])})" for r in found))
+        raise PatchError("; ".join(f"{r['label']}: {r['n']} ({r['examples']})" for r in found))
     p = keyed(primary).select("__key", F.col("sense").alias("__primary"))
     d = keyed(default).select("__key", F.lit(True).alias("__default")).distinct()
     joined = keyed(rows.drop("primary", "default")).join(p, "__key", "left").join(d, "__key", "left")

@@ -17,11 +17,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiflow.functions.text import json_from_reply, normalised
-from lexiflow.operators.ordering import budget_chunks
+from lexiflow.functions.text import english_tokens, first_failure, json_from_reply, normalised
+from lexiflow.operators.ordering import budget_chunks, last_value_per_key
+from lexiflow.operators.patches import identity
+from lexiflow.operators.rules import tokens_of
 
 #: Seconds to wait before each further try of a call.
-WAITS = (30, 60, 120, 240, 480)
+WAITS = (30, 60, 120, 240, 480, 600, 600, 600)
+#: Longest text that a backend may give; keys of a reply's usage that count as tokens.
+MOST_CHARACTERS = 24
+TOKENS = ("input_tokens", "output_tokens", "cache_creation_input_tokens", "cache_read_input_tokens")
 
 
 @dataclass
@@ -46,7 +51,7 @@ class FakeBackend:
     broken: str = ""
 
     def __call__(self, prompt: str, system: str) -> Reply:
-        asked = json.loads(prompt)
+        asked = json.loads(prompt[prompt.rindex("\n") + 1 :] if "\n" in prompt else prompt)
         if any(self.broken and self.broken in item["id"] for item in asked):
             return Reply("no answer", {"calls": 1})
         glosses = [{"id": item["id"], "sense": int(n), "ja": f"訳{item['w']}{n}"} for item in asked for n in item["s"]]
@@ -77,13 +82,19 @@ def payload_item() -> Column:
     )
 
 
-def requests(base: DataFrame, batch: int, senses_per_call: int, shards: int = 1) -> DataFrame:
-    """(shard, chunk, prompt): the calls to make for all pending senses, in base order."""
-    rows = base.withColumn("cost", F.size(pending_numbers(F.col("senses")))).where("cost > 0").withColumn("shard", F.col("ord") % shards)
-    items = rows.select("shard", "ord", "cost", F.to_json(payload_item()).alias("item"))
-    chunked = budget_chunks(items, ["shard"], ["ord"], "cost", senses_per_call, batch)
-    gathered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "item"))), lambda x: x["item"]), ",")
-    return chunked.groupBy("shard", "chunk").agg(F.concat(F.lit("["), gathered, F.lit("]")).alias("prompt"))
+def requests(base: DataFrame, batch: int, senses_per_call: int, shards: int = 1, position: str = "ord") -> DataFrame:
+    """(shard, chunk, payload): the calls to make for all pending senses, in the order of
+    `position`. Each shard is a sequence that is chunked as it streams by."""
+    rows = base.withColumn("cost", F.size(pending_numbers(F.col("senses")))).where("cost > 0").withColumn("shard", F.pmod(F.col(position), F.lit(shards)))
+    items = rows.select("shard", F.col(position).alias("at"), "cost", F.to_json(payload_item()).alias("item"))
+    chunked = budget_chunks(items, ["shard"], ["at"], "cost", senses_per_call, batch)
+    gathered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "item"))), lambda x: x["item"]), ",")
+    return chunked.groupBy("shard", "chunk").agg(F.concat(F.lit("["), gathered, F.lit("]")).alias("payload"))
+
+
+def prompt_of(rules: str, payload: str) -> str:
+    """What is sent: the rules, if there are any, a line feed, and the payload."""
+    return f"{rules}\n{payload}" if rules else payload
 
 
 def retrying(call: Backend, waits: Iterable[int] = WAITS, sleep: Callable[[float], None] = time.sleep) -> Backend:
@@ -100,41 +111,64 @@ def retrying(call: Backend, waits: Iterable[int] = WAITS, sleep: Callable[[float
     return tried
 
 
-def call_backend(calls: DataFrame, backend: Backend, system: str = "") -> DataFrame:
-    """(shard, chunk, prompt, reply, usage, error): one row a call. A call that fails
-    leaves its chunk pending and the run goes on."""
-    schema = "shard bigint, chunk int, prompt string, reply string, usage string, error string"
+def spent(usage: dict[str, int]) -> int:
+    return sum(usage.get(k, 0) for k in TOKENS)
+
+
+def call_backend(calls: DataFrame, backend: Backend, system: str = "", rules: str = "", tokens: int | None = None) -> DataFrame:
+    """(shard, chunk, payload, reply, usage, error): one row a call, in the order of chunks
+    in each shard. A call that fails leaves its chunk pending and the run goes on; where
+    the backend's limit holds after all tries, the rest of the shard is left for another
+    run. `tokens` is what a shard may spend: it is looked at before each call."""
+    schema = "shard bigint, chunk int, payload string, reply string, usage string, error string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard, used, stop = None, 0, None
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                try:
-                    reply, error = backend(r.prompt, system), None
-                except Exception as problem:  # noqa: BLE001 - whatever a backend raises is this chunk's alone
-                    reply, error = Reply(""), f"{type(problem).__name__}: {problem}"
-                rows.append((r.shard, r.chunk, r.prompt, reply.text, json.dumps(reply.usage), error))
-            yield pd.DataFrame(rows, columns=["shard", "chunk", "prompt", "reply", "usage", "error"])
-
-    return calls.select(F.col("shard").cast("bigint").alias("shard"), F.col("chunk").cast("int").alias("chunk"), "prompt").mapInPandas(run, schema)
+                if r.shard != shard:
+                    shard, used, stop = r.shard, 0, None
+                if tokens is not None and used >= tokens:
+                    stop = "the token budget is spent"
+                reply, error = Reply(""), stop
+                if stop is None:
+                    try:
+                        reply = backend(prompt_of(rules, r.payload), system)
+                        used += spent(reply.usage)
+                    except RateLimited as problem:
+                        error = stop = f"RateLimited: {problem}"
+                    except Exception as problem:  # noqa: BLE001 - whatever a backend raises is this chunk's alone
+                        error = f"{type(problem).__name__}: {problem}"
+                rows.append((r.shard, r.chunk, r.payload, reply.text, json.dumps(reply.usage), error))
+            yield pd.DataFrame(rows, columns=["shard", "chunk", "payload", "reply", "usage", "error"])
+
+    ordered = calls.select(F.col("shard").cast("bigint").alias("shard"), F.col("chunk").cast("int").alias("chunk"), "payload").repartition("shard").sortWithinPartitions("shard", "chunk")
+    return ordered.mapInPandas(run, schema)
 
 
 ITEM = "array<struct<id: string, w: string, s: map<string, string>>>"
-GLOSSES = "struct<glosses: array<struct<id: string, sense: int, ja: string>>>"
+ANSWERS = "struct<glosses: array<map<string, string>>>"
 
 
 def accept_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted (id, sense, ja), counts (status, n)): of each reply what its call asked
-    for, the first of repeated answers; other answers are counted as rejected, replies
-    that are no JSON as bad."""
-    asked = replies.select("shard", "chunk", F.explode(F.from_json("prompt", ITEM)).alias("i")).select("shard", "chunk", F.col("i.id").alias("id"), F.explode(F.map_keys("i.s")).alias("sense")).select("shard", "chunk", "id", F.col("sense").cast("int").alias("sense"))
-    read = replies.withColumn("v", F.from_json(json_from_reply(F.col("reply")).cast("string"), GLOSSES))
-    answers = read.select("shard", "chunk", F.posexplode("v.glosses").alias("at", "g")).select("shard", "chunk", "at", "g.id", "g.sense", normalised(F.col("g.ja")).alias("ja"))
+    for, the first of repeated answers; other answers are counted as rejected. A reply
+    that is no JSON, or has an answer without one of its keys, is bad as a whole and its
+    chunk stays pending."""
+    asked = replies.select("shard", "chunk", F.explode(F.from_json("payload", ITEM)).alias("i")).select("shard", "chunk", F.col("i.id").alias("id"), F.explode(F.map_keys("i.s")).alias("sense")).select("shard", "chunk", "id", F.col("sense").cast("int").alias("sense"))
+    read = replies.withColumn("v", F.from_json(json_from_reply(F.col("reply")).cast("string"), ANSWERS)["glosses"])
+    keys = F.array(F.lit("id"), F.lit("sense"), F.lit("ja"))
+    whole = F.coalesce(F.forall("v", lambda g: F.coalesce(F.size(F.array_except(keys, F.map_keys(g))) == 0, F.lit(False))), F.lit(False))
+    read = read.withColumn("whole", whole)
+    field = lambda k: F.element_at("g", k)
+    answers = read.where("whole").select("shard", "chunk", F.posexplode("v").alias("at", "g")).select("shard", "chunk", "at", field("id").alias("id"), field("sense").try_cast("int").alias("sense"), normalised(field("ja")).alias("ja"))
     met = answers.join(asked.withColumn("asked", F.lit(True)), ["shard", "chunk", "id", "sense"], "left")
     order = F.row_number().over(Window.partitionBy("id", "sense").orderBy(F.col("asked").desc_nulls_last(), "shard", "chunk", "at"))
     ranked = met.withColumn("r", order)
     status = F.when(F.col("asked").isNotNull() & (F.col("r") == 1), "accepted").otherwise("rejected")
-    counts = ranked.groupBy(status.alias("status")).agg(F.count("*").alias("n")).unionByName(read.where("v.glosses is null").groupBy(F.lit("bad reply").alias("status")).agg(F.count("*").alias("n")))
+    bad = read.where("not whole").groupBy(F.when(F.col("error").isNull(), "bad reply").otherwise("no reply").alias("status")).agg(F.count("*").alias("n"))
+    counts = ranked.groupBy(status.alias("status")).agg(F.count("*").alias("n")).unionByName(bad)
     return ranked.where(status == "accepted").select("id", "sense", "ja"), counts
 
 
@@ -145,46 +179,134 @@ def finished(base: DataFrame, glosses: DataFrame) -> DataFrame:
     return wanted.select("id").distinct().join(open_, "id", "left_anti")
 
 
-def merge_glosses(base: DataFrame, glosses: DataFrame) -> DataFrame:
-    """Base rows with the texts of the log in their senses; unknown ids are ignored."""
-    texts = glosses.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("sense", "ja"))).alias("__t"))
-    joined = base.join(texts, "id", "left")
-    put = F.transform("senses", lambda s, i: s.withField("ja", F.coalesce(F.try_element_at("__t", i + 1), s["ja"])))
-    return joined.withColumn("senses", F.when(F.col("__t").isNotNull(), put).otherwise(F.col("senses"))).drop("__t")
+def last_texts(glosses: DataFrame, order: str | None = None) -> DataFrame:
+    """(id, sense, ja): of repeated answers the last, in the column `order`, else as read."""
+    at = F.col(order) if order else F.monotonically_increasing_id()
+    return last_value_per_key(glosses.select("id", "sense", "ja", at.alias("__at")), ["id", "sense"], ["ja"], "__at", only_known=False)
 
 
-def verify(base: DataFrame, glosses: DataFrame) -> dict[str, int]:
-    """Numbers of missing, unknown and repeated answers of a log."""
+def merge_glosses(base: DataFrame, glosses: DataFrame, order: str | None = None) -> DataFrame:
+    """Base rows with the texts of the log in their senses; of repeated answers the last
+    holds, unknown ids are ignored, and a number that an entry does not have stops the job."""
+    texts = last_texts(glosses, order).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("sense", "ja"))).alias("__t"))
+    joined = base.join(texts, "id", "left")
+    outside = F.exists(F.map_keys("__t"), lambda n: n.isNull() | (n < 1) | (n > F.size("senses")))
+    put = F.transform("senses", lambda s, i: s.withField("ja", F.coalesce(F.try_element_at("__t", i + 1), s["ja"])))
+    stop = F.raise_error(F.concat(F.lit("a sense that the entry does not have: "), F.col("id"))).cast(base.schema["senses"].dataType)
+    return joined.withColumn("senses", F.when(F.col("__t").isNull(), F.col("senses")).when(outside, stop).otherwise(put)).drop("__t")
+
+
+def failures(glosses: DataFrame, allowed_latin: list[str] = (), english: DataFrame | None = None) -> DataFrame:
+    """`glosses` with `failure`: the rule that a text breaks, or null. `english` (id,
+    tokens) tells words that are left over from the source."""
+    rows, words = glosses, None
+    if english is not None:
+        rows, words = glosses.join(english.select("id", F.col("tokens").alias("__tokens")), "id", "left"), F.coalesce("__tokens", F.array().cast("array<string>"))
+    return rows.withColumn("failure", first_failure(F.col("ja"), MOST_CHARACTERS, tokens_of(allowed_latin), words)).drop("__tokens")
+
+
+def drop_invalid(glosses: DataFrame, allowed_latin: list[str] = (), own: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(kept, dropped) texts: those that break no rule, and those that do. With `own` (id)
+    texts of other entries are kept unseen."""
+    checked = failures(glosses, allowed_latin)
+    mine = F.lit(True)
+    if own is not None:
+        checked = checked.join(own.select("id").distinct().withColumn("__own", F.lit(True)), "id", "left")
+        mine = F.col("__own").isNotNull()
+    bad = mine & F.col("failure").isNotNull()
+    return checked.where(~bad).select(*glosses.columns), checked.where(bad).select(*glosses.columns)
+
+
+def verify(base: DataFrame, glosses: DataFrame, allowed_latin: list[str] = ()) -> tuple[dict[str, int], DataFrame]:
+    """(counts, problems (kind, id, sense, detail)) of a log: entries that lack a text of a
+    pending sense (missing), answers for entries nobody knows (unknown), answers given
+    again (repeated), and texts that break a rule, words left over from the source
+    among them (violation)."""
     wanted = base.select("id", F.explode(pending_numbers(F.col("senses"))).alias("sense"))
     got = glosses.groupBy("id", "sense").agg(F.count("*").alias("k"))
-    both = wanted.withColumn("w", F.lit(1)).join(got, ["id", "sense"], "full_outer")
-    row = both.agg(F.count_if(F.col("k").isNull()).alias("missing"), F.count_if(F.col("w").isNull()).alias("unknown"), F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).alias("repeated")).first()
-    return row.asDict()
-
-
-def run(base: DataFrame, backend: Backend, log: str, batch: int = 200, senses_per_call: int = 200, shards: int = 4, system: str = "") -> dict[str, int]:
-    """One pass: asks for what the log does not hold yet and appends what is accepted."""
-    from lexiflow.session import materialise
+    none = F.lit(None).cast
+    missing = wanted.join(got, ["id", "sense"], "left_anti").groupBy("id").agg(F.min("sense").alias("sense")).select(F.lit("missing").alias("kind"), "id", "sense", none("string").alias("detail"))
+    unknown = got.join(base.select("id"), "id", "left_anti").select("id").distinct().select(F.lit("unknown").alias("kind"), "id", none("int").alias("sense"), none("string").alias("detail"))
+    repeated = got.where("k > 1").select(F.lit("repeated").alias("kind"), "id", "sense", F.col("k").cast("string").alias("detail"))
+    english = base.select("id", english_tokens(F.flatten(F.transform("senses", lambda s: F.coalesce(s["en"], F.array().cast("array<string>"))))).alias("tokens"))
+    broken = failures(glosses, allowed_latin, english).where("failure is not null").select(F.lit("violation").alias("kind"), "id", "sense", F.col("failure").alias("detail"))
+    problems = missing.unionByName(unknown).unionByName(repeated).unionByName(broken)
+    counts = {"entries": wanted.select("id").distinct().count(), "senses": wanted.count(), "translated": got.count(), "missing": 0, "unknown": 0, "repeated": 0, "violation": 0}
+    return counts | {r["kind"]: r["n"] for r in problems.groupBy("kind").agg(F.count("*").alias("n")).collect()}, problems
+
+
+def run(
+    base: DataFrame, backend: Backend, log: str, batch: int = 200, senses_per_call: int = 200, shards: int = 4, system: str = "", rules: str = "", limit: int | None = None,
+    max_calls: int | None = None, token_budget: int | None = None, waits: Iterable[int] = WAITS, sleep: Callable[[float], None] = time.sleep,
+) -> dict[str, int]:
+    """One pass: asks for what the log does not hold yet, of the first `limit` entries by
+    at most `max_calls` calls, and appends what is accepted. While the backend's limit
+    is reached a call waits and is made again. A token budget is shared by the shards."""
+    from lexiflow.session import discard, materialise
     from lexiflow.sources.scans import log_rows
 
     held, _ = log_rows(base.sparkSession, [log])
     rest = base.join(finished(base, held), "id", "left_anti")
-    replies = materialise(call_backend(requests(rest, batch, senses_per_call, shards), backend, system))
+    if limit is not None:
+        rest = rest.where(F.size(pending_numbers(F.col("senses"))) > 0).orderBy("ord").limit(limit)
+    calls = requests(rest, batch, senses_per_call, shards)
+    if max_calls is not None:
+        calls = calls.orderBy("chunk", "shard").limit(max_calls)
+    tokens = None if token_budget is None else -(-token_budget // shards)
+    replies = materialise(call_backend(calls, retrying(backend, tuple(waits), sleep), system, rules, tokens))
     taken, counts = accept_replies(replies)
     fresh = taken.join(held.select("id", "sense").distinct(), ["id", "sense"], "left_anti")
     fresh.write.mode("append").json(log)
-    return {r["status"]: r["n"] for r in counts.collect()}
+    out = {r["status"]: r["n"] for r in counts.collect()}
+    discard(replies)
+    return out
+
+
+#: What a second request says before its payload.
+REPAIR_RULES = "An earlier text broke a rule: no words of the source language, no readings or tone marks, at most 24 characters, and Japanese characters. Give a new one."
+
+
+def repair(base: DataFrame, backend: Backend, log: str, allowed_latin: list[str] = (), **options) -> dict[str, int]:
+    """Takes texts that break a rule out of the log, records their senses beside it
+    (`<log>.repaired`) and asks for them again. Without any, nothing is asked."""
+    from lexiflow.session import discard, materialise
+    from lexiflow.sources.scans import log_rows
+
+    held, _ = log_rows(base.sparkSession, [log])
+    kept, dropped = (materialise(df) for df in drop_invalid(held, allowed_latin, base))
+    n = dropped.count()
+    if n:
+        dropped.select("id", "sense").write.mode("append").json(f"{log}.repaired")
+        kept.write.mode("overwrite").json(log)
+    discard(kept, dropped)
+    return {"repaired": n} | (run(base, backend, log, rules=REPAIR_RULES, **options) if n else {})
 
 
-def choose_groups(native: DataFrame) -> DataFrame:
+def choose_groups(native: DataFrame, words: DataFrame | None = None) -> DataFrame:
     """(word, payload): for each headword of several rows or senses its rows in order, as
-    the payload for choosing a primary sense and a default row."""
+    the payload for choosing a primary sense and a default row; of `words` (word) only,
+    if given."""
+    if words is not None:
+        native = native.join(words.select("word").distinct(), "word", "left_semi")
     rows = native.withColumn("row", F.struct("ord", "trad", "pinyin", F.transform("senses", lambda s: F.struct(s["ja"].alias("ja"), F.get(s["en"], F.lit(0)).alias("en"))).alias("s")))
     grouped = rows.groupBy("word").agg(F.array_sort(F.collect_list("row")).alias("rows"), F.min("ord").alias("at"), F.max(F.size("senses")).alias("most")).where((F.size("rows") > 1) | (F.col("most") > 1))
     numbered = F.transform("rows", lambda r, i: F.struct((i + 1).alias("r"), r["trad"].alias("trad"), r["pinyin"].alias("pinyin"), r["s"].alias("s")))
     return grouped.select("word", "at", F.to_json(F.struct(F.col("word").alias("w"), numbered.alias("rows"))).alias("payload"))
 
 
+def pending_choices(native: DataFrame, primary: DataFrame, default: DataFrame) -> DataFrame:
+    """(word): headwords of which a row of several senses has no primary record that still
+    holds (the sense is there and has the recorded text), or that have several rows and
+    no default record naming one. A record whose text has changed is asked for again."""
+    rows = native.select("word", identity(native).alias("key"), "senses")
+    held = primary.select(identity(primary).alias("key"), "sense", F.col("ja").alias("recorded"))
+    sound = rows.join(held, "key").where(F.col("sense").between(1, F.size("senses")) & F.get("senses", F.col("sense") - 1)["ja"].eqNullSafe(F.col("recorded"))).select("key").distinct()
+    senses = rows.where(F.size("senses") >= 2).join(sound, "key", "left_anti").select("word")
+    several = rows.groupBy("word").agg(F.count("*").alias("n")).where("n >= 2").select("word")
+    named = rows.join(default.select(identity(default).alias("key")).distinct(), "key", "left_semi").select("word")
+    return senses.unionByName(several.join(named.distinct(), "word", "left_anti")).distinct()
+
+
 def accept_choices(choices: DataFrame, native: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(primary records, default records) of choices (ord, word, row, sense, default): those
     whose word, row and sense exist, the first for each; others are dropped."""

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def follow_log(spark: SparkSession, folder: str, schema: str) -> DataFrame:
@@ -17,20 +19,19 @@ def follow_log(spark: SparkSession, folder: str, schema: str) -> DataFrame:
 
 def append_once(stream: DataFrame, keys: list[str], order: list[str], target: str, checkpoint: str) -> StreamingQuery:
     """Appends to a Parquet table the rows of keys it does not hold yet, of several the
-    first in order; processes what is there and ends. Run again, it goes on after the
-    last complete batch; a batch that is repeated adds nothing."""
-
-    def add(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        fresh = batch.dropna(subset=keys).withColumn("__r", rank).where("__r = 1").drop("__r")
-        path = spark._jvm.org.apache.hadoop.fs.Path(target)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            held = spark.read.schema(batch.schema).parquet(target).select(*keys)
-            fresh = fresh.join(held, keys, "left_anti")
-        fresh.write.mode("append").parquet(target)
-
-    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    first in order; rows without a key are left out. Which keys were seen is the stream's
+    state, so a batch costs what it holds and the table is never read; the file sink's
+    log makes a batch that is repeated count once. Processes what is there and ends; run
+    again, it goes on after the last complete batch."""
+
+    def first(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = [part.sort_values(order, kind="stable").head(1) for part in parts]
+        if not state.exists:
+            state.update((True,))
+            yield pd.concat(rows).sort_values(order, kind="stable").head(1)
+
+    fresh = stream.dropna(subset=keys).groupBy(*keys).applyInPandasWithState(first, stream.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    return fresh.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def run_available(start: Callable[[], StreamingQuery]) -> None:
