@@ -102,8 +102,14 @@ def comparable(common: DataFrame) -> DataFrame:
     return common.select("ord", F.to_json(F.struct(*(c for c in common.columns if c != "ord"))).alias("value"))
 
 
-def preservation_errors(native: DataFrame, common: DataFrame) -> DataFrame:
-    """(ord, error): places where the common rows are not what the native ones map to."""
+def preservation_errors(native: DataFrame, common: DataFrame, limit: int | None = None) -> DataFrame:
+    """(ord, error): places where the common rows are not what the native ones map to; with
+    a limit of the first so many places only. Whole files are counted in any case, by
+    sinks.artifacts.check_artifact()."""
+    if limit is not None:
+        if limit < 1:
+            raise ValueError("a limit is a positive number")
+        native, common = (df.orderBy("ord").limit(limit) for df in (native, common))
     want, have = comparable(to_common(native)), comparable(common).withColumnRenamed("value", "other")
     joined = want.join(have, "ord", "full_outer")
     error = F.when(F.col("other").isNull(), "missing").when(F.col("value").isNull(), "unexpected").when(F.col("value") != F.col("other"), "different")

@@ -11,12 +11,16 @@ import os
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 CHUNK = 1 << 20
 LEVEL = 9
+COMPRESSION = "deflate-raw"  # as manifests name it
+LINES_AT_ONCE = 10_000
 
 
 @dataclass
@@ -98,12 +102,14 @@ class RawDeflateSource(DataSource):
     """spark.read.format("raw_deflate").load(path): (ord, value), or with the option
     permissive=true also (error) instead of a stop."""
 
+    FIELDS = "ord bigint, value string, error string"
+
     @classmethod
     def name(cls) -> str:
         return "raw_deflate"
 
     def schema(self) -> str:
-        return "ord bigint, value string, error string"
+        return self.FIELDS
 
     def reader(self, schema) -> RawDeflateReader:
         return RawDeflateReader(self.options)
@@ -118,31 +124,37 @@ class RawDeflateReader(DataSourceReader):
         return [InputPartition(p) for p in self.paths]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        number = 0
-        try:
-            for number, line in enumerate(lines_of(file_chunks(partition.value)), 1):
-                yield number, line, None
-        except (ContainerError, UnicodeDecodeError) as error:
-            if not self.permissive:
-                raise
-            yield number + 1, None, str(error)
+        return numbered(file_chunks(partition.value), self.permissive)
+
+
+def numbered(chunks: Iterable[bytes], permissive: bool) -> Iterator[tuple]:
+    """(ord, value, error) of a container's lines; with `permissive` damage is a last row
+    with an error instead of a stop."""
+    number = 0
+    try:
+        for number, line in enumerate(lines_of(chunks), 1):
+            yield number, line, None
+    except (ContainerError, UnicodeDecodeError) as error:
+        if not permissive:
+            raise
+        yield number + 1, None, str(error)
 
 
 def read_container(spark: SparkSession, path: str, permissive: bool = False) -> DataFrame:
-    """Container lines. Files in a store that only Spark reads come as bytes through its
-    binary reader and are expanded in the task that holds them."""
+    """Container lines. Of a file in a store that only Spark reads its binary reader gives
+    the compressed bytes; the task that holds them expands a chunk at a time and hands
+    lines on as they come."""
     if "://" in path and not path.startswith("file://"):
         blobs = spark.read.format("binaryFile").load(path).select("content")
 
-        def run(batches):
-            import pandas as pd
-
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 for content in pdf["content"]:
-                    lines = list(lines_of([content]))
-                    yield pd.DataFrame({"ord": range(1, len(lines) + 1), "value": lines, "error": None})
+                    rows = numbered((content[a : a + CHUNK] for a in range(0, len(content), CHUNK)), permissive)
+                    while part := list(islice(rows, LINES_AT_ONCE)):
+                        yield pd.DataFrame(part, columns=["ord", "value", "error"])
 
-        return blobs.mapInPandas(run, "ord bigint, value string, error string")
+        return blobs.mapInPandas(run, RawDeflateSource.FIELDS)
     spark.dataSource.register(RawDeflateSource)
     return spark.read.format("raw_deflate").option("permissive", str(permissive).lower()).load(path)
 

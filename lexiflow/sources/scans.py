@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -115,10 +115,10 @@ def ids(lines: DataFrame) -> DataFrame:
     return rows.where("id <> 'id'").groupBy("id").agg(F.min("ord").alias("rank"))
 
 
-def strict_records(lines: DataFrame, required: dict[str, str], optional: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+def strict_records(lines: DataFrame, required: dict[str, str], optional: dict[str, str], identity: tuple[str, ...] = ("word", "trad", "pinyin")) -> tuple[DataFrame, DataFrame]:
     """(rows, errors (ord, error)) of patch records: JSON objects with exactly the known
-    keys, each of its type, and no identity twice. Types are read from the raw JSON, so
-    that true is no number and 1.0 no index."""
+    keys, each of its type, and no identity twice: what repeats an earlier one is an
+    error. Types are read from the raw JSON, so that true is no number and 1.0 no index."""
     raw = lines.where(F.trim("value") != "").withColumn("v", F.try_parse_json("value"))
     keys = F.map_keys(F.from_json("value", "map<string, string>"))
     known = F.array(*(F.lit(k) for k in [*required, *optional]))
@@ -133,8 +133,12 @@ def strict_records(lines: DataFrame, required: dict[str, str], optional: dict[st
     error = F.when(F.col("v").isNull() | ~F.col("value").rlike(r"^\s*\{"), "no object").when(F.size(F.array_except(keys, known)) > 0, "unknown key")
     checked = raw.withColumn("error", F.coalesce(error, *tests))
     names = {"BIGINT": "bigint", "STRING": "string", "ARRAY<STRING>": "array<string>", "BOOLEAN": "boolean"}
-    rows = checked.where("error is null").select("ord", *(F.try_variant_get("v", f"$.{k}", names[t]).alias(k) for k, t in {**required, **optional}.items()))
-    return rows, checked.where("error is not null").select("ord", "error")
+    fields = {**required, **optional}
+    typed = checked.where("error is null").select("ord", *(F.try_variant_get("v", f"$.{k}", names[t]).alias(k) for k, t in fields.items()))
+    place = F.row_number().over(Window.partitionBy(*(k for k in identity if k in fields)).orderBy("ord"))
+    ranked = typed.withColumn("__place", place)
+    again = ranked.where("__place > 1").select("ord", F.lit("the identity is given twice").alias("error"))
+    return ranked.where("__place = 1").drop("__place"), checked.where("error is not null").select("ord", "error").unionByName(again)
 
 
 def forensic_lines(spark: SparkSession, path: str, name: str) -> tuple[DataFrame, DataFrame]:
