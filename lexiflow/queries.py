@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-import zlib
+import json
 from collections.abc import Callable
+from itertools import chain
+from pathlib import Path
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,11 +15,17 @@ from lexiflow.functions import text as T
 from lexiflow.operators import common_format as C
 from lexiflow.operators import matching as M
 from lexiflow.operators import ordering as O
+from lexiflow.operators import patches as P
 from lexiflow.operators import rules as R
 from lexiflow.operators.source_lines import parse_lines
+from lexiflow.plans import assemble as Z
 from lexiflow.plans import build as B
-from lexiflow.session import shared_dir
-from lexiflow.sources.raw_deflate import lines_of
+from lexiflow.plans import inference as I
+from lexiflow.session import working_folder
+from lexiflow.sinks import artifacts as A
+from lexiflow.sinks import store as ST
+from lexiflow.sources.raw_deflate import container_sizes, read_container, write_ordered
+from lexiflow.sources.scans import check_declared, ids, log_rows, strict_records, text_lines
 from lexiflow.streaming.resume import append_once, follow_log
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +50,14 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return df.select(*columns) if columns else df
 
 
+def local_folder(spark: SparkSession) -> Path:
+    """A new folder for single files that the driver writes, in the shared folder where that
+    is one of this machine's; deleted when the driver ends."""
+    folder = Path(working_folder(spark, "files").removeprefix("file://").removeprefix("file:"))
+    folder.mkdir(parents=True)
+    return folder
+
+
 def cents(column: str) -> Column:
     """A sum of money as a whole number, so that sums do not depend on their order."""
     return F.round(F.col(column) * 100).cast("bigint")
@@ -80,21 +94,48 @@ def latin_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT lang, count(*) AS n, count(*) FILTER (regexp_matches(text, '[A-Za-zªµºÀ-ÖØ-öø-ɏ]')) AS latin,
-count(*) FILTER (regexp_matches(text, '[\\x{0400}-\\x{04FF}]')) AS cyrillic, count(*) FILTER (regexp_matches(text, '[\\x{4E00}-\\x{9FFF}]')) AS han,
-count(*) FILTER (regexp_matches(text, '[äöüß]')) AS umlaut FROM documents GROUP BY lang""")
+count(*) FILTER (regexp_matches(text, '[\\x{0400}-\\x{052F}]')) AS cyrillic, count(*) FILTER (regexp_matches(text, '[\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{F900}-\\x{FAFF}]')) AS han,
+count(*) FILTER (regexp_matches(text, '[\\x{3041}-\\x{30FF}\\x{31F0}-\\x{31FF}]')) AS kana, count(*) FILTER (regexp_matches(text, '[äöüß]')) AS umlaut FROM documents GROUP BY lang""")
 def script_flags(spark: SparkSession, d: str) -> DataFrame:
     """Texts with characters of each script."""
-    flags = {"latin": T.LATIN, "cyrillic": T.CYRILLIC, "han": "\\x{4E00}-\\x{9FFF}", "umlaut": "äöüß"}
+    flags = {"latin": T.LATIN, "cyrillic": T.CYRILLIC, "han": T.HAN, "kana": T.KANA, "umlaut": "äöüß"}
     return read(spark, d, "documents", "lang", "text").groupBy("lang").agg(F.count("*").alias("n"), *(F.count_if(T.has("text", c)).alias(n) for n, c in flags.items()))
 
 
-@query("""SELECT failure, count(*) AS n FROM (SELECT CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty' WHEN regexp_matches(text, '^\\s|\\s$') THEN 'edge-space'
-WHEN length(text) > 2000 THEN 'too-long' WHEN regexp_matches(text, '[\\x{0400}-\\x{04FF}]') THEN 'cyrillic'
-WHEN regexp_matches(text, '[āáǎàēéěèīíǐìōóǒòūúǔùǖǘǚǜ]') THEN 'tone-marks' WHEN contains(text, 'the') THEN 'latin' ELSE 'no-japanese' END AS failure FROM documents) GROUP BY failure""")
+# Sample texts with the rule each breaks (allowed: DNA; English words: post)
+# and the scripts it has characters of (l atin, c yrillic, h an, k ana).
+SAMPLES = [
+    ("語", None, "h"), ("11", None, ""), ("DNA", None, "l"), ("・", None, "k"), ("゛あ", None, "k"), ("々", "no-japanese", ""), ("Ԁ語", "cyrillic", "ch"), ("ԯ", "cyrillic", "c"), ("԰", "no-japanese", ""), ("語́", "tone-marks", "h"),
+    ("Ō", "latin", "l"), ("Ǎ", "tone-marks", "l"), ("ÀB語", "tone-marks", "lh"), ("post語", "english-left", "lh"), ("odd語", "latin", "lh"), (" 語", "edge-space", "h"), ("", "empty", ""), ("☰", "no-japanese", ""), ("ｱ", "no-japanese", ""), ("長" * 25, "too-long", "h"), ("𠀀", None, "h"),
+]
+SAMPLES_SQL = ", ".join(f"({n}, '{t}', {'NULL' if f is None else repr(f)}, '{c}')" for n, (t, f, c) in enumerate(SAMPLES))
+
+
+def sample_of(column: str, samples: list[str]) -> Column:
+    """One of the samples for each row, by the remainder of a number."""
+    return F.element_at(F.array(*(F.lit(x) for x in samples)), (F.col(column) % len(samples) + 1).cast("int"))
+
+
+@query(f"""SELECT event_id, coalesce(f, 'none') AS failure, coalesce(CASE WHEN f NOT IN ('tone-marks', 'english-left', 'latin') THEN f END, 'none') AS derived_failure, c AS scripts
+FROM events JOIN (VALUES {SAMPLES_SQL}) s(n, t, f, c) ON n = event_id % {len(SAMPLES)}""")
+def text_rule_samples(spark: SparkSession, d: str) -> DataFrame:
+    """The first rule each of some texts breaks, and its scripts."""
+    text, allowed, english = sample_of("event_id", [t for t, _, _ in SAMPLES]), F.array(F.lit("DNA")), F.array(F.lit("post"))
+    rows = read(spark, d, "events", "event_id").withColumn("t", text)
+    fails = lambda **k: F.coalesce(T.first_failure(F.col("t"), 24, allowed, english, **k), F.lit("none"))
+    scripts = F.concat(*(F.when(T.has("t", c), n).otherwise("") for n, c in {"l": T.LATIN, "c": T.CYRILLIC, "h": T.HAN, "k": T.KANA}.items()))
+    return rows.select("event_id", fails().alias("failure"), fails(readings=F.lit(True)).alias("derived_failure"), scripts.alias("scripts"))
+
+
+@query("""SELECT failure, count(*) AS n FROM (SELECT CASE WHEN text IS NULL OR text = '' THEN 'empty' WHEN regexp_matches(text, '^\\s|\\s$') THEN 'edge-space'
+WHEN length(text) > 2000 THEN 'too-long' WHEN regexp_matches(text, '[\\x{0400}-\\x{052F}]') THEN 'cyrillic'
+WHEN regexp_matches(text, '[\\x{0300}\\x{0301}\\x{0304}\\x{030C}āáǎàēéěèīíǐìōóǒòūúǔùǖǘǚǜĀÁǍÀĒÉĚÈ]') THEN 'tone-marks'
+WHEN lower(list_filter(regexp_extract_all(text, '[A-Za-zªµºÀ-ÖØ-öø-ɏ]+'), lambda t: t NOT IN ('the', 'of'))[1]) IN ('and', 'to', 'in') THEN 'english-left'
+WHEN len(list_filter(regexp_extract_all(text, '[A-Za-zªµºÀ-ÖØ-öø-ɏ]+'), lambda t: t NOT IN ('the', 'of'))) > 0 THEN 'latin' ELSE 'no-japanese' END AS failure FROM documents) GROUP BY failure""")
 def text_first_failure(spark: SparkSession, d: str) -> DataFrame:
     """The first rule a text breaks."""
-    foreign = F.when(F.contains("text", F.lit("the")), F.array(F.lit("the"))).otherwise(F.array().cast("array<string>"))
-    failure = T.first_failure(F.col("text"), 2000, foreign)
+    words = lambda *w: F.array(*map(F.lit, w))
+    failure = T.first_failure(F.col("text"), 2000, words("the", "of"), words("and", "to", "in"))
     return read(spark, d, "documents", "text").select(failure.alias("failure")).groupBy("failure").agg(F.count("*").alias("n"))
 
 
@@ -207,18 +248,45 @@ def crosscheck_verdict(spark: SparkSession, d: str) -> DataFrame:
     return joined.select(M.verdict(F.greatest(F.col("n") - 240, F.when(F.col("n").isNotNull(), 0))).alias("verdict")).groupBy("verdict").agg(F.count("*").alias("n_suppliers"))
 
 
-@query("""WITH l AS (SELECT l_orderkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS n FROM lineitem),
-r AS (SELECT o_orderkey, CAST(o_orderkey % 5 + 1 AS BIGINT) AS pick, CAST(o_orderkey % 50 + 1 AS DOUBLE) AS expected FROM orders WHERE o_orderkey % 4 = 0)
-SELECT CASE WHEN c.n_lines IS NULL THEN 'no row' WHEN pick > c.n_lines THEN 'no such sense' WHEN l_quantity <> expected THEN 'another text' ELSE 'applied' END AS outcome, count(*) AS n
-FROM r LEFT JOIN (SELECT l_orderkey, max(n) AS n_lines FROM l GROUP BY 1) c ON c.l_orderkey = o_orderkey LEFT JOIN l ON l.l_orderkey = o_orderkey AND l.n = pick GROUP BY 1""")
-def patch_indexed(spark: SparkSession, d: str) -> DataFrame:
-    """Patches that must hit an element by index and agree with it."""
+def order_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as rows with a sense for each of their lines: the word is the customer, the
+    reading the order."""
     lines = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    rows = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))), lambda x: x["l_quantity"]).alias("senses"))
-    records = read(spark, d, "orders", "o_orderkey").where("o_orderkey % 4 = 0").select("o_orderkey", (F.col("o_orderkey") % 5 + 1).cast("int").alias("pick"), (F.col("o_orderkey") % 50 + 1).cast("double").alias("expected"))
-    found = F.get("senses", F.col("pick") - 1)
-    outcome = F.when(F.col("senses").isNull(), "no row").when(F.col("pick") > F.size("senses"), "no such sense").when(found != F.col("expected"), "another text").otherwise("applied")
-    return records.join(rows, "o_orderkey", "left").groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
+    senses = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))), lambda x: F.struct(x["l_quantity"].cast("int").cast("string").alias("ja")))
+    gathered = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(senses.alias("senses"))
+    named = read(spark, d, "orders", "o_orderkey", "o_custkey").select("o_orderkey", F.concat(F.lit("w"), "o_custkey").alias("word"), F.lit(None).cast("string").alias("trad"), F.concat(F.lit("p"), "o_orderkey").alias("pinyin"))
+    return named.join(gathered, "o_orderkey").withColumns({"primary": F.lit(None).cast("int"), "default": F.lit(None).cast("boolean")})
+
+
+ROWS_SQL = """l AS (SELECT l_orderkey AS k, CAST(l_quantity AS INTEGER) AS q, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS n FROM lineitem),
+c AS (SELECT k, max(n) AS n_lines, o_custkey AS w FROM l JOIN orders ON o_orderkey = k GROUP BY k, o_custkey)"""
+
+
+@query(f"""WITH {ROWS_SQL}, r AS (SELECT o_orderkey AS k, o_orderkey % 5 + 1 AS pick, o_orderkey % 50 + 1 AS expected FROM orders WHERE o_orderkey % 4 = 0 UNION ALL SELECT -1 - o_orderkey, 1, 1 FROM orders WHERE o_orderkey % 100 = 0),
+e AS (SELECT CASE WHEN n_lines IS NULL THEN 'no such row' WHEN pick > n_lines THEN 'no such sense' WHEN q <> expected THEN 'another text' END AS label FROM r LEFT JOIN c USING (k) LEFT JOIN l ON l.k = r.k AND l.n = pick
+UNION ALL SELECT 'no primary' FROM c WHERE n_lines >= 2 AND k % 4 <> 0 UNION ALL SELECT 'no default' FROM (SELECT w FROM c GROUP BY w HAVING count(*) > 1 AND count(*) FILTER (k % 3 = 0) = 0))
+SELECT label, count(*) AS n FROM e WHERE label IS NOT NULL GROUP BY label""")
+def patch_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """What is wrong with patches that must hit an element by index and agree with it."""
+    rows, orders = order_rows(spark, d), read(spark, d, "orders", "o_orderkey", "o_custkey")
+    k, word = F.col("o_orderkey"), F.concat(F.lit("w"), "o_custkey")
+    hit = orders.where(k % 4 == 0).select(word.alias("word"), F.concat(F.lit("p"), k).alias("pinyin"), (k % 5 + 1).cast("int").alias("sense"), (k % 50 + 1).cast("string").alias("ja"))
+    lost = orders.where(k % 100 == 0).select(F.lit("nobody").alias("word"), F.concat(F.lit("p-"), k).alias("pinyin"), F.lit(1).alias("sense"), F.lit("1").alias("ja"))
+    primary = hit.unionByName(lost).withColumn("trad", F.lit(None).cast("string"))
+    default = rows.where(k % 3 == 0).select("word", "trad", "pinyin")
+    return P.primary_errors(rows.drop("o_orderkey"), primary, default).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {ROWS_SQL} SELECT k AS o_orderkey, CASE WHEN n_lines >= 2 THEN CAST(k % n_lines + 1 AS INTEGER) END AS primary_sense, CASE WHEN k = min(k) OVER (PARTITION BY w) AND count(*) OVER (PARTITION BY w) > 1 THEN true END AS default_row FROM c""")
+def patch_applied(spark: SparkSession, d: str) -> DataFrame:
+    """Rows with the primary sense and default row of records that fit."""
+    rows = order_rows(spark, d)
+    several = rows.where(F.size("senses") >= 2)
+    sense = (F.col("o_orderkey") % F.size("senses") + 1).cast("int")
+    primary = several.select("word", "trad", "pinyin", sense.alias("sense"), F.get("senses", sense - 1)["ja"].alias("ja"))
+    first = rows.groupBy("word").agg(F.min("o_orderkey").alias("o_orderkey"), F.count("*").alias("n")).where("n > 1").select("o_orderkey")
+    done = P.apply_primary(rows, primary, rows.join(first, "o_orderkey").select("word", "trad", "pinyin"))
+    return done.select("o_orderkey", F.col("primary").alias("primary_sense"), F.col("default").alias("default_row"))
 
 
 @query("""WITH h AS (SELECT user_id, event_type, min(event_id) AS k FROM events WHERE event_id % 2 = 0 GROUP BY 1, 2), a AS (SELECT user_id, event_type, min(event_id) AS k FROM events WHERE event_id % 2 = 1 GROUP BY 1, 2),
@@ -235,12 +303,6 @@ def pos_additive(spark: SparkSession, d: str) -> DataFrame:
     return once.select("user_id", F.array_join("pos", ",").alias("pos"), whole(F.size("pos") - F.size("have")).alias("n_added"))
 
 
-@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
-def coverage_missing(spark: SparkSession, d: str) -> DataFrame:
-    """Keys that another source does not cover."""
-    return M.stale(read(spark, d, "customer", "c_custkey", "c_mktsegment"), read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
-
-
 @query("""SELECT c_custkey AS key, CASE WHEN c_custkey % 10 = 0 THEN 'BUILDING' END AS expected, c_mktsegment AS actual FROM customer WHERE c_custkey % 10 = 0 AND c_mktsegment <> 'BUILDING'""")
 def value_mismatch(spark: SparkSession, d: str) -> DataFrame:
     """Values that are not what is expected; null expects nothing."""
@@ -258,14 +320,17 @@ def positional_full_outer(spark: SparkSession, d: str) -> DataFrame:
     return M.positional_difference(a, b, "ordinal", ["o_orderkey"]).select("ordinal", F.col("l.o_orderkey").alias("left_key"), F.col("r.o_orderkey").alias("right_key"))
 
 
-@query("""WITH s(id, kind, value) AS (VALUES (0, 'a', 'zero'), (1, 'a', 'one'), (2, 'b', 'two'), (3, 'a', 'three'))
-SELECT coalesce(CASE WHEN s.kind = 'a' THEN s.value WHEN s.kind IS NOT NULL THEN 'wrong kind' END, 'missing') AS value, count(*) AS n FROM events LEFT JOIN s ON s.id = events.event_id % 6 GROUP BY 1""")
+@query("""WITH o AS (SELECT o_custkey, CAST(count(*) AS BIGINT) AS k, count(*) FILTER (o_orderstatus IN ('O', 'F')) AS by_model FROM orders GROUP BY 1)
+SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS ordinal, c_name AS word, k AS n_senses, by_model FROM customer JOIN o ON o_custkey = c_custkey""")
 def shared_deref(spark: SparkSession, d: str) -> DataFrame:
-    """Values replaced by what their ids stand for, kinds checked."""
-    shared = spark.createDataFrame([(0, "a", "zero"), (1, "a", "one"), (2, "b", "two"), (3, "a", "three")], "id bigint, kind string, value string")
-    found = read(spark, d, "events", "event_id").select((F.col("event_id") % 6).alias("id")).join(F.broadcast(shared), "id", "left")
-    value = F.when(F.col("kind") == "a", F.col("value")).when(F.col("kind").isNotNull(), "wrong kind").otherwise("missing")
-    return found.groupBy(value.alias("value")).agg(F.count("*").alias("n"))
+    """Entries out of a key-value store, with what their shared ids stand for put back and
+    kinds checked (J25, J26, S20)."""
+    path = local_folder(spark) / "entries.sqlite3"
+    ST.write_store(C.to_common(native_rows(spark, d)), path, {"format": "common"})
+    kind = "struct<headwords: array<struct<text: string>>, senses: array<struct<translations: array<struct<provenance: struct<method: string>>>>>>"
+    rows = ST.store_frame(spark, path).select("ordinal", F.from_json("value", kind).alias("e"))
+    methods = F.transform("e.senses", lambda t: F.get(t["translations"], F.lit(0))["provenance"]["method"])
+    return rows.select("ordinal", F.get("e.headwords", F.lit(0))["text"].alias("word"), whole(F.size("e.senses")).alias("n_senses"), whole(F.size(F.filter(methods, lambda m: m == "llm"))).alias("by_model"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate) AS r FROM lineitem
@@ -448,12 +513,23 @@ def set_diff(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT coalesce(a.k, b.k) AS nation, a.k IS NOT NULL AS of_customers, b.k IS NOT NULL AS of_suppliers FROM (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal > 9900) a
 FULL JOIN (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_acctbal > 5000) b ON a.k = b.k""")
 def intersect_keys(spark: SparkSession, d: str) -> DataFrame:
-    """What is in both sets, or in one only."""
+    """What is in both sets, or in one only."""
     a = read(spark, d, "customer").where("c_acctbal > 9900").select(F.col("c_nationkey").alias("nation"), F.lit(True).alias("a")).distinct()
     b = read(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("nation"), F.lit(True).alias("b")).distinct()
     return a.join(b, "nation", "full_outer").select("nation", F.col("a").isNotNull().alias("of_customers"), F.col("b").isNotNull().alias("of_suppliers"))
 
 
+@query("""SELECT CASE WHEN n_nationkey % 3 = 0 THEN 'missing-file' ELSE 'unlisted-file' END AS what, n_name AS name FROM nation WHERE (n_nationkey % 3 = 0) <> (n_nationkey % 2 = 0)""")
+def manifest_files(spark: SparkSession, d: str) -> DataFrame:
+    """Files that a manifest names against those that are there, both ways."""
+    folder, nations = local_folder(spark), [tuple(r) for r in read(spark, d, "nation", "n_nationkey", "n_name").collect()]  # a fixed list of 25
+    for k, name in nations:
+        if k % 2 == 0:
+            (folder / name).write_text("x", encoding="utf-8")
+    (folder / "manifest.json").write_text(json.dumps({"files": {name: {} for k, name in nations if k % 3 == 0}}), encoding="utf-8")
+    return spark.createDataFrame(A.check_files(folder / "manifest.json", folder), "what string, name string")
+
+
 @query("""SELECT event_type, count(*) AS n_calls, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS spent, CAST(floor(avg(CAST(round(value * 100) AS BIGINT))) AS BIGINT) AS per_call,
 CAST(sum(coalesce(CAST(json_extract_string(props, '$.k') AS BIGINT), 0)) AS BIGINT) AS k_sum FROM events GROUP BY event_type""")
 def usage_sum(spark: SparkSession, d: str) -> DataFrame:
@@ -508,6 +584,15 @@ def toneless_key(spark: SparkSession, d: str) -> DataFrame:
     return two_syllables(spark, d).groupBy(B.toneless_key("reading").alias("key")).agg(F.count("*").alias("n"))
 
 
+@query(f"""{SYLLABLES_SQL}, r AS (SELECT p_partkey, p_brand, x.syllable AS first, x.key || y.key AS key FROM p JOIN part USING (p_partkey) JOIN s x ON x.n = a JOIN s y ON y.n = b), n AS (SELECT * FROM r WHERE p_partkey % 3 = 0),
+o AS (SELECT p_partkey AS ord, p_brand, key FROM r), loose AS (SELECT DISTINCT p_brand, regexp_replace(key, '^(yi|bu)[1-4]', '\\1') AS key FROM n WHERE first IN ('yi1', 'bu4'))
+SELECT ord, p_brand AS word FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.p_brand = o.p_brand AND n.key = o.key) AND NOT EXISTS (SELECT 1 FROM loose WHERE loose.p_brand = o.p_brand AND loose.key = regexp_replace(o.key, '^(yi|bu)[1-4]', '\\1'))""")
+def coverage_missing(spark: SparkSession, d: str) -> DataFrame:
+    """Earlier rows that no row stands for, by spelling and reading."""
+    rows = two_syllables(spark, d).join(read(spark, d, "part", "p_partkey", "p_brand"), "p_partkey").select(F.col("p_partkey").alias("ord"), F.col("p_brand").alias("word"), F.lit(None).cast("string").alias("trad"), B.to_marks("reading").alias("pinyin"))
+    return B.uncovered(rows.where("ord % 3 = 0"), rows.select("ord", "word", "pinyin")).select("ord", "word")
+
+
 @query(f"""{SYLLABLES_SQL}, r AS (SELECT p_partkey, x.syllable AS first, x.key || y.key AS key FROM p JOIN s x ON x.n = a JOIN s y ON y.n = b),
 l AS (SELECT DISTINCT regexp_replace(key, '^(yi|bu)[1-4]', '\\1' || '2') AS heard FROM r), k AS (SELECT heard, regexp_replace(heard, '^(yi|bu)[1-4]', '\\1') AS loose FROM l),
 e AS (SELECT heard, count(*) AS n FROM k JOIN r ON key = heard GROUP BY 1), f AS (SELECT heard, count(*) AS n FROM k JOIN r ON regexp_replace(key, '^(yi|bu)[1-4]', '\\1') = loose AND first IN ('yi1', 'bu4') WHERE heard NOT IN (SELECT heard FROM e) GROUP BY 1)
@@ -532,7 +617,7 @@ def split_outside_brackets(spark: SparkSession, d: str) -> DataFrame:
 
 def sample_lines(spark: SparkSession, d: str) -> DataFrame:
     """(ord, value): source lines made of parts, one form for each remainder of 6."""
-    bodies = ["/(coll.) {n}; other (a; b)/CL:個|个[ge4]/", "/old variant of 汝[ru3]/{n}/", "/(bound form)/{n}/see 上海[Shang4 hai3] and 深圳[Shen1 zhen4]/", "/{n} (Tw, HK)/Taiwan pr. [ji2]/", "/(loanword from Japanese 一番, ichiban) {n}/", "/abbr. for Israel 以色列[Yi3 se4 lie4]/(Tw, biology) {n}/"]
+    bodies = ["/(coll.) {n}; other (a; b)/CL:個|个[ge4]/", "/old variant of 峰[feng1]/{n}/", "/(bound form)/{n}/see 北京[Bei3 jing1] and 天津[Tian1 jin1]/", "/{n} (Tw, HK)/Taiwan pr. [ji2]/", "/(loanword from Malay 峇迪, batik) {n}/", "/abbr. for Brazil 巴西[Ba1 xi1]/(Tw, biology) {n}/"]
     text = F.element_at(F.array(*(F.lit(b) for b in bodies)), (F.col("p_partkey") % len(bodies) + 1).cast("int"))
     body = F.replace(text, F.lit("{n}"), F.col("p_name"))
     return read(spark, d, "part", "p_partkey", "p_name").select(F.col("p_partkey").alias("ord"), F.concat(F.lit("詞 词 [ci2] "), body).alias("value"))
@@ -547,14 +632,14 @@ def line_parse(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT ord, no, misc, en FROM (SELECT p_partkey AS ord, unnest(CASE p_partkey % 6
 WHEN 0 THEN [{'no': 1, 'misc': 'coll', 'en': p_name || '|other (a; b)'}] WHEN 1 THEN [{'no': 1, 'misc': '', 'en': ''}, {'no': 2, 'misc': '', 'en': p_name}]
 WHEN 2 THEN [{'no': 1, 'misc': 'bound', 'en': p_name}, {'no': 2, 'misc': '', 'en': ''}] WHEN 3 THEN [{'no': 1, 'misc': 'tw,hk', 'en': p_name}]
-WHEN 4 THEN [{'no': 1, 'misc': 'loan', 'en': p_name}] ELSE [{'no': 1, 'misc': '', 'en': 'abbr. for Israel 以色列[Yi3 se4 lie4]'}, {'no': 2, 'misc': '', 'en': '(Tw, biology) ' || p_name}] END, recursive := true) FROM part)""")
+WHEN 4 THEN [{'no': 1, 'misc': 'loan', 'en': p_name}] ELSE [{'no': 1, 'misc': '', 'en': 'abbr. for Brazil 巴西[Ba1 xi1]'}, {'no': 2, 'misc': '', 'en': '(Tw, biology) ' || p_name}] END, recursive := true) FROM part)""")
 def sense_grammar(spark: SparkSession, d: str) -> DataFrame:
     """Typed senses of lines."""
     senses = parse_lines(sample_lines(spark, d)).select("ord", F.posexplode("senses").alias("p", "s"))
     return senses.select("ord", (F.col("p") + 1).alias("no"), F.array_join("s.misc", ",").alias("misc"), F.array_join("s.en", "|").alias("en"))
 
 
-@query("""SELECT text, count(*) AS n FROM (SELECT unnest(CASE p_partkey % 6 WHEN 1 THEN ['汝（rǔ）の旧字体'] WHEN 2 THEN ['上海（Shàng hǎi）・深圳（Shēn zhèn）に同じ'] ELSE [] END) AS text FROM part) GROUP BY text""")
+@query("""SELECT text, count(*) AS n FROM (SELECT unnest(CASE p_partkey % 6 WHEN 1 THEN ['峰（fēng）の旧字体'] WHEN 2 THEN ['北京（Běi jīng）・天津（Tiān jīn）に同じ'] ELSE [] END) AS text FROM part) GROUP BY text""")
 def derived_text(spark: SparkSession, d: str) -> DataFrame:
     """Texts made from references."""
     parsed = parse_lines(sample_lines(spark, d))
@@ -564,20 +649,93 @@ def derived_text(spark: SparkSession, d: str) -> DataFrame:
     return texts.where("text is not null").groupBy("text").agg(F.count("*").alias("n"))
 
 
-@query("""WITH t AS (SELECT user_id, event_id, event_type FROM events WHERE user_id % 10 = 0), g AS (SELECT user_id, '{' || string_agg('"' || event_id || '":"' || event_type || '"', ',' ORDER BY event_id) || '}' AS s FROM t GROUP BY 1)
-SELECT user_id, '{"id":"u' || user_id || '","s":' || s || '}' AS payload FROM g""")
-def json_payload(spark: SparkSession, d: str) -> DataFrame:
-    """The payloads of the users its SQL names."""
-    return json_payload_all(spark, d).where("user_id % 10 = 0")
+
+def event_base(spark: SparkSession, d: str) -> DataFrame:
+    """Users as base rows with a sense for each of their events; even events lack a text."""
+    fields = {"en": F.array("event_type"), "ja": F.when(F.col("event_id") % 2 == 1, "済"), "misc": F.when(F.col("event_id") % 5 == 0, F.array(F.lit("coll"), F.lit("fig")))}
+    sense = F.to_json(F.struct(*(v.alias(k) for k, v in fields.items())))
+    rows = read(spark, d, "events", "user_id", "event_id", "event_type").groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_id", sense.alias("s")))), lambda x: F.from_json(x["s"], S.SENSE)).alias("senses"))
+    given = {"id": F.concat(F.lit("u"), "user_id"), "word": F.concat(F.lit("w"), "user_id"), "pinyin": F.lit("p"), "senses": F.col("senses"), "ord": F.col("user_id"), "seed_gloss": F.when(F.col("user_id") % 2 == 0, F.array(F.lit("甲"), F.lit("乙")))}
+    return rows.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in spark.createDataFrame([], S.BASE).schema))
 
 
-@query("""WITH g AS (SELECT user_id, '{' || string_agg('"' || event_id || '":"' || event_type || '"', ',' ORDER BY event_id) || '}' AS s FROM events GROUP BY 1)
-SELECT user_id, '{"id":"u' || user_id || '","s":' || s || '}' AS payload FROM g""")
-def json_payload_all(spark: SparkSession, d: str) -> DataFrame:
-    """Compact payloads with short keys, of all users."""
-    events = read(spark, d, "events", "user_id", "event_id", "event_type")
-    pairs = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))), lambda x: F.struct(x["event_id"].cast("string"), x["event_type"]))
-    return events.groupBy("user_id").agg(F.to_json(F.struct(F.concat(F.lit("u"), F.col("user_id")).alias("id"), F.map_from_entries(pairs).alias("s"))).alias("payload"))
+BASE_SQL = "b AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events), o AS (SELECT * FROM b WHERE event_id % 2 = 0)"
+
+
+@query(f"""WITH {BASE_SQL}, g AS (SELECT user_id, string_agg('"' || n || '":"' || event_type || '"', ',' ORDER BY n) AS s, string_agg('"' || n || '":"coll,fig"', ',' ORDER BY n) FILTER (event_id % 5 = 0) AS m FROM o GROUP BY 1)
+SELECT user_id, '{{"id":"u' || user_id || '","w":"w' || user_id || '","py":"p","s":{{' || s || '}}' || CASE WHEN m IS NULL THEN '' ELSE ',"m":{{' || m || '}}' END || CASE WHEN user_id % 2 = 0 THEN ',"h":"甲、乙"' ELSE '' END || '}}' AS payload FROM g""")
+def json_payload(spark: SparkSession, d: str) -> DataFrame:
+    """Compact payloads of all senses without a text."""
+    open_ = event_base(spark, d).where(F.size(I.pending_numbers(F.col("senses"))) > 0)
+    return open_.select(F.col("ord").alias("user_id"), F.to_json(I.payload_item()).alias("payload"))
+
+
+@query(f"""WITH {BASE_SQL} SELECT user_id, CAST(n AS INTEGER) AS sense, '訳w' || user_id || n AS ja FROM o""")
+def inference_run(spark: SparkSession, d: str) -> DataFrame:
+    """Calls, answers and their log, run twice: the first run meets a backend that breaks
+    off for some, the second asks for the rest (J27, J28, J31, R03, R04, W05, K10)."""
+    base, log = event_base(spark, d), f"{working_folder(spark, 'log')}/log"
+    I.run(base, I.FakeBackend(broken="7"), log)
+    I.run(base, I.FakeBackend(), log)
+    texts = read_log(spark, log)
+    merged = I.merge_glosses(base, texts)
+    if merged.where(F.size(I.pending_numbers(F.col("senses"))) > 0).count():
+        raise ValueError("a sense was left without a text")
+    senses = merged.select("ord", F.posexplode("senses").alias("p", "s")).where("s.ja <> '済'")
+    return senses.select(F.col("ord").alias("user_id"), (F.col("p") + 1).alias("sense"), F.col("s.ja").alias("ja"))
+
+
+def read_log(spark: SparkSession, log: str) -> DataFrame:
+    return spark.read.schema(S.GLOSS).json(log)
+
+
+@query(f"""WITH {BASE_SQL}, t AS (SELECT user_id, n, CASE event_id % 6 WHEN 0 THEN '語' WHEN 2 THEN event_type ELSE 'odd' END AS ja FROM o WHERE event_id % 10 <> 0), w AS (SELECT DISTINCT user_id, unnest(regexp_extract_all(lower(event_type), '[a-z]+')) AS token FROM b),
+v AS (SELECT 'u' || user_id AS id, CAST(n AS INTEGER) AS sense, CASE WHEN ja <> '語' THEN CASE WHEN EXISTS (SELECT 1 FROM w WHERE w.user_id = t.user_id AND w.token = regexp_extract(ja, '[a-z]+')) THEN 'english-left' ELSE 'latin' END END AS detail FROM t)
+SELECT 'violation' AS kind, id, sense, detail FROM v WHERE detail IS NOT NULL UNION ALL SELECT 'missing', 'u' || user_id, CAST(min(n) AS INTEGER), NULL FROM o WHERE event_id % 10 = 0 GROUP BY user_id UNION ALL SELECT 'unknown', 'nobody', NULL, NULL UNION ALL SELECT 'repeated', 'nobody', 1, '2'""")
+def inference_verify(spark: SparkSession, d: str) -> DataFrame:
+    """What a log lacks, has too much, or has wrong."""
+    base, text = event_base(spark, d), event_texts(spark, d)
+    extra = spark.createDataFrame([("nobody", 1, "語")] * 2, S.GLOSS)
+    return I.verify(base, text.unionByName(extra))[1]
+
+
+def event_texts(spark: SparkSession, d: str) -> DataFrame:
+    """(id, sense, ja): texts of most open senses of event_base(), some of them bad."""
+    k = F.col("event_id")
+    number = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
+    ja = F.when(k % 6 == 0, "語").when(k % 6 == 2, F.col("event_type")).otherwise("odd")
+    rows = read(spark, d, "events", "user_id", "event_id", "event_type").withColumn("n", number).where((k % 2 == 0) & (k % 10 != 0))
+    return rows.select(F.concat(F.lit("u"), "user_id").alias("id"), F.col("n").alias("sense"), ja.alias("ja"))
+
+
+@query(f"""WITH {BASE_SQL}, t AS (SELECT user_id, n, event_id % 6 <> 0 AS bad FROM o WHERE event_id % 10 <> 0) SELECT CASE WHEN bad AND user_id % 3 = 0 THEN 'dropped' ELSE 'kept' END AS what, count(*) AS n FROM t GROUP BY 1""")
+def drop_invalid(spark: SparkSession, d: str) -> DataFrame:
+    """Texts that break a rule are taken out of a log, of one's own entries only."""
+    base = event_base(spark, d).where("ord % 3 = 0")
+    kept, dropped = I.drop_invalid(event_texts(spark, d), own=base)
+    return kept.select(F.lit("kept").alias("what")).unionByName(dropped.select(F.lit("dropped").alias("what"))).groupBy("what").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {BASE_SQL} SELECT 'u' || user_id AS id, CAST(n AS INTEGER) AS n, CASE WHEN event_id % 2 = 1 THEN '済' WHEN event_id % 4 = 0 THEN 'new' ELSE 'old' END AS ja, CASE WHEN event_id % 2 = 0 THEN CASE WHEN event_id % 3 = 0 THEN 'llm_fixed' ELSE 'llm_ok' END END AS qa FROM b""")
+def gloss_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Texts go where there is none, of several the last, and rewritten ones are marked."""
+    base, k = event_base(spark, d), F.col("event_id")
+    number = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
+    rows = read(spark, d, "events", "user_id", "event_id").withColumn("sense", number).withColumn("id", F.concat(F.lit("u"), "user_id"))
+    first = rows.select("id", "sense", F.lit("old").alias("ja"), F.lit(1).alias("ord"))
+    later = rows.where(k % 4 == 0).select("id", "sense", F.lit("new").alias("ja"), F.lit(2).alias("ord"))
+    none = spark.createDataFrame([], "word string, pinyin string, sense int, ja string")
+    filled = Z.filled_senses(base, later.unionByName(first), rows.where(k % 3 == 0).select("id", "sense"), none)
+    return filled.select("id", "n", F.col("s.ja").alias("ja"), F.col("s.qa").alias("qa"))
+
+
+@query("""SELECT CASE event_id % 5 WHEN 1 THEN 'ja is of another type' WHEN 2 THEN 'unknown key' WHEN 3 THEN 'no object' ELSE 'the identity is given twice' END AS error, count(*) AS n FROM events WHERE event_id % 5 IN (1, 2, 3) OR event_id % 5 = 4 GROUP BY 1""")
+def strict_patch_records(spark: SparkSession, d: str) -> DataFrame:
+    """Errors of patch records, an identity given twice among them."""
+    word = F.when(F.col("event_id") % 5 == 4, F.concat(F.col("event_id") - 4)).otherwise(F.col("event_id")).cast("string")
+    forms = ['{"word":"{w}","ja":"x"}', '{"word":"{w}","ja":1}', '{"word":"{w}","ja":"x","odd":1}', "[{w}]", '{"word":"{w}","ja":"y"}']
+    lines = read(spark, d, "events", "event_id").select(F.col("event_id").alias("ord"), F.replace(sample_of("event_id", forms), F.lit("{w}"), word).alias("value"))
+    return strict_records(lines, {"word": "STRING", "ja": "STRING"}, {}, ("word",))[1].groupBy("error").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT event_id, CASE event_id % 4 WHEN 3 THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events""")
@@ -589,14 +747,9 @@ def json_extract_reply(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events", "event_id", "props").select("event_id", value.alias("k"))
 
 
-@query("""SELECT event_id, unnest(string_split(event_type, '_')) AS part, length(event_type) AS n FROM events WHERE event_id < 500""")
-def explode_parts(spark: SparkSession, d: str) -> DataFrame:
-    """The parts of the events its SQL names."""
-    return explode_parts_all(spark, d).where("event_id < 500")
-
 
 @query("SELECT event_id, unnest(string_split(event_type, '_')) AS part, length(event_type) AS n FROM events")
-def explode_parts_all(spark: SparkSession, d: str) -> DataFrame:
+def explode_parts(spark: SparkSession, d: str) -> DataFrame:
     """Parts of all events as rows."""
     return read(spark, d, "events", "event_id", "event_type").select("event_id", F.explode(F.split("event_type", "_")).alias("part"), whole(F.length("event_type")).alias("n"))
 
@@ -625,16 +778,10 @@ def common_ids(spark: SparkSession, d: str) -> DataFrame:
     return C.to_common(native_rows(spark, d)).select("ord", F.col("id.value").alias("id"))
 
 
-@query("""WITH o AS (SELECT o_custkey, count(*) AS k FROM orders GROUP BY 1) SELECT c_custkey AS ord, CASE WHEN c_nationkey % 2 = 0 THEN c_name || '|' || c_mktsegment ELSE c_name END AS headwords, lower(c_mktsegment) AS readings,
-CASE WHEN c_nationkey % 3 = 0 THEN 'HSK 2.0 ' || (c_nationkey % 6 + 1) ELSE '' END AS levels, least(k, 2) AS n_senses FROM customer JOIN o ON o_custkey = c_custkey""")
-def common_map(spark: SparkSession, d: str) -> DataFrame:
-    """The rows of common_map_all, with senses counted up to two as its SQL does."""
-    return common_map_all(spark, d).withColumn("n_senses", F.least("n_senses", F.lit(2)).cast("bigint"))
-
 
 @query("""WITH o AS (SELECT o_custkey, count(*) AS k FROM orders GROUP BY 1) SELECT c_custkey AS ord, CASE WHEN c_nationkey % 2 = 0 THEN c_name || '|' || c_mktsegment ELSE c_name END AS headwords, lower(c_mktsegment) AS readings,
 CASE WHEN c_nationkey % 3 = 0 THEN 'HSK 2.0 ' || (c_nationkey % 6 + 1) ELSE '' END AS levels, k AS n_senses FROM customer JOIN o ON o_custkey = c_custkey""")
-def common_map_all(spark: SparkSession, d: str) -> DataFrame:
+def common_map(spark: SparkSession, d: str) -> DataFrame:
     """Headwords, readings, levels and all senses of the common format."""
     c = C.to_common(native_rows(spark, d))
     join = lambda a, f: F.array_join(F.transform(a, f), "|")
@@ -647,23 +794,18 @@ def common_map_all(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("""WITH n AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders)
-SELECT CASE o_orderstatus WHEN 'O' THEN 'llm' WHEN 'F' THEN 'llm' ELSE 'manual_override' END AS method, CASE o_orderstatus WHEN 'O' THEN 'llm_ok' WHEN 'F' THEN 'llm_fixed' ELSE 'hand_fixed' END AS qa,
-'script_and_length' AS evidence, o_orderkey % 2 = 0 AS uncertain, count(*) AS n FROM n WHERE n <= 2 GROUP BY ALL""")
-def provenance_dim(spark: SparkSession, d: str) -> DataFrame:
-    """Origins and evidence of the first two senses of a row, which its SQL counts."""
-    return provenance_counts(C.to_common(native_rows(spark, d)), F.slice("senses", 1, 2))
+
 
 
 @query("""SELECT CASE o_orderstatus WHEN 'O' THEN 'llm' WHEN 'F' THEN 'llm' ELSE 'manual_override' END AS method, CASE o_orderstatus WHEN 'O' THEN 'llm_ok' WHEN 'F' THEN 'llm_fixed' ELSE 'hand_fixed' END AS qa,
 'script_and_length' AS evidence, o_orderkey % 2 = 0 AS uncertain, count(*) AS n FROM orders GROUP BY ALL""")
-def provenance_dim_all(spark: SparkSession, d: str) -> DataFrame:
+def provenance_dim(spark: SparkSession, d: str) -> DataFrame:
     """Origins and evidence of all translations."""
-    return provenance_counts(C.to_common(native_rows(spark, d)), F.col("senses"))
+    return provenance_counts(C.to_common(native_rows(spark, d)))
 
 
-def provenance_counts(common: DataFrame, senses: Column) -> DataFrame:
-    t = common.select(F.explode(senses).alias("s")).select(F.explode("s.translations").alias("t"))
+def provenance_counts(common: DataFrame) -> DataFrame:
+    t = common.select(F.explode("senses").alias("s")).select(F.explode("s.translations").alias("t"))
     return t.groupBy(F.col("t.provenance.method").alias("method"), F.col("t.provenance.source_value").alias("qa"), F.get("t.verification", F.lit(0))["method"].alias("evidence"), F.col("t.uncertain").alias("uncertain")).agg(F.count("*").alias("n"))
 
 
@@ -687,51 +829,152 @@ def violations_report(spark: SparkSession, d: str) -> DataFrame:
     return rows.unionByName(repeated).groupBy("kind").agg(F.count("*").alias("n"), F.min("line").alias("first_line"))
 
 
-@query("""WITH t AS (SELECT event_id, CASE event_id % 7 WHEN 0 THEN 'shàng jí' WHEN 1 THEN '' WHEN 2 THEN ' hǎo' WHEN 3 THEN 'yījǐnr645guī' WHEN 4 THEN 'rт' WHEN 5 THEN 'Shuāng 11' ELSE 'a:b' END AS r FROM events)
-SELECT kind, count(*) AS n FROM (SELECT CASE WHEN r = '' THEN 'empty-pinyin' WHEN r LIKE ' %' THEN 'whitespace' WHEN r IN ('yījǐnr645guī', 'rт', 'a:b') THEN 'bad-pinyin' END AS kind FROM t) WHERE kind IS NOT NULL GROUP BY kind""")
+# Sample readings with the rule each breaks.
+READINGS = [("shàng jí", None), ("", "empty-pinyin"), (" hǎo", "whitespace"), ("yījǐnr645guī", "bad-pinyin"), ("rт", "bad-pinyin"), ("Shuāng 11", None), ("a:b", None), (":a", None), ("nu:3", "bad-pinyin"), ("LU:e4", "bad-pinyin"), ("F1 zá", None), ("F2 zá", "bad-pinyin"), ("yī １", "bad-pinyin"), ("β nèi", None)]
+READINGS_SQL = ", ".join(f"({n}, {'NULL' if k is None else repr(k)})" for n, (_, k) in enumerate(READINGS))
+
+
+@query(f"SELECT kind, count(*) AS n, min(event_id) AS first_line FROM events JOIN (VALUES {READINGS_SQL}) r(n, kind) ON n = event_id % {len(READINGS)} WHERE kind IS NOT NULL GROUP BY kind")
 def reading_whitelist(spark: SparkSession, d: str) -> DataFrame:
     """What readings may hold."""
-    samples = ["shàng jí", "", " hǎo", "yījǐnr645guī", "rт", "Shuāng 11", "a:b"]
-    reading = F.element_at(F.array(*(F.lit(s) for s in samples)), (F.col("event_id") % 7 + 1).cast("int"))
-    rows = read(spark, d, "events", "event_id").withColumn("pinyin", reading)
-    return R.explode_rules(rows, "events", "event_id", "pinyin", R.reading_rules("pinyin")).groupBy("kind").agg(F.count("*").alias("n"))
+    rows = read(spark, d, "events", "event_id").withColumn("pinyin", sample_of("event_id", [r for r, _ in READINGS]))
+    return R.explode_rules(rows, "events", "event_id", "pinyin", R.reading_rules("pinyin")).groupBy("kind").agg(F.count("*").alias("n"), F.min("line").alias("first_line"))
+
 
+def plain_rows(spark: SparkSession, d: str, **changed: Column) -> DataFrame:
+    """Customers as native rows that break no rule, with some columns changed."""
+    letters = F.translate(F.col("c_custkey").cast("string"), "0123456789", "abcdefghij")
+    sense = F.from_json(F.lit('{"ja": "語", "qa": "llm_ok", "en": ["word"]}'), S.SENSE)
+    given = {"word": F.concat("c_mktsegment", "c_nationkey", F.lit(" ")), "pinyin": letters, "senses": F.array(sense), "ord": F.col("c_custkey"), "default": F.when(F.col("c_custkey") % 50 == 0, True)}
+    given["word"] = F.concat("c_mktsegment", F.lit("-"), F.col("c_nationkey").cast("string"))
+    given |= changed
+    rows = read(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    return rows.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in spark.createDataFrame([], S.NATIVE).schema))
 
-@query("""WITH w AS (SELECT c_mktsegment AS word, c_nationkey AS trad, count(*) AS n, min(c_custkey) AS first_line, count(*) FILTER (c_custkey % 50 = 0) AS defaults FROM customer GROUP BY ALL)
-SELECT word, trad, n, first_line, CASE WHEN n > 1 AND defaults = 0 THEN 'missing-default' WHEN defaults > 1 THEN 'duplicate-default' ELSE 'ok' END AS kind FROM w""")
+
+@query("""WITH w AS (SELECT c_mktsegment || '-' || c_nationkey AS word, count(*) AS n, min(c_custkey) AS line, count(*) FILTER (c_custkey % 50 = 0) AS defaults FROM customer GROUP BY 1)
+SELECT word, line, CASE WHEN n > 1 AND defaults = 0 THEN 'missing-default' ELSE 'duplicate-default' END AS kind FROM w WHERE n > 1 AND defaults = 0 OR defaults > 1""")
 def default_rules(spark: SparkSession, d: str) -> DataFrame:
-    """Groups without a default, or with several."""
-    c = read(spark, d, "customer", "c_custkey", "c_mktsegment", "c_nationkey")
-    w = c.groupBy(F.col("c_mktsegment").alias("word"), F.col("c_nationkey").alias("trad")).agg(F.count("*").alias("n"), F.min("c_custkey").alias("first_line"), F.count_if(F.col("c_custkey") % 50 == 0).alias("k"))
-    kind = F.when((F.col("n") > 1) & (F.col("k") == 0), "missing-default").when(F.col("k") > 1, "duplicate-default").otherwise("ok")
-    return w.withColumn("kind", kind).drop("k")
+    """Words of several rows without a default, or with several."""
+    return R.native_violations(plain_rows(spark, d)).select("word", "line", "kind")
+
+
+# Faults of the rows whose number leaves the first value by 29, with the rule.
+FAULTS_SQL = "(1, 'bad-hsk'), (2, 'redundant-trad'), (3, 'unknown-value'), (4, 'duplicate-item'), (5, 'bad-ja'), (6, 'bad-qa'), (7, 'explicit-false'), (8, 'missing-primary'), (9, 'bad-primary'), (10, 'bad-pinyin'), (11, 'whitespace'), (12, 'text-in-ref'), (13, 'bad-kind'), (14, 'missing-key'), (15, 'bad-default'), (16, 'empty-array')"
+
+
+@query(f"SELECT kind, count(*) AS n, min(c_custkey) AS first_line FROM customer JOIN (VALUES {FAULTS_SQL}) f(k, kind) ON k = c_custkey % 29 GROUP BY kind")
+def native_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Rules of native rows, each broken by some (section 2.13)."""
+    k = F.col("c_custkey") % 29
+    sense = lambda **more: F.from_json(F.lit(json.dumps({"ja": "語", "qa": "llm_ok", **more})), S.SENSE)
+    one = lambda s: F.array(s)
+    senses = {5: one(sense(ja="hello")), 6: one(sense(qa="odd")), 7: one(sense(unsure=False)), 8: F.array(sense(), sense(ja="別")), 13: one(sense(see_also=[{"kind": "odd", "w": "a"}])), 14: one(sense(ja=None)), 16: one(sense(en=[]))}
+    chosen = one(sense())
+    for n, value in senses.items():
+        chosen = F.when(k == n, value).otherwise(chosen)
+    letters = F.translate(F.col("c_custkey").cast("string"), "0123456789", "abcdefghij")
+    rows = plain_rows(
+        spark, d, word=F.col("c_name"), senses=chosen, hsk2=F.when(k == 1, 9), trad=F.when(k == 2, F.col("c_name")), pos=F.when(k == 3, F.array(F.lit("zz"))).when(k == 4, F.array(F.lit("n"), F.lit("n"))), primary=F.when(k == 9, 1),
+        pinyin=F.when(k == 10, F.concat(letters, F.lit("u:"))).when(k == 11, F.concat(letters, F.lit(" "))).otherwise(letters), cl=F.when(k == 12, F.array(F.from_json(F.lit('{"w": "a b"}'), S.CL))), default=F.when(k == 15, False),
+    )
+    return R.native_violations(rows).groupBy("kind").agg(F.count("*").alias("n"), F.min("line").alias("first_line"))
+
+
+@query("""WITH w AS (SELECT c_mktsegment || '-' || c_nationkey AS word, c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 3 ELSE 2 END AS hsk2 FROM customer), seed AS (SELECT DISTINCT word FROM w UNION ALL SELECT 'lost-' || n_nationkey FROM nation)
+SELECT 'hsk-not-kept' AS kind, word, count(*) AS n FROM w WHERE hsk2 <> 2 GROUP BY word UNION ALL SELECT 'hsk-word-missing', word, 1 FROM seed WHERE word LIKE 'lost-%'
+UNION ALL SELECT 'skeleton-count-mismatch', NULL, 1""")
+def level_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Levels of a seed that rows lost, and the number of rows (section 2.13, J23)."""
+    rows = plain_rows(spark, d, hsk2=F.when(F.col("c_custkey") % 7 == 0, 3).otherwise(2))
+    lost = read(spark, d, "nation", "n_nationkey").select(F.concat(F.lit("lost-"), "n_nationkey").alias("word"))
+    seed = rows.select("word").distinct().unionByName(lost).withColumns({"hsk2": F.lit(2), "hsk3": F.lit(None).cast("int")})
+    found = R.level_violations(rows, seed).unionByName(R.skeleton_violations(rows, -1))
+    return found.groupBy("kind", "word").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT kind, count(*) AS n FROM (SELECT unnest(CASE event_id % 4 WHEN 0 THEN ['unknown-key', 'retired-key'] WHEN 1 THEN ['unknown-key', 'missing-key', 'bad-ja'] WHEN 2 THEN ['bad-hsk', 'bad-primary', 'bad-type'] ELSE [] END) AS kind FROM events) GROUP BY kind""")
+def key_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Keys and types of raw lines, down to senses and references (section 2.13)."""
+    sense = '{"ja": "語", "qa": "llm_ok"}'
+    lines = [f'{{"word": "a", "pinyin": "a", "odd": 1, "gloss": 2, "senses": [{sense}]}}', '{"word": "a", "pinyin": "a", "senses": [{"ja": 3, "see_also": [{"kind": "see", "w": "b", "x": 1}]}]}', f'{{"word": "a", "pinyin": "a", "hsk2": "1", "primary": 1.5, "pos": "n", "senses": [{sense}]}}', f'{{"word": "a", "pinyin": "a", "senses": [{sense}]}}']
+    raw = read(spark, d, "events", "event_id").select(F.col("event_id").alias("line"), sample_of("event_id", lines).alias("value"))
+    return R.key_violations(raw).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT kind, count(*) AS n FROM (SELECT unnest(CASE event_id % 4 WHEN 0 THEN ['foreign-latin', 'foreign-latin'] WHEN 1 THEN ['kana-in-chinese', 'no-han', 'bad-pinyin'] WHEN 2 THEN ['no-han', 'missing-key'] ELSE [] END) AS kind FROM events) GROUP BY kind""")
+def reverse_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Rules of the other direction with its allowlists (section 2.13)."""
+    candidates = ['[{"s": "word别odd", "pinyin": "a"}]', '[{"s": "かな", "pinyin": "u:"}]', '[{"s": "☰"}]', '[{"s": "の字", "pinyin": "a"}, {"s": "DNA", "pinyin": "b"}]']
+    zh = F.from_json(sample_of("event_id", candidates), "array<struct<s: string, pinyin: string>>")
+    rows = read(spark, d, "events", "event_id").select(F.col("event_id").alias("ord"), F.col("event_id").cast("string").alias("word"), zh.alias("zh"), F.lit(None).cast("boolean").alias("unsure"))
+    return R.reverse_violations(rows, allowed_latin=["DNA"], allowed_kana=["の字"]).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("""WITH c AS (SELECT count(*) AS n FROM events) SELECT kind, detail FROM (VALUES ('bad-schema-version', '1'), ('sources-mismatch', 'sources'), ('unknown-file', 'other'), ('missing-key', 'events: senses'), ('retired-file', 'old')) v(kind, detail)
+UNION ALL SELECT 'line-count-mismatch', 'events: 0 of ' || n FROM c""")
+def manifest_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Rules of a manifest (section 2.13)."""
+    n = read(spark, d, "events", "event_id").count()
+    held = {"schema_version": 1, "generated": "today", "sources": {}, "files": {"events": {"lines": 0}, "other": {}}}
+    found = R.manifest_violations(json.dumps(held), {"events": n}, {"events": {"senses": n}}, {"a": 1}, lambda f: True, ("old",))
+    return spark.createDataFrame([(v[3], v[4]) for v in found], "kind string, detail string")
 
 
 # --- logs, streams, containers --------------------------------------------------------------
 
 
 @query("""WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS r FROM lineitem)
-SELECT count(*) FILTER (r = 1) AS merged, count(*) FILTER (r > 1) AS repeated, CAST(sum(l_partkey) FILTER (r = 1) AS BIGINT) AS parts FROM a""")
+SELECT count(*) FILTER (r = 1) AS merged, count(*) FILTER (r > 1) AS repeated, CAST(sum(l_partkey) FILTER (r = 1) AS BIGINT) AS parts, (SELECT count(*) FROM lineitem WHERE l_linenumber = 7) AS broken FROM a""")
 def merge_logs(spark: SparkSession, d: str) -> DataFrame:
-    """Logs merged, the first of repeated rows wins."""
-    lines = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    merged = lines.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey"))["l_partkey"].alias("part"), F.count("*").alias("n"))
-    return merged.agg(F.count("*").alias("merged"), (F.sum("n") - F.count("*")).alias("repeated"), F.sum("part").alias("parts"))
+    """Logs read though lines are cut off, and merged: the first of repeated rows wins."""
+    lines, place = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), working_folder(spark, "logs")
+    text = F.to_json(F.struct(*lines.columns))
+    lines.where("l_linenumber % 2 = 0").select(text.alias("value")).write.text(f"{place}/even")
+    cut = lines.where("l_linenumber = 7").select(F.substring(text, 1, 20).alias("value"))
+    lines.where("l_linenumber % 2 = 1").select(text.alias("value")).unionByName(cut).write.text(f"{place}/odd")
+    rows, broken = log_rows(spark, [f"{place}/even", f"{place}/odd", f"{place}/absent"], "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint")
+    merged = rows.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey"))["l_partkey"].alias("part"), F.count("*").alias("n"))
+    totals = merged.agg(F.count("*").alias("merged"), (F.sum("n") - F.count("*")).alias("repeated"), F.sum("part").alias("parts"))
+    return totals.join(F.broadcast(broken.agg(F.count("*").alias("broken"))))  # one row each
+
+
+CHOICES_SQL = """n AS (SELECT event_id, user_id, event_id % 3 + 1 AS k, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS row FROM events), c AS (SELECT event_id AS ord, user_id, event_id % 5 + 1 AS row, event_id % 3 + 1 AS sense, event_id % 4 = 0 AS d FROM events),
+m AS (SELECT c.ord, n.user_id, n.event_id, n.row, c.sense, n.k, c.d FROM c JOIN n USING (user_id, row)), p AS (SELECT *, row_number() OVER (PARTITION BY user_id, row ORDER BY ord) AS r FROM m WHERE sense <= k AND k > 1)"""
+
+
+def event_choices(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(native rows, choices): a row an event, with up to three senses, under its user."""
+    e = read(spark, d, "events", "event_id", "user_id")
+    senses = F.transform(F.sequence(F.lit(1), (F.col("event_id") % 3 + 1).cast("int")), lambda i: F.struct(F.concat(F.lit("s"), i).alias("ja"), F.array().cast("array<string>").alias("en")))
+    word = F.concat(F.lit("u"), "user_id").alias("word")
+    native = e.select(word, F.lit(None).cast("string").alias("trad"), F.concat(F.lit("p"), "event_id").alias("pinyin"), senses.alias("senses"), F.col("event_id").alias("ord"))
+    k = F.col("event_id")
+    choices = e.select(k.alias("ord"), word, (k % 5 + 1).cast("int").alias("row"), (k % 3 + 1).cast("int").alias("sense"), (k % 4 == 0).alias("default"))
+    return native, choices
+
+
+@query(f"WITH {CHOICES_SQL} SELECT 'u' || user_id AS word, 'p' || event_id AS pinyin, CAST(sense AS INTEGER) AS sense, 's' || sense AS ja FROM p WHERE r = 1")
+def model_choice(spark: SparkSession, d: str) -> DataFrame:
+    """Choices whose word, row and sense exist, the first for each."""
+    native, choices = event_choices(spark, d)
+    return I.accept_choices(choices, native)[0].select("word", "pinyin", "sense", "ja")
 
 
-@query("""WITH c AS (SELECT e.event_id, e.user_id, e.event_id % 3 + 1 AS choice, count(*) OVER (PARTITION BY e.user_id) AS n FROM events e), r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM c WHERE choice <= n AND choice < 3)
-SELECT user_id, event_id, choice FROM r WHERE k = 1""")
-def model_choice(spark: SparkSession, d: str) -> DataFrame:
-    """Choices within range, the first for each key."""
-    size = F.count("*").over(Window.partitionBy("user_id"))
-    c = read(spark, d, "events", "event_id", "user_id").withColumn("choice", F.col("event_id") % 3 + 1).withColumn("n", size)
-    return O.keep_first(c.where("choice <= n and choice < 3").drop("n"), ["user_id"], ["event_id"])
+@query(f"""WITH {CHOICES_SQL}, w AS (SELECT user_id FROM n WHERE k >= 2 AND NOT EXISTS (SELECT 1 FROM p WHERE p.r = 1 AND p.event_id = n.event_id AND p.event_id % 7 <> 0)
+UNION SELECT user_id FROM n GROUP BY user_id HAVING count(*) >= 2 AND user_id NOT IN (SELECT user_id FROM m WHERE d)) SELECT 'u' || user_id AS word FROM w""")
+def choice_resume(spark: SparkSession, d: str) -> DataFrame:
+    """Words to ask about again: choices that are lacking, or whose text has changed."""
+    native, choices = event_choices(spark, d)
+    primary, default = I.accept_choices(choices, native)
+    changed = F.substring("pinyin", 2, 20).cast("bigint") % 7 == 0
+    return I.pending_choices(native, primary.withColumn("ja", F.when(changed, "old").otherwise(F.col("ja"))), default)
 
 
 @query("SELECT user_id, min(event_id) AS first_event, count(DISTINCT event_type) AS n FROM events GROUP BY user_id")
 def stream_resume(spark: SparkSession, d: str) -> DataFrame:
     """An appended log followed by a stream that ends and goes on; first rows win."""
-    place = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    place = working_folder(spark, "stream")
     events = read(spark, d, "events", "event_id", "user_id", "event_type")
     for part in (0, 1):
         events.where(F.col("event_id") % 2 == part).repartition(2, "event_id").write.mode("append").json(f"{place}/log")
@@ -741,47 +984,64 @@ def stream_resume(spark: SparkSession, d: str) -> DataFrame:
     return held.groupBy("user_id").agg(F.min("event_id").alias("first_event"), F.count_distinct("event_type").alias("n"))
 
 
-@query("SELECT event_id, user_id, event_type FROM events WHERE event_id % 5 = 0")
-def raw_deflate_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """The rows its SQL names, after all events went through the container."""
-    return raw_deflate_roundtrip_all(spark, d).where("event_id % 5 = 0")
-
 
 @query("SELECT event_id, user_id, event_type FROM events")
-def raw_deflate_roundtrip_all(spark: SparkSession, d: str) -> DataFrame:
-    """All events through raw-DEFLATE blobs of JSON lines and back (S06-S08, K01): blobs
-    are packed and expanded in the tasks that hold them."""
-    events = read(spark, d, "events", "event_id", "user_id", "event_type")
-    lines = events.select(F.to_json(F.struct("event_id", "user_id", "event_type")).alias("value"))
-
-    def there_and_back(batches):
-        for pdf in batches:
-            stream = zlib.compressobj(9, zlib.DEFLATED, -zlib.MAX_WBITS)
-            blob = stream.compress("".join(f"{v}\n" for v in pdf["value"]).encode()) + stream.flush()
-            chunks = (blob[a : a + 100] for a in range(0, len(blob), 100))
-            yield pd.DataFrame({"value": list(lines_of(chunks))})
-
-    packed = lines.mapInPandas(there_and_back, "value string")
-    return packed.select(F.from_json("value", "event_id bigint, user_id bigint, event_type string").alias("r")).select("r.*")
+def raw_deflate_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """All events written to a container in order and read from it."""
+    events, path = read(spark, d, "events", "event_id", "user_id", "event_type"), str(local_folder(spark) / "events.deflate")
+    lines = A.json_line(events.withColumn("ord", F.col("event_id")), ["event_id", "user_id", "event_type"])
+    sizes = write_ordered(lines, path, "ord")
+    if container_sizes(path) != sizes:
+        raise ValueError("the container is not of the size that was written")
+    return read_container(spark, path).select(F.from_json("value", "event_id bigint, user_id bigint, event_type string").alias("r")).select("r.*")
 
 
 @query("SELECT sha256(text) AS digest, count(*) AS n, min(doc_id) AS first_doc FROM documents GROUP BY 1")
 def content_digests(spark: SparkSession, d: str) -> DataFrame:
-    """Digests of contents."""
+    """Digests of contents."""
     return read(spark, d, "documents", "doc_id", "text").groupBy(F.sha2(F.col("text"), 256).alias("digest")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
 
 
-@query("SELECT CAST(split_part(s, '/', 1) AS INTEGER) - 1 AS index, CAST(split_part(s, '/', 2) AS INTEGER) AS total, count(*) AS n FROM (SELECT (o_orderkey % 4 + 1) || '/4' AS s FROM orders) GROUP BY ALL")
+@query("""WITH l AS (SELECT event_id, '{"event_id":' || event_id || ',"event_type":"' || event_type || '"}' || chr(10) AS line FROM events) SELECT count(*) AS n, sha256(string_agg(line, '' ORDER BY event_id)) AS digest FROM l""")
+def ordered_dump(spark: SparkSession, d: str) -> DataFrame:
+    """An ordered dump of JSON lines and its digest."""
+    path = local_folder(spark) / "dump.jsonl"
+    n = A.dump(read(spark, d, "events", "event_id", "event_type").withColumn("ord", F.col("event_id")), ["event_id", "event_type"], path)
+    return spark.createDataFrame([(n, A.digest(path))], "n bigint, digest string")
+
+
+@query("""SELECT rank, id, (SELECT count(*) FROM part) AS declared FROM (SELECT 'c' || p_partkey AS id, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS rank FROM part)""")
+def order_table(spark: SparkSession, d: str) -> DataFrame:
+    """An order written as a table and a list of ids and read again, beside a file whose header declares its entries."""
+    folder, parts = local_folder(spark), read(spark, d, "part", "p_partkey", "p_size", "p_name")
+    plan = O.global_ordinal(parts.select(F.concat(F.lit("c"), "p_partkey").alias("id"), F.col("p_name").alias("word"), F.lit(1).alias("senses"), "p_size", "p_partkey"), F.desc("p_size"), "p_partkey", name="position")
+    A.write_order(plan, folder / "order.tsv")
+    A.write_ids(plan, folder / "ids.txt")
+    table, listed = (ids(text_lines(spark, f"file://{folder / name}")) for name in ("order.tsv", "ids.txt"))
+    lines = sample_lines(spark, d)
+    A.write_lines(folder / "lines.txt", chain(["# parts", f"#! entries={parts.count()}"], A.streamed(lines, "ord", F.col("value"))))
+    written = text_lines(spark, f"file://{folder / 'lines.txt'}")
+    declared = check_declared(written, parse_lines(written))
+    return table.select("id", (F.col("rank") - 1).alias("rank")).join(listed, ["id", "rank"]).withColumn("declared", F.lit(declared).cast("bigint"))
+
+
+@query("SELECT CAST(split_part(s, '/', 1) AS INTEGER) AS index, CAST(split_part(s, '/', 2) AS INTEGER) AS total, count(*) AS n FROM (SELECT (o_orderkey % 4) || '/4' AS s FROM orders) GROUP BY ALL")
 def shard_specs(spark: SparkSession, d: str) -> DataFrame:
-    """Shard specifications."""
-    index, total = O.parse_shard(F.concat(F.col("o_orderkey") % 4 + 1, F.lit("/4")))
+    """Shard specifications, which count from 0."""
+    index, total = O.parse_shard(F.concat(F.col("o_orderkey") % 4, F.lit("/4")))
     return read(spark, d, "orders", "o_orderkey").groupBy(index.alias("index"), total.alias("total")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a、b' WHEN 1 THEN 'c、d' ELSE 'e' END AS text, event_id % 3 = 2 AS limited FROM events")
+# Messages of a service, and whether they say that its limit is reached.
+MESSAGES = [("Error: Rate limit reached", True), ("fine", False), ("At capacity, try later", True), ("rate-limit", False), ("RATE_LIMIT", True), ("code 429", True), ("Usage Limit", True), ("overload", False)]
+MESSAGES_SQL = ", ".join(f"({n}, {limited})" for n, (_, limited) in enumerate(MESSAGES))
+
+
+@query(f"SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a、b' WHEN 1 THEN 'c、d' ELSE 'e' END AS text, limited FROM events JOIN (VALUES {MESSAGES_SQL}) m(n, limited) ON n = event_id % {len(MESSAGES)}")
 def normalised_texts(spark: SparkSession, d: str) -> DataFrame:
     """Commas unified, ends trimmed, limit messages recognised."""
     r = F.col("event_id") % 3
     raw = F.when(r == 0, " a,b ").when(r == 1, "c，d　").otherwise("e")
-    message = F.when(r == 2, "Error: Rate limit reached").otherwise("fine")
-    return read(spark, d, "events", "event_id").select("event_id", T.normalised(raw).alias("text"), T.looks_rate_limited(message).alias("limited"))
+    return read(spark, d, "events", "event_id").select("event_id", T.normalised(raw).alias("text"), T.looks_rate_limited(sample_of("event_id", [m for m, _ in MESSAGES])).alias("limited"))
+
+

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexiflow.operators import common_format
+from lexiflow.plans import build
 from lexiflow.plans import inference as I
 from lexiflow.sinks import artifacts, store
 from lexiflow.streaming import resume
@@ -15,31 +16,93 @@ from tests.test_lexical import base, native, sources  # noqa: F401
 
 def test_requests_hold_pending_senses_within_the_budget(base):  # noqa: F811
     calls = I.requests(base, batch=2, senses_per_call=2).collect()
-    asked = [item for c in sorted(calls, key=lambda c: c["chunk"]) for item in json.loads(c["prompt"])]
+    asked = [item for c in sorted(calls, key=lambda c: c["chunk"]) for item in json.loads(c["payload"])]
     assert [a["id"] for a in asked] == ["c1", "c2", "c3", "c5", "c6", "x6"]
-    assert asked[0] == {"id": "c1", "w": "上级", "py": "shàng jí", "s": {"1": "higher authorities", "2": "superiors"}, "h": "上司"}
-    assert all(sum(len(i["s"]) for i in json.loads(c["prompt"])) <= 2 for c in calls)
+    assert asked[0] == {"id": "c1", "w": "邮局", "py": "yóu jú", "s": {"1": "post office", "2": "mail depot"}, "h": "郵便局"}
+    assert all(sum(len(i["s"]) for i in json.loads(c["payload"])) <= 2 for c in calls)
+
+
+NONE = {"missing": 0, "unknown": 0, "repeated": 0, "violation": 0}
+
+
+def read_log(spark, log):
+    return spark.read.schema("id string, sense int, ja string").json(log)
 
 
 def test_a_run_is_continued(spark, base, tmp_path):  # noqa: F811
     log = str(tmp_path / "log")
     assert I.run(base, I.FakeBackend(broken="c2"), log, batch=1) == {"accepted": 6, "bad reply": 1}
-    held = spark.read.schema("id string, sense int, ja string").json(log)
-    assert I.verify(base, held) == {"missing": 1, "unknown": 0, "repeated": 0}
+    counts, problems = I.verify(base, read_log(spark, log), ["Z"])
+    assert counts == {"entries": 6, "senses": 7, "translated": 6, **NONE, "missing": 1}
+    assert [(r["kind"], r["id"], r["sense"]) for r in problems.collect()] == [("missing", "c2", 1)]
     assert I.run(base, I.FakeBackend(), log, batch=1) == {"accepted": 1}
-    held = spark.read.schema("id string, sense int, ja string").json(log)
-    assert I.verify(base, held) == {"missing": 0, "unknown": 0, "repeated": 0}
-    merged = I.merge_glosses(base, held)
+    assert I.verify(base, read_log(spark, log), ["Z"])[0] == {"entries": 6, "senses": 7, "translated": 7, **NONE}
+    merged = I.merge_glosses(base, read_log(spark, log))
     assert merged.where(F.size(I.pending_numbers(F.col("senses"))) > 0).count() == 0
 
 
+def test_limits_of_a_run(base, tmp_path):  # noqa: F811
+    assert I.run(base, I.FakeBackend(), str(tmp_path / "a"), batch=1, limit=2) == {"accepted": 3}
+    assert I.run(base, I.FakeBackend(), str(tmp_path / "b"), batch=1, shards=1, max_calls=3) == {"accepted": 4}
+    spends = lambda prompt, system: I.Reply(I.FakeBackend()(prompt, system).text, {"input_tokens": 6, "output_tokens": 4, "calls": 1})
+    # looked at before each call: the third call begins at 20 of 25
+    assert I.run(base, spends, str(tmp_path / "c"), batch=1, shards=1, token_budget=25) == {"accepted": 4, "no reply": 3}
+
+
+def test_a_limited_backend_is_asked_again_and_then_left(base, tmp_path):  # noqa: F811
+    class Limited:
+        def __call__(self, prompt, system):
+            raise I.RateLimited("later")
+
+    place = str(tmp_path / "waits")
+
+    def noted(seconds):
+        with open(place, "a") as file:
+            file.write(f"{seconds}\n")
+
+    assert I.run(base, Limited(), str(tmp_path / "log"), batch=1, shards=1, sleep=noted) == {"no reply": 6}
+    assert [int(s) for s in open(place)] == [30, 60, 120, 240, 480, 600, 600, 600]
+
+
+def test_texts_that_break_a_rule_are_asked_again(spark, base, tmp_path):  # noqa: F811
+    log = str(tmp_path / "log")
+    spark.createDataFrame([("c1", 1, "郵便局"), ("c1", 2, "mail depot"), ("c2", 1, "長" * 25), ("elsewhere", 1, "plain")], "id string, sense int, ja string").write.json(log)
+    kept, dropped = I.drop_invalid(read_log(spark, log), own=base)
+    assert sorted(r["id"] for r in kept.collect()) == ["c1", "elsewhere"] and sorted((r["id"], r["sense"]) for r in dropped.collect()) == [("c1", 2), ("c2", 1)]
+    assert {r["detail"] for r in I.verify(base, read_log(spark, log))[1].where("kind = 'violation'").collect()} == {"english-left", "latin", "too-long"}
+    asked = []
+
+    class Noting(I.FakeBackend):
+        def __call__(self, prompt, system):
+            assert prompt.startswith(I.REPAIR_RULES + "\n[")
+            return super().__call__(prompt, system)
+
+    assert I.repair(base, Noting(), log, batch=10)["repaired"] == 2
+    from lexiflow.sources import scans
+
+    assert sorted(tuple(r) for r in scans.repaired(spark, [f"{log}.repaired", str(tmp_path / "absent")]).collect()) == [("c1", 2), ("c2", 1)]
+    now = {(r["id"], r["sense"]): r["ja"] for r in read_log(spark, log).collect()}
+    assert now["c1", 2] == "訳邮局2" and now["elsewhere", 1] == "plain" and not asked
+    assert I.prompt_of("", "[]") == "[]"
+
+
 def test_answers_nobody_asked_for_are_rejected(spark):
     ask = json.dumps([{"id": "c1", "w": "x", "s": {"1": "a"}}])
-    reply = json.dumps({"glosses": [{"id": "c1", "sense": 1, "ja": "甲,乙"}, {"id": "c1", "sense": 1, "ja": "丙"}, {"id": "c1", "sense": 2, "ja": "丁"}, {"id": "c9", "sense": 1, "ja": "戊"}]})
-    df = spark.createDataFrame([(0, 0, ask, f"text {reply} text"), (0, 1, ask, "nothing")], "shard bigint, chunk int, prompt string, reply string")
+    reply = json.dumps({"glosses": [{"id": "c1", "sense": 1, "ja": "甲,乙"}, {"id": "c1", "sense": 1, "ja": "丙"}, {"id": "c1", "sense": 2, "ja": "丁"}, {"id": "c9", "sense": 1, "ja": "戊"}, {"id": "c1", "sense": "one", "ja": "己"}]})
+    half = json.dumps({"glosses": [{"id": "c1", "sense": 1, "ja": "庚"}, {"id": "c1", "ja": "辛"}]})
+    df = spark.createDataFrame([(0, 0, ask, f"text {reply} text", None), (0, 1, ask, "nothing", None), (0, 2, ask, half, None), (0, 3, ask, '{"glosses": 3}', None)], "shard bigint, chunk int, payload string, reply string, error string")
     taken, counts = I.accept_replies(df)
     assert [tuple(r) for r in taken.collect()] == [("c1", 1, "甲、乙")]
-    assert {r["status"]: r["n"] for r in counts.collect()} == {"accepted": 1, "rejected": 3, "bad reply": 1}
+    assert {r["status"]: r["n"] for r in counts.collect()} == {"accepted": 1, "rejected": 4, "bad reply": 3}
+
+
+def test_merging_takes_the_last_text_and_stops_on_numbers_out_of_range(spark, base):  # noqa: F811
+    rows = spark.createDataFrame([("c1", 1, "一", 1), ("c1", 1, "二", 2), ("none", 1, "三", 3)], "id string, sense int, ja string, ord int").coalesce(1)
+    for order in ("ord", None):
+        assert I.merge_glosses(base, rows, order).where("id = 'c1'").first()["senses"][0]["ja"] == "二"
+    for number in (0, 9):
+        with pytest.raises(Exception, match="does not have"):
+            I.merge_glosses(base, rows.withColumn("sense", F.lit(number))).collect()
 
 
 def test_retries():
@@ -55,12 +118,20 @@ def test_retries():
 
 
 def test_choices(spark, native):  # noqa: F811
-    rows = native.where("word = '上级'").unionByName(native.where("word = '上级'").withColumn("ord", F.lit(50)).withColumn("pinyin", F.lit("other")))
+    rows = native.where("word = '邮局'").unionByName(native.where("word = '邮局'").withColumn("ord", F.lit(50)).withColumn("pinyin", F.lit("other")))
     rows = rows.withColumn("senses", F.concat("senses", "senses"))
     assert json.loads(I.choose_groups(rows).first()["payload"])["rows"][1]["pinyin"] == "other"
-    choices = spark.createDataFrame([(1, "上级", 1, 2, True), (2, "上级", 1, 1, True), (3, "上级", 2, 9, False), (4, "無", 1, 1, True)], "ord int, word string, row int, sense int, default boolean")
+    assert I.choose_groups(rows, spark.createDataFrame([("無",)], "word string")).count() == 0
+    choices = spark.createDataFrame([(1, "邮局", 1, 2, True), (2, "邮局", 1, 1, True), (3, "邮局", 2, 9, False), (4, "無", 1, 1, True)], "ord int, word string, row int, sense int, default boolean")
     primary, default = I.accept_choices(choices, rows)
-    assert [(r["pinyin"], r["sense"]) for r in primary.collect()] == [("shàng jí", 2)] and default.count() == 1
+    assert [(r["pinyin"], r["sense"]) for r in primary.collect()] == [("yóu jú", 2)] and default.count() == 1
+    # the second row has no choice yet; with one for each nothing is left, until a text changes
+    left = lambda p, of=rows: [r["word"] for r in I.pending_choices(of, p, default).collect()]
+    both = primary.unionByName(primary.withColumn("pinyin", F.lit("other")))
+    assert left(primary) == ["邮局"] and left(both) == []
+    assert [r["word"] for r in I.pending_choices(rows, both, default.limit(0)).collect()] == ["邮局"]
+    assert left(both, rows.withColumn("senses", F.transform("senses", lambda s: s.withField("ja", F.lit("別"))))) == ["邮局"]
+    assert left(both.withColumn("sense", F.lit(99))) == ["邮局"]
 
 
 def test_streams_go_on_and_first_answers_win(spark, tmp_path):
@@ -81,18 +152,53 @@ def test_artifacts(native, tmp_path):  # noqa: F811
     artifact, manifest = tmp_path / "entries.deflate", tmp_path / "manifest.json"
     held = artifacts.publish(native, keys, artifact, manifest, {"version": 3})
     first = artifact.read_bytes()
-    assert held["counts"]["entries"] == 10 and held["counts"]["supplement"] == 3 and artifacts.check_artifact(artifact, manifest) == []
+    assert held["counts"]["entries"] == 10 and held["counts"]["supplement"] == 3 and artifacts.check_artifact(artifact, manifest, rows=native) == []
+    assert artifacts.check_artifact(artifact, manifest, expected={"version": 3}) == [] and artifacts.check_artifact(artifact, manifest, expected={"version": 4}) == ["version"]
+    assert artifacts.check_artifact(artifact, manifest, rows=native.limit(3)) == ["entries", "senses"]
     artifacts.publish(native.repartition(3), keys, artifact, manifest)
     assert artifact.read_bytes() == first
     artifacts.update_manifest(manifest, {"bytes": 1})
     assert artifacts.check_artifact(artifact, manifest) == ["bytes"]
     with pytest.raises(artifacts.PublishError):
         artifacts.publish(native, keys, artifact, artifact)
+    with pytest.raises(artifacts.PublishError):
+        artifacts.publish(native, keys, artifact, manifest, inputs=[tmp_path / "." / "entries.deflate"])
+    with pytest.raises(artifacts.PublishError):
+        artifacts.publish(native, keys, artifact, manifest, source=manifest)
     with pytest.raises(artifacts.PublishError), artifacts.published(artifact, manifest) as (a, _):
         a.write_bytes(b"half")
     assert artifact.read_bytes() == first and len(list(tmp_path.iterdir())) == 2
 
 
+def test_dumps_and_lists(base, native, tmp_path):  # noqa: F811
+    path = tmp_path / "base.jsonl"
+    assert artifacts.dump(base, [c for c in base.columns if c != "ord"], path) == 10
+    assert [json.loads(line)["id"] for line in path.read_text().splitlines()][:2] == ["c1", "c2"]
+    plan = build.generation_plan(base, base.select("word", F.lit(1).alias("freq")))
+    n = plan.count()
+    assert artifacts.write_order(plan, tmp_path / "order.tsv") == artifacts.write_ids(plan, tmp_path / "ids.txt") == n
+    table = [line.split("\t") for line in (tmp_path / "order.tsv").read_text().splitlines()]
+    assert table[0] == ["id", "word", "senses"] and [t[0] for t in table[1:]] == (tmp_path / "ids.txt").read_text().splitlines()
+    with pytest.raises(artifacts.PublishError):
+        artifacts.write_ids(plan, tmp_path / "ids.txt", inputs=[tmp_path / "ids.txt"])
+
+
+def test_files_and_pairs(native, tmp_path):  # noqa: F811
+    names = {n: tmp_path / n for n in ("store", "sidecar", "entries", "manifest.json")}
+    assert artifacts.check_pair(*names.values()) == []
+    for n in ("store", "entries", "manifest.json"):
+        names[n].write_text(n)
+    assert artifacts.check_pair(*names.values()) == ["pair"]
+    artifacts.write_sidecar(*names.values())
+    assert artifacts.check_pair(*names.values()) == []
+    names["store"].write_text("other")
+    assert artifacts.check_pair(*names.values()) == ["sha256"]
+    names["entries"].write_text("entries!")
+    assert artifacts.check_pair(*names.values()) == ["entries_sha256", "sha256"]
+    names["manifest.json"].write_text(json.dumps({"files": {"store": {}, "lost": {}, "entries": {}}}))
+    assert artifacts.check_files(names["manifest.json"], tmp_path) == [("missing-file", "lost"), ("unlisted-file", "sidecar")]
+
+
 def test_store(spark, native, tmp_path):  # noqa: F811
     common, path, meta = common_format.to_common(native).cache(), tmp_path / "d.sqlite3", {"format": "common", "version": "2"}
     store.write_store(common, path, meta)
@@ -103,3 +209,7 @@ def test_store(spark, native, tmp_path):  # noqa: F811
     db.execute("UPDATE dictionary_meta SET value = '3' WHERE key = 'version'")
     db.commit()
     assert store.check_store(path, common, meta) == ["meta", "entries"]
+    db.execute("UPDATE entries SET payload = x'00' WHERE ordinal = 0")
+    db.execute("INSERT INTO lookup_keys VALUES ('nowhere', 999)")
+    db.commit()
+    assert store.check_store(path, common, meta) == ["meta", "keys", "payload"]
