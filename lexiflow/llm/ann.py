@@ -5,7 +5,8 @@ norms travel to the tiles. Queries and candidates are cut into blocks by a hash
 their rows; for each pair of blocks one task multiplies the int8 tiles. With the norms
 of the quantisation errors every product has a bound, so only pairs that may be among
 a query's nearest in the tile go on, and of these only those that may be among its
-nearest in all tiles. These few are computed again in double precision from the
+nearest in all tiles. Of equal vectors, however many, only those with the least ids are
+candidates, as no others can be found. These few are computed again in double precision from the
 vectors themselves and merged by a heap for each query.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
@@ -25,15 +26,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiflow.llm.common import materialise
+from lexiflow.llm.common import materialise, split_join
 
 #: Vectors in a block of queries, of candidates, about; queries multiplied at a time.
 QUERY_BLOCK, CANDIDATE_BLOCK, QUERIES_AT_ONCE = 2048, 8192, 256
 #: Sums of products of int8 are exact in float32 up to so many components.
 EXACT_DIMENSIONS = 1024
+#: A query with more pairs to compute again has them computed in parts.
+MOST_SURVIVORS = 256
 #: What is sent to tiles of each vector.
 CODE = ["key", "id", "codes", "scale", "meant", "error"]
 
@@ -118,12 +121,15 @@ def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
     vector = F.col(vector_col)
     rows = df.where(usable(id_col, vector.cast("array<double>"))).select(F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("bigint").alias("id"), F.size(vector).alias("dim"), F.coalesce(is_query, F.lit(False)).alias("q"), vector.alias("v"))
     held = materialise(coded(rows))
+    # of equal vectors only the k + 1 of the least ids can be among the k nearest of a row
+    among_equals = F.row_number().over(Window.partitionBy("v").orderBy("id", "key"))
+    others = held.select(*CODE, "dim", "v").withColumn("r", among_equals).where(F.col("r") <= k + 1).drop("r", "v")
     n, n_queries = held.agg(F.count("*"), F.count_if("q")).first()
     parts, query_parts = max(1, -(-n // CANDIDATE_BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
     block = lambda seed, of: F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(of))
     every = lambda of: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(of - 1).cast("bigint")))
     queries = held.where("q").select(*CODE, "dim", block(1, query_parts).alias("qb")).withColumn("cb", every(parts))
-    candidates = held.select(*(F.col(c).alias(f"c_{c}") for c in CODE), F.col("dim").alias("size"), block(2, parts).alias("in_cb")).withColumn("in_qb", every(query_parts))
+    candidates = others.select(*(F.col(c).alias(f"c_{c}") for c in CODE), F.col("dim").alias("size"), block(2, parts).alias("in_cb")).withColumn("in_qb", every(query_parts))
 
     def arrays(side: pd.DataFrame, prefix: str) -> tuple[np.ndarray, ...]:
         codes = np.frombuffer(b"".join(side[f"{prefix}codes"]), np.int8).reshape(len(side), -1)
@@ -138,8 +144,9 @@ def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
         return pd.DataFrame(found, columns=["query", "keys", "lows", "highs"])
 
     def merge(pairs: pd.DataFrame) -> pd.DataFrame:
-        best = heapq.nsmallest(k, zip(np.where(np.isnan(pairs["score"]), np.inf, -pairs["score"]), pairs["id"], pairs["score"]))
-        return pd.DataFrame({"query_id": pairs["query_id"].iloc[0], "rank": np.arange(1, len(best) + 1, dtype=np.int32), "id": [i for _, i, _ in best], "score": [s for *_, s in best]})
+        last = np.isnan(pairs["score"])
+        best = heapq.nsmallest(k, zip(last, np.where(last, 0, -pairs["score"]), pairs["id"], pairs["score"]))
+        return pd.DataFrame({"query_id": pairs["query_id"].iloc[0], "rank": np.arange(1, len(best) + 1, dtype=np.int32), "id": [i for *_, i, _ in best], "score": [s for *_, s in best]})
 
     lists = queries.groupBy("qb", "cb", "dim").cogroup(candidates.groupBy("in_qb", "in_cb", "size")).applyInPandas(tile, "query bigint, keys array<bigint>, lows array<double>, highs array<double>")
     # over all tiles: the k-th greatest of the least products is a floor for the greatest
@@ -148,9 +155,13 @@ def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
     found = lists.groupBy("query").agg(pairs.alias("pairs"), F.coalesce(F.get(lows, F.lit(k - 1)), F.lit(float("-inf"))).alias("floor"))
     few = found.select("query", F.explode(F.filter("pairs", lambda p: p["highs"] >= F.col("floor"))).alias("p")).select("query", F.col("p.keys").alias("key"))
     own = held.where("q").select(F.col("key").alias("query"), F.col("id").alias("query_id"), F.col("v").cast("array<double>").alias("x"))
-    both = few.join(held.select("key", "id", F.col("v").cast("array<double>").alias("y")), "key").join(own, "query")
+    both = split_join(few.join(held.select("key", "id", F.col("v").cast("array<double>").alias("y")), "key"), own, "query", "key", most=MOST_SURVIVORS)
     # added up component by component in double precision
     score = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda total, p: total + p)
-    merged = both.select("query", "query_id", "id", score.alias("score")).groupBy("query").applyInPandas(merge, "query_id bigint, rank int, id bigint, score double")
+    scored = both.select("query", "query_id", "id", score.alias("score"))
+    # each task sends on no more than k rows of a query
+    order = F.row_number().over(Window.partitionBy("query").orderBy(F.isnan("score"), F.desc("score"), "id"))
+    nearest = scored.withColumn("r", order).where(F.col("r") <= k).drop("r")
+    merged = nearest.groupBy("query").applyInPandas(merge, "query_id bigint, rank int, id bigint, score double")
     # pandas gives no numbers as nulls
     return merged.select("query_id", "rank", F.col("id").alias(id_col), F.coalesce("score", F.lit(float("nan"))).alias("score"))

@@ -8,6 +8,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from lexiflow.session import discard, materialise, same_files, shared_dir  # noqa: F401 - operators take them from here
 
@@ -29,20 +31,20 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def frequent(df: DataFrame, key: str) -> DataFrame | None:
-    """(key, __parts): the most frequent values of a column that have over HOT_ROWS rows,
+def frequent(df: DataFrame, key: str, most: int = HOT_ROWS) -> DataFrame | None:
+    """(key, __parts): the most frequent values of a column that have over `most` rows,
     and how many parts their rows are split into."""
-    hot = df.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > HOT_ROWS).orderBy(F.desc("__n")).limit(MOST_HOT).collect()
+    hot = df.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > most).orderBy(F.desc("__n")).limit(MOST_HOT).collect()
     if not hot:
         return None
-    parts = [(r[key], min(MOST_PARTS, -(-r["__n"] // HOT_ROWS))) for r in hot]
+    parts = [(r[key], min(MOST_PARTS, -(-r["__n"] // most))) for r in hot]
     return F.broadcast(df.sparkSession.createDataFrame(parts, f"`{key}` bigint, __parts int"))  # MOST_HOT rows
 
 
-def split_join(many: DataFrame, one: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
-    """`many` joined with `one`, which has a row a key. The rows of a frequent key are
-    dealt to parts by the column `spread`, and the other side is repeated for each."""
-    hot = frequent(many, key)
+def split_join(many: DataFrame, one: DataFrame, key: str, spread: str, how: str = "inner", most: int = HOT_ROWS) -> DataFrame:
+    """`many` joined with `one`, which has a row a key. The rows of a key of over `most`
+    are dealt to parts by the column `spread`, and the other side is repeated for each."""
+    hot = frequent(many, key, most)
     if hot is None:
         return many.join(one, key, how)
     dealt = many.join(hot, key, "left").withColumn("__part", F.coalesce(F.pmod(F.xxhash64(spread), F.col("__parts")), F.lit(0)).cast("int")).drop("__parts")
@@ -80,13 +82,9 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Call
     one tuple per text; the result has the id column followed by `schema`. A null
     text is given as the empty text, or as None with `keep_null`.
     """
-    id_type = df.schema[id_col].dataType.simpleString()
     source = df.select(F.col(id_col), (F.col(text_col) if keep_null else text_of(text_col)).alias("__text"))
-    out_schema = f"`{id_col}` {id_type}, {schema}"
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    arrow = to_arrow_schema(_parse_datatype_string(out_schema))
+    out_schema = StructType([df.schema[id_col], *_parse_datatype_string(schema).fields])
+    arrow = to_arrow_schema(out_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()

@@ -40,7 +40,7 @@ from lexiflow.llm.common import discard, map_texts, materialise, same_files, spl
 #: Permutations (two values each), and values in a band, unless others are given.
 PERMUTATIONS, BAND_ROWS = 70, 5
 #: Shingles in a block of sets that is compared as a matrix, about; columns of a matrix.
-BLOCK_SHINGLES, COLUMNS = 400_000, 4096
+BLOCK_SHINGLES, COLUMNS = 60_000, 4096
 #: Shingles hashed at a time.
 CHUNK = 8192
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)

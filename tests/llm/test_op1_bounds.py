@@ -20,8 +20,8 @@ def by_loops(rows, k):
                     total = 0.0
                     for a, b in zip(x, y):
                         total += a * b
-                    scored.append((math.inf if math.isnan(total) else -total, i, total))
-            out.append((q, [(i, s) for _, i, s in sorted(scored, key=lambda t: t[:2])[:k]]))
+                    scored.append((math.isnan(total), 0 if math.isnan(total) else -total, i, total))
+            out.append((q, [(i, s) for *_, i, s in sorted(scored, key=lambda t: t[:3])[:k]]))
     return sorted(out, key=str)
 
 
@@ -50,3 +50,8 @@ def test_mixed_sizes(spark):
 def test_repeated_ids_are_found_each_and_never_by_themselves(spark):
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (1, [3.0, 1.0]), (2, [1.0, 1.0])]
     assert found(spark, rows, 3) == [(0, [(1, 3.0), (1, 2.0), (1, 2.0)])]
+
+
+def test_many_equal_vectors(spark):
+    rows = [(i, [1.0, 2.0]) for i in range(60)] + [(100 + i, [1.0, 2.0 + i / 100]) for i in range(5)] + [(2, [1.0, 2.0])] * 5
+    assert found(spark, rows, 6) == by_loops(rows, 6)
