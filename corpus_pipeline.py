@@ -2,9 +2,12 @@
 documents the stage before kept. Each takes (spark, docs, sf_dir) and returns a
 DataFrame; all but the last return the columns of `documents`.
 
-Defined cases: rows with a null text score as empty texts and are rejected by the
-language stage; rows with a null id are never linked; extra columns are carried
-along up to the last stage.
+Defined cases: null and empty texts, and texts without letters, are not toxic and go in
+the language stage; rows with a null id are never linked and stay as they are. Very
+long texts are read whole. Of equal and near texts the one of the least id stays; of
+several rows of one id one stays, that of the least text and then of the least hash of
+the whole row, whatever their order. Extra columns, of any name, are carried along up
+to the last stage. Empty tables give empty tables, and without labels nothing is toxic.
 """
 
 from __future__ import annotations
@@ -31,33 +34,43 @@ def columns(docs: DataFrame, **changed: Column) -> list[Column]:
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score reaches the threshold go; the model learns from those that
+    `labels` marks, and if a class has none every document stays."""
     scorer = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(whole_rows(docs), scorer, "row", "text")
     return scored.where(F.col("score") < TOXIC_FROM).select(columns(docs))
 
 
 def reject_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters or without a main language go; an unknown `lang` is filled in."""
+    """Documents without letters or without a main language go, so all do if no document
+    names a language; an unknown `lang` is filled in."""
     found = langid.predict(whole_rows(docs), langid.fit(docs), "row", "text")
     known = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
     return known.select(columns(docs, lang=F.coalesce(F.col("row.lang"), F.col("lang_pred"))))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the least id."""
-    found = minhash.near_duplicates(docs)
-    marks = found.where("doc_id is not null").groupBy("doc_id").agg(F.min("kept").alias("__kept"), F.count("*").alias("__copies"))
-    marked = docs.join(marks, "doc_id", "left").where(F.coalesce("__kept", F.lit(True)))
-    repeated = F.coalesce(F.col("__copies") > 1, F.lit(False))
-    return marked.where(~repeated).unionByName(marked.where(repeated).dropDuplicates(["doc_id"])).select(docs.columns)
+    """One document of each group stays, that of the least id, and one row of each id."""
+    found = minhash.near_duplicates(docs).where("doc_id is not null")
+    marks = found.groupBy(F.col("doc_id").alias("of")).agg(F.min("kept").alias("kept"), F.count("*").alias("copies"))
+    rows = docs.select(F.struct("*").alias("row"))
+    marked = rows.join(marks, F.col("row.doc_id") == F.col("of"), "left").where(F.coalesce("kept", F.lit(True)))
+    repeated = F.coalesce(F.col("copies") > 1, F.lit(False))
+    order = F.struct(F.col("row.text").alias("text"), F.xxhash64(F.to_json("row")).alias("hash"))
+    chosen = marked.where(repeated).groupBy("of").agg(F.min_by("row", order).alias("row"))
+    return marked.where(~repeated).select("row").unionByName(chosen.select("row")).select(columns(docs))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in texts become pseudonyms; no document goes; n_chars follows the text
+    (null for a null text)."""
     found = pii.pseudonymise(whole_rows(docs), id_col="row")
     return found.select(columns(docs, text=F.col("text"), n_chars=F.length("text").cast("bigint")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of the packed sequences; each token of each document, and its
+    end, is in one piece; a null text has its end only."""
     return packing_digest(packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), SEQUENCE_TOKENS))
 
 
