@@ -8,8 +8,9 @@ count at any prefix of a text is the sum over the units before it plus the count
 at a prefix of one unit, and neither truncation nor budget questions encode again.
 
 Defined cases: a null text is the empty text with no bytes and no tokens;
-an empty table gives an empty table; rows with a null id are kept; very long
-pieces cost time in proportion to their length times the longest token.
+an empty table gives an empty table; rows with a null id are kept; repeated rows are
+counted each; of prefixes of equally many tokens the longest is the one that fits; very
+long pieces cost time in proportion to their length times the longest token.
 """
 
 from __future__ import annotations
@@ -139,11 +140,24 @@ class PrefixCounter:
         return sum(map(self._piece_total, self.vocab.pieces(text)))
 
     def unit_prefixes(self, unit: str) -> list[int]:
-        """counts[n]: tokens of the first n characters of a unit. A prefix cuts
-        into pieces as the unit does, except within its white space (one piece),
-        within a contraction and around special strings."""
-        if self.vocab.splitter and self.vocab.splitter.search(unit):
-            return [self.total(unit[:n]) for n in range(len(unit) + 1)]
+        """counts[n]: tokens of the first n characters of a unit. Up to the last character
+        of a special string it and what precedes it are plain text; with that character it
+        is one token, and what follows begins anew."""
+        counts, at, done = [0], 0, 0
+        for m in self.vocab.splitter.finditer(unit) if self.vocab.splitter else ():
+            plain = unit[at : m.end() - 1]
+            if self.vocab.splitter.search(plain):  # one special string begins another
+                return [self.total(unit[:n]) for n in range(len(unit) + 1)]
+            own = self.plain_prefixes(plain)
+            counts += [done + c for c in own[1:]]
+            done += own[m.start() - at] + 1
+            counts.append(done)
+            at = m.end()
+        return counts + [done + c for c in self.plain_prefixes(unit[at:])[1:]]
+
+    def plain_prefixes(self, unit: str) -> list[int]:
+        """The same without special strings. A prefix cuts into pieces as the unit does,
+        except within its white space (one piece) and within a contraction."""
         space = len(unit) - len(unit.lstrip(WHITE_SPACE))
         counts = [0] * (len(unit) + 1)
         at = done = 0
