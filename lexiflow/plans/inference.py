@@ -262,6 +262,36 @@ def run(
     return out
 
 
+#: Seconds to wait before each further pass that follows one without an answer.
+RESTARTS = (60, 120, 300, 600, 900)
+
+
+class Stalled(RuntimeError):
+    """Passes no longer add anything, and senses are still without a text."""
+
+
+def supervise(base: DataFrame, backend: Backend, log: str, restarts: Iterable[int] = RESTARTS, sleep: Callable[[float], None] = time.sleep, **options) -> int:
+    """Runs passes until every pending sense has a text; how many it took. A pass that adds
+    nothing is followed by a wait, one that adds something begins the waits anew; when
+    they are used up the run has stalled."""
+    from lexiflow.sources.scans import log_rows
+
+    waits, passes, added = list(restarts), 0, 0
+    wanted = base.where(F.size(pending_numbers(F.col("senses"))) > 0).select("id")
+    while True:
+        held, _ = log_rows(base.sparkSession, [log])
+        if wanted.join(finished(base, held), "id", "left_anti").isEmpty():
+            return passes
+        if passes and not added:
+            if not waits:
+                raise Stalled(f"after {passes} passes")
+            sleep(waits.pop(0))
+        added = run(base, backend, log, sleep=sleep, **options).get("accepted", 0)
+        passes += 1
+        if added:
+            waits = list(restarts)
+
+
 #: What a second request says before its payload.
 REPAIR_RULES = "An earlier text broke a rule: no words of the source language, no readings or tone marks, at most 24 characters, and Japanese characters. Give a new one."
 

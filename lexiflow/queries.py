@@ -25,7 +25,7 @@ from lexiflow.session import working_folder
 from lexiflow.sinks import artifacts as A
 from lexiflow.sinks import store as ST
 from lexiflow.sources.raw_deflate import container_sizes, read_container, write_ordered
-from lexiflow.sources.scans import check_declared, ids, log_rows, strict_records, text_lines
+from lexiflow.sources.scans import check_declared, forensic_lines, frequencies, hsk_seed, ids, log_rows, repaired, strict_records, text_lines
 from lexiflow.streaming.resume import append_once, follow_log
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1045,3 +1045,80 @@ def normalised_texts(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events", "event_id").select("event_id", T.normalised(raw).alias("text"), T.looks_rate_limited(sample_of("event_id", [m for m, _ in MESSAGES])).alias("limited"))
 
 
+# --- scans and sinks of whole files -----------------------------------------------------------
+
+
+@query("""SELECT 'seed' AS source, p_brand AS word, arg_max_null(CASE WHEN p_size <= 6 THEN p_size END, p_partkey) AS level, min(p_partkey) AS first_at FROM part GROUP BY p_brand
+UNION ALL SELECT 'frequency', p_brand, CAST(max_by(p_size, p_partkey) AS INTEGER), NULL FROM part GROUP BY p_brand""")
+def seed_scans(spark: SparkSession, d: str) -> DataFrame:
+    """A seed in one JSON document and a table of frequencies with odd lines; the last value
+    of a word holds (S10, S11, A10)."""
+    folder, parts = local_folder(spark), read(spark, d, "part", "p_partkey", "p_brand", "p_size").orderBy("p_partkey")
+    level = F.when(F.col("p_size") <= 6, F.col("p_size"))
+    entries = A.streamed(parts, "p_partkey", F.to_json(F.struct(F.col("p_brand").alias("word"), F.lit("p").alias("pinyin"), F.lit("n, unknown,n").alias("pos"), F.struct(level.alias("2.0")).alias("hsk_levels"))))
+    A.write_lines(folder / "seed.json", chain(['{"metadata": {"version": "1"}, "entries": ['], (f"{',' if n else ''}{e}" for n, e in enumerate(entries)), ["]}"]))
+    A.write_lines(folder / "words.txt", chain(["odd line", "alone"], A.streamed(parts, "p_partkey", F.concat_ws(" ", "p_brand", F.col("p_size").cast("string"), F.lit("n")))))
+    first = parts.groupBy("p_brand").agg(F.min("p_partkey").alias("first_at"))
+    seed = hsk_seed(spark, f"file://{folder / 'seed.json'}").where(F.array_join("pos", ",") == "n")
+    both = seed.join(first, seed.word == first.p_brand).select(F.lit("seed").alias("source"), "word", F.col("hsk2").alias("level"), "first_at")
+    freq = frequencies(text_lines(spark, f"file://{folder / 'words.txt'}")).where("word <> 'odd'")
+    return both.unionByName(freq.select(F.lit("frequency").alias("source"), "word", F.col("freq").cast("int").alias("level"), F.lit(None).cast("bigint").alias("first_at")))
+
+
+@query("""SELECT kind, n FROM (SELECT 'bom' AS kind, 1 AS n UNION ALL SELECT 'crlf', 1 UNION ALL SELECT 'no-final-newline', 1 UNION ALL SELECT 'rows', count(*) FILTER (event_id % 5 <> 4 AND event_id % 5 <> 3 AND event_id % 5 <> 2) FROM events
+UNION ALL SELECT 'blank-line', count(*) FILTER (event_id % 5 = 4) FROM events UNION ALL SELECT 'broken-json', count(*) FILTER (event_id % 5 = 3) FROM events UNION ALL SELECT 'not-object', count(*) FILTER (event_id % 5 = 2) FROM events UNION ALL SELECT 'replacement-char', count(*) FILTER (event_id % 5 = 1) FROM events)""")
+def forensic_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Faults of a file's bytes and lines (S05, section 2.13)."""
+    path = local_folder(spark) / "raw.jsonl"
+    forms = ['{"word": "{n}"}', '{"word": "\ufffd{n}"}', "[{n}]", "{broken {n}", " "]
+    lines = read(spark, d, "events", "event_id").select("event_id", F.replace(sample_of("event_id", forms), F.lit("{n}"), F.col("event_id").cast("string")).alias("value"))
+    with path.open("wb") as file:
+        file.write(b"\xef\xbb\xbf")
+        for n, line in enumerate(A.streamed(lines, "event_id", F.col("value"))):
+            file.write(b"\r\n" * (n > 0) + line.encode())
+        file.write(b'\r\n{"word": "end"}')
+    rows, found = forensic_lines(spark, f"file://{path}", "raw")
+    counted = rows.where(F.get_json_object("value", "$.word") != "end").agg(F.count("*").alias("n")).select(F.lit("rows").alias("kind"), "n")
+    return found.groupBy("kind").agg(F.count("*").alias("n")).unionByName(counted)
+
+
+@query("""SELECT 'entries' AS what, CAST(count(DISTINCT o_custkey) AS BIGINT) AS n FROM orders UNION ALL SELECT 'senses', count(*) FROM orders UNION ALL SELECT 'skeleton', count(DISTINCT o_custkey) FROM orders UNION ALL SELECT 'supplement', 0
+UNION ALL SELECT 'with_trad', count(DISTINCT o_custkey) FROM orders JOIN customer ON c_custkey = o_custkey AND c_nationkey % 2 = 0 UNION ALL SELECT 'faults', 0 UNION ALL SELECT 'faults after a change', 2""")
+def published_artifact(spark: SparkSession, d: str) -> DataFrame:
+    """An artifact with its manifest, published whole, read back and checked."""
+    folder, rows = local_folder(spark), native_rows(spark, d)
+    artifact, manifest, source = folder / "entries.deflate", folder / "manifest.json", folder / "source.txt"
+    A.write_lines(source, ["made from this"])
+    counts = A.publish(rows, [c for c in rows.columns if c != "ord"], artifact, manifest, {"schema_version": 3}, source=source)["counts"]
+    check = lambda: len(A.check_artifact(artifact, manifest, source, {"schema_version": 3}, rows))
+    faults = check()
+    A.update_manifest(manifest, {"schema_version": True, "bytes": 0})
+    found = {**{k: counts[k] for k in ("entries", "senses", "skeleton", "supplement", "with_trad")}, "faults": faults, "faults after a change": check()}
+    return spark.createDataFrame(list(found.items()), "what string, n bigint")
+
+
+@query(f"""WITH {BASE_SQL} SELECT 'u' || user_id AS id, CAST(n AS INTEGER) AS sense FROM o WHERE event_id % 10 <> 0 AND event_id % 6 <> 0""")
+def repaired_log(spark: SparkSession, d: str) -> DataFrame:
+    """Texts that break a rule are taken out, recorded beside the log and asked for again."""
+    base, log = event_base(spark, d), f"{working_folder(spark, 'log')}/log"
+    event_texts(spark, d).write.json(log)
+    I.repair(base, I.FakeBackend(), log)
+    if I.drop_invalid(read_log(spark, log), ["w"])[1].count():
+        raise ValueError("a text still breaks a rule")
+    return repaired(spark, [f"{log}.repaired", f"{log}.absent"])
+
+
+@query(f"""WITH {BASE_SQL}, c AS (SELECT user_id, count(*) AS cost FROM o GROUP BY 1), r AS (SELECT user_id, cost, user_id % 2 AS shard, row_number() OVER (PARTITION BY user_id % 2 ORDER BY user_id) AS k FROM c)
+SELECT user_id, cost FROM r WHERE k <= 3""")
+def budgeted_run(spark: SparkSession, d: str) -> DataFrame:
+    """Calls of two shards while each still has tokens: it is looked at before a call."""
+
+    class Spending(I.FakeBackend):
+        def __call__(self, prompt: str, system: str) -> I.Reply:
+            if not prompt.startswith("rules\n[") or system != "system":
+                raise ValueError(prompt)
+            return I.Reply(super().__call__(prompt, system).text, {"input_tokens": 30, "output_tokens": 10})
+
+    base, log = event_base(spark, d), f"{working_folder(spark, 'log')}/log"
+    I.run(base, Spending(), log, batch=1, shards=2, token_budget=200, rules="rules", system="system")
+    return read_log(spark, log).groupBy(F.substring("id", 2, 20).cast("bigint").alias("user_id")).agg(F.count("*").alias("cost"))

@@ -10,6 +10,7 @@ from lexiflow.operators import common_format
 from lexiflow.plans import build
 from lexiflow.plans import inference as I
 from lexiflow.sinks import artifacts, store
+from lexiflow.sources import bundle
 from lexiflow.streaming import resume
 from tests.test_lexical import base, native, sources  # noqa: F401
 
@@ -64,6 +65,39 @@ def test_a_limited_backend_is_asked_again_and_then_left(base, tmp_path):  # noqa
     assert [int(s) for s in open(place)] == [30, 60, 120, 240, 480, 600, 600, 600]
 
 
+def test_passes_go_on_until_all_is_there_or_nothing_comes(base, tmp_path):  # noqa: F811
+    place = tmp_path / "calls"
+    place.mkdir()
+
+    class Flaky(I.FakeBackend):
+        """Answers each request the second time only."""
+
+        def __call__(self, prompt, system):
+            mark = place / format(abs(hash(prompt)), "x")
+            if not mark.exists():
+                mark.write_text("")
+                return I.Reply("later")
+            return super().__call__(prompt, system)
+
+    slept = []
+    assert I.supervise(base, Flaky(), str(tmp_path / "a"), (1, 2), slept.append, batch=10, shards=1) == 2 and slept == [1]
+    slept.clear()
+    with pytest.raises(I.Stalled):
+        I.supervise(base, I.FakeBackend(broken="c"), str(tmp_path / "b"), (1, 2), slept.append, batch=1, shards=1)
+    assert slept == [1, 2]
+
+
+def test_bundles(tmp_path, monkeypatch):
+    (tmp_path / "common").mkdir()
+    for name in ("manifest.json", "common/manifest.json"):
+        (tmp_path / name).write_text("{}")
+    assert bundle.locate("common_manifest", tmp_path) == tmp_path / "common/manifest.json" and set(bundle.located(tmp_path)) == {"manifest", "common_manifest"}
+    with pytest.raises(FileNotFoundError, match="store"):
+        bundle.locate("store", tmp_path)
+    monkeypatch.setenv(bundle.VARIABLE, str(tmp_path))
+    assert bundle.locate("manifest") == tmp_path / "manifest.json"
+
+
 def test_texts_that_break_a_rule_are_asked_again(spark, base, tmp_path):  # noqa: F811
     log = str(tmp_path / "log")
     spark.createDataFrame([("c1", 1, "郵便局"), ("c1", 2, "mail depot"), ("c2", 1, "長" * 25), ("elsewhere", 1, "plain")], "id string, sense int, ja string").write.json(log)
