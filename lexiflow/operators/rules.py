@@ -362,6 +362,17 @@ def summary(violations: DataFrame, most: int = 3) -> DataFrame:
     return violations.groupBy("kind").agg(F.count("*").alias("n")).join(few, "kind", "left").orderBy(F.desc("n"), "kind")
 
 
+def report(violations: DataFrame, most: int = 200) -> list[str]:
+    """A text report: how many violations, by kind, the most frequent first, and the first
+    of them in the order of files and lines."""
+    kinds = [(r["kind"], r["n"]) for r in violations.groupBy("kind").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "kind").collect()]
+    total = sum(n for _, n in kinds)
+    first = violations.orderBy("path", "line", "kind", "detail").limit(most).collect() if total else []
+    lines = [f"{r['path']}:{r['line'] or 0}: {r['kind']}: {r['word'] or '-'}: {r['detail']}" for r in first]
+    rest = [f"... and {total - len(lines)} more"] if total > len(lines) else []
+    return [f"{total} violations", *(f"  {kind:<26} {n:>9,}" for kind, n in kinds), *lines, *rest]
+
+
 def native_counts(df: DataFrame) -> dict[str, int]:
     """Rows, skeleton and supplement, senses, and rows with each attribute, in one pass."""
     names = [c for c in df.columns if c not in ("word", "pinyin", "senses", "ord")]

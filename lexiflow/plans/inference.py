@@ -115,6 +115,17 @@ def spent(usage: dict[str, int]) -> int:
     return sum(usage.get(k, 0) for k in TOKENS)
 
 
+def usage_totals(calls: DataFrame, group: list[str] = (), usage: str = "usage") -> DataFrame:
+    """(group, key, calls, total, per_call): sums over all calls of the whole numbers in their
+    usage, and what a call took of each; true and false are no numbers, nor are fractions."""
+    fields = F.from_json(usage, "map<string, string>")
+    each = calls.select(*group, F.explode(fields).alias("key", "value")).where(F.col("value").rlike("^-?[0-9]+$"))
+    sums = each.groupBy(*group, "key").agg(F.sum(F.col("value").cast("bigint")).alias("total"))
+    counts = calls.groupBy(*group).agg(F.count("*").alias("calls"))
+    joined = sums.join(counts, list(group)) if group else sums.join(F.broadcast(counts))  # a single row
+    return joined.select(*group, "key", "calls", "total", (F.col("total") / F.col("calls")).alias("per_call"))
+
+
 def call_backend(calls: DataFrame, backend: Backend, system: str = "", rules: str = "", tokens: int | None = None) -> DataFrame:
     """(shard, chunk, payload, reply, usage, error): one row a call, in the order of chunks
     in each shard. A call that fails leaves its chunk pending and the run goes on; where

@@ -539,6 +539,15 @@ def usage_sum(spark: SparkSession, d: str) -> DataFrame:
     return events.groupBy("event_type").agg(F.count("*").alias("n_calls"), F.sum("c").alias("spent"), F.floor(F.avg("c")).alias("per_call"), F.sum(k).alias("k_sum"))
 
 
+@query("""SELECT event_type, key, count(*) AS calls, CAST(sum(v) AS BIGINT) AS total, CAST(floor(sum(v) * 1.0 / count(*)) AS BIGINT) AS per_call FROM
+(SELECT event_type, unnest([{'key': 'input_tokens', 'v': event_id % 100}, {'key': 'output_tokens', 'v': user_id}], recursive := true) FROM events) GROUP BY event_type, key""")
+def usage_totals(spark: SparkSession, d: str) -> DataFrame:
+    """What calls used in all and each, of the whole numbers in their usage."""
+    usage = F.to_json(F.struct((F.col("event_id") % 100).alias("input_tokens"), F.col("user_id").alias("output_tokens"), F.lit(True).alias("cached"), F.lit(0.5).alias("seconds"), F.lit("x").alias("model")))
+    totals = I.usage_totals(read(spark, d, "events", "event_id", "user_id", "event_type").withColumn("usage", usage), ["event_type"])
+    return totals.withColumn("per_call", F.floor("per_call"))
+
+
 @query("""WITH t AS (SELECT user_id, count(*) AS done, CAST(max(epoch(ts)::BIGINT) - min(epoch(ts)::BIGINT) AS BIGINT) AS seconds FROM events GROUP BY 1)
 SELECT user_id, done, CAST(floor(100.0 * done / 500) AS BIGINT) AS percent, CASE WHEN seconds > 0 THEN CAST(floor(done * 3600000.0 / seconds) AS BIGINT) ELSE 0 END AS per_thousand_hours FROM t""")
 def progress_rate(spark: SparkSession, d: str) -> DataFrame:

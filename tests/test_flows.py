@@ -139,6 +139,11 @@ def test_merging_takes_the_last_text_and_stops_on_numbers_out_of_range(spark, ba
             I.merge_glosses(base, rows.withColumn("sense", F.lit(number))).collect()
 
 
+def test_usage_counts_whole_numbers(spark):
+    calls = spark.createDataFrame([('{"calls": 1, "cached": true, "seconds": 1.5}',), ('{"calls": 2, "extra": 4}',), (None,)], "usage string")
+    assert sorted(tuple(r) for r in I.usage_totals(calls).collect()) == [("calls", 3, 3, 1.0), ("extra", 3, 4, 4 / 3)]
+
+
 def test_retries():
     waits, tries = [], []
 
