@@ -25,7 +25,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from lexiflow.llm.common import map_texts
+from lexiflow.llm.common import held, map_texts
 
 # The characters with the Unicode property White_Space.
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -241,10 +241,9 @@ class Codec:
         return b"".join(map(self.vocab.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     """One codec per worker process, so that its cache outlives a task."""
-    return Codec(path)
+    return held(("codec", path), lambda: Codec(path))
 
 
 def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

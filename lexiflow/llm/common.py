@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from lexiflow.session import discard, materialise, same_files, shared_dir  # noqa: F401 - operators take them from here
 
 #: Texts are handed to vectorised code in slices of about so many bytes.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 #: A key of more rows is split for joins; at most so many keys and parts.
 HOT_ROWS, MOST_HOT, MOST_PARTS = 1000, 1000, 4096
 
@@ -52,6 +52,20 @@ def split_join(many: DataFrame, one: DataFrame, key: str, spread: str, how: str
     return dealt.join(every, [key, "__part"], how).drop("__part")
 
 
+_held: tuple[Hashable, object] | None = None
+
+
+def held(key: Hashable, make: Callable[[], object]) -> object:
+    """make()'s result, which a worker process keeps from task to task until another one is
+    asked for: caches of one operator never stand beside those of the one before."""
+    global _held
+    if _held is None or _held[0] != key:
+        _held = None
+        pa.default_memory_pool().release_unused()
+        _held = key, make()
+    return _held[1]
+
+
 def text_of(column: str) -> Column:
     """The text, with null as the empty string."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -75,7 +89,7 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int,
         yield a, b, texts.slice(a, b - a).to_pylist()
 
 
-def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Callable[[], Callable[[list[str]], Iterable[tuple]]], keep_null: bool = False) -> DataFrame:
+def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Callable[[], Callable[[list[str]], Iterable[tuple]]], keep_null: bool = False, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Applies a per-worker function to slices of texts.
 
     `make()` runs once per task and returns a function from a list of texts to
@@ -89,7 +103,7 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Call
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for a, b, texts in slices(batch.column(1)):
+            for a, b, texts in slices(batch.column(1), slice_bytes):
                 rows = list(work(texts))
                 columns = list(zip(*rows)) if rows else [[] for _ in range(len(arrow) - 1)]
                 yield pa.RecordBatch.from_arrays(

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from lexiflow.llm.common import map_texts, slices
 
 PLACES = 1 << 16
+#: Bytes of text that are turned into arrays at a time: some 60 bytes each.
+SLICE = 1_000_000
 UNKNOWN = "und"
 #: Added to each count.
 SMOOTHING = 0.1
@@ -148,7 +150,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
         found: dict[str, np.ndarray] = {}
         for batch in batches:
             languages = batch.column(0).to_pylist()
-            for a, b, texts in slices(batch.column(1)):
+            for a, b, texts in slices(batch.column(1), SLICE):
                 for language in set(languages[a:b]):
                     own = [t for l, t in zip(languages[a:b], texts) if l == language]
                     found.setdefault(language, np.zeros(PLACES, np.int64))
@@ -172,4 +174,4 @@ def predict(df: DataFrame, model: Mixture, id_col: str = "doc_id", text_col: str
     def make():
         return lambda texts: ((l, s, list(m.items())) for l, s, m in shared.value.infer(texts))
 
-    return map_texts(df, id_col, text_col, "lang_pred string, score double, languages map<string, double>", make)
+    return map_texts(df, id_col, text_col, "lang_pred string, score double, languages map<string, double>", make, slice_bytes=SLICE)

@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiflow.llm.bpe import PieceCache
-from lexiflow.llm.common import bounds_of, text_of
+from lexiflow.llm.common import bounds_of, held, text_of
 
 #: A block ends once it holds so many tokens.
 BLOCK_TOKENS = 4_000_000
 UNITS_IN_WINDOW = 64
-CACHE_WORDS, LONGEST_CACHED, RUNS_AT_ONCE = 800_000, 64, 20_000
+CACHE_WORDS, LONGEST_CACHED, RUNS_AT_ONCE = 500_000, 64, 20_000
 #: Bytes of text that are cut into words at a time.
-SLICE = 8_000_000
+SLICE = 4_000_000
 # Letters that have one lower-case letter each, and signs that never
 # join what follows them.
 LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-įı-ɏ", r"!-&(-/:-@\[-`{-~"
@@ -240,9 +240,8 @@ class WordIds:
         return ids, bounds[first + np.arange(first.size)] // 4
 
 
-@functools.lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return held(("words", path), lambda: WordIds(path))
 
 
 def pack_documents(df: DataFrame, path: str, window: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,13 +257,13 @@ def pack_documents(df: DataFrame, path: str, window: int = 2048, end_id: int = 1
         encoder = word_ids(path)
         first = TaskContext.get().partitionId() * SEQUENCES_OF_A_PARTITION
         keys: list[pa.Array] = []
-        held: list[np.ndarray] = []
+        blocks: list[np.ndarray] = []
         starts: list[np.ndarray] = []
         tokens = used = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal used
-            ids, tokens_of, begin = pa.concat_arrays(keys), np.concatenate(held), np.concatenate([*starts, [tokens]])
+            ids, tokens_of, begin = pa.concat_arrays(keys), np.concatenate(blocks), np.concatenate([*starts, [tokens]])
             lengths = np.diff(begin)
             sequences = pack_block(lengths, window)
             d, s, n = np.array(list(chain.from_iterable(sequences)), np.int64).T
@@ -285,13 +284,13 @@ def pack_documents(df: DataFrame, path: str, window: int = 2048, end_id: int = 1
             for a, b in bounds_of(batch.column(1), SLICE):
                 found, begin = encoder.encode(batch.column(1).slice(a, b - a), end)
                 keys.append(batch.column(0).slice(a, b - a))
-                held.append(found)
+                blocks.append(found)
                 starts.append(begin[:-1] + tokens)
                 tokens += found.size
                 if tokens >= BLOCK_TOKENS:
                     yield from flush()
-                    keys, held, starts, tokens = [], [], [], 0
-        if held:
+                    keys, blocks, starts, tokens = [], [], [], 0
+        if blocks:
             yield from flush()
 
     return df.select(F.col(id_col), text_of(text_col).alias("__text")).mapInArrow(run, schema)

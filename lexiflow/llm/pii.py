@@ -30,7 +30,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from lexiflow.llm.common import map_texts
+from lexiflow.llm.common import held, map_texts
 
 ROUNDS = 10
 #: Most walks along a cycle; the share of valid outcomes is over a tenth for each kind.
@@ -267,9 +267,8 @@ class Pseudonymiser:
         return None, m.end()
 
 
-@functools.lru_cache(maxsize=4)
 def pseudonymiser(key: str) -> Pseudonymiser:
-    return Pseudonymiser(key)
+    return held(("pseudonyms", key), lambda: Pseudonymiser(key))
 
 
 def pseudonymise(df: DataFrame, key: str = DEMO_KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

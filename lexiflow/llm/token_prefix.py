@@ -15,7 +15,6 @@ long pieces cost time in proportion to their length times the longest token.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterable
 from itertools import chain
@@ -24,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from lexiflow.llm.bpe import WHITE_SPACE, PieceCache, plain_pieces, vocabulary
-from lexiflow.llm.common import map_texts
+from lexiflow.llm.common import held, map_texts
 
 NEVER = 1 << 40
 UNITS = re.compile(rf"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
@@ -215,9 +214,8 @@ class PrefixCounter:
         return 0
 
 
-@functools.lru_cache(maxsize=2)
 def counter(path: str) -> PrefixCounter:
-    return PrefixCounter(path)
+    return held(("counter", path), lambda: PrefixCounter(path))
 
 
 def prefix_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiflow.llm.bpe import PieceCache
-from lexiflow.llm.common import discard, map_texts, materialise
+from lexiflow.llm.common import discard, held, map_texts, materialise
 
 WORDS = re.compile(r"[^\W\d_]+")
 #: Characters in the longest n-gram; up to SHARED the counts of both classes are shared.
@@ -147,16 +148,14 @@ class Scorer:
     """Scores texts with a fitted model; remembers the evidence of words."""
 
     def __init__(self, model: KneserNey | None, curve: Curve | None = None):
-        self.model, self.curve = model, curve
-        self.known: PieceCache | None = None
+        self.model, self.curve, self.name = model, curve, uuid.uuid4().hex
 
     def evidence(self, texts: list[str]) -> Iterable[list[float]]:
         """The length-normalised evidence of each text: of all its words, of its most
         toxic passages, and of its most toxic distinct words."""
-        if self.known is None:
-            self.known = PieceCache(CACHE_WORDS)
+        known = held(("toxicity", self.name), lambda: PieceCache(CACHE_WORDS))
         split = [words_of(t) for t in texts]
-        look = self.known.prepare(set(chain.from_iterable(split)), lambda new: self.model.evidence(new).tolist())
+        look = known.prepare(set(chain.from_iterable(split)), lambda new: self.model.evidence(new).tolist())
         for words in split:
             if not words:
                 yield [0.0] * FEATURES
@@ -213,8 +212,8 @@ def copy_keys(words: list[str]) -> list[int]:
     return [xxhash.xxh64_intdigest(repr(least[k::COPY_BANDS])) >> 1 for k in range(COPY_BANDS)]
 
 
-def train(words: list[str], counts: np.ndarray, held: Callable[[int, Scorer], list[tuple[int, list[float]]]], prior: float) -> Scorer:
-    """A scorer from counts[word, fold, class], the texts that hold a word. `held` gives
+def train(words: list[str], counts: np.ndarray, left_out: Callable[[int, Scorer], list[tuple[int, list[float]]]], prior: float) -> Scorer:
+    """A scorer from counts[word, fold, class], the texts that hold a word. `left_out` gives
     (class, evidence) of a fold's texts under a scorer that has not seen them; the
     curve is fitted to these, for a share `prior` of toxic texts."""
     total = counts.sum(1)
@@ -224,7 +223,7 @@ def train(words: list[str], counts: np.ndarray, held: Callable[[int, Scorer], li
     for fold in range(FOLDS):
         rest = total - counts[:, fold]
         if (rest.sum(0) > 0).all():
-            found += held(fold, Scorer(KneserNey(words, rest)))
+            found += left_out(fold, Scorer(KneserNey(words, rest)))
     y, x = np.array([k for k, _ in found], float), np.array([v for _, v in found], float)
     if not y.size or not 0 < y.sum() < y.size:
         return Scorer(None)
@@ -277,11 +276,11 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     counts = grouped.to_numpy(np.float32).reshape(-1, FOLDS, 2)
     del grouped
 
-    def held(fold: int, scorer: Scorer) -> list[tuple[int, list[float]]]:
+    def left_out(fold: int, scorer: Scorer) -> list[tuple[int, list[float]]]:
         scored = map_texts(parsed.where(F.col("fold") == fold).select("kind", "t"), "kind", "t", "x array<double>", lambda: lambda texts: ((x,) for x in scorer.evidence(texts)))
         return sorted((r["kind"], r["x"]) for r in scored.collect())
 
-    scorer = train(words, counts, held, totals[1] / (totals[0] + totals[1]))
+    scorer = train(words, counts, left_out, totals[1] / (totals[0] + totals[1]))
     discard(parsed)
     return scorer
 
