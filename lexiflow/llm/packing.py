@@ -40,9 +40,9 @@ from lexiflow.llm.common import bounds_of, held, text_of
 #: A block ends once it holds so many tokens.
 BLOCK_TOKENS = 4_000_000
 UNITS_IN_WINDOW = 64
-CACHE_WORDS, LONGEST_CACHED, RUNS_AT_ONCE = 500_000, 64, 20_000
+CACHE_WORDS, LONGEST_CACHED, RUNS_AT_ONCE = 800_000, 64, 20_000
 #: Bytes of text that are cut into words at a time.
-SLICE = 4_000_000
+SLICE = 16_000_000
 # Letters that have one lower-case letter each, and signs that never
 # join what follows them.
 LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-įı-ɏ", r"!-&(-/:-@\[-`{-~"
@@ -206,14 +206,17 @@ class WordIds:
         plain = pc.match_substring_regex(words, self.plain)
         for s in self.special:
             plain = pc.and_(plain, pc.invert(pc.match_substring(words, s)))
-        runs = RUNS.findall("\n".join([*words.filter(plain).to_pylist(), ""]).lower())
+        chosen = words.filter(plain)
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(chosen)], pa.int32()), chosen), "\n")[0].as_py()
+        runs = RUNS.findall(lines.lower() + "\n") if len(chosen) else []
         odd = words.filter(pc.invert(plain)).to_pylist()
-        look = self.known.prepare({*runs, *odd}, self._learn)
-        known = list(map(look, runs))
-        sizes = np.cumsum(np.fromiter(map(len, known), np.int64, len(known)))
-        breaks = np.fromiter(map("\n".__eq__, runs), bool, len(runs))
-        ends = np.r_[0, sizes[breaks]]
-        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), ends.size - 1, [None, pa.py_buffer(ends), pa.py_buffer(b"".join(known))])
+        coded = pa.array(runs, pa.string()).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        look = self.known.prepare({*distinct, *odd}, self._learn)
+        flat = pa.array(list(map(look, distinct)), pa.large_binary()).take(coded.indices)
+        breaks = coded.indices.to_numpy() == (distinct.index("\n") if distinct else 0)
+        ends = np.r_[0, np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1)[1:][breaks]]
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), ends.size - 1, [None, pa.py_buffer(ends), flat.buffers()[2]])
         every = pa.concat_arrays([found, pa.array(list(map(look, odd)), pa.large_binary())])
         mask = plain.to_numpy(zero_copy_only=False)
         place = np.where(mask, np.cumsum(mask) - 1, mask.sum() + np.cumsum(~mask) - 1)
