@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from itertools import chain
 from pathlib import Path
@@ -51,9 +52,12 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
 
 
 def local_folder(spark: SparkSession) -> Path:
-    """A new folder for single files that the driver writes, in the shared folder where that
-    is one of this machine's; deleted when the driver ends."""
-    folder = Path(working_folder(spark, "files").removeprefix("file://").removeprefix("file:"))
+    """A new folder for single files that the driver writes, within the shared folder, which
+    has to be mounted on this machine for that; deleted when the driver ends."""
+    place = re.sub("^file:(//)?", "", working_folder(spark, "files"))
+    if "://" in place:
+        raise ValueError(f"single files need a shared folder that is mounted here, not {place}")
+    folder = Path(place)
     folder.mkdir(parents=True)
     return folder
 
