@@ -41,10 +41,11 @@ def frequent(df: DataFrame, key: str, most: int = HOT_ROWS) -> DataFrame | None:
     return F.broadcast(df.sparkSession.createDataFrame(parts, f"`{key}` bigint, __parts int"))  # MOST_HOT rows
 
 
-def split_join(many: DataFrame, one: DataFrame, key: str, spread: str, how: str = "inner", most: int = HOT_ROWS) -> DataFrame:
+def split_join(many: DataFrame, one: DataFrame, key: str, spread: str, how: str = "inner", most: int = HOT_ROWS, rows: int | None = None) -> DataFrame:
     """`many` joined with `one`, which has a row a key. The rows of a key of over `most`
-    are dealt to parts by the column `spread`, and the other side is repeated for each."""
-    hot = frequent(many, key, most)
+    are dealt to parts by the column `spread`, and the other side is repeated for each.
+    Where `many` is known to have no more than `most` rows, `rows` says so."""
+    hot = frequent(many, key, most) if rows is None or rows > most else None
     if hot is None:
         return many.join(one, key, how)
     dealt = many.join(hot, key, "left").withColumn("__part", F.coalesce(F.pmod(F.xxhash64(spread), F.col("__parts")), F.lit(0)).cast("int")).drop("__parts")
@@ -61,11 +62,16 @@ def held(key: Hashable, make: Callable[[], object]) -> object:
     global _held
     if _held is None or _held[0] != key:
         _held = None
-        pa.default_memory_pool().release_unused()
+        release()
         _held = key, make()
     return _held[1]
 
 
+def release() -> None:
+    """Gives back what Arrow's pool keeps of arrays that are gone; after each slice."""
+    pa.default_memory_pool().release_unused()
+
+
 def text_of(column: str) -> Column:
     """The text, with null as the empty string."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -110,5 +116,6 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Call
                     [batch.column(0).slice(a, b - a), *(pa.array(c, arrow.field(k + 1).type) for k, c in enumerate(columns))],
                     schema=arrow,
                 )
+                release()
 
     return source.mapInArrow(run, out_schema)

@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiflow.llm.bpe import PieceCache
-from lexiflow.llm.common import bounds_of, held, text_of
+from lexiflow.llm.common import bounds_of, held, release, text_of
 
 #: A block ends once it holds so many tokens.
 BLOCK_TOKENS = 4_000_000
 UNITS_IN_WINDOW = 64
-CACHE_WORDS, LONGEST_CACHED, RUNS_AT_ONCE = 800_000, 64, 20_000
+CACHE_WORDS, LONGEST_CACHED, RUNS_AT_ONCE = 400_000, 64, 20_000
 #: Bytes of text that are cut into words at a time.
-SLICE = 16_000_000
+SLICE = 8_000_000
 # Letters that have one lower-case letter each, and signs that never
 # join what follows them.
 LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-įı-ɏ", r"!-&(-/:-@\[-`{-~"
@@ -290,6 +290,7 @@ def pack_documents(df: DataFrame, path: str, window: int = 2048, end_id: int = 1
                 blocks.append(found)
                 starts.append(begin[:-1] + tokens)
                 tokens += found.size
+                release()
                 if tokens >= BLOCK_TOKENS:
                     yield from flush()
                     keys, blocks, starts, tokens = [], [], [], 0
