@@ -135,15 +135,19 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found
 
 
-def connected(edges: DataFrame) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame | None:
     """(node, root): the least node reachable, for each node of `edges` (a, b) that is not
-    a root itself. Large and small stars alternate until nothing changes."""
+    a root itself; None without edges. Large and small stars alternate until nothing
+    changes."""
     edges = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = None
+    number, state = edges.count(), None
+    if not number:
+        discard(edges)
+        return None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = split_join(both, least, "u", "v").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = split_join(both, least, "u", "v", rows=2 * number).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         own = least.select("u", F.col("m").alias("v"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own).distinct()
@@ -153,7 +157,7 @@ def connected(edges: DataFrame) -> DataFrame:
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == state:
             return same_files(edges.select(F.col("u").alias("node"), F.col("v").alias("root")), edges)
-        state = now
+        number, state = now[0], now
 
 
 class Components:
@@ -174,6 +178,8 @@ class Components:
         between = self.of(self.of(links, "a", "x"), "b", "y").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
         merged = connected(between)
         discard(links)
+        if merged is None:
+            return
         if self.roots is None:
             self.roots = merged
             return
