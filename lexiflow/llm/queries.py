@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.llm import ann, bpe, chat, langid, minhash, order_minhash, packing, pii, token_prefix, toxicity
+from lexiflow.llm import ann, bpe, chat, langid, lexical, minhash, order_minhash, packing, pii, rolling, token_prefix, toxicity
 from lexiflow.llm.common import table, tokenizer_path
 
 TOKEN_LIMIT, SEQUENCE_TOKENS = 512, 2048
@@ -111,10 +111,50 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_prefix.budget_report(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
+def op12_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.document_windows(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, bit: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i)) AS t),
+d AS (
+  SELECT doc_id, source, lang, length(text) AS chars,
+    xor(4294967295, list_reduce(string_split(CAST(doc_id AS VARCHAR), '') , lambda c, ch: CAST(xor(CAST(c AS BIGINT) >> 8, t[(xor(CAST(c AS BIGINT), ascii(ch)) & 255) + 1]) AS VARCHAR), '4294967295')::BIGINT) % 1000 AS h FROM documents, crc
+), e AS (SELECT *, (doc_id + h - ((doc_id + h) % 6 + 6) % 6) * 10 AS event_s, row_number() OVER () AS r FROM d),
+w AS (SELECT * FROM e, (VALUES (1800), (86400)) s(window_s)),
+p AS (
+  SELECT w.r, w.window_s, count(o.r) AS n_events, coalesce(sum(o.chars), 0) AS sum_chars, count(DISTINCT o.lang) AS n_langs, list_sort(list(o.chars) FILTER (o.chars IS NOT NULL)) AS v
+  FROM w LEFT JOIN e o ON o.source IS NOT DISTINCT FROM w.source AND o.event_s >= w.event_s - w.window_s AND o.event_s < w.event_s GROUP BY ALL
+)
+SELECT doc_id, CAST(w.window_s AS BIGINT) AS window_s, event_s, n_events, CAST(sum_chars AS BIGINT) AS sum_chars, n_langs,
+  v[(len(v) + 1) // 2] AS median_chars, v[(99 * len(v) + 99) // 100] AS high_chars
+FROM w JOIN p USING (r, window_s)
+"""
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM documents),
+b AS (SELECT item_id, row_number() OVER () AS i, list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+s AS (SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d WHERE len(t) > 0),
+p AS (SELECT doc_id, r, n, term, count(*) AS tf FROM (SELECT doc_id, r, len(t) AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY term, n_docs),
+q AS (SELECT item_id, i, unnest(t) AS term FROM b),
+scored AS (
+  SELECT item_id, i, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), s GROUP BY item_id, i, doc_id, r
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_nearest, op2_toxicity, op3_packing, op4_chat, op5_minhash, op6_bpe, op7_pii, op8_order_minhash, op9_langid, op10_token_counts)}
+    return {f.__name__: f for f in (op1_nearest, op2_toxicity, op3_packing, op4_chat, op5_minhash, op6_bpe, op7_pii, op8_order_minhash, op9_langid, op10_token_counts, op12_rolling, op13_lexical)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {"op1_nearest": OP1_SQL, "op4_chat": OP4_SQL, "op5_minhash": OP5_SQL}
+    return {"op1_nearest": OP1_SQL, "op4_chat": OP4_SQL, "op5_minhash": OP5_SQL, "op12_rolling": OP12_SQL, "op13_lexical": OP13_SQL}
