@@ -19,12 +19,10 @@ row's next row is itself. An empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from lexiflow.llm.common import text_of
+from lexiflow.llm.common import let, text_of
 
 #: Bits that hold a k-mer's place in its text (no array is longer), and that choose its bin.
 PLACE_BITS, BIN_BITS = 31, 6
@@ -34,11 +32,6 @@ PART = 8
 GROUPS, SAMPLED = 4, 10
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value), with the value computed once however often it is used."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def signature(text: Column, k: int = 2, picked: int = 2) -> Column:
     """array<bigint>, sorted: for each bin its number in the top bits and below them the
     hash of the bin's `picked` least k-mers in the order of the text."""

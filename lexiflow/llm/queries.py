@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.llm import ann, bpe, chat, langid, lexical, minhash, order_minhash, packing, pii, rolling, token_prefix, toxicity
+from lexiflow.llm import ann, bpe, chat, langid, lexical, license_rules, licenses, minhash, order_minhash, packing, pii, rolling, token_prefix, toxicity
 from lexiflow.llm.common import table, tokenizer_path
 
 TOKEN_LIMIT, SEQUENCE_TOKENS = 512, 2048
@@ -111,6 +111,44 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_prefix.budget_report(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
+def rule_rows(rules: list[license_rules.Rule]) -> str:
+    """The rules as rows of SQL, keywords and patterns with words set apart."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    return ",\n".join(f"({n}, {r.base}, {r.priority}, {license_rules.WORTH[r.priority]}::DOUBLE, {quoted(r.label)}, {quoted(r.keyword.replace(' ', '  '))}, {quoted(f'({licenses.apart(r.pattern)})')})" for n, r in enumerate(rules))
+
+
+OP11_SQL = (
+    r"""
+WITH rules(n, base, priority, worth, label, keyword, pattern) AS (VALUES
+"""
+    + rule_rows(license_rules.all_rules())
+    + r"""
+), low AS (SELECT doc_id, row_number() OVER () AS r, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+d AS (SELECT doc_id, r, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM low),
+normal AS (SELECT r, ' ' || array_to_string(words, '  ') || ' ' AS t FROM d),
+marked AS (
+  SELECT r, n, base, priority, worth, label, regexp_extract_all(regexp_replace(t, pattern, chr(1) || '\1' || chr(2), 'g'), '[\x01\x02]|[^ \x01\x02]+') AS tokens
+  FROM normal JOIN rules ON contains(t, keyword) WHERE regexp_matches(t, pattern)
+), marks AS (SELECT r, n, base, priority, worth, label, list_filter(list_transform(tokens, lambda x, i: CASE WHEN x = chr(1) OR x = chr(2) THEN i - 1 END), lambda i: i IS NOT NULL) AS marks FROM marked),
+place AS (SELECT r, n, base, priority, worth, label, marks[2 * k - 1] - (2 * k - 2) AS a, marks[2 * k] - (2 * k - 1) AS b FROM (SELECT *, unnest(range(1, len(marks) // 2 + 1)) AS k FROM marks)),
+kept AS (
+  SELECT * FROM place p WHERE base OR NOT EXISTS (
+    SELECT 1 FROM place e WHERE e.r = p.r AND e.a <= p.a AND e.b >= p.b
+    AND (e.priority > p.priority OR e.priority = p.priority AND (e.b - e.a > p.b - p.a OR e.a = p.a AND e.b = p.b AND e.n < p.n)))
+), found AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(a) FILTER (base) AS first_word, max(a) FILTER (base) AS last_word, max(worth) AS score,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM kept GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0::DOUBLE) AS score
+FROM d LEFT JOIN found USING (r)
+"""
+)
+
+
 def op12_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling.document_windows(table(spark, sf_dir, "documents"))
 
@@ -152,9 +190,9 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_nearest, op2_toxicity, op3_packing, op4_chat, op5_minhash, op6_bpe, op7_pii, op8_order_minhash, op9_langid, op10_token_counts, op12_rolling, op13_lexical)}
+    return {f.__name__: f for f in (op1_nearest, op2_toxicity, op3_packing, op4_chat, op5_minhash, op6_bpe, op7_pii, op8_order_minhash, op9_langid, op10_token_counts, op11_licenses, op12_rolling, op13_lexical)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {"op1_nearest": OP1_SQL, "op4_chat": OP4_SQL, "op5_minhash": OP5_SQL, "op12_rolling": OP12_SQL, "op13_lexical": OP13_SQL}
+    return {"op1_nearest": OP1_SQL, "op4_chat": OP4_SQL, "op5_minhash": OP5_SQL, "op11_licenses": OP11_SQL, "op12_rolling": OP12_SQL, "op13_lexical": OP13_SQL}

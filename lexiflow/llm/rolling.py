@@ -2,15 +2,15 @@
 before each row.
 
 Rows of equal key, time, value and label are merged with their number before anything
-is sent, so copies cost nothing. A key's time is cut into blocks as long as the longest
-window; a block also gets the entries of the block before it, which is all that its
-windows reach. In a block a Fenwick tree over the compressed (sorted distinct) values
+is sent, so copies cost nothing. A key's time is cut into blocks, BLOCKS to
+the longest window; a block also gets the entries of as many blocks before it, which is all
+that its windows reach, so a key with most of the rows is the work of many tasks. In a block a Fenwick tree over the compressed (sorted distinct) values
 follows two pointers: one adds entries as time moves on, the other removes those that
 leave the window. The tree's descent by halving steps finds the value of any rank, while
 plain sums and a counter for each label are kept beside it. Features belong to a time, not
 to a row, and are joined back to the rows; Spark splits times of very many rows.
 
-A task holds the merged entries of one key in two blocks of time. These are bounded by
+A task holds the merged entries of one key in little more than the longest window. These are bounded by
 the distinct (time, value, label) there, whatever the number of rows.
 
 Defined cases: a null key is a key of its own; a null value counts as a row without a
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 #: Ranks of the median and of a high quantile among m values: ceil(m * a / b).
 MEDIAN, HIGH = (1, 2), (99, 100)
+#: Blocks of time in the longest window.
+BLOCKS = 4
 
 
 class Fenwick:
@@ -98,21 +100,21 @@ FEATURES = "n_events bigint, sum_value bigint, n_labels bigint, median_value big
 def rolling(df: DataFrame, key: str, time: str, value: str, label: str, spans: tuple[int, ...]) -> DataFrame:
     """The rows of `df`, once for each span, with window_s (the span) and the features of
     the window of its key that holds the times from time - span to before time."""
-    longest = max(spans)
+    length = -(-max(spans) // BLOCKS)
     named = {"__none": F.col(key).isNull(), "__key": F.coalesce(F.col(key).cast("string"), F.lit("")), "__t": F.col(time).cast("bigint")}
     rows = df.withColumns(named)
     entry = rows.select(*named, F.coalesce(F.col(value).cast("bigint"), F.lit(0)).alias("__v"), F.col(value).isNotNull().alias("__known"), F.col(label).cast("string").alias("__label"))
     merged = entry.where("__t is not null").groupBy(*entry.columns).agg(F.count("*").alias("__n"))
-    block = (F.col("__t") - F.pmod("__t", F.lit(longest))) / longest
-    dealt = merged.withColumn("__block", F.explode(F.array(block.cast("bigint"), block.cast("bigint") + 1)))
+    block = ((F.col("__t") - F.pmod("__t", F.lit(length))) / length).cast("bigint")
+    dealt = merged.withColumn("__block", F.explode(F.sequence(block, block + BLOCKS)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__t", kind="stable")
         times = pdf["__t"].to_numpy()
-        asked = np.unique(times[times // longest == pdf["__block"].iloc[0]])
+        asked = np.unique(times[times // length == pdf["__block"].iloc[0]]).tolist()
         labels = pd.factorize(pdf["__label"])[0]
         arrays = (times, pdf["__v"].to_numpy(), pdf["__known"].to_numpy(dtype=bool), labels, pdf["__n"].to_numpy())
-        out = [(t, span, *found) for span in spans for t, found in zip(asked.tolist(), slide(*arrays, asked.tolist(), span))]
+        out = [(t, span, *found) for span in spans for t, found in zip(asked, slide(*arrays, asked, span))]
         found = pd.DataFrame(out, columns=["__t", "window_s", "n_events", "sum_value", "n_labels", "median_value", "high_value"])
         found = found.astype({"median_value": "Int64", "high_value": "Int64"})
         found.insert(0, "__key", pdf["__key"].iloc[0])
