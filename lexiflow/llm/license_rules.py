@@ -241,10 +241,10 @@ zlib | altered from any source redistribut | this notice may not be removed or a
 bsl-1.0 | permission is hereby granted free of charge | permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[cs]e
 unlicense | released into the public domain | this is free and unencumbered software released into the public domain
 cc0-1.0 | copyright and related | to the extent possible under law (?:[^ ]+ ){1,12}has waived all copyright and related or neighboring rights
-wtfpl | do what the fuck you want to public licen | everyone is permitted to copy and distribute verbatim or modified copies of this licen[cs]e document and changing it is allowed
+wtfpl | everyone is permitted to copy and distribute | everyone is permitted to copy and distribute verbatim or modified copies of this licen[cs]e document and changing it is allowed
 ofl-1.1 | sil open font licen | this font software is licensed under the sil open font licen[cs]e version 1 1
 ncsa | permission is hereby granted free of charge | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal with the software
-artistic-2.0 | copyright holder | everyone is permitted to copy and distribute verbatim copies of this licen[cs]e document but changing it is not allowed preamble this licen[cs]e establishes the terms under which a given free software package may be copied modified distributed and or redistributed the intent is that the copyright holder
+artistic-2.0 | everyone is permitted to copy and distribute | everyone is permitted to copy and distribute verbatim copies of this licen[cs]e document but changing it is not allowed preamble this licen[cs]e establishes the terms under which a given free software package may be copied modified distributed and or redistributed the intent is that the copyright holder
 proprietary | all rights reserved unauthorized copy | all rights reserved unauthorized copying of this file via any medium is strictly prohibited
 proprietary | proprietary and confidential unauthorized copy | proprietary and confidential unauthorized copying
 public-domain | public domain | (?:placed|put|dedicated|released) (?:in|into|to) the public domain

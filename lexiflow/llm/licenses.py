@@ -80,7 +80,7 @@ def unsuppressed(found: Column) -> Column:
 
     def wins(e: Column, d: Column) -> Column:
         """Whether e, which starts no later, contains d and precedes it."""
-        longer = (d["back"] - d["start"]) > (e["back"] - e["start"])  # back is the end below 0, so lengths are below 0 here
+        longer = (d["back"] + d["start"]) > (e["back"] + e["start"])  # lengths, negated
         tie = (e["start"] == d["start"]) & (e["back"] == d["back"]) & (e["n"] < d["n"])
         return (e["back"] <= d["back"]) & ((e["after"] < d["after"]) | ((e["after"] == d["after"]) & (longer | tie)))
 
