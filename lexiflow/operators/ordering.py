@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lexiflow.session import materialise
 
@@ -92,36 +87,6 @@ def ranked_first(df: DataFrame, ranks: DataFrame, key: str, then: str) -> DataFr
     return global_ordinal(joined, "__unranked", "rank", then, name="position").drop("__unranked")
 
 
-def budget_chunks(df: DataFrame, group: list[str], order: list[str], cost: str, budget: float, most_rows: int) -> DataFrame:
-    """Adds `chunk`, from 0 in each group: a chunk is closed when another row would exceed
-    the budget or the row limit; a row over the budget stands alone. Sorted partitions are
-    read as streams and only (chunk, held, rows) is carried, so a group of any size takes
-    one pass and never stands in memory. A group is one sequence, so it is one task's."""
-    fields, keys = df.columns, [f"__g{n}" for n in range(len(group))]
-    schema = StructType([*df.schema.fields, StructField("chunk", IntegerType())])
-    dealt = df.withColumns(dict(zip(keys, map(F.col, group)))).withColumn("__cost", F.col(cost).cast("double")) if group else df.withColumn("__cost", F.col(cost).cast("double"))
-    arrow = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, chunk, held, rows = None, 0, 0.0, 0
-        for batch in batches:
-            out = []
-            costs = batch.column("__cost").to_pylist()
-            owners = zip(*(batch.column(k).to_pylist() for k in keys)) if keys else ((),) * len(costs)
-            for own, value in zip(owners, costs):
-                value = value or 0.0
-                if own != key:
-                    key, chunk, held, rows = own, 0, 0.0, 0
-                if rows and (held + value > budget or rows >= most_rows):
-                    chunk, held, rows = chunk + 1, 0.0, 0
-                held, rows = held + value, rows + 1
-                out.append(chunk)
-            yield pa.RecordBatch.from_arrays([*(batch.column(f).cast(arrow.field(f).type) for f in fields), pa.array(out, pa.int32())], schema=arrow)
-
-    spread = dealt.repartition(*keys) if keys else dealt.repartition(1)
-    return spread.sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
-
-
 def token_budget(df: DataFrame, group: list[str], order: list[str], cost: str, budget: float) -> DataFrame:
     """Rows that still start within the budget: what came before them is below it."""
     before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import english_tokens, first_failure, json_from_reply, normalised
-from lexiflow.operators.ordering import budget_chunks, last_value_per_key
+from lexiflow.operators.chunking import budget_chunks
+from lexiflow.operators.ordering import last_value_per_key
 from lexiflow.operators.patches import identity
 from lexiflow.operators.rules import tokens_of
 
@@ -84,7 +85,7 @@ def payload_item() -> Column:
 
 def requests(base: DataFrame, batch: int, senses_per_call: int, shards: int = 1, position: str = "ord") -> DataFrame:
     """(shard, chunk, payload): the calls to make for all pending senses, in the order of
-    `position`. Each shard is a sequence that is chunked as it streams by."""
+    `position`. A shard is a sequence of chunks; its rows are chunked by many tasks."""
     rows = base.withColumn("cost", F.size(pending_numbers(F.col("senses")))).where("cost > 0").withColumn("shard", F.pmod(F.col(position), F.lit(shards)))
     items = rows.select("shard", F.col(position).alias("at"), "cost", F.to_json(payload_item()).alias("item"))
     chunked = budget_chunks(items, ["shard"], ["at"], "cost", senses_per_call, batch)

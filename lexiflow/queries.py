@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lexiflow import schemas as S
 from lexiflow.functions import text as T
+from lexiflow.operators import chunking as K
 from lexiflow.operators import common_format as C
 from lexiflow.operators import matching as M
 from lexiflow.operators import ordering as O
@@ -416,10 +417,24 @@ SELECT l_orderkey, CAST(chunk AS INTEGER) AS chunk, count(*) AS n, CAST(sum(q) A
 def budget_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Chunks within a budget and a row limit."""
     lines = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    done = O.budget_chunks(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"], "l_quantity", 60, 3)
+    done = K.budget_chunks(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"], "l_quantity", 60, 3)
     return done.groupBy("l_orderkey", "chunk").agg(F.count("*").alias("n"), F.sum(whole(F.col("l_quantity"))).alias("total"))
 
 
+@query("""WITH RECURSIVE l AS (SELECT l_returnflag AS g, CAST(l_quantity AS BIGINT) AS q, row_number() OVER w AS p, CAST(sum(l_quantity) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS s FROM lineitem
+WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity)),
+n AS (SELECT a.g, a.p, greatest(a.p + 1, least(a.p + 200, b.p + 1)) AS next FROM l a ASOF JOIN l b ON a.g = b.g AND a.s - a.q + 4000 >= b.s),
+c AS (SELECT g, p, next, 0 AS chunk FROM n WHERE p = 1 UNION ALL SELECT n.g, n.p, n.next, c.chunk + 1 FROM c JOIN n ON n.g = c.g AND n.p = c.next)
+SELECT c.g AS l_returnflag, c.chunk, count(*) AS n, CAST(sum(q) AS BIGINT) AS total, min(l.p) AS first_row FROM c JOIN l ON l.g = c.g AND l.p >= c.p AND l.p < c.next GROUP BY c.g, c.chunk""")
+def budget_chunks_hot(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of groups that each hold a third of all rows, by many tasks a group."""
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    done = K.budget_chunks(read(spark, d, "lineitem", "l_returnflag", *order), ["l_returnflag"], order, "l_quantity", 4000, 200)
+    sums = done.groupBy("l_returnflag", "chunk").agg(F.count("*").alias("n"), F.sum(whole(F.col("l_quantity"))).alias("total"))
+    before = Window.partitionBy("l_returnflag").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.withColumn("first_row", F.coalesce(F.sum("n").over(before), F.lit(0)) + 1)
+
+
 @query("""SELECT CAST((n - 1) // 500 AS BIGINT) AS batch, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) GROUP BY 1""")
 def fixed_batches(spark: SparkSession, d: str) -> DataFrame:
     """Batches of a fixed size."""
