@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lexiflow.functions.text import SPACE, trimmed
 from lexiflow.schemas import GLOSS, HSK_FILE, LEGACY
+from lexiflow.sources.ranges import RANGE, numbered, records, with_at
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(ord, value): the lines of a text file, numbered from 1; gzip by the suffix. One
-    file is one ordered stream, so it is numbered as it is read."""
-    numbered = spark.read.text(path, lineSep="\n").rdd.map(lambda r: r[0]).zipWithIndex().map(lambda x: (x[1] + 1, x[0]))
-    return spark.createDataFrame(numbered, StructType([StructField("ord", LongType()), StructField("value", StringType())]))
+    """(ord, value): the lines of a text file, numbered from 1; gzip by the suffix."""
+    return numbered(records(spark, path)).select("ord", "value")
 
 
 def declared_entries(lines: DataFrame) -> int | None:
@@ -101,12 +101,18 @@ def allowlist(lines: DataFrame) -> DataFrame:
 
 
 def log_rows(spark: SparkSession, paths: list[str], schema: str = GLOSS) -> tuple[DataFrame, DataFrame]:
-    """(rows, broken lines) of logs that may have been cut off; missing files are skipped."""
+    """(rows, broken lines) of logs that may have been cut off; missing files are skipped.
+    Rows also have `written`, the place of their line: logs in the order given, in each
+    the files by name, then the lines."""
     found = existing(spark, paths)
-    raw = spark.read.text(found) if found else spark.createDataFrame([], "value string")
-    raw = raw.where(F.trim("value") != "").withColumn("file", F.input_file_name()).withColumn("v", F.try_parse_json("value"))
+    if not found:
+        none = spark.createDataFrame([], f"{schema}, written struct<log: int, file: string, range: bigint, at: bigint>")
+        return none, spark.createDataFrame([], "file string, value string")
+    each = [records(spark, p).withColumn("log", F.lit(n)) for n, p in enumerate(found)]
+    raw = functools.reduce(DataFrame.unionByName, each).where(F.trim("value") != "").withColumn("v", F.try_parse_json("value"))
     sound = F.col("v").isNotNull() & F.col("value").rlike(r"^\s*\{")
-    return raw.where(sound).select(F.from_json("value", schema).alias("r")).select("r.*"), raw.where(~sound).select("file", "value")
+    rows = raw.where(sound).select(F.from_json("value", schema).alias("r"), F.struct("log", *RANGE, "at").alias("written")).select("r.*", "written")
+    return rows, raw.where(~sound).select("file", "value")
 
 
 def ids(lines: DataFrame) -> DataFrame:
@@ -141,30 +147,33 @@ def strict_records(lines: DataFrame, required: dict[str, str], optional: dict[st
     return ranked.where("__place = 1").drop("__place"), checked.where("error is not null").select("ord", "error").unionByName(again)
 
 
+#: What ends a line beside a line feed, for programs that split at any of them.
+OTHER_ENDS = "[\\u2028\\u2029\\x{85}\\x0B\\x0C]"
+
+
 def forensic_lines(spark: SparkSession, path: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """(rows (line, value), violations) of a JSON-lines file read as bytes: byte-order
+    """(rows (line, value), violations) of JSON-lines files read as bytes: byte-order
     mark, carriage returns, a missing last newline, bytes that are no UTF-8, blank and
-    broken lines, lines that are no objects, replacement characters."""
+    broken lines, lines that are no objects, replacement characters. Ranges of a file are
+    read by many tasks. The mark and the last newline show in a file's size: that is what
+    its lines and their ends take, three more with a mark, and one less without a newline.
+    Lines are numbered in their files; of several files rows and violations have `file` too."""
     from lexiflow.operators.rules import violation
 
-    blob = spark.read.format("binaryFile").load(path).select("content")
-    text = F.make_valid_utf8(F.col("content").cast("string"))
-    bom = F.substring(F.hex("content"), 1, 6) == "EFBBBF"
-    whole = blob.select(
-        F.array_compact(
-            F.array(
-                F.when(bom, F.lit("bom")),
-                F.when(text.contains("\r"), F.lit("crlf")),
-                F.when((F.length("content") > 0) & ~text.endswith("\n"), F.lit("no-final-newline")),
-                F.when(~F.is_valid_utf8(F.col("content").cast("string")), F.lit("invalid-utf8")),
-            )
-        ).alias("kinds"),
+    raw, last = records(spark, path), F.max(F.struct("range", "at"))
+    taken = F.sum(F.octet_length("value").cast("bigint") + 1)
+    whole = raw.groupBy("file", "file_size").agg(
+        (F.col("file_size") - taken).alias("rest"), F.max(F.col("value").contains("\r")).alias("crlf"), F.min(F.is_valid_utf8("value")).alias("valid"), last.alias("last")
     )
-    files = whole.select(F.explode("kinds").alias("kind")).select(*violation(name, F.lit(None), F.lit(None), F.col("kind"), F.lit("the file as a whole")))
-    cut = F.regexp_replace(F.regexp_replace(text, "^﻿", ""), r"\r?\n$", "")
-    lines = blob.where(F.length("content") > 0).select(F.posexplode(F.split(cut, "\r?\n|[  \u0085\u000b\u000c]")).alias("at", "value")).select((F.col("at") + 1).cast("bigint").alias("line"), "value")
-    lines = lines.withColumn("v", F.try_parse_json("value"))
-    kind = F.when(F.trim("value") == "", "blank-line").when(F.col("v").isNull(), "broken-json").when(~F.col("value").rlike(r"^\s*\{"), "not-object").when(F.col("value").contains("�"), "replacement-char")
+    marked, open_ = F.col("rest") >= 2, F.col("rest").isin(-1, 2)
+    kinds = F.array_compact(F.array(F.when(marked, "bom"), F.when(F.col("crlf"), "crlf"), F.when(open_, "no-final-newline"), F.when(~F.col("valid"), "invalid-utf8")))
+    files = whole.select("file", F.explode(kinds).alias("kind")).select("file", *violation(name, F.lit(None), F.lit(None), F.col("kind"), F.lit("the file as a whole")))
+    ends = whole.where(open_).select("file", F.col("last.range").alias("range"), F.col("last.at").alias("at"), F.lit(True).alias("open"))
+    text = F.make_valid_utf8("value")
+    cut = raw.join(F.broadcast(ends), [*RANGE, "at"], "left").withColumn("value", F.when(F.col("open"), text).otherwise(F.regexp_replace(text, "\r$", "")))  # a row a file
+    parts = with_at(cut.select(*RANGE, F.explode(F.split("value", OTHER_ENDS)).alias("value")))
+    lines = numbered(parts, "line", by_file=True).withColumn("v", F.try_parse_json("value"))
+    kind = F.when(F.trim("value") == "", "blank-line").when(F.col("v").isNull(), "broken-json").when(~F.col("value").rlike(r"^\s*\{"), "not-object").when(F.col("value").contains("\ufffd"), "replacement-char")
     found = lines.withColumn("kind", kind)
-    broken = found.where("kind is not null").select(*violation(name, F.col("line"), F.lit(None), F.col("kind"), F.substring("value", 1, 80)))
-    return found.where("kind is null or kind = 'replacement-char'").select("line", "value"), files.unionByName(broken)
+    broken = found.where("kind is not null").select("file", *violation(name, F.col("line"), F.lit(None), F.col("kind"), F.substring("value", 1, 80)))
+    return found.where("kind is null or kind = 'replacement-char'").select("file", "line", "value"), files.unionByName(broken)
