@@ -5,13 +5,14 @@ has, with their numbers of occurrences; these postings, without texts, are writt
 shared folder. A term's impact in a document is its part of the score. For each term
 the greatest and the kth greatest impact over all documents are stored. At least k
 documents reach the kth impact of any one term of an item, so the greatest of
-these is a threshold that the item's kth score can't be below. An item's terms stand in
-descending order of their greatest impacts; from where the sum of the greatest impacts of a
-term and all after it (the suffix bound) falls below the threshold, a document with none
+these is a threshold that the item's kth score can't be below. The documents stored for the
+item's SEEDS terms of the greatest kth impacts are scored exactly, and the kth of these scores
+is a better threshold. An item's terms stand in descending order of their greatest impacts; from where the sum of the greatest impacts of a
+term and all after it (the suffix bound) is a tenth of the threshold, a document with none
 but these terms can't be among the best, and they need not be joined. The join of
-the other, essential terms with the postings gives candidates with partial scores. The
-kth partial score is a second, higher threshold; candidates whose partial score and
-suffix bound together stay below it go. The rest are scored exactly over all terms.
+the other, essential terms with the postings gives candidates with partial scores;
+those whose partial score and suffix bound together stay below the threshold go, and so do those
+below the kth partial score. The rest are scored exactly over all terms.
 
 Whatever an item or a term holds, all bounds are safe, so results are those of scoring every
 document. Terms are broadcast only where there are at most BROADCAST_TERMS of them, and
@@ -40,6 +41,11 @@ from lexiflow.llm.common import bounds_of, discard, materialise, release, text_o
 
 #: Terms, or pairs of item and term, that may be broadcast.
 BROADCAST_TERMS = 1_000_000
+#: Terms of an item whose stored documents seed its threshold.
+SEEDS = 4
+#: The terms that need not be joined may make up so much of an item's threshold: the less, the
+#: more of a document's score is known before it is scored exactly.
+SLACK = 0.1
 #: Bytes of a text that are split into terms at a time.
 PIECE = 1 << 20
 #: A-Z to a-z, digits and bytes of other characters as they are, all else to spaces.
@@ -92,6 +98,12 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return materialise(df.withColumn(name, F.monotonically_increasing_id()))
 
 
+def unfolded(read: DataFrame, name: str, *more: str) -> DataFrame:
+    """A row for each term of a document."""
+    each = read.select(*more, "doc", "n", F.explode(F.arrays_zip("terms", "counts")).alias("p"))
+    return each.select(*more, "doc", "n", F.col("p.terms").alias(name), F.col("p.counts").alias("tf"))
+
+
 def impact(documents: int, terms: int, weight: str = "w", occurrences: str = "tf", size: str = "n") -> Column:
     """A term's part of the score of a document of `size` terms, in whole numbers."""
     m = F.expr(f"50 + (50 * {size} * {documents}L) div {terms}L")
@@ -108,11 +120,10 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50, doc_id: str = "doc_id
     if small:  # so is what comes to the driver here
         known = {r["term"].encode(): r["tid"] for r in vocabulary.toLocalIterator()}
         read = numbered(count_terms(docs, doc_id, text_col, known), "doc")
-        postings = read.select("doc", "n", F.explode(F.arrays_zip("terms", "counts")).alias("p")).select("doc", "n", F.col("p.terms").alias("tid"), F.col("p.counts").alias("tf"))
+        postings, together = unfolded(read, "tid"), unfolded(read.repartition("doc"), "tid")
     else:
         read = numbered(count_terms(docs, doc_id, text_col), "doc")
-        every = read.select("doc", "n", F.explode(F.arrays_zip("terms", "counts")).alias("p")).select("doc", "n", F.col("p.terms").alias("term"), F.col("p.counts").alias("tf"))
-        postings = materialise(every.join(vocabulary, "term").select("doc", "n", "tid", "tf"))
+        postings = together = materialise(unfolded(read, "term").join(vocabulary, "term").select("doc", "n", "tid", "tf"))
     n_docs, n_terms = read.where("n > 0").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     if not n_docs:
         return docs.sparkSession.createDataFrame([], StructType([items.schema[item_id], *_parse_datatype_string("rank int").fields, docs.schema[doc_id], *_parse_datatype_string("score bigint").fields]))
@@ -120,35 +131,43 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50, doc_id: str = "doc_id
     weights = materialise(postings.groupBy("tid").agg(F.count("*").alias("df")).select("tid", w.alias("w")))
     scored = postings.join(bounded(weights), "tid").select("doc", "tid", impact(n_docs, n_terms).alias("impact"))
 
-    # thresholds and suffix bounds of each item
-    best = Window.partitionBy("tid").orderBy(F.desc("impact"))
-    stored = scored.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k)
-    stored = stored.groupBy("tid").agg(F.max("impact").alias("most"), F.max(F.when(F.col("r") == k, F.col("impact"))).alias("kth"))
-    own = pairs.join(bounded(vocabulary), "term").select("item", "tid").join(bounded(stored), "tid")
+    def exact(kept: DataFrame) -> DataFrame:
+        """(item, doc, id, score) of pairs of item and document, over all terms of the item."""
+        if small:
+            full = unfolded(read.join(kept, "doc"), "tid", "item", "id")
+        else:
+            full = postings.join(kept, "doc").join(read.select("doc", "id"), "doc")
+        return full.join(bounded(terms), ["item", "tid"]).groupBy("item", "doc", "id").agg(F.sum(impact(n_docs, n_terms)).alias("score"))
+
+    def kth_of(pairs: DataFrame, score: str) -> DataFrame:
+        """(item, floor): the kth score of each item that has so many."""
+        place = F.row_number().over(Window.partitionBy("item").orderBy(F.desc(score)))
+        return pairs.withColumn("r", place).where(F.col("r") == k).select("item", F.col(score).alias("floor"))
+
+    # stored impacts of each term, and thresholds of each item
+    best = Window.partitionBy("tid").orderBy(F.desc("impact"), "doc")
+    stored = materialise(scored.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k))
+    kth = stored.groupBy("tid").agg(F.max("impact").alias("most"), F.max(F.when(F.col("r") == k, F.col("impact"))).alias("kth"))
+    own = materialise(pairs.join(bounded(vocabulary), "term").select("item", "tid").join(bounded(kth), "tid"))
+    terms = own.select("item", "tid").join(bounded(weights), "tid")
+    seeding = own.withColumn("s", F.row_number().over(Window.partitionBy("item").orderBy(F.desc_nulls_last("kth"), "tid"))).where(F.col("s") <= SEEDS)
+    seeds = stored.join(bounded(seeding.select("item", "tid")), "tid").select("item", "doc").distinct()
+    floors = materialise(kth_of(exact(seeds), "score"))
+
+    # suffix bounds, and candidates by the essential terms
     item, after = Window.partitionBy("item"), Window.partitionBy("item").orderBy(F.desc("most"), "tid").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    ordered = own.withColumn("floor", F.coalesce(F.max("kth").over(item), F.lit(0))).withColumn("suffix", F.sum("most").over(after))
-    needed = F.col("suffix") >= F.col("floor")
+    seeded = own.join(bounded(floors), "item", "left").withColumn("floor", F.greatest(F.coalesce("floor", F.lit(0)), F.coalesce(F.max("kth").over(item), F.lit(0))))
+    ordered = seeded.withColumn("suffix", F.sum("most").over(after))
+    needed = F.col("suffix") >= F.col("floor") * SLACK
     rest = F.coalesce(F.max(F.when(~needed, F.col("suffix"))).over(item), F.lit(0))
-    ordered = materialise(ordered.withColumn("rest", rest).select("item", "tid", "floor", "rest", needed.alias("essential")))
-
-    # candidates by the essential terms, then those that can still be among the best
-    essential = ordered.where("essential").drop("essential")
-    met = scored.join(bounded(essential), "tid").groupBy("item", "doc").agg(F.sum("impact").alias("partial"), F.first("rest").alias("rest"), F.first("floor").alias("floor"))
+    essential = materialise(ordered.withColumn("rest", rest).where(needed).select("item", "tid", "floor", "rest"))
+    met = together.join(bounded(weights), "tid").select("doc", "tid", impact(n_docs, n_terms).alias("impact")).join(bounded(essential), "tid").groupBy("item", "doc").agg(F.sum("impact").alias("partial"), F.first("rest").alias("rest"), F.first("floor").alias("floor"))
     candidates = materialise(met.where("partial + rest >= floor").drop("floor"))
-    top = Window.partitionBy("item").orderBy(F.desc("partial"))
-    floors = candidates.withColumn("r", F.row_number().over(top)).where(F.col("r") == k).select("item", F.col("partial").alias("floor"))
-    kept = candidates.join(bounded(floors), "item", "left").where("floor is null or partial + rest >= floor").select("item", "doc")
-
-    # exact scores over all terms
-    terms = ordered.select("item", "tid").join(bounded(weights), "tid")
-    if small:
-        texts = read.join(kept, "doc").select("item", "doc", "id", "n", F.explode(F.arrays_zip("terms", "counts")).alias("p"))
-        full = texts.select("item", "doc", "id", "n", F.col("p.terms").alias("tid"), F.col("p.counts").alias("tf"))
-    else:
-        full = postings.join(kept, "doc").join(read.select("doc", "id"), "doc")
-    exact = full.join(bounded(terms), ["item", "tid"]).groupBy("item", "doc", "id").agg(F.sum(impact(n_docs, n_terms)).alias("score")).where("score > 0")
+    kept = candidates.join(bounded(kth_of(candidates, "partial")), "item", "left").where("floor is null or partial + rest >= floor").select("item", "doc")
+
+    # the best by exact scores
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("id"), "doc"))
-    ranked = exact.withColumn("rank", rank).where(F.col("rank") <= k)
+    ranked = exact(kept).where("score > 0").withColumn("rank", rank).where(F.col("rank") <= k)
     found = materialise(ranked.join(asked.select("item", "key"), "item").select(F.col("key").alias(item_id), F.col("rank").cast("int").alias("rank"), F.col("id").alias(doc_id), "score"))
-    discard(asked, vocabulary, read, postings, weights, ordered, candidates)
+    discard(asked, vocabulary, read, postings, weights, stored, own, floors, essential, candidates)
     return found
