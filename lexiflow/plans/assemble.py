@@ -15,9 +15,8 @@ class AssembleError(ValueError):
 
 def filled_senses(base: DataFrame, glosses: DataFrame, repaired: DataFrame, overrides: DataFrame) -> DataFrame:
     """(id, n, s, used): every sense with its text. A text goes in only where there is
-    none, of several for one sense the last (by `ord` if the texts have it, else as they
-    are read); an override goes over any text but not over a missing one."""
-    marked = last_texts(glosses, "ord" if "ord" in glosses.columns else None).join(repaired.select("id", "sense").distinct().withColumn("fixed", F.lit(True)), ["id", "sense"], "left")
+    none, of several for one sense the one written last; an override goes over any text but not over a missing one."""
+    marked = last_texts(glosses).join(repaired.select("id", "sense").distinct().withColumn("fixed", F.lit(True)), ["id", "sense"], "left")
     senses = base.select("id", "word", "pinyin", F.posexplode("senses").alias("p", "s")).withColumn("sense", F.col("p") + 1)
     own = overrides.withColumnRenamed("ja", "override")
     met = senses.join(marked.withColumnRenamed("ja", "gloss"), ["id", "sense"], "left").join(own, ["word", "pinyin", "sense"], "left")

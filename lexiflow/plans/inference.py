@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import english_tokens, first_failure, json_from_reply, normalised
@@ -22,6 +22,7 @@ from lexiflow.operators.chunking import budget_chunks
 from lexiflow.operators.ordering import last_value_per_key
 from lexiflow.operators.patches import identity
 from lexiflow.operators.rules import tokens_of
+from lexiflow.schemas import GLOSS
 
 #: Seconds to wait before each further try of a call.
 WAITS = (30, 60, 120, 240, 480, 600, 600, 600)
@@ -164,8 +165,8 @@ ANSWERS = "struct<glosses: array<map<string, string>>>"
 
 
 def accept_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted (id, sense, ja), counts (status, n)): of each reply what its call asked
-    for, the first of repeated answers; other answers are counted as rejected. A reply
+    """(accepted (id, sense, ja, shard, chunk, place), counts (status, n)): of each reply what
+    its call asked for, the first of repeated answers; other answers are counted as rejected. A reply
     that is no JSON, or has an answer without one of its keys, is bad as a whole and its
     chunk stays pending."""
     asked = replies.select("shard", "chunk", F.explode(F.from_json("payload", ITEM)).alias("i")).select("shard", "chunk", F.col("i.id").alias("id"), F.explode(F.map_keys("i.s")).alias("sense")).select("shard", "chunk", "id", F.col("sense").cast("int").alias("sense"))
@@ -181,7 +182,7 @@ def accept_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     status = F.when(F.col("asked").isNotNull() & (F.col("r") == 1), "accepted").otherwise("rejected")
     bad = read.where("not whole").groupBy(F.when(F.col("error").isNull(), "bad reply").otherwise("no reply").alias("status")).agg(F.count("*").alias("n"))
     counts = ranked.groupBy(status.alias("status")).agg(F.count("*").alias("n")).unionByName(bad)
-    return ranked.where(status == "accepted").select("id", "sense", "ja"), counts
+    return ranked.where(status == "accepted").select("id", "sense", "ja", "shard", "chunk", F.col("at").alias("place")), counts
 
 
 def finished(base: DataFrame, glosses: DataFrame) -> DataFrame:
@@ -191,10 +192,37 @@ def finished(base: DataFrame, glosses: DataFrame) -> DataFrame:
     return wanted.select("id").distinct().join(open_, "id", "left_anti")
 
 
+#: Where an answer stands in a log: the pass that wrote it, and its place there.
+WRITTEN = "pass bigint, shard bigint, chunk int, place int"
+
+
 def last_texts(glosses: DataFrame, order: str | None = None) -> DataFrame:
-    """(id, sense, ja): of repeated answers the last, in the column `order`, else as read."""
-    at = F.col(order) if order else F.monotonically_increasing_id()
-    return last_value_per_key(glosses.select("id", "sense", "ja", at.alias("__at")), ["id", "sense"], ["ja"], "__at", only_known=False)
+    """(id, sense, ja): of repeated answers the one written last, by the column `order`, or
+    else by those of WRITTEN and the line in the log, as far as they are there. Where
+    nothing tells which it is, different texts for one sense stop the job."""
+    names = [order] if order else [c for c in ("pass", "shard", "chunk", "place", "ord", "written") if c in glosses.columns]
+    if names:
+        return last_value_per_key(glosses.select("id", "sense", "ja", F.struct(*names).alias("__at")), ["id", "sense"], ["ja"], "__at", only_known=False)
+    stop = F.raise_error(F.concat(F.lit("texts of one sense without an order: "), F.col("id"))).cast("string")
+    found = glosses.groupBy("id", "sense").agg(F.count_distinct("ja").alias("n"), F.max("ja").alias("ja"))
+    return found.select("id", "sense", F.when(F.col("n") > 1, stop).otherwise(F.col("ja")).alias("ja"))
+
+
+def log_texts(spark: SparkSession, logs: list[str]) -> DataFrame:
+    """(id, sense, ja) that logs hold now: of each sense the text written last, unless it has been
+    taken back, which a line without a text says."""
+    from lexiflow.sources.scans import log_rows
+
+    rows, _ = log_rows(spark, logs, f"{GLOSS}, {WRITTEN}")
+    return last_texts(rows).where("ja is not null")
+
+
+def next_pass(spark: SparkSession, log: str) -> int:
+    """The number of the pass that writes to the log now."""
+    from lexiflow.sources.scans import log_rows
+
+    last = log_rows(spark, [log], f"{GLOSS}, {WRITTEN}")[0].agg(F.max("pass")).first()[0]
+    return 1 if last is None else last + 1
 
 
 def merge_glosses(base: DataFrame, glosses: DataFrame, order: str | None = None) -> DataFrame:
@@ -255,9 +283,8 @@ def run(
     at most `max_calls` calls, and appends what is accepted. While the backend's limit
     is reached a call waits and is made again. A token budget is shared by the shards."""
     from lexiflow.session import discard, materialise
-    from lexiflow.sources.scans import log_rows
 
-    held, _ = log_rows(base.sparkSession, [log])
+    held, number = log_texts(base.sparkSession, [log]), next_pass(base.sparkSession, log)
     rest = base.join(finished(base, held), "id", "left_anti")
     if limit is not None:
         rest = rest.where(F.size(pending_numbers(F.col("senses"))) > 0).orderBy("ord").limit(limit)
@@ -267,7 +294,7 @@ def run(
     tokens = None if token_budget is None else -(-token_budget // shards)
     replies = materialise(call_backend(calls, retrying(backend, tuple(waits), sleep), system, rules, tokens))
     taken, counts = accept_replies(replies)
-    fresh = taken.join(held.select("id", "sense").distinct(), ["id", "sense"], "left_anti")
+    fresh = taken.join(held.select("id", "sense"), ["id", "sense"], "left_anti").withColumn("pass", F.lit(number))
     fresh.write.mode("append").json(log)
     out = {r["status"]: r["n"] for r in counts.collect()}
     discard(replies)
@@ -286,12 +313,10 @@ def supervise(base: DataFrame, backend: Backend, log: str, restarts: Iterable[in
     """Runs passes until every pending sense has a text; how many it took. A pass that adds
     nothing is followed by a wait, one that adds something begins the waits anew; when
     they are used up the run has stalled."""
-    from lexiflow.sources.scans import log_rows
-
     waits, passes, added = list(restarts), 0, 0
     wanted = base.where(F.size(pending_numbers(F.col("senses"))) > 0).select("id")
     while True:
-        held, _ = log_rows(base.sparkSession, [log])
+        held = log_texts(base.sparkSession, [log])
         if wanted.join(finished(base, held), "id", "left_anti").isEmpty():
             return passes
         if passes and not added:
@@ -309,18 +334,19 @@ REPAIR_RULES = "An earlier text broke a rule: no words of the source language, n
 
 
 def repair(base: DataFrame, backend: Backend, log: str, allowed_latin: list[str] = (), **options) -> dict[str, int]:
-    """Takes texts that break a rule out of the log, records their senses beside it
-    (`<log>.repaired`) and asks for them again. Without any, nothing is asked."""
+    """Takes back texts that break a rule, by lines without a text that are appended to the log,
+    records their senses beside it (`<log>.repaired`) and asks for them again. Nothing that is
+    written is changed, so a run that stops anywhere is continued by another one. Without
+    such texts nothing is asked."""
     from lexiflow.session import discard, materialise
-    from lexiflow.sources.scans import log_rows
 
-    held, _ = log_rows(base.sparkSession, [log])
-    kept, dropped = (materialise(df) for df in drop_invalid(held, allowed_latin, base))
+    number = next_pass(base.sparkSession, log)
+    dropped = materialise(drop_invalid(log_texts(base.sparkSession, [log]), allowed_latin, base)[1].select("id", "sense"))
     n = dropped.count()
     if n:
-        dropped.select("id", "sense").write.mode("append").json(f"{log}.repaired")
-        kept.write.mode("overwrite").json(log)
-    discard(kept, dropped)
+        dropped.write.mode("append").json(f"{log}.repaired")
+        dropped.withColumn("pass", F.lit(number)).write.mode("append").json(log)
+    discard(dropped)
     return {"repaired": n} | (run(base, backend, log, rules=REPAIR_RULES, **options) if n else {})
 
 

@@ -27,7 +27,7 @@ from lexiflow.session import working_folder
 from lexiflow.sinks import artifacts as A
 from lexiflow.sinks import store as ST
 from lexiflow.sources.raw_deflate import container_sizes, read_container, write_ordered
-from lexiflow.sources.scans import check_declared, forensic_lines, frequencies, hsk_seed, ids, log_rows, repaired, strict_records, text_lines
+from lexiflow.sources.scans import check_declared, forensic_lines, frequencies, hsk_seed, ids, log_rows, reference_counts, repaired, strict_records, text_lines
 from lexiflow.streaming.resume import append_once, follow_log
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -713,8 +713,25 @@ def inference_run(spark: SparkSession, d: str) -> DataFrame:
     return senses.select(F.col("ord").alias("user_id"), (F.col("p") + 1).alias("sense"), F.col("s.ja").alias("ja"))
 
 
+@query(f"""WITH {BASE_SQL} SELECT user_id, CAST(n AS INTEGER) AS sense, CASE WHEN event_id % 20 = 0 THEN 'third' WHEN event_id % 4 = 0 THEN 'second' ELSE 'first' END AS ja FROM o WHERE NOT event_id % 12 = 0 OR event_id % 20 = 0""")
+def log_last_wins(spark: SparkSession, d: str) -> DataFrame:
+    """A log of three passes in files of unequal size: of repeated texts the one written last
+    holds, whatever order the files are read in; some are taken back (J12, J31, S16)."""
+    base, log = event_base(spark, d), f"{working_folder(spark, 'log')}/log"
+    number = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
+    rows = read(spark, d, "events", "user_id", "event_id").withColumn("sense", number).withColumn("id", F.concat(F.lit("u"), "user_id")).where("event_id % 2 = 0")
+    keys = ["id", "sense", F.pmod("event_id", F.lit(3)).alias("shard"), F.col("sense").alias("chunk")]
+    passes = [(1, "first", rows, 3), (2, "second", rows.where("event_id % 4 = 0"), 1), (3, "third", rows.where("event_id % 20 = 0"), 2)]
+    for n, text, own, files in reversed(passes):  # later passes first, so the order of files says nothing
+        own.select(*keys, F.lit(text).alias("ja"), F.lit(n).alias("pass")).repartition(files).write.mode("append").json(log)
+    rows.where("event_id % 12 = 0").select(*keys, F.lit(2).alias("pass"), F.lit(1).alias("place")).write.mode("append").json(log)
+    merged = I.merge_glosses(base, I.log_texts(spark, [log]))
+    senses = merged.select("ord", F.posexplode("senses").alias("p", "s")).where("s.ja <> '済' and s.ja <> ''")
+    return senses.select(F.col("ord").alias("user_id"), (F.col("p") + 1).alias("sense"), F.col("s.ja").alias("ja"))
+
+
 def read_log(spark: SparkSession, log: str) -> DataFrame:
-    return spark.read.schema(S.GLOSS).json(log)
+    return I.log_texts(spark, [log])
 
 
 @query(f"""WITH {BASE_SQL}, t AS (SELECT user_id, n, CASE event_id % 6 WHEN 0 THEN '語' WHEN 2 THEN event_type ELSE 'odd' END AS ja FROM o WHERE event_id % 10 <> 0), w AS (SELECT DISTINCT user_id, unnest(regexp_extract_all(lower(event_type), '[a-z]+')) AS token FROM b),
@@ -1081,33 +1098,52 @@ UNION ALL SELECT 'frequency', p_brand, CAST(max_by(p_size, p_partkey) AS INTEGER
 def seed_scans(spark: SparkSession, d: str) -> DataFrame:
     """A seed in one JSON document and a table of frequencies with odd lines; the last value
     of a word holds (S10, S11, A10)."""
-    folder, parts = local_folder(spark), read(spark, d, "part", "p_partkey", "p_brand", "p_size").orderBy("p_partkey")
+    place, parts = working_folder(spark, "seeds"), read(spark, d, "part", "p_partkey", "p_brand", "p_size")
     level = F.when(F.col("p_size") <= 6, F.col("p_size"))
-    entries = A.streamed(parts, "p_partkey", F.to_json(F.struct(F.col("p_brand").alias("word"), F.lit("p").alias("pinyin"), F.lit("n, unknown,n").alias("pos"), F.struct(level.alias("2.0")).alias("hsk_levels"))))
-    A.write_lines(folder / "seed.json", chain(['{"metadata": {"version": "1"}, "entries": ['], (f"{',' if n else ''}{e}" for n, e in enumerate(entries)), ["]}"]))
-    A.write_lines(folder / "words.txt", chain(["odd line", "alone"], A.streamed(parts, "p_partkey", F.concat_ws(" ", "p_brand", F.col("p_size").cast("string"), F.lit("n")))))
+    entry = F.to_json(F.struct(F.col("p_brand").alias("word"), F.lit("p").alias("pinyin"), F.lit("n, unknown,n").alias("pos"), F.struct(level.alias("2.0")).alias("hsk_levels")))
+    write_document(parts.select(F.col("p_partkey").alias("ord"), entry.alias("value")), f"{place}/seed", '{"metadata": {"version": "1"}, "entries": [', "]}")
+    parts.repartitionByRange("p_partkey").sortWithinPartitions("p_partkey").select(F.concat(F.lit("odd line\nalone\n"), F.concat_ws(" ", "p_brand", F.col("p_size").cast("string"), F.lit("n")))).write.text(f"{place}/words")
     first = parts.groupBy("p_brand").agg(F.min("p_partkey").alias("first_at"))
-    seed = hsk_seed(spark, f"file://{folder / 'seed.json'}").where(F.array_join("pos", ",") == "n")
+    seed = hsk_seed(spark, f"{place}/seed").where(F.array_join("pos", ",") == "n")
     both = seed.join(first, seed.word == first.p_brand).select(F.lit("seed").alias("source"), "word", F.col("hsk2").alias("level"), "first_at")
-    freq = frequencies(text_lines(spark, f"file://{folder / 'words.txt'}")).where("word <> 'odd'")
+    freq = frequencies(text_lines(spark, f"{place}/words")).where("word <> 'odd'")
     return both.unionByName(freq.select(F.lit("frequency").alias("source"), "word", F.col("freq").cast("int").alias("level"), F.lit(None).cast("bigint").alias("first_at")))
 
 
-@query("""SELECT kind, n FROM (SELECT 'bom' AS kind, 1 AS n UNION ALL SELECT 'crlf', 1 UNION ALL SELECT 'no-final-newline', 1 UNION ALL SELECT 'rows', count(*) FILTER (event_id % 5 <> 4 AND event_id % 5 <> 3 AND event_id % 5 <> 2) FROM events
-UNION ALL SELECT 'blank-line', count(*) FILTER (event_id % 5 = 4) FROM events UNION ALL SELECT 'broken-json', count(*) FILTER (event_id % 5 = 3) FROM events UNION ALL SELECT 'not-object', count(*) FILTER (event_id % 5 = 2) FROM events UNION ALL SELECT 'replacement-char', count(*) FILTER (event_id % 5 = 1) FROM events)""")
+def write_document(rows: DataFrame, place: str, head: str, tail: str) -> None:
+    """Rows (ord, value) as one JSON document in files by name, written by as many tasks."""
+    ends = rows.agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
+    text = F.concat(F.when(F.col("ord") == F.col("first"), head).otherwise(","), "value", F.when(F.col("ord") == F.col("last"), tail).otherwise(""))
+    rows.join(F.broadcast(ends)).repartitionByRange("ord").sortWithinPartitions("ord").select(text.alias("value")).write.text(place)  # one row is broadcast
+
+
+@query("""WITH s AS (SELECT l_partkey, l_orderkey, CAST(sum(CAST(l_quantity AS BIGINT) % 4) AS BIGINT) AS n FROM lineitem GROUP BY ALL)
+SELECT 'p' || l_partkey AS title, max(n) AS definitions FROM s GROUP BY l_partkey""")
+def reference_definitions(spark: SparkSession, d: str) -> DataFrame:
+    """The greatest number of definitions of each title, from one JSON array that ranges of its bytes are read of."""
+    lines, place = read(spark, d, "lineitem", "l_partkey", "l_orderkey", "l_quantity"), working_folder(spark, "reference")
+    texts = F.transform(F.slice(F.array(*(F.lit(t) for t in ("n", "v,]", 'q"\\"'))), F.lit(1), (F.col("l_quantity") % 4).cast("int")), lambda t: F.struct(t.alias("type"), F.lit("[{,").alias("def")))
+    entries = lines.groupBy("l_partkey", "l_orderkey").agg(F.collect_list(F.struct(texts.alias("definitions"))).alias("heteronyms"))
+    value = F.to_json(F.struct(F.concat(F.lit("p"), "l_partkey").alias("title"), "heteronyms"))
+    write_document(O.global_ordinal(entries.select(value.alias("value"), "l_partkey", "l_orderkey"), "l_partkey", "l_orderkey", name="ord").select("ord", "value"), place, "[", "]")
+    return reference_counts(spark, place).withColumn("definitions", F.col("definitions").cast("bigint"))
+
+
+@query("""WITH e AS (SELECT event_type, event_id % 5 AS r, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS line FROM events)
+SELECT event_type, CASE r WHEN 4 THEN 'blank-line' WHEN 3 THEN 'broken-json' WHEN 2 THEN 'not-object' WHEN 1 THEN 'replacement-char' ELSE 'row' END AS kind, count(*) AS n, CAST(sum(line) AS BIGINT) AS lines FROM e GROUP BY ALL
+UNION ALL SELECT event_type, kind, 1, NULL FROM (SELECT DISTINCT event_type FROM events), (VALUES ('bom'), ('crlf')) k(kind)""")
 def forensic_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Faults of a file's bytes and lines (S05, section 2.13)."""
-    path = local_folder(spark) / "raw.jsonl"
+    """Faults of the bytes and lines of files that ranges are read of, with the numbers of the lines (S05, section 2.13)."""
+    place = working_folder(spark, "raw")
     forms = ['{"word": "{n}"}', '{"word": "\ufffd{n}"}', "[{n}]", "{broken {n}", " "]
-    lines = read(spark, d, "events", "event_id").select("event_id", F.replace(sample_of("event_id", forms), F.lit("{n}"), F.col("event_id").cast("string")).alias("value"))
-    with path.open("wb") as file:
-        file.write(b"\xef\xbb\xbf")
-        for n, line in enumerate(A.streamed(lines, "event_id", F.col("value"))):
-            file.write(b"\r\n" * (n > 0) + line.encode())
-        file.write(b'\r\n{"word": "end"}')
-    rows, found = forensic_lines(spark, f"file://{path}", "raw")
-    counted = rows.where(F.get_json_object("value", "$.word") != "end").agg(F.count("*").alias("n")).select(F.lit("rows").alias("kind"), "n")
-    return found.groupBy("kind").agg(F.count("*").alias("n")).unionByName(counted)
+    lines = read(spark, d, "events", "event_id", "event_type").withColumn("value", F.replace(sample_of("event_id", forms), F.lit("{n}"), F.col("event_id").cast("string")))
+    heads = lines.groupBy("event_type").agg(F.min("event_id").alias("event_id"), F.lit("\ufeff").alias("mark"))
+    marked = lines.join(heads, ["event_type", "event_id"], "left").withColumn("value", F.concat(F.coalesce("mark", F.lit("")), "value"))
+    marked.repartition("event_type").sortWithinPartitions("event_type", "event_id").select("event_type", "value").write.partitionBy("event_type").option("lineSep", "\r\n").text(place)
+    rows, found = forensic_lines(spark, place, "raw")
+    plain = rows.where(~F.col("value").contains("\ufffd")).select("file", F.lit("row").alias("kind"), "line")
+    every = found.select("file", "kind", "line").unionByName(plain)
+    return every.groupBy(F.regexp_extract("file", "event_type=([^/]*)/", 1).alias("event_type"), "kind").agg(F.count("*").alias("n"), F.sum("line").alias("lines"))
 
 
 @query("""SELECT 'entries' AS what, CAST(count(DISTINCT o_custkey) AS BIGINT) AS n FROM orders UNION ALL SELECT 'senses', count(*) FROM orders UNION ALL SELECT 'skeleton', count(DISTINCT o_custkey) FROM orders UNION ALL SELECT 'supplement', 0

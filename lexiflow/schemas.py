@@ -11,7 +11,8 @@ BASE = f"id string, word string, trad string, pinyin string, tw_pr string, also_
 NATIVE = f"word string, trad string, pinyin string, tw_pr string, also_pr string, cl array<{CL}>, hsk2 int, hsk3 int, pos array<string>, src string, seed string, moe string, primary int, default boolean, senses array<{SENSE}>, ord bigint"
 GLOSS = "id string, sense int, ja string"
 LEGACY = "ord bigint, word string, pinyin string, gloss array<string>, qa string, unsure boolean, trad array<string>, hsk2 int, hsk3 int, pos array<string>"
-HSK_FILE = "metadata struct<version: string>, entries array<struct<word: string, pinyin: string, pos: string, hsk_levels: struct<`2.0`: int, `3.0`: int>>>"
+HSK_ENTRY = "word string, pinyin string, pos string, hsk_levels struct<`2.0`: int, `3.0`: int>"
+REFERENCE_ENTRY = "title string, heteronyms array<struct<definitions: array<struct<type: string>>>>"
 PRIMARY_RECORD = "word string, trad string, pinyin string, sense int, ja string"
 DEFAULT_RECORD = "word string, trad string, pinyin string"
 POS_RECORD = "word string, trad string, pinyin string, add array<string>, reason string"

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import SPACE, trimmed
-from lexiflow.schemas import GLOSS, HSK_FILE, LEGACY
+from lexiflow.schemas import GLOSS, HSK_ENTRY, LEGACY, REFERENCE_ENTRY
+from lexiflow.sources.json_array import strict_elements
 from lexiflow.sources.ranges import RANGE, numbered, records, with_at
 
 
@@ -50,29 +51,28 @@ def legacy_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def hsk_seed(spark: SparkSession, path: str) -> DataFrame:
-    """(word, hsk2, hsk3, pos, pinyin, ord): levels by word. A word that is given again
-    keeps its first place and takes the last values."""
-    rows = spark.read.schema(HSK_FILE).option("multiLine", True).json(path).select(F.posexplode("entries").alias("ord", "e"))
+    """(word, hsk2, hsk3, pos, pinyin, ord): levels by word, from the entries of one JSON
+    document. A word that is given again keeps its first place and takes the last values."""
+    rows = strict_elements(spark, path, HSK_ENTRY, "entries")
     codes = F.filter(F.array_distinct(F.transform(F.split("e.pos", ","), trimmed)), lambda c: (c != "") & (c != "unknown"))
     value = F.struct(F.col("e.hsk_levels.`2.0`").alias("hsk2"), F.col("e.hsk_levels.`3.0`").alias("hsk3"), F.when(F.size(codes) > 0, codes).alias("pos"), F.coalesce("e.pinyin", F.lit("")).alias("pinyin"))
     return rows.groupBy(F.col("e.word").alias("word")).agg(F.max_by(value, "ord").alias("v"), F.min("ord").alias("ord")).select("word", "v.*", "ord")
 
 
+def reference_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(title, definitions): of an external dictionary, one JSON array, only the greatest number
+    of definitions of each title; the schema prunes the texts away."""
+    rows = strict_elements(spark, path, REFERENCE_ENTRY).select("e.*")
+    total = F.aggregate(F.transform("heteronyms", lambda h: F.coalesce(F.size(h["definitions"]), F.lit(0))), F.lit(0), lambda a, b: a + b)
+    return rows.groupBy("title").agg(F.max(F.coalesce(total, F.lit(0))).alias("definitions"))
+
+
 def frequencies(lines: DataFrame) -> DataFrame:
     """(word, freq) of lines `word number tag`; other lines are skipped, the last wins."""
     parts = lines.select("ord", F.split(trimmed(F.col("value")), f"{SPACE}+").alias("p")).where((F.size("p") >= 2) & F.rlike(F.get("p", F.lit(1)), F.lit(r"^\p{Nd}+$")))
     return parts.groupBy(F.get("p", F.lit(0)).alias("word")).agg(F.max_by(F.get("p", F.lit(1)).cast("bigint"), "ord").alias("freq"))
 
 
-def reference_counts(spark: SparkSession, path: str) -> DataFrame:
-    """(title, definitions): of an external dictionary only the greatest number of
-    definitions of each title; the schema prunes the texts away."""
-    schema = "title string, heteronyms array<struct<definitions: array<struct<type: string>>>>"
-    rows = spark.read.schema(schema).option("multiLine", True).json(path)
-    total = F.aggregate(F.transform("heteronyms", lambda h: F.coalesce(F.size(h["definitions"]), F.lit(0))), F.lit(0), lambda a, b: a + b)
-    return rows.groupBy("title").agg(F.max(F.coalesce(total, F.lit(0))).alias("definitions"))
-
-
 def overrides(lines: DataFrame) -> DataFrame:
     """(word, pinyin, sense, ja) of tab-separated lines; a line of fewer than four
     columns stops the job; the last wins."""

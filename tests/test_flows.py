@@ -115,7 +115,7 @@ def test_texts_that_break_a_rule_are_asked_again(spark, base, tmp_path):  # noqa
     from lexiflow.sources import scans
 
     assert sorted(tuple(r) for r in scans.repaired(spark, [f"{log}.repaired", str(tmp_path / "absent")]).collect()) == [("c1", 2), ("c2", 1)]
-    now = {(r["id"], r["sense"]): r["ja"] for r in read_log(spark, log).collect()}
+    now = {(r["id"], r["sense"]): r["ja"] for r in I.log_texts(spark, [log]).collect()}
     assert now["c1", 2] == "訳邮局2" and now["elsewhere", 1] == "plain" and not asked
     assert I.prompt_of("", "[]") == "[]"
 
@@ -126,7 +126,7 @@ def test_answers_nobody_asked_for_are_rejected(spark):
     half = json.dumps({"glosses": [{"id": "c1", "sense": 1, "ja": "庚"}, {"id": "c1", "ja": "辛"}]})
     df = spark.createDataFrame([(0, 0, ask, f"text {reply} text", None), (0, 1, ask, "nothing", None), (0, 2, ask, half, None), (0, 3, ask, '{"glosses": 3}', None)], "shard bigint, chunk int, payload string, reply string, error string")
     taken, counts = I.accept_replies(df)
-    assert [tuple(r) for r in taken.collect()] == [("c1", 1, "甲、乙")]
+    assert [tuple(r) for r in taken.collect()] == [("c1", 1, "甲、乙", 0, 0, 0)]
     assert {r["status"]: r["n"] for r in counts.collect()} == {"accepted": 1, "rejected": 4, "bad reply": 3}
 
 
@@ -139,6 +139,41 @@ def test_merging_takes_the_last_text_and_stops_on_numbers_out_of_range(spark, ba
             I.merge_glosses(base, rows.withColumn("sense", F.lit(number))).collect()
 
 
+def test_the_last_text_is_the_one_written_last(spark, base, tmp_path):  # noqa: F811
+    """Spark reads large files first; what was written later is in the smaller one, or the larger."""
+    for later in ("small", "large"):
+        folder, n = tmp_path / later, {"small": 1, "large": 200}
+        folder.mkdir()
+        for number, size in ((1, "large" if later == "small" else "small"), (2, later)):
+            filler = "".join(f'{{"id": "f{number}-{k}", "sense": 1, "ja": "詰"}}\n' for k in range(n[size]))
+            (folder / f"{'ab'[number % 2]}.json").write_text(f'{{"id": "c1", "sense": 1, "ja": "{number}", "pass": {number}}}\n{filler}', encoding="utf-8")
+        assert I.merge_glosses(base, I.log_texts(spark, [str(folder)])).where("id = 'c1'").first()["senses"][0]["ja"] == "2"
+    for n, ja in (("1.json", "一"), ("2.json", "二")):  # without passes: the order of the logs given, then of the lines
+        (tmp_path / n).write_text(f'{{"id": "c1", "sense": 1, "ja": "{ja}"}}\n{{"id": "c1", "sense": 1, "ja": "{ja}々"}}\n', encoding="utf-8")
+    for logs, ja in ((["1.json", "2.json"], "二々"), (["2.json", "1.json"], "一々")):
+        assert I.log_texts(spark, [str(tmp_path / n) for n in logs]).first()["ja"] == ja
+    unordered = spark.createDataFrame([("c1", 1, "一"), ("c1", 1, "二")], "id string, sense int, ja string")
+    with pytest.raises(Exception, match="without an order"):
+        I.last_texts(unordered).collect()
+
+
+def test_a_repair_that_stops_loses_no_text(spark, base, tmp_path):  # noqa: F811
+    log = str(tmp_path / "log")
+    spark.createDataFrame([("c1", 1, "郵便局", 1), ("c1", 2, "mail", 1)], "id string, sense int, ja string, pass int").write.json(log)
+
+    def stopped(*_, **__):
+        raise RuntimeError("stopped")
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(I, "run", stopped)
+        with pytest.raises(RuntimeError):
+            I.repair(base, I.FakeBackend(), log)
+    texts = lambda: {(r["id"], r["sense"]): r["ja"] for r in I.log_texts(spark, [log]).where("id = 'c1'").collect()}
+    assert texts() == {("c1", 1): "郵便局"}
+    I.run(base, I.FakeBackend(), log)
+    assert texts() == {("c1", 1): "郵便局", ("c1", 2): "訳邮局2"}
+
+
 def test_usage_counts_whole_numbers(spark):
     calls = spark.createDataFrame([('{"calls": 1, "cached": true, "seconds": 1.5}',), ('{"calls": 2, "extra": 4}',), (None,)], "usage string")
     assert sorted(tuple(r) for r in I.usage_totals(calls).collect()) == [("calls", 3, 3, 1.0), ("extra", 3, 4, 4 / 3)]
