@@ -11,21 +11,32 @@ from lexiflow.sources import scans
 
 
 @pytest.fixture
-def small_ranges(spark):
-    spark.conf.set("spark.sql.files.maxPartitionBytes", 110)
-    spark.conf.set("spark.sql.files.openCostInBytes", 0)
-    yield
+def ranges_of(spark, monkeypatch):
+    """Ranges of so many bytes, for the documents alone: what steps write is kept as rows."""
+
+    def kept(df):
+        found = spark.createDataFrame(df.collect(), df.schema)
+        found._written_to = None
+        return found
+
+    def ask(size):
+        monkeypatch.setattr(J, "materialise", kept)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+
+    yield ask
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 @pytest.fixture
-def bytes_apart(spark):
-    spark.conf.set("spark.sql.files.maxPartitionBytes", 3)
-    spark.conf.set("spark.sql.files.openCostInBytes", 0)
-    yield
-    spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    spark.conf.unset("spark.sql.files.openCostInBytes")
+def small_ranges(ranges_of):
+    ranges_of(110)
+
+
+@pytest.fixture
+def bytes_apart(ranges_of):
+    ranges_of(3)
 
 
 def value(rng, depth=0):
@@ -75,7 +86,7 @@ def test_faults_have_their_place(spark, tmp_path, bytes_apart, data, detail, off
 
 def test_a_fault_stops_strict_readers(spark, tmp_path):
     (tmp_path / "x.json").write_text("[1, 2")
-    with pytest.raises(ValueError, match="byte 6: cut off"):
+    with pytest.raises(ValueError, match="byte 5: cut off"):
         J.strict_elements(spark, str(tmp_path / "x.json"), "a int")
 
 
