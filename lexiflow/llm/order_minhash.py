@@ -19,7 +19,7 @@ row's next row is itself. An empty table gives an empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiflow.llm.common import let, text_of
@@ -112,42 +112,32 @@ def next_key() -> Column:
     return F.struct(F.col("id").isNotNull().alias("known"), F.coalesce("id", F.lit(0)).cast("bigint").alias("i"), F.col("digest"))
 
 
-def groups_of(keys: DataFrame, most: int) -> tuple[Column, list]:
-    """(the number of the group of `key`, [(number, first key) of each group with rows]):
-    at most `most` groups of neighbours, about equal, by bounds from a sample of about
-    SAMPLED rows a group. What reaches the driver is bounded by `most`."""
-    n = keys.count()
-    found = [r["key"] for r in keys.sample(min(1.0, SAMPLED * most / max(n, 1)), seed=11).sort("key").collect()]
-    bounds = sorted({found[len(found) * k // most] for k in range(1, most)}) if found else []
-    group = F.lit(0)
-    if bounds:
-        every = F.array(*map(literal, bounds))
-        jumps = F.array(*(F.lit(1 << bit) for bit in reversed(range(len(bounds).bit_length()))))
-        # how many bounds are not above the key, by halving
-        group = F.aggregate(jumps, F.lit(0), lambda n, jump: F.when((n + jump <= len(bounds)) & (F.get(every, n + jump - 1) <= F.col("key")), n + jump).otherwise(n))
-    firsts = keys.groupBy(group.alias("g")).agg(F.min("key").alias("key")).sort("g").collect()
-    return group, [(r["g"], r["key"]) for r in firsts]
-
-
-def literal(key: Row) -> Column:
-    return F.struct(*(F.lit(v).alias(n) for n, v in key.asDict().items()))
+def bounds_of(keys: DataFrame, most: int) -> Column:
+    """The first keys of at most `most` groups of neighbours, about equal, in ascending order, as
+    a subquery: the least key and some of about SAMPLED keys a group. Its size in the plan
+    does not depend on `most`; what stands in one task is bounded by it."""
+    share = min(1.0, SAMPLED * most / max(keys.count(), 1))
+    sampled = keys.sample(share, seed=11).unionByName(keys.agg(F.min("key").alias("key"))).agg(F.array_sort(F.collect_list("key")).alias("s"))
+    picked = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda k: F.get("s", F.floor(F.size("s").cast("bigint") * k / most).cast("int")))
+    return sampled.select(F.array_distinct(picked)).scalar()
 
 
 def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Adds next_<column>: the value in the row that follows by id, for the last row the
     first's. Needs columns id and digest (of the text). Sampled bounds deal the rows to
     groups of neighbours, whatever the ids are like; each row goes to its group, and the
-    first of a group to the one before too, so all meet in a single exchange."""
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    group, firsts = groups_of(rows.select(next_key().alias("key")), GROUPS * partitions)
-    keyed = rows.withColumn("key", next_key()).withColumn("g", group)
-    own = F.array(F.struct(F.col("g").alias("to"), F.lit(False).alias("sent")))
-    if firsts:
-        before = [g for g, _ in (firsts[-1:] + firsts[:-1])]
-        sent = {g: F.struct(literal(k).alias("key"), F.lit(p).alias("to")) for (g, k), p in zip(firsts, before)}
-        first = F.get(F.array(*(sent.get(g, F.lit(None)) for g in range(firsts[-1][0] + 1))), F.col("g"))
-        own = F.when(first["key"] == F.col("key"), F.concat(own, F.array(F.struct(first["to"].alias("to"), F.lit(True).alias("sent"))))).otherwise(own)
-    dealt = keyed.select(*rows.columns, "key", F.explode(own).alias("d")).select(*rows.columns, "key", "d.*")
+    first of a group to the one before too, so all meet in a single exchange. Every bound is
+    the key of a row, the first of its group."""
+    most = GROUPS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = bounds_of(rows.select(next_key().alias("key")), most)
+    dealt = rows.withColumn("key", next_key()).withColumn("g", F.lit(0))
+    for bit in reversed(range(most.bit_length())):  # the last bound that is not above the key, by halving
+        further = F.col("g") + (1 << bit)
+        dealt = dealt.withColumn("g", F.when(F.get(bounds, further) <= F.col("key"), further).otherwise(F.col("g")))
+    own = F.struct(F.col("g").alias("to"), F.lit(False).alias("sent"))
+    before = F.when(F.col("g") > 0, F.col("g") - 1).otherwise(F.size(bounds) - 1)
+    both = F.when(F.get(bounds, F.col("g")) == F.col("key"), F.array(own, F.struct(before.alias("to"), F.lit(True).alias("sent")))).otherwise(F.array(own))
+    dealt = dealt.select(*rows.columns, "key", F.explode(both).alias("d")).select(*rows.columns, "key", "d.*")
     in_group = Window.partitionBy("to").orderBy("sent", "key")
     return dealt.select(*rows.columns, "sent", *(F.lead(c).over(in_group).alias(f"next_{c}") for c in columns)).where("not sent").drop("sent")
 
