@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections.abc import Callable
@@ -26,7 +27,7 @@ from lexiflow.plans import inference as I
 from lexiflow.session import working_folder
 from lexiflow.sinks import artifacts as A
 from lexiflow.sinks import store as ST
-from lexiflow.sources.raw_deflate import container_sizes, read_container, write_ordered
+from lexiflow.sources.raw_deflate import read_segments, segment_sizes, write_segments
 from lexiflow.sources.scans import check_declared, forensic_lines, frequencies, hsk_seed, ids, log_rows, reference_counts, repaired, strict_records, text_lines
 from lexiflow.streaming.resume import append_once, follow_log
 
@@ -1032,13 +1033,32 @@ def stream_resume(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT event_id, user_id, event_type FROM events")
 def raw_deflate_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """All events written to a container in order and read from it."""
-    events, path = read(spark, d, "events", "event_id", "user_id", "event_type"), str(local_folder(spark) / "events.deflate")
+    """All events compressed in order by many tasks and read by as many."""
+    events, place = read(spark, d, "events", "event_id", "user_id", "event_type"), working_folder(spark, "container")
     lines = A.json_line(events.withColumn("ord", F.col("event_id")), ["event_id", "user_id", "event_type"])
-    sizes = write_ordered(lines, path, "ord")
-    if container_sizes(path) != sizes:
+    write_segments(lines, place, "ord")
+    if segment_sizes(spark, place).expanded != lines.agg(F.sum(F.octet_length("value") + 1)).first()[0]:
         raise ValueError("the container is not of the size that was written")
-    return read_container(spark, path).select(F.from_json("value", "event_id bigint, user_id bigint, event_type string").alias("r")).select("r.*")
+    return read_segments(spark, place).select(F.from_json("value", "event_id bigint, user_id bigint, event_type string").alias("r")).select("r.*")
+
+
+@query("""SELECT CASE WHEN s = 2 THEN 'lost' ELSE 'read' END AS what, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, min(line) AS first_line, max(line) AS last_line
+FROM (SELECT event_id, event_id % 4 AS s, row_number() OVER (ORDER BY event_id % 4, event_id) AS line FROM events) GROUP BY 1""")
+def container_damage(spark: SparkSession, d: str) -> DataFrame:
+    """A container in four parts, the segments of one of them damaged: their places are told, the others are read."""
+    events, place = read(spark, d, "events", "event_id").withColumn("s", F.col("event_id") % 4), working_folder(spark, "container")
+    for s in range(4):
+        own = events.where(F.col("s") == s).select("event_id", F.col("event_id").alias("ord"))
+        write_segments(A.json_line(own, ["event_id"]), f"{place}/{s}", "ord", segment_bytes=1 << 16)
+    every = functools.reduce(DataFrame.unionByName, [spark.read.parquet(f"{place}/{s}").withColumn("part", F.lit(s << 20) + F.col("part")) for s in range(4)])
+    torn = F.when(F.shiftright("part", 20) == 2, F.concat(F.expr("substring(content, 1, cast(bytes / 2 as int))"), F.unhex(F.lit("FFFF")))).otherwise(F.col("content"))
+    every.withColumn("content", torn).write.parquet(f"{place}/torn")
+    lines = read_segments(spark, f"{place}/torn", permissive=True)
+    told = F.regexp_extract("error", "lines ([0-9]+) to ([0-9]+):", 1).cast("bigint"), F.regexp_extract("error", "lines ([0-9]+) to ([0-9]+):", 2).cast("bigint")
+    lost = lines.where("error is not null").agg(F.min(told[0]).alias("first_line"), F.max(told[1]).alias("last_line")).join(events.where("s = 2").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")))
+    held = lines.where("error is null").select("ord", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"))
+    kept = held.agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.min("ord").alias("first_line"), F.max("ord").alias("last_line"))
+    return kept.select(F.lit("read").alias("what"), "n", "ids", "first_line", "last_line").unionByName(lost.select(F.lit("lost").alias("what"), "n", "ids", "first_line", "last_line"))
 
 
 @query("SELECT sha256(text) AS digest, count(*) AS n, min(doc_id) AS first_doc FROM documents GROUP BY 1")
