@@ -1,4 +1,4 @@
-"""Ordinals, samples, shards, chunks and budgets over ordered rows."""
+"""Ordinals, samples, shards and orders of rows."""
 
 from __future__ import annotations
 
@@ -23,12 +23,6 @@ def global_ordinal(df: DataFrame, *order: Column | str, name: str = "ordinal") -
     return placed.withColumn("__part", part).join(F.broadcast(starts), "__part").withColumn(name, within + F.col("__start")).drop("__at", "__part", "__start")
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The first row of each key in a total order."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
-
-
 def repeats_with_first(df: DataFrame, keys: list[str], order: str, first: str = "first_line") -> DataFrame:
     """Rows that repeat a key, with the `order` value of the key's first row."""
     window = Window.partitionBy(*keys)
@@ -87,21 +81,6 @@ def ranked_first(df: DataFrame, ranks: DataFrame, key: str, then: str) -> DataFr
     return global_ordinal(joined, "__unranked", "rank", then, name="position").drop("__unranked")
 
 
-def token_budget(df: DataFrame, group: list[str], order: list[str], cost: str, budget: float) -> DataFrame:
-    """Rows that still start within the budget: what came before them is below it."""
-    before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("spent_before", F.coalesce(F.sum(cost).over(before), F.lit(0))).where(F.col("spent_before") < budget)
-
-
-def stalled(df: DataFrame, group: list[str], time: str, value: str, seconds: int) -> DataFrame:
-    """Adds `stalled`: whether the value has not grown since the newest sample of the
-    group that is at least so many seconds old."""
-    old = Window.partitionBy(*group).orderBy(F.col("__s")).rangeBetween(Window.unboundedPreceding, -seconds)
-    timed = df.withColumn("__s", F.unix_timestamp(F.col(time).cast("timestamp")))
-    earlier = timed.withColumn("__old", F.last(value).over(old))
-    return earlier.withColumn("stalled", F.coalesce(F.col(value) <= F.col("__old"), F.lit(False))).drop("__s", "__old")
-
-
 def progress(done: Column, total: Column, seconds: Column) -> dict[str, Column]:
     """Percent done, rate a minute, and minutes left (null without progress)."""
     rate = F.when((seconds > 0) & (done > 0), done * 60.0 / seconds)

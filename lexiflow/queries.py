@@ -20,6 +20,7 @@ from lexiflow.operators import matching as M
 from lexiflow.operators import ordering as O
 from lexiflow.operators import patches as P
 from lexiflow.operators import rules as R
+from lexiflow.operators import running as N
 from lexiflow.operators.source_lines import parse_lines
 from lexiflow.plans import assemble as Z
 from lexiflow.plans import build as B
@@ -468,12 +469,10 @@ def pilot_plan(spark: SparkSession, d: str) -> DataFrame:
 m AS (SELECT *, max(s) OVER (PARTITION BY user_id, s) AS x FROM e), o AS (SELECT a.event_id, a.user_id, a.v, (SELECT arg_max(b.v, (b.s, b.v, b.event_id)) FROM e b WHERE b.user_id = a.user_id AND b.s <= a.s - 3600) AS old FROM e a)
 SELECT event_id, user_id, coalesce(v <= old, false) AS stalled FROM o""")
 def stall_detect(spark: SparkSession, d: str) -> DataFrame:
-    """No growth against the newest sample of an hour ago or more."""
+    """No growth against the newest sample of an hour ago or more; of samples in one second the largest counts."""
     events = read(spark, d, "events", "event_id", "user_id", "ts", "value").withColumn("v", cents("value"))
-    seconds = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
-    newest = Window.partitionBy("user_id").orderBy("s").rangeBetween(Window.unboundedPreceding, -3600)
-    rows = events.withColumn("s", seconds).withColumn("old", F.max(F.struct("s", "v", "event_id")).over(newest)["v"])
-    return rows.select("event_id", "user_id", F.coalesce(F.col("v") <= F.col("old"), F.lit(False)).alias("stalled"))
+    timed = events.withColumn("s", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000))
+    return N.stalled(timed, ["user_id"], "s", "v", 3600, ["v", "event_id"]).select("event_id", "user_id", "stalled")
 
 
 @query("""WITH c AS (SELECT event_id, user_id, CAST(coalesce(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS spent_before FROM events)
@@ -481,7 +480,16 @@ SELECT event_id, user_id, spent_before FROM c WHERE spent_before < 20000""")
 def token_budget(spark: SparkSession, d: str) -> DataFrame:
     """Rows that start within a budget."""
     events = read(spark, d, "events", "event_id", "user_id", "value").withColumn("cost", cents("value"))
-    return O.token_budget(events, ["user_id"], ["event_id"], "cost", 20000).select("event_id", "user_id", "spent_before")
+    return N.token_budget(events, ["user_id"], ["event_id"], "cost", 20000).select("event_id", "user_id", "spent_before")
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, spent_before FROM (SELECT *, CAST(coalesce(sum(CAST(l_quantity AS BIGINT)) OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS spent_before FROM lineitem)
+WHERE spent_before < 400000""")
+def token_budget_hot(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that start within a budget of all rows together: one group, many tasks."""
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    done = N.token_budget(read(spark, d, "lineitem", *order), [], order, "l_quantity", 400000)
+    return done.select("l_orderkey", "l_linenumber", "l_partkey", "spent_before")
 
 
 @query("""WITH f AS (SELECT l_partkey, count(*) AS freq FROM lineitem GROUP BY 1), p AS (SELECT (CASE WHEN p_size % 2 = 0 THEN 'c' ELSE 'x' END) || p_partkey AS id, p_size % 5 = 0 AS has_level, coalesce(freq, 0) AS freq FROM part LEFT JOIN f ON l_partkey = p_partkey)
