@@ -70,13 +70,6 @@ def divided(df: DataFrame, key: str, item: str, wanted: DataFrame) -> DataFrame:
     return held.join(F.broadcast(total), F.col("__n") == F.col("__all")).select(key)
 
 
-def positional_difference(left: DataFrame, right: DataFrame, ordinal: str, columns: list[str]) -> DataFrame:
-    """Places at which two ordered streams differ, or only one has a row."""
-    l = left.select(ordinal, F.struct(*columns).alias("l"))
-    r = right.select(ordinal, F.struct(*columns).alias("r"))
-    return l.join(r, ordinal, "full_outer").where(~F.col("l").eqNullSafe(F.col("r")))
-
-
 def accepted(received: DataFrame, requested: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """What was requested, and of repeated answers the first."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -16,6 +16,7 @@ from lexiflow import schemas as S
 from lexiflow.functions import text as T
 from lexiflow.operators import chunking as K
 from lexiflow.operators import common_format as C
+from lexiflow.operators import differences as D
 from lexiflow.operators import matching as M
 from lexiflow.operators import ordering as O
 from lexiflow.operators import patches as P
@@ -324,7 +325,17 @@ def positional_full_outer(spark: SparkSession, d: str) -> DataFrame:
     """Where two ordered streams differ, or one has ended."""
     orders = read(spark, d, "orders", "o_orderkey", "o_orderdate")
     a, b = O.global_ordinal(orders, "o_orderdate", "o_orderkey"), O.global_ordinal(orders.where("o_orderkey % 50 <> 0"), "o_orderkey")
-    return M.positional_difference(a, b, "ordinal", ["o_orderkey"]).select("ordinal", F.col("l.o_orderkey").alias("left_key"), F.col("r.o_orderkey").alias("right_key"))
+    return D.positional_difference(a, b, "ordinal", ["o_orderkey"]).select("ordinal", F.col("l.o_orderkey").alias("left_key"), F.col("r.o_orderkey").alias("right_key"))
+
+
+@query("""SELECT 'removed' AS change, ordinal, key FROM (SELECT o_orderkey AS key, row_number() OVER (ORDER BY o_orderkey) AS ordinal FROM orders) WHERE key % 997 = 5
+UNION ALL SELECT 'inserted', ordinal, key FROM (SELECT key, row_number() OVER (ORDER BY abs(key), key) AS ordinal FROM (SELECT o_orderkey AS key FROM orders WHERE o_orderkey % 997 <> 5 UNION ALL SELECT -o_orderkey FROM orders WHERE o_orderkey % 1009 = 7)) WHERE key < 0""")
+def inserted_rows(spark: SparkSession, d: str) -> DataFrame:
+    """What was inserted into an ordered table and removed from it, though places move."""
+    keys = read(spark, d, "orders", "o_orderkey").select(F.col("o_orderkey").alias("key"))
+    new = keys.where("key % 997 <> 5").unionByName(keys.where("key % 1009 = 7").select((-F.col("key")).alias("key")))
+    before, after = O.global_ordinal(keys, "key"), O.global_ordinal(new, F.abs("key"), "key")
+    return D.row_changes(before, after, "ordinal", ["key"], 64).select("change", "ordinal", "key")
 
 
 @query("""WITH o AS (SELECT o_custkey, CAST(count(*) AS BIGINT) AS k, count(*) FILTER (o_orderstatus IN ('O', 'F')) AS by_model FROM orders GROUP BY 1)
