@@ -206,7 +206,7 @@ def address(value: str, feistel: Feistel) -> str | None:
 
 def phone(value: str, feistel: Feistel) -> str:
     digits = digits_of(value)
-    if len(digits) == 10 or len(digits) == 11 and value.startswith("+1"):
+    if len(digits) == 10 and "+" not in value or len(digits) == 11 and value.startswith("+1"):  # behind a plus stands a country
         code, local = digits[:-10], digits[-10:]
         regular = lambda d: d[0] > 1 and d[3] > 1
         if regular(local):
