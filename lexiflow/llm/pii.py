@@ -60,7 +60,7 @@ FORMATS = re.compile(
     |(?P<date>(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w-]|\.\d))
     |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
     |(?P<address>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))
-    |(?P<phone>(?<![\w+])(?:\+1[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\w))
+    |(?P<phone>(?<![\w+])(?:\+1[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]\d)?(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\w))
     |(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?!\w|-(?!\d)))""",
     re.X,
 )
