@@ -11,7 +11,8 @@ the filters in FILTERS; nothing else can be reached from a template.
 Defined cases: null texts and roles are empty; the turns of a conversation are
 ordered by turn (null first), then role and text, and repeated rows are turns of
 their own; rows with a null conversation form one conversation; an empty table
-gives an empty table. A task holds one conversation at a time.
+gives an empty table. A task holds one conversation at a time; very long texts are
+formatted and read back whole, in memory of a few copies of one turn.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ TURN_END, TURN_START = "</turn>", "###"
 CONTROL = re.compile(r"\\|###|</turn>")
 ROLE_CONTROL = re.compile(r"\\|###|</turn>|:")
 ESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
-TURN = re.compile(r"### ((?:[^\\:]|\\.)*): ((?:[^\\<]|\\.|<(?!/turn>))*)</turn>\n", re.S)
+#: An escaped sign, or what ends a role or a text.
+STOPS = {end: re.compile(r"\\.|" + re.escape(end), re.S) for end in (":", TURN_END)}
 
 CHAT_TEMPLATE = (
     "{% for m in messages %}### {{ m.role | escape_role }}: "
@@ -388,17 +390,21 @@ def format_conversations(df: DataFrame, template: str = CHAT_TEMPLATE, conv_col:
     return rows.mapInArrow(run, f"`{conv_col}` {conv_type}, formatted string, spans array<struct<start: bigint, end: bigint>>")
 
 
-def read_turns(formatted: str) -> list[tuple[str, str]]:
-    """(role, text) of each turn of a conversation in the chat template."""
-    turns, at = [], 0
-    for m in TURN.finditer(formatted):
-        if m.start() != at:
-            break
-        turns.append((unescape(m[1]), unescape(m[2])))
-        at = m.end()
-    if at != len(formatted):
-        raise ValueError(f"no turn at {at}: {formatted[at:at + 40]!r}")
-    return turns
+def read_turns(formatted: str) -> Iterator[tuple[str, str]]:
+    """(role, text) of each turn of a conversation in the chat template, one at a time."""
+
+    def until(start: int, end: str) -> int:
+        return next((m.start() for m in STOPS[end].finditer(formatted, start) if m[0] == end), -1)
+
+    at = 0
+    while at < len(formatted):
+        role = at + len(TURN_START) + 1
+        colon = until(role, ":") if formatted.startswith(f"{TURN_START} ", at) else -1
+        end = until(colon + 2, TURN_END) if colon >= 0 and formatted.startswith(": ", colon) else -1
+        if end < 0 or not formatted.startswith(f"{TURN_END}\n", end):
+            raise ValueError(f"no turn at {at}: {formatted[at:at + 40]!r}")
+        yield unescape(formatted[role:colon]), unescape(formatted[colon + 2 : end])
+        at = end + len(TURN_END) + 1
 
 
 def read_back(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
@@ -411,14 +417,14 @@ def read_back(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
 
         for row in rows:
             spans, _, text = row.partition("\n")
-            turns = read_turns(text)
-            loss = "".join(unescape(text[a:b]) for a, b in json.loads(spans))
-            yield (
-                len(turns),
-                hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(),
-                len(loss),
-                hashlib.sha256(loss.encode()).hexdigest(),
-                len(text),
-            )
+            n, turns, chars, loss = 0, hashlib.sha256(), 0, hashlib.sha256()
+            for role, said in read_turns(text):
+                n += 1
+                turns.update(f"{role}\n{said}\n".encode())
+            for a, b in json.loads(spans):
+                said = unescape(text[a:b])
+                chars += len(said)
+                loss.update(said.encode())
+            yield n, turns.hexdigest(), chars, loss.hexdigest(), len(text)
 
     return map_texts(packed, conv_col, "packed", "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint", lambda: work)

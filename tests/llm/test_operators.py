@@ -330,7 +330,7 @@ def test_templates():
 def test_escapes_are_reversible(text):
     assert chat.unescape(chat.escape(text)) == text and chat.unescape(chat.escape_role(text)) == text
     formatted, _ = chat.compile_template(chat.CHAT_TEMPLATE)({"messages": [{"role": text, "text": text}, {"role": "assistant", "text": text}]})
-    assert chat.read_turns(formatted) == [(text, text), ("assistant", text)]
+    assert list(chat.read_turns(formatted)) == [(text, text), ("assistant", text)]
 
 
 def test_conversations(spark):
