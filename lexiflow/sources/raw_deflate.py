@@ -192,10 +192,10 @@ def read_segments(spark: SparkSession, place: str, permissive: bool = False) ->
     return segments(spark, place).select(*columns).mapInArrow(run, RawDeflateSource.FIELDS)
 
 
-def join_segments(spark: SparkSession, place: str, path: str) -> Sizes:
-    """One file of all segments, with its index beside it (<path>.index). Only compressed bytes
-    pass through the driver, a segment at a time, as one file is written in one place. Both files appear whole
-    or not at all."""
+def join_segments(spark: SparkSession, place: str, path: str, indexed: bool = True) -> Sizes:
+    """One file of all segments, with its index beside it (<path>.index) if asked for. Only
+    compressed bytes pass through the driver, a segment at a time, as one file is written in
+    one place. Both files appear whole or not at all."""
     sizes, target, index = Sizes(0, 0), f"{path}.partial", f"{path}.index.partial"
     rows = segments(spark, place).orderBy("part", "seq").toLocalIterator(prefetchPartitions=True)
     try:
@@ -205,7 +205,8 @@ def join_segments(spark: SparkSession, place: str, path: str) -> Sizes:
                 sizes.expanded += r["expanded"]
                 places.write(json.dumps({k: r[k] for k in ("offset", "bytes", "first_line", "lines", "expanded", "crc")}) + "\n")
             sizes.compressed += file.write(END)
-        os.replace(index, f"{path}.index")
+        if indexed:
+            os.replace(index, f"{path}.index")
         os.replace(target, path)
     finally:
         for left in (target, index):
@@ -311,8 +312,8 @@ def read_container(spark: SparkSession, path: str, permissive: bool = False) ->
     return spark.read.format("raw_deflate").option("permissive", str(permissive).lower()).load(path)
 
 
-def write_ordered(df: DataFrame, path: str, order: str, value: str = "value") -> Sizes:
+def write_ordered(df: DataFrame, path: str, order: str, value: str = "value", indexed: bool = False) -> Sizes:
     """One artifact of the rows' lines in order, compressed by as many tasks as sort them."""
     place = working_folder(df.sparkSession, "segments")
     write_segments(df, place, order, value)
-    return join_segments(df.sparkSession, place, path)
+    return join_segments(df.sparkSession, place, path, indexed)
