@@ -1026,6 +1026,15 @@ def model_choice(spark: SparkSession, d: str) -> DataFrame:
     return I.accept_choices(choices, native)[0].select("word", "pinyin", "sense", "ja")
 
 
+@query("""WITH n AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r, (SELECT string_agg('{"ja":"s' || i || '"}', ',' ORDER BY i) FROM range(1, event_id % 3 + 2) t(i)) AS s, event_id % 3 + 1 AS k FROM events WHERE user_id % 3 = 0)
+SELECT 'u' || user_id AS word, min(event_id) AS at, '{"w":"u' || user_id || '","rows":[' || string_agg('{"r":' || r || ',"pinyin":"p' || event_id || '","s":[' || s || ']}', ',' ORDER BY event_id) || ']}' AS payload FROM n GROUP BY user_id HAVING count(*) > 1 OR max(k) > 1""")
+def choice_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """What is asked for words of a list that have several rows or senses."""
+    native, _ = event_choices(spark, d)
+    listed = read(spark, d, "events", "user_id").where("user_id % 3 = 0").select(F.concat(F.lit("u"), "user_id").alias("word"))
+    return I.choose_groups(native, listed).select("word", F.col("at").cast("bigint").alias("at"), "payload")
+
+
 @query(f"""WITH {CHOICES_SQL}, w AS (SELECT user_id FROM n WHERE k >= 2 AND NOT EXISTS (SELECT 1 FROM p WHERE p.r = 1 AND p.event_id = n.event_id AND p.event_id % 7 <> 0)
 UNION SELECT user_id FROM n GROUP BY user_id HAVING count(*) >= 2 AND user_id NOT IN (SELECT user_id FROM m WHERE d)) SELECT 'u' || user_id AS word FROM w""")
 def choice_resume(spark: SparkSession, d: str) -> DataFrame:
@@ -1072,8 +1081,8 @@ def container_damage(spark: SparkSession, d: str) -> DataFrame:
     torn = F.when(F.shiftright("part", 20) == 2, F.concat(F.expr("substring(content, 1, cast(bytes / 2 as int))"), F.unhex(F.lit("FFFF")))).otherwise(F.col("content"))
     every.withColumn("content", torn).write.parquet(f"{place}/torn")
     lines = read_segments(spark, f"{place}/torn", permissive=True)
-    told = F.regexp_extract("error", "lines ([0-9]+) to ([0-9]+):", 1).cast("bigint"), F.regexp_extract("error", "lines ([0-9]+) to ([0-9]+):", 2).cast("bigint")
-    lost = lines.where("error is not null").agg(F.min(told[0]).alias("first_line"), F.max(told[1]).alias("last_line")).join(events.where("s = 2").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")))
+    told = F.regexp_extract("detail", "lines ([0-9]+) to ([0-9]+):", 1).cast("bigint"), F.regexp_extract("detail", "lines ([0-9]+) to ([0-9]+):", 2).cast("bigint")
+    lost = R.archive_violations(lines).where("kind = 'broken-archive'").agg(F.min(told[0]).alias("first_line"), F.max(told[1]).alias("last_line")).join(events.where("s = 2").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")))
     held = lines.where("error is null").select("ord", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"))
     kept = held.agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.min("ord").alias("first_line"), F.max("ord").alias("last_line"))
     return kept.select(F.lit("read").alias("what"), "n", "ids", "first_line", "last_line").unionByName(lost.select(F.lit("lost").alias("what"), "n", "ids", "first_line", "last_line"))
