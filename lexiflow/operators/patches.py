@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiflow.operators.matching import append_missing, examples
+from lexiflow.session import discard, materialise, same_files
 
 
 class PatchError(ValueError):
@@ -24,19 +25,18 @@ def keyed(df: DataFrame) -> DataFrame:
 def primary_errors(rows: DataFrame, primary: DataFrame, default: DataFrame) -> DataFrame:
     """(label, key): records that name no row, another sense or another text, repeated
     records, and words of several rows of which none or several are the default."""
-    r = keyed(rows).select("__key", "senses")
+    r = materialise(keyed(rows).select("__key", F.transform("senses", lambda s: s["ja"]).alias("texts")))  # read several times
     p = keyed(primary)
-    met = p.join(r, "__key", "left")
-    found = F.get("senses", F.col("sense") - 1)
-    label = F.when(F.col("senses").isNull(), "no such row").when(~F.col("sense").between(1, F.size("senses")), "no such sense").when(~found["ja"].eqNullSafe(F.col("ja")), "another text")
+    met = p.join(r.withColumn("there", F.lit(True)), "__key", "left")
+    found = F.get("texts", F.col("sense") - 1)
+    label = F.when(F.col("there").isNull(), "no such row").when(~F.col("sense").between(1, F.size("texts")), "no such sense").when(~found.eqNullSafe(F.col("ja")), "another text")
     wrong = met.withColumn("label", label).where("label is not null").select("label", "__key")
     lost = keyed(default).join(r.select("__key"), "__key", "left_anti").select(F.lit("no such row").alias("label"), "__key")
     twice = p.groupBy("__key").count().where("count > 1").select(F.lit("repeated record").alias("label"), "__key")
-    need = rows.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").join(default.select("word").distinct(), "word", "left_anti")
+    need = r.groupBy(F.col("__key.word").alias("word")).agg(F.count("*").alias("n")).where("n > 1").join(default.select("word").distinct(), "word", "left_anti")
     bare = need.select(F.lit("no default").alias("label"), F.struct("word", F.lit("").alias("trad"), F.lit("").alias("pinyin")).alias("__key"))
-    several = rows.where(F.size("senses") >= 2)
-    no_primary = keyed(several).join(p.select("__key"), "__key", "left_anti").select(F.lit("no primary").alias("label"), "__key")
-    return wrong.unionByName(lost).unionByName(twice).unionByName(bare).unionByName(no_primary).withColumnRenamed("__key", "key")
+    no_primary = r.where(F.size("texts") >= 2).join(p.select("__key"), "__key", "left_anti").select(F.lit("no primary").alias("label"), "__key")
+    return same_files(wrong.unionByName(lost).unionByName(twice).unionByName(bare).unionByName(no_primary).withColumnRenamed("__key", "key"), r)
 
 
 def apply_primary(rows: DataFrame, primary: DataFrame, default: DataFrame) -> DataFrame:
@@ -44,6 +44,7 @@ def apply_primary(rows: DataFrame, primary: DataFrame, default: DataFrame) -> Da
     record for a row of one sense is checked but not written. Stops on any error."""
     errors = primary_errors(rows, primary, default)
     found = examples(errors.select("label", F.col("key.word").alias("word")), "label", "word").orderBy("label").collect()
+    discard(errors)
     if found:
         raise PatchError("; ".join(f"{r['label']}: {r['n']} ({r['examples']})" for r in found))
     p = keyed(primary).select("__key", F.col("sense").alias("__primary"))
