@@ -22,6 +22,7 @@ from lexiflow.operators import ordering as O
 from lexiflow.operators import patches as P
 from lexiflow.operators import rules as R
 from lexiflow.operators import running as N
+from lexiflow.operators import shared as V
 from lexiflow.operators.source_lines import parse_lines
 from lexiflow.plans import assemble as Z
 from lexiflow.plans import build as B
@@ -31,7 +32,7 @@ from lexiflow.sinks import artifacts as A
 from lexiflow.sinks import store as ST
 from lexiflow.sources.raw_deflate import read_segments, segment_sizes, write_segments
 from lexiflow.sources.scans import check_declared, forensic_lines, frequencies, hsk_seed, ids, log_rows, reference_counts, repaired, strict_records, text_lines
-from lexiflow.streaming.resume import append_once, follow_log
+from lexiflow.streaming.resume import append_once, follow_log, held
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -351,6 +352,33 @@ def shared_deref(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("ordinal", F.get("e.headwords", F.lit(0))["text"].alias("word"), whole(F.size("e.senses")).alias("n_senses"), whole(F.size(F.filter(methods, lambda m: m == "llm"))).alias("by_model"))
 
 
+SENSE_VALUES_SQL = """s AS (SELECT o_orderkey AS ord, CASE o_orderstatus WHEN 'O' THEN 'llm_ok' WHEN 'F' THEN 'llm_fixed' ELSE 'hand_fixed' END AS qa, '["' || o_orderpriority || '"]' AS glosses, o_custkey FROM orders),
+r AS (SELECT ord, '{"method":"' || CASE qa WHEN 'hand_fixed' THEN 'manual_override' ELSE 'llm' END || '","source":"own-dict","source_value":"' || qa || '"}' AS provenance, glosses FROM s WHERE o_custkey IN (SELECT c_custkey FROM customer)),
+v AS (SELECT kind, value, count(*) AS n, row_number() OVER (ORDER BY kind, value) AS id FROM (SELECT 'provenance' AS kind, provenance AS value FROM r UNION ALL SELECT 'glosses', glosses FROM r) GROUP BY kind, value)"""
+
+
+def sense_values(spark: SparkSession, d: str) -> DataFrame:
+    """The provenance and glosses of each translated sense of the common entries, as JSON."""
+    t = C.to_common(native_rows(spark, d)).select("ord", F.posexplode("senses").alias("at", "s"))
+    return t.select("ord", "at", F.to_json(F.get("s.translations", F.lit(0))["provenance"]).alias("provenance"), F.to_json("s.glosses.text").alias("glosses"))
+
+
+@query(f"WITH {SENSE_VALUES_SQL} SELECT id, kind, value, n FROM v")
+def shared_dictionary(spark: SparkSession, d: str) -> DataFrame:
+    """What recurs in the entries' senses, once under an id."""
+    return V.shared_values(sense_values(spark, d), ["provenance", "glosses"])
+
+
+@query(f"WITH {SENSE_VALUES_SQL} SELECT p.id AS provenance_id, g.id AS glosses_id, provenance, glosses, count(*) AS n FROM r JOIN v p ON p.kind = 'provenance' AND p.value = provenance JOIN v g ON g.kind = 'glosses' AND g.value = glosses GROUP BY ALL")
+def shared_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Senses with ids for what they share, and the values put back, their kinds checked."""
+    rows, kinds = sense_values(spark, d), ["provenance", "glosses"]
+    values = V.shared_values(rows, kinds)
+    coded = V.with_ids(rows, values, kinds)
+    kept = coded.select("*", *(F.col(k).alias(f"{k}_id") for k in kinds))
+    return V.with_values(kept, values, kinds).groupBy("provenance_id", "glosses_id", *kinds).agg(F.count("*").alias("n"))
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate) AS r FROM lineitem
 WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')) WHERE r = 1 AND l_linenumber <= 2""")
 def accept_requested(spark: SparkSession, d: str) -> DataFrame:
@@ -1055,7 +1083,24 @@ def stream_resume(spark: SparkSession, d: str) -> DataFrame:
         events.where(F.col("event_id") % 2 == part).repartition(2, "event_id").write.mode("append").json(f"{place}/log")
         stream = follow_log(spark, f"{place}/log", "event_id bigint, user_id bigint, event_type string")
         append_once(stream, ["user_id", "event_type"], ["event_id"], f"{place}/held", f"{place}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{place}/held").select("user_id", "event_type", F.col("event_id").alias("first_event"))
+    return held(spark, f"{place}/held").select("user_id", "event_type", F.col("event_id").alias("first_event"))
+
+
+@query("""WITH c AS (SELECT click_id, client_id, kind, CAST(floor(epoch(ts)) AS BIGINT) AS s, arrived_at >= TIMESTAMP '2024-03-15' AS later FROM clicks WHERE ts IS NOT NULL AND client_id IS NOT NULL AND kind IS NOT NULL AND click_id IS NOT NULL AND arrived_at IS NOT NULL),
+d AS (SELECT *, s - s % 86400 AS day_s FROM c), k AS (SELECT * FROM d WHERE NOT later OR day_s + 86400 > coalesce((SELECT max(s) FROM d WHERE NOT later) - 7200, 0))
+SELECT client_id, kind, day_s, arg_min(click_id, (later, s, click_id)) AS first_click FROM k GROUP BY client_id, kind, day_s""")
+def stream_days(spark: SparkSession, d: str) -> DataFrame:
+    """The first click of a kind of each client and day, out of a log that is read twice; days are
+    forgotten two hours after their end, and what comes for them later is dropped (R03, K10)."""
+    place = working_folder(spark, "stream")
+    whole_clicks = read(spark, d, "clicks", "click_id", "client_id", "kind", "ts", "arrived_at").dropna()
+    seconds = lambda c: F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c).cast("timestamp_ntz"))
+    clicks = whole_clicks.select("click_id", "client_id", "kind", seconds("ts").alias("at"), (seconds("arrived_at") >= 1710460800).alias("later"))
+    for later in (False, True):
+        clicks.where(F.col("later") == later).drop("later").write.mode("append").json(f"{place}/log")
+        stream = follow_log(spark, f"{place}/log", "click_id bigint, client_id bigint, kind string, at bigint").withColumn("time", F.timestamp_seconds("at"))
+        append_once(stream, ["client_id", "kind"], ["at", "click_id"], f"{place}/held", f"{place}/checkpoint", at="time", late="2 hours").awaitTermination()
+    return held(spark, f"{place}/held").select("client_id", "kind", (F.col("at") - F.col("at") % 86400).alias("day_s"), F.col("click_id").alias("first_click"))
 
 
 @query("SELECT event_id, user_id, event_type FROM events")

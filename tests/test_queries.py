@@ -7,7 +7,7 @@ import pytest
 from lexiflow.queries import ORACLES, QUERIES
 
 DATA = os.environ.get("TEST_DATA", "/root/testdata/sf0.001")
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks sales sale_lines clients client_changes vendors items stamps".split()
 duckdb = pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 
