@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import english_tokens, first_failure, json_from_reply, normalised
+from lexiflow.operators.changes import closure, only, state_of, step, touched
 from lexiflow.operators.chunking import budget_chunks
 from lexiflow.operators.ordering import last_value_per_key
 from lexiflow.operators.patches import identity
@@ -375,6 +376,36 @@ def pending_choices(native: DataFrame, primary: DataFrame, default: DataFrame) -
     return senses.unionByName(several.join(named.distinct(), "word", "left_anti")).distinct()
 
 
+def choice_state(native: DataFrame, primary: DataFrame, default: DataFrame) -> DataFrame:
+    """What the choices of each word depend on, as digests (see operators.changes)."""
+    return state_of(bearing_on_choices(native, primary, default), "word")
+
+
+def bearing_on_choices(native: DataFrame, primary: DataFrame, default: DataFrame) -> dict[str, DataFrame]:
+    texts = native.select("word", identity(native).alias("key"), F.transform("senses", lambda s: F.coalesce(s["ja"], F.lit(""))).alias("texts"))
+    return {"native": texts, "primary": primary.select("word", identity(primary).alias("key"), "sense", "ja"), "default": default.select("word", identity(default).alias("key"))}
+
+
+def pending_choices_again(native: DataFrame, primary: DataFrame, default: DataFrame, kept: DataFrame, kept_state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pending, state): pending_choices() by way of what it gave before and the state of then:
+    only words of which a row or a record has changed since are looked at again."""
+    tables = {"native": native, "primary": primary, "default": default}
+    return step(kept, kept_state, "word", tables, bearing_on_choices(**tables), lambda own: pending_choices(**own))
+
+
+def to_validate_again(base: DataFrame, glosses: DataFrame, base_before: DataFrame, kept_state: DataFrame) -> DataFrame:
+    """Entries to be looked at again after a change of entries or texts: all of a word of which
+    an entry is not what it was, as rules hold of all rows of a word. `kept_state` is that of
+    entry_state() before."""
+    ids = touched(kept_state, entry_state(base, glosses), "id")
+    return only(base, closure(ids, [base_before, base], "id", "word"), "word")
+
+
+def entry_state(base: DataFrame, glosses: DataFrame) -> DataFrame:
+    """Each entry and its texts, as digests by id."""
+    return state_of({"base": base, "glosses": glosses}, "id")
+
+
 def accept_choices(choices: DataFrame, native: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(primary records, default records) of choices (ord, word, row, sense, default): those
     whose word, row and sense exist, the first for each; others are dropped."""

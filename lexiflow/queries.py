@@ -27,7 +27,7 @@ from lexiflow.operators.source_lines import parse_lines
 from lexiflow.plans import assemble as Z
 from lexiflow.plans import build as B
 from lexiflow.plans import inference as I
-from lexiflow.session import working_folder
+from lexiflow.session import materialise, working_folder
 from lexiflow.sinks import artifacts as A
 from lexiflow.sinks import store as ST
 from lexiflow.sources.raw_deflate import read_segments, segment_sizes, write_segments
@@ -1073,6 +1073,43 @@ def choice_resume(spark: SparkSession, d: str) -> DataFrame:
     return I.pending_choices(native, primary.withColumn("ja", F.when(changed, "old").otherwise(F.col("ja"))), default)
 
 
+def changed_events(native: DataFrame, d: str) -> tuple[DataFrame, DataFrame]:
+    """Native rows before and after a change: some words come, rows go, texts differ."""
+    user, event = F.substring("word", 2, 20).cast("bigint"), F.col("ord")
+    before = native.where(user % 50 != 5)
+    other = F.transform("senses", lambda s: s.withField("ja", F.concat(s["ja"], F.lit("!"))))
+    after = native.where(~((user % 10 == 4) & (event % 13 == 5))).withColumn("senses", F.when((user % 10 == 3) & (event % 11 == 0), other).otherwise(F.col("senses")))
+    return before, after
+
+
+@query(f"""WITH {CHOICES_SQL}, a AS (SELECT * FROM n WHERE NOT (user_id % 10 = 4 AND event_id % 13 = 5)), s AS (SELECT event_id FROM p WHERE r = 1 AND user_id % 50 <> 5 AND NOT (user_id % 10 = 3 AND event_id % 11 = 0)),
+f AS (SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ord) AS q FROM m WHERE d AND user_id % 50 <> 5) WHERE q = 1),
+w AS (SELECT user_id FROM a WHERE k >= 2 AND event_id NOT IN (SELECT event_id FROM s) UNION SELECT user_id FROM a GROUP BY user_id HAVING count(*) >= 2 AND count(*) FILTER (event_id IN (SELECT event_id FROM f)) = 0) SELECT 'u' || user_id AS word FROM w""")
+def choices_again(spark: SparkSession, d: str) -> DataFrame:
+    """Words to ask about after a change, out of what was to be asked before it and the digests of
+    then; only words that the change touches are looked at (J33, R03)."""
+    native, choices = event_choices(spark, d)
+    before, after = changed_events(native, d)
+    primary, default = (materialise(df) for df in I.accept_choices(choices, before))
+    kept, state = materialise(I.pending_choices(before, primary, default)), materialise(I.choice_state(before, primary, default))
+    return I.pending_choices_again(after, primary, default, kept, state)[0]
+
+
+@query("""SELECT event_id AS ord, 'u' || user_id AS word FROM events WHERE NOT (user_id % 10 = 4 AND event_id % 13 = 5) AND user_id IN (SELECT user_id FROM events
+WHERE user_id % 50 = 5 OR (user_id % 10 = 4 AND event_id % 13 = 5) OR (user_id % 10 = 3 AND event_id % 11 = 0) OR (user_id % 10 = 6 AND event_id % 17 = 2))""")
+def entries_again(spark: SparkSession, d: str) -> DataFrame:
+    """Entries to validate again: all of words of which an entry or a text is new, changed or gone
+    (R03, R04)."""
+    native, _ = event_choices(spark, d)
+    before, after = (df.select("pinyin", "word", "senses", "ord").withColumnRenamed("pinyin", "id") for df in changed_events(native, d))
+    texts = before.select("id", F.lit(1).alias("sense"), F.lit("a").alias("ja"))
+    user, event = F.substring("word", 2, 20).cast("bigint"), F.substring("id", 2, 20).cast("bigint")
+    fixed = before.where((user % 10 == 6) & (event % 17 == 2)).select("id", F.lit(2).alias("sense"), F.lit("b").alias("ja"))
+    state = materialise(I.entry_state(before, texts))
+    still = texts.join(after.select("id"), "id", "left_semi")
+    return I.to_validate_again(after, still.unionByName(fixed), before, state).select("ord", "word")
+
+
 @query("SELECT user_id, event_type, coalesce(min(event_id) FILTER (event_id % 2 = 0), min(event_id)) AS first_event FROM events GROUP BY user_id, event_type")
 def stream_resume(spark: SparkSession, d: str) -> DataFrame:
     """An appended log followed by a stream that ends and goes on; of keys that come again, in
