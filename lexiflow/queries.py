@@ -29,6 +29,7 @@ from lexiflow.plans import build as B
 from lexiflow.plans import inference as I
 from lexiflow.session import materialise, working_folder
 from lexiflow.sinks import artifacts as A
+from lexiflow.sinks import parts as PT
 from lexiflow.sinks import store as ST
 from lexiflow.sources.raw_deflate import read_segments, segment_sizes, write_segments
 from lexiflow.sources.scans import check_declared, forensic_lines, frequencies, hsk_seed, ids, log_rows, reference_counts, repaired, strict_records, text_lines
@@ -1140,6 +1141,19 @@ def stream_days(spark: SparkSession, d: str) -> DataFrame:
     return held(spark, f"{place}/held").select("client_id", "kind", (F.col("at") - F.col("at") % 86400).alias("day_s"), F.col("click_id").alias("first_click"))
 
 
+@query("SELECT row_number() OVER (ORDER BY user_id, event_id) AS line, event_id, user_id, event_type FROM events")
+def dump_in_parts(spark: SparkSession, d: str) -> DataFrame:
+    """An ordered dump that many tasks write and digest, which takes the place of an earlier one
+    once its parts are found to be what the manifest says (K03, K05-K08, U06, C12)."""
+    events, place = read(spark, d, "events", "event_id", "user_id", "event_type"), working_folder(spark, "dump")
+    lines = A.json_line(events.withColumn("ord", F.struct("user_id", "event_id")), ["event_id", "user_id", "event_type"])
+    PT.publish(lines.where("ord.event_id % 3 = 0"), place)
+    PT.publish(lines, place, part_bytes=1 << 20)
+    if (wrong := PT.faults(spark, place).first()) is not None:
+        raise ValueError(f"{wrong.part}: {wrong.fault}")
+    return PT.lines_of(spark, place).select(F.col("ord").alias("line"), F.from_json("value", "event_id bigint, user_id bigint, event_type string").alias("r")).select("line", "r.*")
+
+
 @query("SELECT event_id, user_id, event_type FROM events")
 def raw_deflate_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """All events compressed in order by many tasks and read by as many."""
