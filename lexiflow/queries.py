@@ -68,6 +68,11 @@ def local_folder(spark: SparkSession) -> Path:
     return folder
 
 
+def seconds(column: str) -> Column:
+    """A time as whole seconds, the nearest, halves to even as SQL's cast of epoch() has it."""
+    return F.rint(F.unix_micros(F.col(column).cast("timestamp")) / F.lit(1e6)).cast("bigint")
+
+
 def cents(column: str) -> Column:
     """A sum of money as a whole number, so that sums do not depend on their order."""
     return F.round(F.col(column) * 100).cast("bigint")
@@ -511,8 +516,7 @@ SELECT event_id, user_id, coalesce(v <= old, false) AS stalled FROM o""")
 def stall_detect(spark: SparkSession, d: str) -> DataFrame:
     """No growth against the newest sample of an hour ago or more; of samples in one second the largest counts."""
     events = read(spark, d, "events", "event_id", "user_id", "ts", "value").withColumn("v", cents("value"))
-    timed = events.withColumn("s", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000))
-    return N.stalled(timed, ["user_id"], "s", "v", 3600, ["v", "event_id"]).select("event_id", "user_id", "stalled")
+    return N.stalled(events.withColumn("s", seconds("ts")), ["user_id"], "s", "v", 3600, ["v", "event_id"]).select("event_id", "user_id", "stalled")
 
 
 @query("""WITH c AS (SELECT event_id, user_id, CAST(coalesce(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS spent_before FROM events)
