@@ -624,7 +624,7 @@ def usage_totals(spark: SparkSession, d: str) -> DataFrame:
 SELECT user_id, done, CAST(floor(100.0 * done / 500) AS BIGINT) AS percent, CASE WHEN seconds > 0 THEN CAST(floor(done * 3600000.0 / seconds) AS BIGINT) ELSE 0 END AS per_thousand_hours FROM t""")
 def progress_rate(spark: SparkSession, d: str) -> DataFrame:
     """Percent done and rate."""
-    s = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
+    s = seconds("ts")
     t = read(spark, d, "events", "user_id", "ts").groupBy("user_id").agg(F.count("*").alias("done"), (F.max(s) - F.min(s)).alias("seconds"))
     p = O.progress(F.col("done"), F.lit(500), F.col("seconds"))
     return t.select("user_id", "done", F.floor(p["percent"]).alias("percent"), F.when(F.col("seconds") > 0, F.floor(F.col("done") * F.lit(3600000.0) / F.col("seconds"))).otherwise(0).alias("per_thousand_hours"))

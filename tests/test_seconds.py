@@ -9,7 +9,7 @@ from lexiflow.queries import ORACLES, QUERIES
 duckdb = pytest.importorskip("duckdb")
 
 
-@pytest.mark.parametrize("name", ["stall_detect"])
+@pytest.mark.parametrize("name", ["progress_rate", "stall_detect"])
 def test_parts_of_seconds_are_rounded_as_in_sql(spark, tmp_path, name):
     start = dt.datetime(2024, 1, 1)
     times = [(1, 0.2, 5.0), (1, 3600.6, 3.0), (1, 3601.4, 9.0), (2, 0.5, 4.0), (2, 3600.5, 4.0), (2, 3601.5, 1.0), (3, 0.6, 2.0), (3, 3600.5, 1.0), (3, 20.4, 2.0), (3, 3.6, 2.0)]
