@@ -348,12 +348,12 @@ def inserted_rows(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH o AS (SELECT o_custkey, CAST(count(*) AS BIGINT) AS k, count(*) FILTER (o_orderstatus IN ('O', 'F')) AS by_model FROM orders GROUP BY 1)
 SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS ordinal, c_name AS word, k AS n_senses, by_model FROM customer JOIN o ON o_custkey = c_custkey""")
 def shared_deref(spark: SparkSession, d: str) -> DataFrame:
-    """Entries out of a key-value store, with what their shared ids stand for put back and
+    """Entries out of key-value stores that many tasks write and read, with what their shared ids stand for put back and
     kinds checked (J25, J26, S20)."""
-    path = local_folder(spark) / "entries.sqlite3"
-    ST.write_store(C.to_common(native_rows(spark, d)), path, {"format": "common"})
+    place = working_folder(spark, "store")
+    ST.write_parts(C.to_common(native_rows(spark, d)), place, {"format": "common"})
     kind = "struct<headwords: array<struct<text: string>>, senses: array<struct<translations: array<struct<provenance: struct<method: string>>>>>>"
-    rows = ST.store_frame(spark, path).select("ordinal", F.from_json("value", kind).alias("e"))
+    rows = ST.parts_frame(spark, place).select("ordinal", F.from_json("value", kind).alias("e"))
     methods = F.transform("e.senses", lambda t: F.get(t["translations"], F.lit(0))["provenance"]["method"])
     return rows.select("ordinal", F.get("e.headwords", F.lit(0))["text"].alias("word"), whole(F.size("e.senses")).alias("n_senses"), whole(F.size(F.filter(methods, lambda m: m == "llm"))).alias("by_model"))
 
