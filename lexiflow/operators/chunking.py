@@ -13,6 +13,9 @@ costs alone, by binary search. A row has two numbers:
   the last s with next(s) <= i, t(i) = t(g(i)), and t(i) = i in the first chunk; so
   doubling of pointers finds all of them at once.
 
+A partition is read in blocks of BLOCK rows, and what is said here of partitions holds of blocks: a
+task holds one of them, however many rows there are.
+
 Of a partition whose rows continue a group to its end, the map from its first start to what is
 open at its end has an entry for each row that fits into one chunk. One row a
 partition with such a map is read in order, and what results (a number and a first start) is
@@ -37,12 +40,28 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 from lexiflow.session import materialise, same_files
 
-#: What each row gets: its partition, whether its chunk's number depends on the first start,
-#: n and t; a partition's first row also gets the partition's map.
-ROW = "__part int, __open boolean, __n bigint, __t bigint"
+#: Rows that a task holds at once; blocks of a partition are numbered in the low bits of theirs.
+BLOCK, BLOCK_BITS = 250_000, 24
+#: What each row gets: its block, whether its chunk's number depends on the first start,
+#: n and t; a block's first row also gets the block's map.
+ROW = "__part bigint, __open boolean, __n bigint, __t bigint"
 MAP = "__map struct<first: string, last: string, whole: boolean, fits: array<double>, held: array<double>, rows: array<bigint>, chunks: array<bigint>>"
 
 
+def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, pa.Table]]:
+    """(number, rows) of a task's rows in order, each of about `size` rows; numbers grow over
+    the tasks of a sorted table."""
+    number, held, count = TaskContext.get().partitionId() << BLOCK_BITS, [], 0
+    for batch in (b for b in batches if b.num_rows):
+        held.append(batch)
+        count += batch.num_rows
+        if count >= size:
+            yield number, pa.Table.from_batches(held)
+            number, held, count = number + 1, [], 0
+    if held:
+        yield number, pa.Table.from_batches(held)
+
+
 def follow(pointers: np.ndarray) -> np.ndarray:
     """Where each chain of pointers ends, by doubling; ends point to themselves."""
     while True:
@@ -134,24 +153,22 @@ def budget_chunks(df: DataFrame, group: list[str], order: list[str], cost: str,
     placed = df.withColumn("__key", key).withColumn("__cost", F.coalesce(F.col(cost).cast("double"), F.lit(0.0)))
     placed = placed.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
     schema = StructType([*df.schema.fields, *_parse_datatype_string(f"{ROW}, {MAP}").fields])
-    arrow, width = to_arrow_schema(schema), len(df.columns)
+    arrow, width, size = to_arrow_schema(schema), len(df.columns), BLOCK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
-        if held is None:
-            return
-        keys = held.column("__key").combine_chunks()
-        changes = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
-        found = solve(np.concatenate([[0], np.cumsum(changes)]), held.column("__cost").to_numpy(), budget, most_rows)
-        summary = {"first": keys[0].as_py(), "last": keys[-1].as_py(), **found.map}
-        at, part = 0, TaskContext.get().partitionId()
-        for batch in held.to_batches():
-            to = at + batch.num_rows
-            own = [batch.column(f.name).cast(f.type) for f in list(arrow)[:width]]
-            maps = pa.array([summary if at == 0 else None] + [None] * (batch.num_rows - 1), arrow.field("__map").type)
-            rows = (np.full(to - at, part, np.int32), np.arange(at, to) < found.head, found.n[at:to], found.t[at:to])
-            yield pa.RecordBatch.from_arrays([*own, *map(pa.array, rows), maps], schema=arrow)
-            at = to
+        for part, held in blocks(batches, size):
+            keys = held.column("__key").combine_chunks()
+            changes = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+            found = solve(np.concatenate([[0], np.cumsum(changes)]), held.column("__cost").to_numpy(), budget, most_rows)
+            summary = {"first": keys[0].as_py(), "last": keys[-1].as_py(), **found.map}
+            at = 0
+            for batch in held.to_batches():
+                to = at + batch.num_rows
+                own = [batch.column(f.name).cast(f.type) for f in list(arrow)[:width]]
+                maps = pa.array([summary if at == 0 else None] + [None] * (batch.num_rows - 1), arrow.field("__map").type)
+                rows = (np.full(to - at, part, np.int64), np.arange(at, to) < found.head, found.n[at:to], found.t[at:to])
+                yield pa.RecordBatch.from_arrays([*own, *map(pa.array, rows), maps], schema=arrow)
+                at = to
 
     rows = materialise(placed.mapInArrow(run, schema))
     maps = rows.where("__map is not null").select(F.col("__part").alias("part"), "__map.*")
@@ -161,7 +178,7 @@ def budget_chunks(df: DataFrame, group: list[str], order: list[str], cost: str,
         while some := list(islice(found, 1000)):
             yield pd.DataFrame(some, columns=["__part", "__before", "__first"])
 
-    starts = maps.repartition(1).sortWithinPartitions("part").mapInPandas(fold, "__part int, __before bigint, __first bigint")  # a row a partition
+    starts = maps.repartition(1).sortWithinPartitions("part").mapInPandas(fold, "__part bigint, __before bigint, __first bigint")  # a row a block
     met = rows.join(F.broadcast(starts), "__part")
     open_ = F.col("__before") + F.col("__n") - (F.col("__first") > F.col("__t")).cast("bigint")
     chunk = F.when(F.col("__open"), open_).otherwise(F.col("__n") - 1).cast("int")

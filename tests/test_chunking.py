@@ -75,3 +75,18 @@ def test_chunks_without_groups_and_of_nothing(spark):
     df = spark.createDataFrame([(n, 1) for n in range(100)], "at int, cost int")
     assert {r["at"]: r["chunk"] for r in chunking.budget_chunks(df, [], ["at"], "cost", 10, 4).collect()} == {n: n // 4 for n in range(100)}
     assert chunking.budget_chunks(df.where("false"), [], ["at"], "cost", 10, 4).count() == 0
+
+
+@pytest.mark.parametrize("groups", [1, 300])
+def test_a_task_holds_a_block_of_its_rows(spark, monkeypatch, groups):
+    monkeypatch.setattr(chunking, "BLOCK", 70)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 30)
+    rng = random.Random(groups)
+    rows = [(rng.randrange(groups), n, rng.choice([0, 1, 3, 9])) for n in range(2000)]
+    found = chunking.budget_chunks(spark.createDataFrame(rows, "g int, n int, cost int").coalesce(2), ["g"], ["n"], "cost", 25, 12)
+    got = {r.n: r.chunk for r in found.collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows.sort()
+    assert [got[n] for _, n, _ in rows] == fold([(g, c) for g, _, c in rows], 25, 12)
+    sizes = spark.read.parquet(found._written_to).groupBy("__part").count()
+    assert sizes.agg({"count": "max"}).first()[0] < 100
