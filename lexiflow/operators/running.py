@@ -1,10 +1,10 @@
 """Running sums and last values over groups of any size.
 
 A window by group puts a group into one task. Here rows are sorted in range partitions by group
-and order, so a hot group is cut into many. Within a partition running values are found
-in one pass. Only the partition's first group may have begun before it: one row a partition
-tells what it leaves behind, these rows are read in order, and what each partition's first
-group begins with is joined to its rows.
+and order, so a hot group is cut into many, and read in blocks of a bounded number of rows. Within
+a block running values are found in one pass. Only the block's first group may have begun
+before it: one row a block tells what it leaves behind, these rows are read in order, and
+what each block's first group begins with is joined to its rows.
 """
 
 from __future__ import annotations
@@ -16,12 +16,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from lexiflow.operators import chunking
+from lexiflow.operators.chunking import blocks
 from lexiflow.session import materialise, same_files
 
 
@@ -36,7 +37,7 @@ def local_values(starts: np.ndarray, values: pa.Array, last: bool) -> pa.Array:
 
 
 def carried(parts: Iterator[dict], last: bool) -> Iterator[tuple]:
-    """(partition, what its first group begins with) in order."""
+    """(block, what its first group begins with) in order."""
     key, carry = None, None
     for m in parts:
         begun = carry if m["first"] == key else None
@@ -52,26 +53,24 @@ def running(df: DataFrame, group: list[str], order: list[Column | str], value: s
     kind = df.schema[value].dataType.simpleString() if last else "bigint"
     key = F.to_json(F.struct(*group)) if group else F.lit("")
     placed = df.withColumn("__key", key).withColumn("__value", F.col(value).cast(kind)).repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
-    extra = f"__part int, __open boolean, __local {kind}, __map struct<first: string, last: string, whole: boolean, tail: {kind}>"
+    extra = f"__part bigint, __open boolean, __local {kind}, __map struct<first: string, last: string, whole: boolean, tail: {kind}>"
     schema = StructType([*df.schema.fields, *_parse_datatype_string(extra).fields])
-    arrow, width = to_arrow_schema(schema), len(df.columns)
+    arrow, width, size = to_arrow_schema(schema), len(df.columns), chunking.BLOCK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not (found := [b for b in batches if b.num_rows]):
-            return
-        held = pa.Table.from_batches(found)
-        keys, values = held.column("__key").combine_chunks(), held.column("__value").combine_chunks()
-        borders = np.flatnonzero(pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)) + 1
-        cuts = np.concatenate([[0], borders, [len(keys)]])
-        local = local_values(np.repeat(cuts[:-1], np.diff(cuts)), values, last)
-        summary = {"first": keys[0].as_py(), "last": keys[-1].as_py(), "whole": len(borders) == 0, "tail": local[-1].as_py()}
-        at, part = 0, TaskContext.get().partitionId()
-        for batch in held.to_batches():
-            to = at + batch.num_rows
-            own = [batch.column(f.name).cast(f.type) for f in list(arrow)[:width]]
-            maps = pa.array([summary if at == 0 else None] + [None] * (to - at - 1), arrow.field("__map").type)
-            yield pa.RecordBatch.from_arrays([*own, pa.array(np.full(to - at, part, np.int32)), pa.array(np.arange(at, to) < cuts[1]), local.slice(at, to - at), maps], schema=arrow)
-            at = to
+        for part, held in blocks(batches, size):
+            keys, values = held.column("__key").combine_chunks(), held.column("__value").combine_chunks()
+            borders = np.flatnonzero(pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)) + 1
+            cuts = np.concatenate([[0], borders, [len(keys)]])
+            local = local_values(np.repeat(cuts[:-1], np.diff(cuts)), values, last)
+            summary = {"first": keys[0].as_py(), "last": keys[-1].as_py(), "whole": len(borders) == 0, "tail": local[-1].as_py()}
+            at = 0
+            for batch in held.to_batches():
+                to = at + batch.num_rows
+                own = [batch.column(f.name).cast(f.type) for f in list(arrow)[:width]]
+                maps = pa.array([summary if at == 0 else None] + [None] * (to - at - 1), arrow.field("__map").type)
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.full(to - at, part, np.int64)), pa.array(np.arange(at, to) < cuts[1]), local.slice(at, to - at), maps], schema=arrow)
+                at = to
 
     rows = materialise(placed.mapInArrow(run, schema))
     maps = rows.where("__map is not null").select(F.col("__part").alias("part"), "__map.*")
@@ -82,7 +81,7 @@ def running(df: DataFrame, group: list[str], order: list[Column | str], value: s
         while some := list(islice(found, 1000)):
             yield pd.DataFrame({"__part": [p for p, _ in some], "__begun": pd.Series([v for _, v in some], dtype=object)})
 
-    begun = maps.repartition(1).sortWithinPartitions("part").mapInPandas(fold, f"__part int, __begun {kind}")  # a row a partition
+    begun = maps.repartition(1).sortWithinPartitions("part").mapInPandas(fold, f"__part bigint, __begun {kind}")  # a row a block
     met = rows.join(F.broadcast(begun), "__part")
     start = F.when(F.col("__open"), F.col("__begun"))
     whole = F.coalesce("__local", start) if last else F.col("__local") + F.coalesce(start, F.lit(0))

@@ -48,3 +48,18 @@ def test_budgets_of_groups_and_of_nothing(spark):
     df = spark.createDataFrame([(n % 2, n, 3) for n in range(20)], "g int, at int, cost int")
     assert sorted((r["at"], r["spent_before"]) for r in running.token_budget(df, ["g"], ["at"], "cost", 7).collect()) == [(n, n // 2 * 3) for n in range(6)]
     assert running.token_budget(df.where("false"), [], ["at"], "cost", 7).count() == 0
+
+
+@pytest.mark.parametrize("groups", [1, 300])
+@pytest.mark.parametrize("last", [False, True])
+def test_a_task_holds_a_block_of_its_rows(spark, monkeypatch, groups, last):
+    monkeypatch.setattr(running.chunking, "BLOCK", 70)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 30)
+    rows = table(groups, 5)
+    found = running.running(spark.createDataFrame(rows, "g int, at int, id int, v int"), ["g"], ["at", "id"], "v", "x", last)
+    got, state = {r["id"]: r["x"] for r in found.collect()}, {}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for g, _at, i, v in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])):
+        state[g] = (v if v is not None else state.get(g)) if last else state.get(g, 0) + (v or 0)
+        assert got[i] == state[g]
+    assert spark.read.parquet(found._written_to).groupBy("__part").count().agg({"count": "max"}).first()[0] < 100
