@@ -6,7 +6,6 @@ import functools
 import json
 import re
 from collections.abc import Callable
-from itertools import chain
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -1211,7 +1210,7 @@ def order_table(spark: SparkSession, d: str) -> DataFrame:
     A.write_ids(plan, folder / "ids.txt")
     table, listed = (ids(text_lines(spark, f"file://{folder / name}")) for name in ("order.tsv", "ids.txt"))
     lines = sample_lines(spark, d)
-    A.write_lines(folder / "lines.txt", chain(["# parts", f"#! entries={parts.count()}"], A.streamed(lines, "ord", F.col("value"))))
+    A.write_rows(folder / "lines.txt", lines, "ord", F.col("value"), ["# parts", f"#! entries={parts.count()}"])
     written = text_lines(spark, f"file://{folder / 'lines.txt'}")
     declared = check_declared(written, parse_lines(written))
     return table.select("id", (F.col("rank") - 1).alias("rank")).join(listed, ["id", "rank"]).withColumn("declared", F.lit(declared).cast("bigint"))

@@ -52,6 +52,12 @@ def discard(*frames: DataFrame) -> None:
             _delete(path)
 
 
+def discard_folder(path: str) -> None:
+    """Deletes a folder of working_folder() that nothing reads any more."""
+    if path in _written:
+        _delete(path)
+
+
 def same_files(view: DataFrame, written: DataFrame) -> DataFrame:
     """`view`, as a frame over the files of `written`, so that discard() deletes them."""
     view._written_to = written._written_to

@@ -7,13 +7,13 @@ import json
 import os
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
-from itertools import chain
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiflow.operators.rules import native_counts
+from lexiflow.session import discard_folder, working_folder
 from lexiflow.sources.raw_deflate import COMPRESSION, Sizes, container_sizes, file_chunks, write_ordered
 
 
@@ -75,25 +75,48 @@ def write_lines(path: Path, lines: Iterable[str], inputs: Iterable[Path] = ()) -
     return n
 
 
-def streamed(df: DataFrame, order: str, value: Column) -> Iterator[str]:
-    """One text a row, in order; rows pass the driver and never stand there together."""
-    return (r[0] for r in df.orderBy(order).select(value).toLocalIterator(prefetchPartitions=True))
+def write_rows(path: Path, rows: DataFrame, order: str, value: Column, head: Iterable[str] = (), inputs: Iterable[Path] = ()) -> int:
+    """Writes the lines of `head`, then one a row, in order, to a text file that appears whole or
+    not at all; the number of rows. Tasks write the lines of ranges of rows to the shared
+    folder, and these files are copied one behind the other, as one file is written in one place:
+    no row is sent to the driver."""
+    refuse_collisions(list(inputs), [path])
+    spark, place = rows.sparkSession, working_folder(rows.sparkSession, "lines")
+    line = F.coalesce(value, F.raise_error(F.lit("a row without a line")).cast("string"))
+    rows.repartitionByRange(order).sortWithinPartitions(order).select(line.alias("value")).write.text(place, lineSep="\n")
+    hadoop, folder = spark._jvm.org.apache.hadoop, spark._jvm.org.apache.hadoop.fs.Path(place)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted((s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("part-")), key=lambda p: int(p.getName().split("-")[1]))
+    with published(path) as (fresh,):
+        fresh.write_text("".join(f"{h}\n" for h in head), encoding="utf-8", newline="\n")
+        out = spark._jvm.java.io.FileOutputStream(str(fresh), True)
+        try:
+            for part in parts:
+                source = files.open(part)
+                try:
+                    hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+                finally:
+                    source.close()
+        finally:
+            out.close()
+    discard_folder(place)
+    return rows.count()
 
 
 def dump(rows: DataFrame, keys: list[str], path: Path, inputs: Iterable[Path] = ()) -> int:
     """Rows as JSON lines with their keys in order, by `ord`."""
-    return write_lines(path, streamed(json_line(rows, keys), "ord", F.col("value")), inputs)
+    return write_rows(path, json_line(rows, keys), "ord", F.col("value"), inputs=inputs)
 
 
 def write_order(plan: DataFrame, path: Path, columns: tuple[str, ...] = ("id", "word", "senses"), position: str = "position", inputs: Iterable[Path] = ()) -> int:
     """The order to ask for texts in, as tab-separated columns under a header; rows."""
-    lines = streamed(plan, position, F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)))
-    return write_lines(path, chain(["\t".join(columns)], lines), inputs) - 1
+    line = F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
+    return write_rows(path, plan, position, line, ["\t".join(columns)], inputs)
 
 
 def write_ids(plan: DataFrame, path: Path, column: str = "id", position: str = "position", inputs: Iterable[Path] = ()) -> int:
     """A list of ids in order, one a line."""
-    return write_lines(path, streamed(plan, position, F.col(column)), inputs)
+    return write_rows(path, plan, position, F.col(column), inputs=inputs)
 
 
 def publish(rows: DataFrame, keys: list[str], artifact: Path, manifest: Path, extra: dict | None = None, inputs: Iterable[Path] = (), source: Path | None = None) -> dict:
