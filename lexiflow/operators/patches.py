@@ -42,6 +42,7 @@ def primary_errors(rows: DataFrame, primary: DataFrame, default: DataFrame) -> D
 def apply_primary(rows: DataFrame, primary: DataFrame, default: DataFrame) -> DataFrame:
     """Rows with `primary` and `default` of the records alone, whatever they had before; a
     record for a row of one sense is checked but not written. Stops on any error."""
+    primary, default = (materialise(df.select(*names)) for df, names in ((primary, ["word", "trad", "pinyin", "sense", "ja"]), (default, ["word", "trad", "pinyin"])))  # read several times
     errors = primary_errors(rows, primary, default)
     found = examples(errors.select("label", F.col("key.word").alias("word")), "label", "word").orderBy("label").collect()
     discard(errors)
@@ -51,7 +52,7 @@ def apply_primary(rows: DataFrame, primary: DataFrame, default: DataFrame) -> Da
     d = keyed(default).select("__key", F.lit(True).alias("__default")).distinct()
     joined = keyed(rows.drop("primary", "default")).join(p, "__key", "left").join(d, "__key", "left")
     fresh = joined.withColumn("primary", F.when(F.size("senses") >= 2, F.col("__primary"))).withColumn("default", F.col("__default"))
-    return fresh.select(*rows.columns)
+    return same_files(fresh.select(*rows.columns), primary)
 
 
 def apply_pos(rows: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
