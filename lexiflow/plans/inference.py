@@ -229,10 +229,13 @@ def next_pass(spark: SparkSession, log: str) -> int:
 def merge_glosses(base: DataFrame, glosses: DataFrame, order: str | None = None) -> DataFrame:
     """Base rows with the texts of the log in their senses; of repeated answers the last
     holds, unknown ids are ignored, and a number that an entry does not have stops the job."""
-    texts = last_texts(glosses, order).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("sense", "ja"))).alias("__t"))
+    texts = last_texts(glosses, order).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("sense", "ja"))).alias("__t"))
     joined = base.join(texts, "id", "left")
-    outside = F.exists(F.map_keys("__t"), lambda n: n.isNull() | (n < 1) | (n > F.size("senses")))
-    put = F.transform("senses", lambda s, i: s.withField("ja", F.coalesce(F.try_element_at("__t", i + 1), s["ja"])))
+    outside = F.exists("__t", lambda t: t["sense"].isNull() | (t["sense"] < 1) | (t["sense"] > F.size("senses")))
+    # a text a sense, by place, in one pass: a map would be searched for each of the senses
+    gap = lambda t, i: t["sense"] - F.coalesce(F.get("__t", i - 1)["sense"], F.lit(0)) - 1
+    placed = F.flatten(F.transform("__t", lambda t, i: F.concat(F.array_repeat(F.lit(None).cast("string"), gap(t, i)), F.array(t["ja"]))))
+    put = F.zip_with("senses", placed, lambda s, t: s.withField("ja", F.coalesce(t, s["ja"])))
     stop = F.raise_error(F.concat(F.lit("a sense that the entry does not have: "), F.col("id"))).cast(base.schema["senses"].dataType)
     return joined.withColumn("senses", F.when(F.col("__t").isNull(), F.col("senses")).when(outside, stop).otherwise(put)).drop("__t")
 
@@ -285,7 +288,7 @@ def run(
     is reached a call waits and is made again. A token budget is shared by the shards."""
     from lexiflow.session import discard, materialise
 
-    held, number = log_texts(base.sparkSession, [log]), next_pass(base.sparkSession, log)
+    held, number = materialise(log_texts(base.sparkSession, [log])), next_pass(base.sparkSession, log)
     rest = base.join(finished(base, held), "id", "left_anti")
     if limit is not None:
         rest = rest.where(F.size(pending_numbers(F.col("senses"))) > 0).orderBy("ord").limit(limit)
@@ -298,7 +301,7 @@ def run(
     fresh = taken.join(held.select("id", "sense"), ["id", "sense"], "left_anti").withColumn("pass", F.lit(number))
     fresh.write.mode("append").json(log)
     out = {r["status"]: r["n"] for r in counts.collect()}
-    discard(replies)
+    discard(replies, held)
     return out
 
 

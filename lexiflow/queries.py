@@ -754,7 +754,7 @@ def json_payload(spark: SparkSession, d: str) -> DataFrame:
 def inference_run(spark: SparkSession, d: str) -> DataFrame:
     """Calls, answers and their log, run twice: the first run meets a backend that breaks
     off for some, the second asks for the rest (J27, J28, J31, R03, R04, W05, K10)."""
-    base, log = event_base(spark, d), f"{working_folder(spark, 'log')}/log"
+    base, log = materialise(event_base(spark, d)), f"{working_folder(spark, 'log')}/log"  # read several times
     I.run(base, I.FakeBackend(broken="7"), log)
     I.run(base, I.FakeBackend(), log)
     texts = read_log(spark, log)
@@ -1310,7 +1310,7 @@ def published_artifact(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {BASE_SQL} SELECT 'u' || user_id AS id, CAST(n AS INTEGER) AS sense FROM o WHERE event_id % 10 <> 0 AND event_id % 6 <> 0""")
 def repaired_log(spark: SparkSession, d: str) -> DataFrame:
     """Texts that break a rule are taken out, recorded beside the log and asked for again."""
-    base, log = event_base(spark, d), f"{working_folder(spark, 'log')}/log"
+    base, log = materialise(event_base(spark, d)), f"{working_folder(spark, 'log')}/log"  # read several times
     event_texts(spark, d).write.json(log)
     I.repair(base, I.FakeBackend(), log)
     if I.drop_invalid(read_log(spark, log), ["w"])[1].count():
