@@ -1259,19 +1259,29 @@ def seed_scans(spark: SparkSession, d: str) -> DataFrame:
 def write_document(rows: DataFrame, place: str, head: str, tail: str) -> None:
     """Rows (ord, value) as one JSON document in files by name, written by as many tasks."""
     ends = rows.agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
-    text = F.concat(F.when(F.col("ord") == F.col("first"), head).otherwise(","), "value", F.when(F.col("ord") == F.col("last"), tail).otherwise(""))
-    rows.join(F.broadcast(ends)).repartitionByRange("ord").sortWithinPartitions("ord").select(text.alias("value")).write.text(place)  # one row is broadcast
+    placed = rows.join(F.broadcast(ends)).repartitionByRange("ord").sortWithinPartitions("ord")  # one row is broadcast
+    write_placed(placed, F.col("ord") == F.col("first"), F.col("ord") == F.col("last"), place, head, tail)
+
+
+def write_placed(rows: DataFrame, first: Column, last: Column, place: str, head: str, tail: str) -> None:
+    """Values as one JSON document in the order in which tasks hold them."""
+    rows.select(F.concat(F.when(first, head).otherwise(","), "value", F.when(last, tail).otherwise("")).alias("value")).write.text(place)
 
 
 @query("""WITH s AS (SELECT l_partkey, l_orderkey, CAST(sum(CAST(l_quantity AS BIGINT) % 4) AS BIGINT) AS n FROM lineitem GROUP BY ALL)
 SELECT 'p' || l_partkey AS title, max(n) AS definitions FROM s GROUP BY l_partkey""")
 def reference_definitions(spark: SparkSession, d: str) -> DataFrame:
     """The greatest number of definitions of each title, from one JSON array that ranges of its bytes are read of."""
-    lines, place = read(spark, d, "lineitem", "l_partkey", "l_orderkey", "l_quantity"), working_folder(spark, "reference")
-    texts = F.transform(F.slice(F.array(*(F.lit(t) for t in ("n", "v,]", 'q"\\"'))), F.lit(1), (F.col("l_quantity") % 4).cast("int")), lambda t: F.struct(t.alias("type"), F.lit("[{,").alias("def")))
-    entries = lines.groupBy("l_partkey", "l_orderkey").agg(F.collect_list(F.struct(texts.alias("definitions"))).alias("heteronyms"))
-    value = F.to_json(F.struct(F.concat(F.lit("p"), "l_partkey").alias("title"), "heteronyms"))
-    write_document(O.global_ordinal(entries.select(value.alias("value"), "l_partkey", "l_orderkey"), "l_partkey", "l_orderkey", name="ord").select("ord", "value"), place, "[", "]")
+    lines, place, keys = read(spark, d, "lineitem", "l_partkey", "l_orderkey", "l_quantity"), working_folder(spark, "reference"), ["l_partkey", "l_orderkey"]
+    texts = F.array(*(F.struct(F.lit(t).alias("type"), F.lit("[{,").alias("def")) for t in ("n", "v,]", 'q"\\"')))
+    # rows are sent once, where their entry is grouped, put in order and written
+    placed = lines.select(*keys, F.struct((F.col("l_quantity") % 4).cast("int").alias("n")).alias("q")).repartitionByRange(*keys)
+    entries = placed.groupBy(*keys).agg(F.collect_list("q").alias("q")).sortWithinPartitions(*keys)
+    heteronyms = F.transform("q", lambda q: F.struct(F.slice(texts, F.lit(1), q["n"]).alias("definitions")))
+    value = F.to_json(F.struct(F.concat(F.lit("p"), "l_partkey").alias("title"), heteronyms.alias("heteronyms")))
+    ends = lines.agg(*(f(F.struct(*keys)) for f in (F.min, F.max))).first()
+    first, last = (F.struct(*keys) == F.struct(*(F.lit(end[k] if end else None).cast("bigint").alias(k) for k in keys)) for end in ends)
+    write_placed(entries.select(*keys, value.alias("value")), first, last, place, "[", "]")
     return reference_counts(spark, place).withColumn("definitions", F.col("definitions").cast("bigint"))
 
 

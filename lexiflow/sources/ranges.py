@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 RANGE = ("file", "range")
 
 
-def records(spark: SparkSession, path: str | list[str], separator: str = "\n") -> DataFrame:
+def records(spark: SparkSession, path: str | list[str], separator: str = "\n", longest: int | None = None) -> DataFrame:
     """(value, file, range, at, file_size): what stands between separators, byte for byte
     but for a byte-order mark at the start; (file, range, at) is the order. Files of one path
-    come by name, packed ones (gzip by the suffix) as one range."""
-    read = spark.read.text(path, lineSep=separator)
+    come by name, packed ones (gzip by the suffix) as one range. Records of `longest` bytes
+    or more, their separator among them, are left out unread."""
+    reader = spark.read if longest is None else spark.read.option("mapreduce.input.linerecordreader.line.maxlength", longest)
+    read = reader.text(path, lineSep=separator)
     at = {"file": "_metadata.file_path", "range": "_metadata.file_block_start", "file_size": "_metadata.file_size"}
     return with_at(read.select("value", *(F.col(c).alias(n) for n, c in at.items())))
 
