@@ -1273,11 +1273,14 @@ SELECT 'p' || l_partkey AS title, max(n) AS definitions FROM s GROUP BY l_partke
 def reference_definitions(spark: SparkSession, d: str) -> DataFrame:
     """The greatest number of definitions of each title, from one JSON array that ranges of its bytes are read of."""
     lines, place, keys = read(spark, d, "lineitem", "l_partkey", "l_orderkey", "l_quantity"), working_folder(spark, "reference"), ["l_partkey", "l_orderkey"]
-    texts = F.array(*(F.struct(F.lit(t).alias("type"), F.lit("[{,").alias("def")) for t in ("n", "v,]", 'q"\\"')))
-    # rows are sent once, where their entry is grouped, put in order and written
-    placed = lines.select(*keys, F.struct((F.col("l_quantity") % 4).cast("int").alias("n")).alias("q")).repartitionByRange(*keys)
-    entries = placed.groupBy(*keys).agg(F.collect_list("q").alias("q")).sortWithinPartitions(*keys)
-    heteronyms = F.transform("q", lambda q: F.struct(F.slice(texts, F.lit(1), q["n"]).alias("definitions")))
+    texts = [F.struct(F.lit(t).alias("type"), F.lit("[{,").alias("def")) for t in ("n", "v,]", 'q"\\"')]
+    # rows are sent once, where their entry is grouped, put in order and written; a line has 0 to 3 definitions or none known
+    n = (F.col("l_quantity") % 4).cast("int")
+    n = F.when(n < 0, F.raise_error(F.lit("a negative number of definitions"))).otherwise(n)
+    kinds = [*(F.slice(F.array(*texts), 1, k) for k in range(4)), F.lit(None)]
+    placed = lines.select(*keys, n.alias("n")).repartitionByRange(*keys)
+    entries = placed.groupBy(*keys).agg(*(F.count_if(F.col("n").eqNullSafe(F.lit(k))).cast("int").alias(f"n{i}") for i, k in enumerate((0, 1, 2, 3, None)))).sortWithinPartitions(*keys)
+    heteronyms = F.concat(*(F.array_repeat(F.struct(k.alias("definitions")), F.col(f"n{i}")) for i, k in enumerate(kinds)))
     value = F.to_json(F.struct(F.concat(F.lit("p"), "l_partkey").alias("title"), heteronyms.alias("heteronyms")))
     ends = lines.agg(*(f(F.struct(*keys)) for f in (F.min, F.max))).first()
     first, last = (F.struct(*keys) == F.struct(*(F.lit(end[k] if end else None).cast("bigint").alias(k) for k in keys)) for end in ends)

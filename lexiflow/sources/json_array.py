@@ -34,8 +34,7 @@ LONGEST = 1 << 16
 PIECE = "nth bigint, k bigint, began string, ended string, offset bigint, text string"
 #: By character: whether it may be structure, how it changes the depth, and its place in CUTS.
 CUTS = ",[]}"
-MAY, STEP, CODE = np.zeros(256, bool), np.zeros(256, np.int8), np.zeros(256, np.int8)
-MAY[list(b'",[]{}')] = True
+MAY, STEP, CODE = bytes(c in b'",[]{}' for c in range(256)), np.zeros(256, np.int8), np.zeros(256, np.int8)
 STEP[list(b"[{")], STEP[list(b"]}")] = 1, -1
 CODE[list(CUTS.encode())] = range(len(CUTS))
 
@@ -44,11 +43,10 @@ def structure(data: bytes, in_string: bool) -> tuple[np.ndarray, np.ndarray, np.
     """(places, characters there, whether each is in no string, whether the end is in one) of
     the characters that may be structure."""
     plain = data.replace(b"\\\\", b"__").replace(b'\\"', b"__") if b"\\" in data else data
-    chars = np.frombuffer(plain, np.uint8)
-    places = np.flatnonzero(MAY[chars])
-    marks = chars[places]
-    quotes = np.cumsum(marks == QUOTE) + in_string & 1
-    return places, marks, quotes == 0, bool(quotes[-1]) if len(places) else in_string
+    places = np.flatnonzero(np.frombuffer(plain.translate(MAY), bool))
+    marks = np.frombuffer(plain, np.uint8)[places]
+    quotes = np.logical_xor.accumulate(marks == QUOTE)
+    return places, marks, quotes == in_string, bool(quotes[-1]) != in_string if len(places) else in_string
 
 
 def runs(batches: Iterator[pa.RecordBatch], *key: str) -> Iterator[tuple[tuple, pa.RecordBatch]]:
@@ -84,8 +82,8 @@ def summaries(rows: DataFrame, separator: str) -> DataFrame:
                 key, state = own, [0, False, 0, 0]
             data = text_of(batch, mark)
             _, marks, outside, turned = structure(data, state[1])  # of a start outside; of one within it is the reverse
-            change = STEP[marks].astype(np.int64)
-            state = [state[0] + len(data) + 1, turned, state[2] + int(change[outside].sum()), state[3] + int(change[~outside].sum())]
+            flat, every = int(STEP[marks[outside]].sum(dtype=np.int64)), int(STEP[marks].sum(dtype=np.int64))
+            state = [state[0] + len(data) + 1, turned, state[2] + flat, state[3] + every - flat]
         if key is not None:
             yield out()
 
@@ -114,9 +112,11 @@ class Range:
 
     def read(self, data: bytes) -> Iterator[pa.RecordBatch]:
         places, marks, outside, self.in_string = structure(data, self.in_string)
-        change = STEP[marks] * outside
+        outside &= marks != QUOTE
+        places, marks = places[outside], marks[outside]
+        change = STEP[marks]
         depths = self.depth + np.cumsum(change, dtype=np.int64)
-        cuts = (outside & ((marks == COMMA) | (marks == ARRAY)) & (depths == self.level)) | ((change < 0) & (depths == self.level - 1))
+        cuts = (((marks == COMMA) | (marks == ARRAY)) & (depths == self.level)) | ((change < 0) & (depths == self.level - 1))
         at, ended = places[cuts], CODE[marks[cuts]]
         if len(at):
             before, last = b"".join(self.held), int(at[-1])
